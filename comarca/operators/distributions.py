@@ -14,8 +14,9 @@ from comarca.functions.scalars import null_if_nan
 from comarca.sinks.pinned import pin
 
 QUARTILES = (0.25, 0.5, 0.75)
-_SLICES = 1024
-_SAMPLE = 100_000
+_SLICE_ROWS = 4_000_000
+_FEWEST_SLICES, _MOST_SLICES = 64, 4096
+_SAMPLE_PER_SLICE = 250
 
 
 def _numeric(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
@@ -26,13 +27,14 @@ def _numeric(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> D
 def _cuts(wide: DataFrame, columns: Sequence[str]) -> list[list[float]]:
     """Values that cut each column into slices of about even size.
 
-    A fixed-size sample is enough: it decides only how even the slices are.
+    A bounded sample is enough: it decides only how even the slices are.
     """
     rows = wide.count()
-    sample = wide.sample(_SAMPLE / rows, seed=0) if rows > _SAMPLE else wide
-    probs = [i / _SLICES for i in range(1, _SLICES)]
-    found = sample.approxQuantile(list(columns), probs, 1 / (2 * _SLICES))
-    return [sorted(set(cuts)) or [0.0] for cuts in found]
+    slices = min(max(rows // _SLICE_ROWS, _FEWEST_SLICES), _MOST_SLICES)
+    wanted = slices * _SAMPLE_PER_SLICE
+    sample = wide.sample(wanted / rows, seed=0) if rows > wanted else wide
+    probs = [i / slices for i in range(1, slices)]
+    return [sorted(set(cuts)) or [0.0] for cuts in sample.approxQuantile(list(columns), probs, 1 / (2 * slices))]
 
 
 def _long(wide: DataFrame, columns: Sequence[str], by: Sequence[str]) -> DataFrame:

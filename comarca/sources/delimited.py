@@ -3,16 +3,17 @@
 from __future__ import annotations
 
 import csv
-from functools import reduce
+import logging
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from comarca.sources.files import missing_path
+from comarca.operators.combine import union_by_name
+from comarca.sources.files import file_name, missing_path, readable_path
 
 SEPARATOR = ";"
-_CORRUPT = "_corrupt_record"
+log = logging.getLogger("comarca")
 
 
 def _as_struct(spark: SparkSession, schema: str | T.StructType) -> T.StructType:
@@ -21,7 +22,7 @@ def _as_struct(spark: SparkSession, schema: str | T.StructType) -> T.StructType:
 
 def with_source_file(df: DataFrame) -> DataFrame:
     """Adds the name of the file each row was read from."""
-    return df.withColumn("source_file", F.col("_metadata.file_name"))
+    return df.withColumn("source_file", file_name())
 
 
 def read_file(spark: SparkSession, path: str, schema: str | T.StructType, separator: str = SEPARATOR) -> DataFrame:
@@ -34,15 +35,23 @@ def read_file(spark: SparkSession, path: str, schema: str | T.StructType, separa
     )
 
 
-def file_headers(spark: SparkSession, folder: str, pattern: str = "*.csv") -> DataFrame:
-    """``(path, header)`` of every file: its first line, taken from its first block only."""
+def _lines(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
     lines = spark.read.option("pathGlobFilter", pattern).text(folder)
-    return (
-        lines.where(F.col("_metadata.file_block_start") == 0)
-        .select(F.col("_metadata.file_path").alias("path"), "value", F.monotonically_increasing_id().alias("line"))
-        .groupBy("path")
-        .agg(F.min_by("value", "line").alias("header"))
-    )
+    return lines.select("value", "_metadata.file_path", "_metadata.file_block_start")
+
+
+def file_headers(spark: SparkSession, folder: str, pattern: str = "*.csv") -> DataFrame:
+    """``(file_path, header)`` of every file: its first line, looked for in its first block only."""
+    first_blocks = _lines(spark, folder, pattern).where("file_block_start = 0")
+    numbered = first_blocks.select("file_path", "value", F.monotonically_increasing_id().alias("line"))
+    return numbered.groupBy("file_path").agg(F.min_by("value", "line").alias("header"))
+
+
+def widest_lines(spark: SparkSession, folder: str, separator: str, pattern: str = "*.csv") -> DataFrame:
+    """``(file_path, fields)`` of every file: most fields of any line, quoted separators aside."""
+    bare = F.regexp_replace("value", r'"[^"]*"', "")
+    fields = F.length(bare) - F.length(F.replace(bare, F.lit(separator), F.lit(""))) + 1
+    return _lines(spark, folder, pattern).groupBy("file_path").agg(F.max(fields).alias("fields"))
 
 
 def _split_header(header: str, separator: str) -> list[str]:
@@ -72,33 +81,33 @@ def read_folder(
     if missing_path(spark, folder):
         return spark.createDataFrame([], struct.add("source_file", T.StringType()))
 
-    def read_group(columns: list[str], paths: list[str] | None) -> DataFrame:
+    def read_group(columns: list[str], paths: list[str] | None = None) -> DataFrame:
         layout = T.StructType([T.StructField(c, types.get(c, T.StringType())) for c in columns])
-        reader = spark.read.options(sep=separator, header=True, encoding="UTF-8", pathGlobFilter=pattern)
-        if not skip_bad_files:
-            return with_source_file(reader.schema(layout).csv(paths or folder))
-        checked = reader.schema(layout.add(_CORRUPT, T.StringType())).option("columnNameOfCorruptRecord", _CORRUPT)
-        rows = checked.csv(paths or folder).withColumn("_path", F.col("_metadata.file_path"))
-        unquoted = F.regexp_replace(_CORRUPT, r'"[^"]*"', "")
-        too_wide = F.size(F.split(unquoted, f"\\Q{separator}\\E")) > len(columns)
-        bad_files = rows.where(F.col(_CORRUPT).isNotNull() & too_wide).select("_path").distinct()
-        return with_source_file(rows).join(bad_files, "_path", "left_anti").drop("_path", _CORRUPT)
-
-    if same_headers:
-        return read_group(struct.names, None)
-
-    headers = file_headers(spark, folder, pattern)
-    layouts = [row.header for row in headers.select("header").distinct().collect()]
+        reader = spark.read.schema(layout).options(sep=separator, header=True, encoding="UTF-8", pathGlobFilter=pattern)
+        return with_source_file(reader.csv([readable_path(p) for p in paths] if paths else folder))
+
+    if same_headers and not skip_bad_files:
+        return read_group(struct.names)
+
+    # One row per file, as many as Spark lists on the driver for the scan itself.
+    found = file_headers(spark, folder, pattern)
+    if skip_bad_files:
+        found = found.join(widest_lines(spark, folder, separator, pattern), "file_path")
+    layouts: dict[str, list[str]] = {}
+    bad = 0
+    for row in found.collect():
+        if skip_bad_files and row.fields > len(_split_header(row.header, separator)):
+            log.error("skipped %s: a line has more fields than the header", row.file_path)
+            bad += 1
+        else:
+            layouts.setdefault(row.header, []).append(row.file_path)
     if not layouts:
         return spark.createDataFrame([], struct.add("source_file", T.StringType()))
-    if len(layouts) == 1:
-        groups = [read_group(_split_header(layouts[0], separator), None)]
-    else:
-        # Paths are as many as the files Spark lists on the driver for the scan itself.
-        paths: dict[str, list[str]] = {}
-        for row in headers.collect():
-            paths.setdefault(row.header, []).append(row.path)
-        groups = [read_group(_split_header(h, separator), sorted(paths[h])) for h in sorted(paths)]
-    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), groups)
+    whole_folder = len(layouts) == 1 and not bad
+    groups = [
+        read_group(_split_header(header, separator), None if whole_folder else sorted(paths))
+        for header, paths in sorted(layouts.items())
+    ]
+    stacked = union_by_name(groups)
     declared = [c for c in struct.names if c in stacked.columns]
     return stacked.select(*declared, *[c for c in stacked.columns if c not in declared])

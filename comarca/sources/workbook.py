@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from comarca.sources.files import missing_path
+from comarca.sources.files import file_name, missing_path
 
 # Tasks get this module's functions by value, so executors need no installed package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -82,7 +82,7 @@ def _binary_files(spark: SparkSession, folder: str) -> DataFrame:
         spark.read.format("binaryFile")
         .options(pathGlobFilter="*.xlsx", recursiveFileLookup=True)
         .load(folder)
-        .withColumn("source_file", F.col("_metadata.file_name"))
+        .withColumn("source_file", file_name())
     )
 
 

@@ -33,7 +33,7 @@ def entry(key, sql=None):
        c_acctbal AS saldo_, c_mktsegment AS saldo__2 FROM customer""",
 )
 def _(spark, sf_dir):
-    odd = ["  Código Cliente ", "Nombre del Cliente", "Another-Key", "Saldo (€)_", "Saldo_"]
+    odd = ["  Código Cliente ", "Nombre del Cliente", "Another-Key", "Saldo (€)", "Saldo_"]
     return naming.clean_names(table(spark, sf_dir, "customer").toDF(*odd))
 
 

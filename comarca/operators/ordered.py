@@ -3,12 +3,13 @@
 The table is range-partitioned on the order key and written once, so each block
 holds a contiguous run of rows of even size: a key with a large share of the rows
 spreads over many blocks. What passes between blocks is one row per block, and
-the number of blocks is the number of shuffle partitions.
+there are at most ``_MOST_BLOCKS`` of them or the session's shuffle partitions.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -19,11 +20,21 @@ from comarca.sinks.pinned import pin
 
 # monotonically_increasing_id() keeps the partition above bit 33, the row in it below.
 _ROW_BITS = 33
+_BLOCK_BYTES = 256 << 20
+_MOST_BLOCKS = 100_000
+
+
+def _blocks_for(df: DataFrame) -> int | None:
+    """A block count that keeps blocks near ``_BLOCK_BYTES``, or None where the session's own is enough."""
+    estimate = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    wanted = min(estimate // _BLOCK_BYTES, _MOST_BLOCKS)
+    return wanted if wanted > int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) else None
 
 
 def in_order(df: DataFrame, order: Sequence[str], blocks: int | None = None) -> DataFrame:
     """``df`` plus ``_block`` and ``_row``, both increasing along ``order``."""
     keys = [F.col(f"`{c}`").asc_nulls_last() for c in order]
+    blocks = blocks or _blocks_for(df)
     ranged = df.repartitionByRange(blocks, *keys) if blocks else df.repartitionByRange(*keys)
     placed = ranged.sortWithinPartitions(*keys).withColumn("_at", F.monotonically_increasing_id())
     numbered = placed.withColumns(
@@ -39,7 +50,7 @@ def number_rows(df: DataFrame, order: Sequence[str], name: str = "id", blocks: i
     """Adds consecutive numbers from 1 along ``order``."""
     rows = in_order(df, order, blocks)
     sizes = rows.groupBy("_block").agg(F.count(F.lit(1)).alias("_size"))
-    # One row per block, so this window is no larger than the partition count.
+    # One row per block, so this window is no larger than the block count.
     before = F.sum("_size").over(W.orderBy("_block").rowsBetween(W.unboundedPreceding, -1))
     offsets = sizes.select("_block", F.coalesce(before, F.lit(0)).alias("_offset"))
     numbered = rows.join(F.broadcast(offsets), "_block")
@@ -63,10 +74,18 @@ def forward_fill(
     in_block = W.partitionBy("_block").orderBy("_row").rowsBetween(W.unboundedPreceding, W.currentRow)
     local = rows.withColumns({f"_local_{c}": F.last(known[c], ignorenulls=True).over(in_block) for c in columns})
 
-    last_known = rows.groupBy("_block").agg(
-        *[F.max_by(known[c], F.when(F.col(c).isNotNull(), F.col("_row"))).alias(c) for c in columns]
+    # Find each block's last known cells by row number first: hashed numbers, no sort of the rows.
+    ends = rows.groupBy("_block").agg(
+        *[F.max(F.when(F.col(c).isNotNull(), F.col("_row"))).alias(f"_end_{c}") for c in columns]
+    )
+    at_end = {c: F.col("_row") == F.col(f"_end_{c}") for c in columns}
+    last_rows = rows.join(F.broadcast(ends), "_block").where(reduce(lambda a, b: a | b, at_end.values()))
+    last_known = last_rows.groupBy("_block").agg(
+        *[F.first(F.when(at_end[c], known[c]), ignorenulls=True).alias(c) for c in columns]
     )
-    # One row per block, so this window is no larger than the partition count.
+    # Blocks without any known cell still pass on what came before them.
+    last_known = ends.select("_block").join(F.broadcast(last_known), "_block", "left")
+    # One row per block, so this window is no larger than the block count.
     earlier = W.orderBy("_block").rowsBetween(W.unboundedPreceding, -1)
     carried = last_known.select(
         "_block", *[F.last(c, ignorenulls=True).over(earlier).alias(f"_carry_{c}") for c in columns]

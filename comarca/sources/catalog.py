@@ -62,11 +62,12 @@ def profile_tables(spark: SparkSession, names: Sequence[str] | None = None, samp
     for name in names or table_names(spark):
         df = spark.table(name)
         columns = ", ".join(f"{f.name} ({f.dataType.simpleString()})" for f in df.schema)
-        rows = df.limit(sample).agg(F.collect_list(F.to_json(F.struct("*"))).alias("rows")).scalar()
+        # A few rows, taken from the first files only.
+        rows = [row[0] for row in df.select(F.to_json(F.struct("*"))).take(sample)]
         counted = df.agg(F.count(F.lit(1)).alias("row_count"))
         parts.append(
             counted.select(
-                F.lit(name).alias("table_name"), F.lit(columns).alias("columns"), "row_count", rows.alias("sample")
+                F.lit(name).alias("table_name"), F.lit(columns).alias("columns"), "row_count", F.array(*[F.lit(row) for row in rows]).alias("sample")
             )
         )
     return union_all(parts)

@@ -100,7 +100,7 @@ def _sheet_headers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 names.append([c for c in next(sheet_rows(content), []) if c])
             except Exception as error:
                 logging.getLogger("comarca").error("skipped %s: %s", file_name, error)
-        yield pd.DataFrame({"names": names})
+        yield pd.DataFrame({"names": names}, dtype=object)
 
 
 def read_folder(spark: SparkSession, folder: str, schema: str | T.StructType | None = None) -> DataFrame:

@@ -30,18 +30,27 @@ def label_rank(label: Column, labels: Sequence[str] = CATEGORY_LABELS) -> Column
 
 
 def coerce_number(value: Column, type_name: str = "double") -> Column:
-    """The number written in ``value``, or NULL where it is not one."""
-    return value.try_cast(type_name)
+    """The number written in ``value``, or NULL where it is not one.
+
+    Whole-number types also accept ``2010.0`` and ``1e3``. Java's type suffixes,
+    as in ``1d``, do not make a number.
+    """
+    plain = ~value.cast("string").rlike(r"[0-9.]\s*[dDfF]\s*$")
+    number = F.when(plain, value.try_cast("double"))
+    if type_name in ("double", "float"):
+        return number.cast(type_name)
+    whole = F.when(number == F.floor(number), number.try_cast(type_name))
+    return F.coalesce(value.try_cast(type_name), whole)
 
 
 def leading_code(value: Column) -> Column:
     """Digits at the start of the text; NULL (not '') where there are none."""
-    return F.nullif(F.regexp_extract(value, r"(?U)^(\d+)", 1), F.lit(""))
+    return F.nullif(F.regexp_extract(value, r"(?Ud)^(\d+)", 1), F.lit(""))
 
 
 def name_after_code(value: Column) -> Column:
     """Text following the first run of digits and blanks; NULL where there is none."""
-    return F.nullif(F.regexp_extract(value, r"(?U)\d+\s+(.+)$", 1), F.lit(""))
+    return F.nullif(F.regexp_extract(value, r"(?Ud)\d+\s+(.+)$", 1), F.lit(""))
 
 
 def ratio(numerator: Column, denominator: Column) -> Column:

@@ -23,8 +23,8 @@ def drop_duplicates(
     rest = [c for c in df.columns if c not in subset]
     if not rest:
         return df.dropDuplicates()
-    first = F.min_by(F.struct(*rest), F.struct(*order)).alias("_first")
-    return df.groupBy(*subset).agg(first).select(*[c if c in subset else f"_first.{c}" for c in df.columns])
+    first = F.min_by(F.struct(*[f"`{c}`" for c in rest]), F.struct(*order)).alias("_first")
+    return df.groupBy(*[f"`{c}`" for c in subset]).agg(first).select(*[f"`{c}`" if c in subset else f"_first.`{c}`" for c in df.columns])
 
 
 def duplicate_counts(df: DataFrame, subset: Sequence[str] | None = None) -> DataFrame:

@@ -70,8 +70,8 @@ def fenced_sql(text: Column) -> Column:
     """First block fenced as ``sql``, else first fenced block that starts with SELECT, else NULL."""
     marked = r"(?isU)```sql\s*(.*?)\s*```"
     bare = r"(?isU)```\s*(SELECT.*?)\s*```"
-    return F.when(text.rlike(marked), F.trim(F.regexp_extract(text, marked, 1))).when(
-        text.rlike(bare), F.trim(F.regexp_extract(text, bare, 1))
+    return F.when(text.rlike(marked), F.regexp_extract(text, marked, 1)).when(
+        text.rlike(bare), F.regexp_extract(text, bare, 1)
     )
 
 

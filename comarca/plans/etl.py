@@ -15,6 +15,8 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
+from comarca.operators.combine import union_all
+from comarca.operators.quality import completeness
 from comarca.plans import indicators, industry, population
 from comarca.plans.steps import StepLog
 from comarca.session import scratch_path
@@ -76,6 +78,7 @@ class Run:
         self.errors: dict[str, str] = {}
         self.steps: dict[str, StepLog] = {}
         self.loads = LoadLog()
+        self.transformed: dict[str, DataFrame] = {}
         self._metrics: list[tuple] = []
 
     def _measure(self, phase: str, source: str, target: str | None, rows: int | None, ok: bool, start: float) -> None:
@@ -100,7 +103,8 @@ class Run:
 
     def transform(self, data: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
         done = transform_all(data, self.transforms, self.steps, self.errors)
-        return {name: self._stage("transform", name, df, data[name]) for name, df in done.items()}
+        self.transformed = {name: self._stage("transform", name, df, data[name]) for name, df in done.items()}
+        return self.transformed
 
     def load(self, data: Mapping[str, DataFrame]) -> dict[str, dict[str, bool]]:
         results = {}
@@ -122,6 +126,10 @@ class Run:
             return False
         return all(ok for loaded in results.values() for ok in loaded.values())
 
+    def quality(self) -> DataFrame:
+        """Completeness of every transformed source that has rows."""
+        return union_all([completeness(df, name) for name, df in self.transformed.items() if not df.isEmpty()])
+
     def metrics(self) -> DataFrame:
         """``(phase, source, target, rows, success, seconds)`` of everything done so far."""
         return self.spark.createDataFrame(self._metrics, _METRICS)

@@ -38,8 +38,8 @@ def filter_industry(
     order: tuple[str, ...] = (),
     sector_column: str = SECTOR,
 ) -> DataFrame:
-    if not 0 < limit <= 10_000:
-        raise ValueError("limit must be between 1 and 10000")
+    if not 0 <= limit <= 10_000:
+        raise ValueError("limit must be between 0 and 10000")
     if province:
         df = df.where(scalars.contains_ignoring_case(F.col("provincia"), province))
     if sector:

@@ -68,6 +68,8 @@ def test_whole_run(spark, tmp_path):
     assert {(p, s, None, n, True) for p, s, n in (("extract", "poblacion", 18), ("transform", "poblacion", 12))} <= metrics
     assert {("load", s, t, n, True) for s, n in (("despoblamiento", 3), ("industria", 3)) for t in loaders} <= metrics
     assert len(metrics) == 12
+    missing = as_set(run.quality().where("missing_percentage > 0"), "dataset", "column")
+    assert missing == {("despoblamiento", "categoria_despoblamiento"), ("industria", "codigo_provincia_ine")}
 
 
 def test_a_failing_source_or_target_fails_the_run_but_not_the_others(spark, tmp_path):

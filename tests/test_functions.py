@@ -50,9 +50,9 @@ def test_unknown_label_has_no_rank(spark):
 
 
 def test_codes_and_names(spark):
-    df = spark.createDataFrame([("01051 Agurain/Salvatierra",), ("abc",), ("x 12 Y z",), (None,)], "m string")
+    df = spark.createDataFrame([("01051 Agurain/Salvatierra",), ("abc",), ("x 12 Y z",), (None,), ("1 a\rb\n",)], "m string")
     rows = as_rows(df.select(scalars.leading_code(F.col("m")), scalars.name_after_code(F.col("m"))))
-    assert rows == [("01051", "Agurain/Salvatierra"), (None, None), (None, "Y z"), (None, None)]
+    assert rows == [("01051", "Agurain/Salvatierra"), (None, None), (None, "Y z"), (None, None), ("1", "a\rb")]
 
 
 def test_unicode_digits_count_as_digits(spark):
@@ -61,8 +61,28 @@ def test_unicode_digits_count_as_digits(spark):
 
 
 def test_coercion(spark):
-    df = spark.createDataFrame([("1",), ("..",), (None,), ("2.5",)], "t string")
-    assert as_rows(df.select(scalars.coerce_number(F.col("t")))) == [(1.0,), (None,), (None,), (2.5,)]
+    cases = {
+        "1": (1.0, 1),
+        "..": (None, None),
+        "2.5": (2.5, None),
+        "2010.0": (2010.0, 2010),
+        "1e3": (1000.0, 1000),
+        " 12 ": (12.0, 12),
+        "1d": (None, None),
+        "1.f": (None, None),
+        "1_000": (None, None),
+        "": (None, None),
+        "inf": (float("inf"), None),
+        None: (None, None),
+    }
+    df = spark.createDataFrame([(text,) for text in cases], "t string")
+    rows = df.select("t", scalars.coerce_number(F.col("t")), scalars.coerce_number(F.col("t"), "int")).collect()
+    assert {r[0]: (r[1], r[2]) for r in rows} == cases
+
+
+def test_coercion_keeps_long_numbers_exact(spark):
+    df = spark.createDataFrame([("9007199254740993",)], "t string")
+    assert as_rows(df.select(scalars.coerce_number(F.col("t"), "long"))) == [(9007199254740993,)]
 
 
 def test_ratio_by_zero_is_null(spark):

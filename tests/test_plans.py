@@ -126,7 +126,7 @@ def test_population_filters(people):
     assert population.filter_population(people, "a", "X", 2023).count() == 3
     assert population.filter_population(people, "", None, 0, limit=5).count() == 5
     with pytest.raises(ValueError):
-        population.filter_population(people, limit=0)
+        population.filter_population(people, limit=-1)
 
 
 def test_shares(people):

@@ -21,6 +21,7 @@ from comarca.sinks.pinned import pin
 # monotonically_increasing_id() keeps the partition above bit 33, the row in it below.
 _ROW_BITS = 33
 _BLOCK_BYTES = 256 << 20
+_GROUP_ROWS = 2_000_000
 _MOST_BLOCKS = 100_000
 
 
@@ -57,6 +58,11 @@ def number_rows(df: DataFrame, order: Sequence[str], name: str = "id", blocks: i
     return numbered.select((F.col("_offset") + F.col("_row") + 1).alias(name), *df.columns)
 
 
+def _largest_group(df: DataFrame, by: Sequence[str]) -> int:
+    sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("n"))
+    return sizes.agg(F.max("n")).first()[0] or 0
+
+
 def forward_fill(
     df: DataFrame,
     columns: Sequence[str],
@@ -64,9 +70,17 @@ def forward_fill(
     by: Sequence[str] = (),
     blocks: int | None = None,
 ) -> DataFrame:
-    """Fills missing cells with the last value before them along ``order``, within ``by``."""
+    """Fills missing cells with the last value before them along ``order``, within ``by``.
+
+    Where every key is small enough for one task, each key is a window partition.
+    Otherwise, and without keys, the rows go through blocks along ``(by, order)``.
+    """
     types = {f.name: f.dataType for f in df.schema}
     cleaned = df.withColumns({c: null_if_nan(c, types[c]) for c in columns})
+    if by and blocks is None and _largest_group(cleaned, by) <= _GROUP_ROWS:
+        so_far = W.partitionBy(*by).orderBy(*[F.col(c).asc_nulls_last() for c in order])
+        so_far = so_far.rowsBetween(W.unboundedPreceding, W.currentRow)
+        return cleaned.withColumns({c: F.last(c, ignorenulls=True).over(so_far) for c in columns})
     rows = in_order(cleaned, [*by, *order], blocks)
     key = F.struct(*by) if by else F.struct(F.lit(0).alias("all"))
     known = {c: F.when(F.col(c).isNotNull(), F.struct(key.alias("key"), F.col(c).alias("value"))) for c in columns}

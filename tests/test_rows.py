@@ -94,8 +94,9 @@ def test_forward_fill_of_the_whole_table(spark, blocks):
     pd.testing.assert_frame_equal(found, expected, check_dtype=False)
 
 
-@pytest.mark.parametrize("blocks", [2, 25])
-def test_forward_fill_within_keys_one_of_them_hot(spark, blocks):
+@pytest.mark.parametrize("blocks, largest", [(None, 2_000_000), (None, 5), (2, 5), (25, 5)])
+def test_forward_fill_within_keys_one_of_them_hot(spark, monkeypatch, blocks, largest):
+    monkeypatch.setattr(ordered, "_GROUP_ROWS", largest)
     keys = ["hot"] * 5 + [None, "b", "c", *[f"r{i}" for i in range(8)]]
     pdf = _random_frame(7, keys, 800)
     expected = pdf.sort_values("at").copy()

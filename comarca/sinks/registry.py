@@ -7,7 +7,8 @@ from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from comarca.sinks import files, tables, warehouse
 
@@ -52,28 +53,31 @@ def table_loader(mode: str = "replace", folder: str | None = None, prefix: str =
     return load
 
 
-def file_loader(base: str, kind: str = "parquet") -> Loader:
+def _counting(write: Callable[[DataFrame, str], str]) -> Loader:
+    """Counts the rows as they are written, instead of working out the table twice."""
+
     def load(df: DataFrame, name: str) -> tuple[int, str]:
-        path = files.export_file(df, base, name, kind)
-        return df.count(), path
+        written = Observation()
+        place = write(df.observe(written, F.count(F.lit(1)).alias("rows")), name)
+        return written.get.get("rows", 0), place
 
     return load
 
 
-def object_loader(base: str, kind: str = "jsonl") -> Loader:
-    def load(df: DataFrame, name: str) -> tuple[int, str]:
-        path = files.export_object(df, base, name, kind)
-        return df.count(), path
+def file_loader(base: str, kind: str = "parquet") -> Loader:
+    return _counting(lambda df, name: files.export_file(df, base, name, kind))
 
-    return load
+
+def object_loader(base: str, kind: str = "jsonl") -> Loader:
+    return _counting(lambda df, name: files.export_object(df, base, name, kind))
 
 
 def warehouse_loader(url: str, mode: str = "replace", properties: Mapping[str, str] | None = None) -> Loader:
-    def load(df: DataFrame, name: str) -> tuple[int, str]:
+    def write(df: DataFrame, name: str) -> str:
         warehouse.load(df, url, name, mode, properties)
-        return df.count(), name.upper()
+        return name.upper()
 
-    return load
+    return _counting(write)
 
 
 def load_one(df: DataFrame, name: str, loader: Loader, record: LoadLog) -> bool:

@@ -39,9 +39,9 @@ def province_dimension(
 ) -> DataFrame:
     """One row per province, keyed by its own code."""
     dim = facts.where(F.col(code).isNotNull()).groupBy(F.col(code).cast("int").alias("codigo_provincia"))
-    return dim.agg(F.min(F.col(name).cast("string")).alias("nombre_provincia")).withColumn(
-        "created_at", F.current_timestamp()
-    )
+    named = dim.agg(F.min(F.col(name).cast("string")).alias("nombre_provincia"))
+    stamped = named.withColumn("created_at", F.current_timestamp())
+    return stamped.select(*schemas.STAR_SCHEMA["dim_provincia"].names)
 
 
 def municipality_dimension(
@@ -60,7 +60,8 @@ def municipality_dimension(
         )
     )
     numbered = number_rows(distinct, ["codigo_municipio"], "id_municipio")
-    return numbered.withColumn("created_at", F.current_timestamp())
+    stamped = numbered.withColumn("created_at", F.current_timestamp())
+    return stamped.select(*schemas.STAR_SCHEMA["dim_municipio"].names)
 
 
 def attach_dimension(facts: DataFrame, dimension: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import datetime
 
@@ -41,11 +41,19 @@ class LoadLog:
         )
 
 
-def table_loader(mode: str = "replace", folder: str | None = None, prefix: str = "") -> Loader:
+def table_loader(
+    mode: str = "replace",
+    folder: str | None = None,
+    prefix: str = "",
+    partition_by: Mapping[str, Sequence[str]] | None = None,
+) -> Loader:
+    """Loads into catalog tables; ``partition_by`` names the partition columns of a table."""
+
     def load(df: DataFrame, name: str) -> tuple[int, str]:
         table = f"{prefix}{name}"
         if mode == "replace":
-            tables.replace_table(df, table, f"{folder}/{name}" if folder else None)
+            path = f"{folder}/{name}" if folder else None
+            tables.replace_table(df, table, path, (partition_by or {}).get(name, ()))
         else:
             tables.append_table(df, table)
         return tables.loaded_rows(df, table), table

@@ -2,12 +2,27 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 
 
-def replace_table(df: DataFrame, name: str, path: str | None = None) -> None:
+def replace_table(
+    df: DataFrame, name: str, path: str | None = None, partition_by: Sequence[str] = ()
+) -> None:
+    """Writes the table anew, in folders of ``partition_by`` where reports filter on those columns.
+
+    Rows of one partition are brought together first, so that tasks do not each
+    write a file per partition; adaptive execution splits the large ones.
+    """
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
     writer = df.write.mode("overwrite").format("parquet")
-    (writer.option("path", path) if path else writer).saveAsTable(name)
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    if path:
+        writer = writer.option("path", path)
+    writer.saveAsTable(name)
 
 
 def append_table(df: DataFrame, name: str, by_position: bool = False) -> None:

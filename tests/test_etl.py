@@ -1,6 +1,8 @@
 import pandas as pd
+import pytest
 
 from comarca import schemas
+from comarca.__main__ import main
 from comarca.plans import population
 from comarca.plans.etl import Run, transform_all
 from comarca.sinks import registry
@@ -104,3 +106,20 @@ def test_phases_can_run_alone(spark, tmp_path):
     raw = run.extract()
     assert raw["despoblamiento"].count() == 3 and run.transform(raw)["poblacion"].count() == 12
     assert {row.phase for row in run.metrics().collect()} == {"extract", "transform"}
+
+
+def test_command_line(spark, tmp_path):
+    _raw(tmp_path)
+    out = f"{tmp_path}/out"
+    arguments = ["--root", str(tmp_path), "-t", "table", "-t", "file", "--output", out]
+    assert main(arguments) == 0
+    assert spark.table("fact_poblacion").count() == 12
+    one_year = population.population_by_province(spark.table("fact_poblacion"), 1996)
+    assert as_rows(one_year) == [("Ceuta", 2096.0), ("Melilla", 2096.0)]
+    scan = one_year._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(periodo" in scan
+    assert main(["--root", str(tmp_path), "--phase", "extract"]) == 0
+    # No source files: nothing reaches the target.
+    assert main(["--root", f"{tmp_path}/absent"]) == 1
+    with pytest.raises(SystemExit):
+        main(["--root", str(tmp_path), "-t", "all"])

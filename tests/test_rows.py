@@ -125,6 +125,14 @@ def test_row_numbers_are_consecutive(spark, blocks):
     assert sorted(as_rows(numbered)) == [(i + 1, i) for i in range(1000)]
 
 
+def test_large_tables_get_more_blocks_than_the_session_has_partitions(spark, monkeypatch):
+    monkeypatch.setattr(ordered, "_BLOCK_BYTES", 500)
+    df = spark.range(1000).select("id", F.when(F.col("id") % 3 == 0, F.lit(1)).otherwise(F.col("id")).alias("k"))
+    rows = ordered.in_order(df, ["k", "id"])
+    sizes = [r["count"] for r in rows.groupBy("_block").count().collect()]
+    assert len(sizes) > 8 and sum(sizes) == 1000 and max(sizes) < 250
+
+
 def test_union_by_name(spark):
     a = spark.createDataFrame([(1, "x")], "a long, b string")
     b = spark.createDataFrame([("y", 2.0)], "b string, c double")

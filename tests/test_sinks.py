@@ -25,6 +25,15 @@ def test_replace_and_append(spark, rows):
         tables.append_table(rows.toDF("p", "q"), "sink_t")
 
 
+def test_partitioned_table(spark):
+    df = spark.range(1000).select("id", (F.col("id") % 4).alias("year"))
+    load = registry.table_loader(partition_by={"by_year": ["year"]})
+    assert load(df, "by_year") == (1000, "by_year")
+    assert len(spark.table("by_year").where("year = 2").inputFiles()) < len(spark.table("by_year").inputFiles())
+    tables.append_table(df.select("year", "id"), "by_year")
+    assert spark.table("by_year").where("year = 2 AND id % 4 = 2").count() == 500
+
+
 def test_load_log_and_failure(spark, rows, tmp_path):
     record = registry.LoadLog()
     load = registry.table_loader()

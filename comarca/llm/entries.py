@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from comarca.llm import mixing
+from comarca.llm import mixing, splitters, token_spans, warc_zip
 from entries.tables import table
 
 QUERIES = {}
@@ -62,3 +62,29 @@ GROUP BY p.doc_id, p.size, p.source_size, p.target""",
 )
 def _(spark, sf_dir):
     return mixing.mix(table(spark, sf_dir, "documents")).drop("source", "kept")
+
+
+@entry("op8_splitters")
+def _(spark, sf_dir):
+    placed = splitters.shard(table(spark, sf_dir, "documents"))
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+@entry("op10_token_spans")
+def _(spark, sf_dir):
+    return token_spans.count_tokens(table(spark, sf_dir, "documents"))
+
+
+@entry(
+    "op3_warc_zip",
+    """SELECT page_id, CAST(strlen(body) AS BIGINT) AS payload_bytes, digest AS payload_digest,
+       CASE WHEN strlen(body) >= 100 AND page_id > first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN strlen(body) >= 100 AND page_id > first THEN first END AS refers_to
+FROM (SELECT *, min(page_id) OVER (PARTITION BY digest) AS first FROM (
+  SELECT page_id, coalesce(html, '') AS body, sha256(coalesce(html, '')) AS digest FROM pages))""",
+)
+def _(spark, sf_dir):
+    return warc_zip.archive_round_trip(table(spark, sf_dir, "pages"))

@@ -355,9 +355,9 @@ def archive_round_trip(pages: DataFrame, page_id: str = "page_id", url: str = "u
         ),
         "records",
     )
-    named = read.where("record_type = 'revisit'").select("refers_to_record").distinct()
+    named = read.where("record_type = 'revisit'").select(F.col("refers_to_record").alias("asked")).distinct()
     responses = (
-        read.where("record_type = 'response'").join(named, F.col("record_id") == F.col("refers_to_record"), "left_semi")
+        read.where("record_type = 'response'").join(named, F.col("record_id") == F.col("asked"), "left_semi")
         .groupBy(F.col("record_id").alias("named")).agg(
             F.first("id").alias("named_id"), F.first("bytes").alias("named_bytes"), F.first("read_digest").alias("named_digest"))
     )

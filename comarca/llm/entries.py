@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from comarca.llm import mixing, splitters, token_spans, warc_zip
+from comarca.llm import frames, langid, mixing, splitters, token_spans, warc_zip
 from entries.tables import table
 
 QUERIES = {}
@@ -88,3 +88,14 @@ FROM (SELECT *, min(page_id) OVER (PARTITION BY digest) AS first FROM (
 )
 def _(spark, sf_dir):
     return warc_zip.archive_round_trip(table(spark, sf_dir, "pages"))
+
+
+@entry("op4_langid")
+def _(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    remainder = frames.fold(F.col("doc_id"), 4)
+    model = langid.fit(docs.where(remainder != 2))
+    found = langid.predicted(docs, model, F.col("text"))
+    return docs.select(
+        "doc_id", F.coalesce(remainder == 2, F.lit(False)).alias("held_out"), found.alias("found")
+    ).select("doc_id", "held_out", "found.lang_pred", "found.score")

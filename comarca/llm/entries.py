@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from comarca.llm import frames, langid, mixing, splitters, token_spans, warc_zip
+from comarca.llm import frames, langid, mixing, simhash_trie, splitters, token_spans, warc_zip
 from entries.tables import table
 
 QUERIES = {}
@@ -99,3 +99,9 @@ def _(spark, sf_dir):
     return docs.select(
         "doc_id", F.coalesce(remainder == 2, F.lit(False)).alias("held_out"), found.alias("found")
     ).select("doc_id", "held_out", "found.lang_pred", "found.score")
+
+
+@entry("op2_simhash_trie")
+def _(spark, sf_dir):
+    found = simhash_trie.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", simhash_trie.hexadecimal(F.col("bits")).alias("fingerprint"), "component_id")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from comarca.llm import frames, langid, mixing, simhash_trie, splitters, token_spans, warc_zip
+from comarca.llm import decontamination, frames, langid, mixing, simhash_trie, splitters, token_spans, warc_zip
 from entries.tables import table
 
 QUERIES = {}
@@ -105,3 +105,40 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     found = simhash_trie.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash_trie.hexadecimal(F.col("bits")).alias("fingerprint"), "component_id")
+
+
+@entry(
+    "op7_decontamination",
+    """WITH docs AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS words FROM documents),
+items AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS words FROM benchmark),
+cut AS (
+  SELECT item_id, words, least(len(words), 10) AS length, unnest(range(1, len(words) - least(len(words), 10) + 2)) AS i
+  FROM items WHERE len(words) > 0),
+windows AS (
+  SELECT DISTINCT item_id, length, array_to_string(words[i:i + length - 1], ' ') AS w FROM cut),
+places AS (
+  SELECT doc_id, words, length, unnest(range(1, len(words) - length + 2)) AS i
+  FROM docs, (SELECT DISTINCT length FROM windows)),
+hits AS (
+  SELECT doc_id, item_id, i, length FROM (SELECT *, array_to_string(words[i:i + length - 1], ' ') AS w FROM places)
+  JOIN windows USING (length, w)),
+found AS (
+  SELECT doc_id, count(DISTINCT item_id) AS n_items, array_to_string(list_sort(list(DISTINCT CAST(item_id AS VARCHAR))), ',') AS ids
+  FROM hits GROUP BY doc_id),
+hit_words AS (
+  SELECT doc_id, count(*) AS n_hit FROM (SELECT DISTINCT doc_id, unnest(range(i, i + length)) AS p FROM hits) GROUP BY doc_id)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN found USING (doc_id) LEFT JOIN hit_words USING (doc_id)""",
+)
+def _(spark, sf_dir):
+    found = decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
+    )

@@ -4,7 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from comarca.llm import decontamination, frames, langid, mixing, simhash_trie, splitters, token_spans, warc_zip
+from comarca.llm import (
+    decontamination,
+    frames,
+    langid,
+    mixing,
+    quality_zstd,
+    simhash_trie,
+    splitters,
+    token_spans,
+    toxicity_zstd,
+    warc_zip,
+)
 from entries.tables import table
 
 QUERIES = {}
@@ -142,3 +153,24 @@ def _(spark, sf_dir):
         "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
         F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
     )
+
+
+def _scored(spark, sf_dir, operator, parts, held):
+    docs = table(spark, sf_dir, "documents")
+    remainder = frames.fold(F.col("doc_id"), parts)
+    labels = table(spark, sf_dir, "labels")
+    model = operator.fit(docs, labels.where(remainder != held))
+    return docs.select(
+        "doc_id", F.coalesce(remainder == held, F.lit(False)).alias("held_out"),
+        model.scores(docs, F.col("text")).alias("score"),
+    ).withColumn("predicted", (F.col("score") >= operator.THRESHOLD).cast("int"))
+
+
+@entry("op1_quality_zstd")
+def _(spark, sf_dir):
+    return _scored(spark, sf_dir, quality_zstd, 5, 0)
+
+
+@entry("op9_toxicity_zstd")
+def _(spark, sf_dir):
+    return _scored(spark, sf_dir, toxicity_zstd, 3, 1)

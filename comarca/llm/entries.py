@@ -14,6 +14,7 @@ from comarca.llm import (
     splitters,
     token_spans,
     toxicity_zstd,
+    vector_graph,
     warc_zip,
 )
 from entries.tables import table
@@ -174,3 +175,8 @@ def _(spark, sf_dir):
 @entry("op9_toxicity_zstd")
 def _(spark, sf_dir):
     return _scored(spark, sf_dir, toxicity_zstd, 3, 1)
+
+
+@entry("op5_vector_graph")
+def _(spark, sf_dir):
+    return vector_graph.near_vectors(table(spark, sf_dir, "embeddings"))

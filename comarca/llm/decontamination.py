@@ -278,5 +278,5 @@ def contamination(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", tex
 
 def clean_rows(docs: DataFrame, items: DataFrame, text: str = "text", **settings) -> DataFrame:
     """The rows of ``docs``, all columns, whose text holds no window of an item."""
-    found = find_windows(docs, items, text, **settings).select(F.col("text_key").alias("hit_key"))
+    found = pin(find_windows(docs, items, text, **settings).select(F.col("text_key").alias("hit_key")), "hit-texts")
     return docs.join(found, text_key_of(docs[text]) == F.col("hit_key"), "left_anti")

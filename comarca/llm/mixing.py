@@ -124,45 +124,47 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
     on the edge of a block may be taken in part. The columns named in ``keep``
     come back in the struct ``kept``.
     """
-    rows = pin(
-        docs.select(
-            F.col(doc_id).alias("doc_id"),
-            F.col(source).alias("source"),
-            word_count(F.col(text)).alias("size"),
-            F.md5(F.concat_ws("/", F.coalesce(F.col(doc_id).cast("string"), F.lit("")), F.lit(str(seed)))).alias("order"),
-            F.xxhash64(F.col(text)).alias("tie"),
-            F.struct(*[F.col(c) for c in keep] or [F.lit(0).alias("none")]).alias("kept"),
-        ),
-        "mix-rows",
+    rows = docs.select(
+        F.col(doc_id).alias("doc_id"),
+        F.col(source).alias("source"),
+        word_count(F.col(text)).alias("size"),
+        F.md5(F.concat_ws("/", F.coalesce(F.col(doc_id).cast("string"), F.lit("")), F.lit(str(seed)))).alias("order"),
+        F.xxhash64(F.col(text)).alias("tie"),
+        F.struct(*[F.col(c) for c in keep] or [F.lit(0).alias("none")]).alias("kept"),
     )
+    # Sizes are read again and again; texts that are kept are not copied for it.
+    light = pin(rows.drop("kept"), "mix-rows")
     targets = pin(
         with_block_size(
-            source_targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), ceiling), blocks_per_source
+            source_targets(light.groupBy("source").agg(F.sum("size").alias("source_size")), ceiling), blocks_per_source
         ),
         "mix-targets",
     )
     blocks = pin(chosen_blocks(targets, block_quotas(targets, shards, ceiling), seed, ceiling), "mix-blocks")
 
     # Where each document begins in its source's seeded order, without sorting a whole source anywhere.
-    buckets = max(1, min(MOST_BUCKETS, rows.count() // BUCKET_ROWS))
+    buckets = max(1, min(MOST_BUCKETS, light.count() // BUCKET_ROWS))
     leading = F.conv(F.substring("order", 1, 8), 16, 10).cast("long")
-    rows = rows.withColumn("bucket", F.floor(leading * buckets / F.lit(1 << 32)).cast("int"))
-    before = Window.partitionBy("in_source").orderBy("in_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    bucket = F.floor(leading * buckets / F.lit(1 << 32)).cast("int")
+    of_source = targets.withColumnRenamed("source", "of_source")
+
+    def in_buckets(frame):
+        return frame.join(of_source, F.col("source").eqNullSafe(F.col("of_source"))).withColumn("bucket", bucket)
+
+    before = Window.partitionBy("in_rank").orderBy("in_bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
-        rows.groupBy(F.col("source").alias("in_source"), F.col("bucket").alias("in_bucket"))
+        in_buckets(light).groupBy(F.col("rank").alias("in_rank"), F.col("bucket").alias("in_bucket"))
         .agg(F.sum("size").alias("words"))
-        .select("in_source", "in_bucket", F.coalesce(F.sum("words").over(before), F.lit(0)).alias("start"))
+        .select("in_rank", "in_bucket", F.coalesce(F.sum("words").over(before), F.lit(0)).alias("start"))
     )
     inside = (
-        Window.partitionBy("source", "bucket").orderBy("order", "doc_id", "size", "tie")
+        Window.partitionBy("rank", "bucket").orderBy("order", "doc_id", "size", "tie")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     placed = (
-        rows.withColumn("within", F.sum("size").over(inside) - F.col("size"))
-        .join(starts, F.col("source").eqNullSafe(F.col("in_source")) & (F.col("bucket") == F.col("in_bucket")))
-        .join(
-            targets.withColumnRenamed("source", "of_source"), F.col("source").eqNullSafe(F.col("of_source"))
-        )
+        in_buckets(rows if keep else light.withColumn("kept", F.struct(F.lit(0).alias("none"))))
+        .withColumn("within", F.sum("size").over(inside) - F.col("size"))
+        .join(starts, (F.col("rank") == F.col("in_rank")) & (F.col("bucket") == F.col("in_bucket")))
         .withColumn("begin", F.col("start") + F.col("within"))
         .withColumn("end", F.col("begin") + F.col("size"))
     )

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from comarca.llm.components import components
-from comarca.llm.frames import shuffle_partitions
+from comarca.llm.frames import free_names, shuffle_partitions
 from comarca.sinks.pinned import pin
 
 SHINGLE = 3
@@ -205,15 +205,37 @@ def linked_fingerprints(nodes: DataFrame, budget: int = BUDGET) -> DataFrame:
     return dealt.mapInPandas(join, "a long, b long").where("a <> b")
 
 
-def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
-                    budget: int = BUDGET) -> DataFrame:
-    """(doc_id, bits, component_id) of every row."""
-    rows = pin(docs.select(F.col(doc_id).alias("doc_id"), fingerprints(F.col(text), shingle).alias("bits")), "fingerprints")
+def _trees(rows: DataFrame, budget: int) -> DataFrame:
+    """(bits, tree, least): each distinct fingerprint, what it hangs together with, and its smallest doc_id."""
     nodes = pin(rows.groupBy("bits").agg(F.min("doc_id").alias("least")), "nodes")
     linked = components(linked_fingerprints(nodes, budget))
-    tree = nodes.join(linked, F.col("bits") == F.col("node"), "left").select(
+    return nodes.join(linked, F.col("bits") == F.col("node"), "left").select(
         "bits", F.coalesce("component", "bits").alias("tree"), "least"
     )
+
+
+def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
+                    budget: int = BUDGET) -> DataFrame:
+    """(doc_id, bits, component_id) of every row."""
+    rows = pin(docs.select(F.col(doc_id).alias("doc_id"), fingerprints(F.col(text), shingle).alias("bits")), "fingerprints")
+    tree = _trees(rows, budget)
     of_tree = tree.groupBy(F.col("tree").alias("of")).agg(F.min("least").alias("component_id"))
     named = tree.join(of_tree, F.col("tree") == F.col("of")).select(F.col("bits").alias("same"), "component_id")
     return rows.join(named, F.col("bits") == F.col("same")).select("doc_id", "bits", "component_id")
+
+
+def distinct_rows(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
+                  budget: int = BUDGET) -> DataFrame:
+    """One row of ``docs``, all columns, for each group of near duplicates: one with the smallest id, if any has one.
+
+    Of rows that repeat that id and fingerprint, one stays.
+    """
+    bits, own_bits, own_id = free_names(docs, "bits", "own_bits", "own_id")
+    marked = pin(docs.withColumn(bits, fingerprints(F.col(text), shingle)), "fingerprinted")
+    tree = _trees(marked.select(F.col(doc_id).alias("doc_id"), F.col(bits).alias("bits")), budget)
+    first = F.min(F.struct(F.col("least").isNull().alias("no_id"), "least", "bits")).alias("first")
+    winners = tree.groupBy("tree").agg(first).select(
+        F.col("first.bits").alias(own_bits), F.col("first.least").alias(own_id)
+    )
+    same = (F.col(bits) == F.col(own_bits)) & F.col(doc_id).eqNullSafe(F.col(own_id))
+    return marked.join(winners, same).dropDuplicates([own_bits, own_id]).select(*docs.columns)

@@ -265,7 +265,8 @@ def word_total(text):
 
 def contamination(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text", **settings) -> DataFrame:
     """(doc_id, n_words, n_hit, items: sorted ids as text, starts) of every row."""
-    found = find_windows(docs, items, text, **settings)
+    # Written first, so that the join with the rows can split a text with many copies.
+    found = pin(find_windows(docs, items, text, **settings), "hit-texts")
     rows = docs.select(
         F.col(doc_id).alias("doc_id"), word_total(F.col(text)).alias("n_words"), text_key_of(F.col(text)).alias("own_key")
     )

@@ -16,7 +16,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from comarca.llm.frames import uniform
+from comarca.llm.frames import bounded_batches, uniform
 from comarca.sinks.pinned import pin
 
 SEED = 53
@@ -149,6 +149,7 @@ class Classifier:
 
     def scores(self, docs: DataFrame, text: Column) -> Column:
         """P(label) of whole texts, between 0 and 1."""
+        bounded_batches(docs.sparkSession)
         shared = docs.sparkSession.sparkContext.broadcast(self)
 
         @F.pandas_udf("double")
@@ -169,6 +170,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, key: str, te
 
     Labels that are NULL, neither 0 nor 1 or that contradict each other are not used.
     """
+    bounded_batches(docs.sparkSession)
     given = (
         labels.select(F.col(key).alias("key"), F.col(label).cast("int").alias("label")).where("key IS NOT NULL AND label IN (0, 1)")
         .groupBy("key").agg(F.min("label").alias("label"), F.max("label").alias("most")).where("label = most").drop("most")

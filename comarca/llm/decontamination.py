@@ -27,6 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from comarca.llm.frames import bounded_batches
 from comarca.sinks.pinned import pin
 
 WINDOW = 10
@@ -175,6 +176,7 @@ def find_windows(docs: DataFrame, items: DataFrame, text: str = "text", item_id:
     ``text_key`` is ``text_key_of`` the text; ``starts`` holds the [start, end) words of
     every occurrence, ``n_hit`` counts the words inside any, ``items`` are sorted.
     """
+    bounded_batches(docs.sparkSession)
     windows = pin(item_windows(items, item_id, item_text, window, shingle), "windows")
     hashes = windows.select("size", F.explode("hashes").alias("hash")).distinct()
     sizes = sorted(r[0] for r in hashes.select("size").distinct().collect())

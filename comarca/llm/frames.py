@@ -23,6 +23,13 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def bounded_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Lets at most ``rows`` whole texts at a time into a Python worker; a smaller setting of the session stays."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= rows:
+        spark.conf.set(name, str(rows))
+
+
 def uniform(*columns, seed: int = 0) -> Column:
     """A repeatable number in [0, 1) from the columns' values."""
     return (F.xxhash64(F.lit(seed), *columns).bitwiseAND(F.lit((1 << 53) - 1))).cast("double") / float(1 << 53)

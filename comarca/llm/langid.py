@@ -24,13 +24,13 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from comarca.llm.frames import uniform
+from comarca.llm.frames import bounded_batches, uniform
 from comarca.sinks.pinned import pin
 
 UNDETERMINED = "und"
 ROWS_PER_LANGUAGE = 2000
 MOST_LANGUAGES = 200
-MOST_WORDS = 150_000
+MOST_WORDS = 100_000
 MOST_GRAMS = 30_000
 LONGEST = 5
 LEAST_COUNT = 2
@@ -108,6 +108,7 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc
 
     The driver gets at most ``MOST_WORDS`` words and ``MOST_GRAMS`` n-grams per length.
     """
+    bounded_batches(docs.sparkSession)
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"), F.col(lang).alias("lang")).where(
         "text IS NOT NULL AND lang IS NOT NULL"
     )
@@ -125,7 +126,7 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc
         for batch in batches:
             for value, name in zip(batch["text"], batch["lang"]):
                 held.update(zip(repeat(number[name]), words_of(value)))
-                if len(held) > 200_000:
+                if len(held) > 50_000:
                     yield pd.DataFrame([(of, w, c) for (of, w), c in held.items()], columns=["of", "gram", "times"])
                     held = Counter()
         yield pd.DataFrame([(of, w, c) for (of, w), c in held.items()], columns=["of", "gram", "times"])
@@ -178,6 +179,7 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc
 
 def predictor(docs: DataFrame, model: LanguageModel):
     """A function from a text column to struct<lang_pred, score>."""
+    bounded_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("lang_pred string, score double")

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from comarca.llm.components import components
-from comarca.llm.frames import free_names, shuffle_partitions
+from comarca.llm.frames import bounded_batches, free_names, shuffle_partitions
 from comarca.sinks.pinned import pin
 
 SHINGLE = 3
@@ -217,6 +217,7 @@ def _trees(rows: DataFrame, budget: int) -> DataFrame:
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
                     budget: int = BUDGET) -> DataFrame:
     """(doc_id, bits, component_id) of every row."""
+    bounded_batches(docs.sparkSession)
     rows = pin(docs.select(F.col(doc_id).alias("doc_id"), fingerprints(F.col(text), shingle).alias("bits")), "fingerprints")
     tree = _trees(rows, budget)
     of_tree = tree.groupBy(F.col("tree").alias("of")).agg(F.min("least").alias("component_id"))
@@ -230,6 +231,7 @@ def distinct_rows(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", s
 
     Of rows that repeat that id and fingerprint, one stays.
     """
+    bounded_batches(docs.sparkSession)
     bits, own_bits, own_id = free_names(docs, "bits", "own_bits", "own_id")
     marked = pin(docs.withColumn(bits, fingerprints(F.col(text), shingle)), "fingerprinted")
     tree = _trees(marked.select(F.col(doc_id).alias("doc_id"), F.col(bits).alias("bits")), budget)

@@ -28,6 +28,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from comarca.llm.frames import bounded_batches
+
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 # How the vocabulary's authors cut text before merging; a fixed value.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -99,6 +101,7 @@ def count_tokens(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", ru
     """
     if rule not in RULES:
         raise ValueError(f"rule {rule!r} is none of {RULES}")
+    bounded_batches(docs.sparkSession)
     rows = docs.select(
         F.col(doc_id).alias("doc_id"), F.col(text).alias("text"),
         (F.col(sections) if sections else F.lit(None).cast("array<struct<start:long,end:long>>")).alias("spans"),

@@ -35,7 +35,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from comarca.llm.frames import shuffle_partitions
+from comarca.llm.frames import bounded_batches, shuffle_partitions
 from comarca.session import scratch_path
 from comarca.sinks.pinned import pin
 
@@ -129,6 +129,7 @@ def write_archives(pages: DataFrame, page_id: str = "page_id", url: str = "url",
     repeated task neither loses nor doubles records.
     """
     spark = pages.sparkSession
+    bounded_batches(spark)
     folder = folder or scratch_path(spark, "archives")
     body = F.coalesce(F.col(payload).cast("string"), F.lit("")).cast("binary")
     rows = pages.select(F.col(page_id).alias("id"), F.coalesce(F.col(url), F.lit("urn:none")).alias("url"),

@@ -176,9 +176,10 @@ def linked_fingerprints(nodes: DataFrame, budget: int = BUDGET) -> DataFrame:
     ).select("bits", "value", "own", F.xxhash64("unit").alias("spread"), "unit.*")
 
     def join(batches):
-        whole = pd.concat(list(batches), ignore_index=True)
-        if not len(whole):
+        held = [b for b in batches if len(b)]
+        if not held:
             return
+        whole = pd.concat(held, ignore_index=True)
         keys = ["turn", "part", "low", "high", "own"]
         value = whole["value"].to_numpy(np.int64).view(np.uint64)
         order = np.lexsort([value, *(whole[k].to_numpy() for k in reversed(keys))])

@@ -7,10 +7,9 @@ sampled again and subdivided; consecutive ranges then make up the shards, whose
 sizes are near equal. A boundary lies at the start of a text's copies, so that they
 share a shard, unless they fill over a sixteenth of one: only such a group is cut.
 
-Defined results: a NULL text counts as no bytes and is one group of its own; an
-empty text likewise; repeated rows fall into one group and get slots of their
-own; NULL ids are allowed; an empty table gives no rows; columns that the result
-names too are replaced by the result's.
+Defined results: a NULL text counts as no bytes and is in one group with empty texts;
+repeated rows fall into one group and get slots of their own; NULL ids are allowed; an
+empty table gives no rows; further columns come back in a struct, whatever their names.
 """
 
 from __future__ import annotations
@@ -134,7 +133,7 @@ def shard(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shards: i
         F.col(doc_id).alias("doc_id"),
         record_size(F.col(text)).alias("size"),
         F.crc32(F.coalesce(F.col(text), F.lit("")).cast("binary")).alias("text_crc32"),
-        F.coalesce(F.xxhash64(F.lit(seed), F.col(text)), F.lit(0)).alias("text_key"),
+        F.xxhash64(F.lit(seed), F.coalesce(F.col(text), F.lit(""))).alias("text_key"),
         F.xxhash64(F.lit(seed), F.col(doc_id)).alias("row_key"),
         F.struct(*[F.col(c) for c in keep] or [F.lit(0).alias("none")]).alias("kept"),
     )

@@ -142,6 +142,12 @@ def build(x: np.ndarray, search: Search) -> np.ndarray:
 def in_range(graph: np.ndarray, x: np.ndarray, exact: np.ndarray, search: Search, threshold: float):
     """Pairs (query, node) at or above the threshold, verified in double precision, query by query in blocks."""
     medoid = int(np.argmax(x @ x.mean(axis=0)))
+    # From what is in range the search goes on along edges of either direction.
+    source, target = np.nonzero(graph >= 0)[0], graph[graph >= 0]
+    source, target = np.concatenate([source, target]), np.concatenate([target, source])
+    target = target[np.argsort(source, kind="stable")]
+    degree = np.bincount(source, minlength=len(x))
+    starts = np.cumsum(degree) - degree
     slack = threshold - 1e-4
     for first in range(0, len(x), 256):
         queries = np.arange(first, min(len(x), first + 256))
@@ -155,13 +161,15 @@ def in_range(graph: np.ndarray, x: np.ndarray, exact: np.ndarray, search: Search
         q, v = np.concatenate([q0, np.arange(len(queries))]), np.concatenate([nodes[q0, i0], queries])
         found = [(q0, nodes[q0, i0])]
         while len(q):
-            around = graph[v]
-            q = np.repeat(q, around.shape[1])
-            v = around.ravel()
-            keep = v >= 0
-            q, v = q[keep], v[keep]
-            keep = ~seen[q, v]
-            code = np.unique(q[keep] * len(x) + v[keep])
+            codes = [np.zeros(0, dtype=np.int64)]
+            for low in range(0, len(q), 8192):
+                of, at = q[low : low + 8192], v[low : low + 8192]
+                n = degree[at]
+                of = np.repeat(of, n)
+                at = target[np.repeat(starts[at] - np.cumsum(n) + n, n) + np.arange(n.sum())]
+                keep = ~seen[of, at]
+                codes.append(np.unique(of[keep] * len(x) + at[keep]))
+            code = np.unique(np.concatenate(codes))
             q, v = code // len(x), code % len(x)
             seen[q, v] = True
             close = np.concatenate([

@@ -27,8 +27,9 @@ import struct
 import uuid
 import zipfile
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import pandas as pd
 from pyarrow import fs
@@ -103,9 +104,9 @@ class _Counted:
         self.out.flush()
 
 
-def write_archive(out, records: Iterator[tuple[bytes, dict]], most_bytes: int) -> tuple[int, bool]:
-    """Writes records until ``most_bytes`` are reached; the number written, and whether any are left."""
-    entries, offset, left = [], 0, False
+def write_archive(out, records: Iterable[tuple[bytes, dict]], most_bytes: int) -> int:
+    """Writes records until ``most_bytes`` are reached; returns the number written."""
+    entries, offset = [], 0
     with zipfile.ZipFile(_Counted(out), "w", zipfile.ZIP_STORED) as archive:
         with archive.open(DATA, "w", force_zip64=True) as member:
             for record, about in records:
@@ -114,10 +115,9 @@ def write_archive(out, records: Iterator[tuple[bytes, dict]], most_bytes: int) -
                 entries.append(json.dumps(about | {"offset": offset, "length": len(packed)}))
                 offset += len(packed)
                 if offset >= most_bytes:
-                    left = True
                     break
         archive.writestr(INDEX, "".join(line + "\n" for line in entries))
-    return len(entries), left
+    return len(entries)
 
 
 def write_archives(pages: DataFrame, page_id: str = "page_id", url: str = "url", payload: str = "html",
@@ -163,13 +163,9 @@ def write_archives(pages: DataFrame, page_id: str = "page_id", url: str = "url",
         waiting = records()
         held = next(waiting, None)
         while held is not None:
-            def chain(head=held):
-                yield head
-                yield from waiting
-
             name = f"{root}/{uuid.uuid4().hex}.wacz"
             with store.open_output_stream(name) as out:
-                written, _ = write_archive(out, chain(), archive_bytes)
+                written = write_archive(out, chain([held], waiting), archive_bytes)
             yield pd.DataFrame({"archive": [name], "records": [written]})
             held = next(waiting, None)
 

@@ -180,11 +180,9 @@ def test_vectors_equal_brute_force(spark, monkeypatch, most):
     got = vector_graph.near_vectors(df)
     found = sorted(((r.vec_id, r.n_links, r.component_id) for r in got.collect()), key=str)
     true = slow_links(rows, vector_graph.THRESHOLD)
-    if most > 24:
-        assert found == true
-    # Shards of a few nodes miss some links, but never invent any.
+    # A search may miss some links, more so in shards of a few nodes, but never invents any.
     assert all(a[0] == b[0] and a[1] <= b[1] for a, b in zip(found, true))
-    assert sum(a[1] for a in found) >= 0.9 * sum(b[1] for b in true)
+    assert sum(a[1] for a in found) >= (0.99 if most > 24 else 0.9) * sum(b[1] for b in true)
     assert all(r.kept == (r.vec_id is not None and r.vec_id == r.component_id) for r in got.collect())
     assert vector_graph.near_vectors(df.where("false")).count() == 0
 

@@ -71,6 +71,8 @@ class Run:
     loaders: Mapping[str, Loader]
     targets: list[str] = field(default_factory=lambda: ["table"])
     transforms: Mapping[str, Transform] = field(default_factory=lambda: dict(TRANSFORMS))
+    # Whether a source whose transform failed is loaded as it was read.
+    load_untransformed: bool = False
 
     def __post_init__(self) -> None:
         self.targets = expand_targets(self.targets)
@@ -109,22 +111,34 @@ class Run:
     def load(self, data: Mapping[str, DataFrame]) -> dict[str, dict[str, bool]]:
         results = {}
         for target in self.targets:
-            start = time.monotonic()
-            done = len(self.loads.entries)
-            results[target] = load_all(data, target, self.loaders, self.loads)
-            rows = {table: n for _, table, n, _ in self.loads.entries[done:]}
-            for name, ok in results[target].items():
-                self._measure("load", name, target, rows.get(f"fact_{name}", 0), ok, start)
+            results[target] = {}
+            for name, df in data.items():
+                start = time.monotonic()
+                done = len(self.loads.entries)
+                loaded = load_all({name: df}, target, self.loaders, self.loads)
+                rows = {table: n for _, table, n, _ in self.loads.entries[done:]}
+                for source, ok in loaded.items():
+                    self._measure("load", source, target, rows.get(f"fact_{source}", 0), ok, start)
+                results[target] |= loaded
         return results
 
     def run(self) -> bool:
-        """All phases; True only if every source reached every target."""
+        """All phases; True only if nothing failed and every source reached every target.
+
+        A source that failed to transform leaves what its targets hold as it is,
+        unless ``load_untransformed`` asks for its rows as they were read.
+        """
         try:
-            results = self.load(self.transform(self.extract()))
+            raw = self.extract()
+            unread = set(self.errors)
+            done = self.transform(raw)
+            if not self.load_untransformed:
+                done = {name: df for name, df in done.items() if name not in self.errors or name in unread}
+            results = self.load(done)
         except Exception as error:
             log.error("run failed: %s", error)
             return False
-        return all(ok for loaded in results.values() for ok in loaded.values())
+        return not self.errors and all(ok for loaded in results.values() for ok in loaded.values())
 
     def quality(self) -> DataFrame:
         """Completeness of every transformed source that has rows."""

@@ -10,6 +10,11 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame
 
+# Ordinary CSV: quotes are doubled, an empty text is quoted and NULL is nothing, blanks stay.
+CSV_OPTIONS = {
+    "header": True, "encoding": "UTF-8", "quote": '"', "escape": '"', "emptyValue": '""', "nullValue": "",
+    "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False,
+}
 _STAMP = "%Y%m%d_%H%M%S"
 
 
@@ -19,7 +24,7 @@ def write(df: DataFrame, path: str, kind: str) -> str:
     elif kind in ("json", "jsonl"):
         df.write.option("ignoreNullFields", False).json(path)
     elif kind == "csv":
-        df.write.options(header=True, encoding="UTF-8").csv(path)
+        df.write.options(**CSV_OPTIONS).csv(path)
     else:
         raise ValueError(f"unsupported format: {kind}")
     return path

@@ -25,14 +25,36 @@ def with_source_file(df: DataFrame) -> DataFrame:
     return df.withColumn("source_file", file_name())
 
 
-def read_file(spark: SparkSession, path: str, schema: str | T.StructType, separator: str = SEPARATOR) -> DataFrame:
-    """One delimited file, or an empty table of the same shape where it does not exist."""
+def csv_options(separator: str = SEPARATOR, multi_line: bool = False) -> dict:
+    """Ordinary CSV with doubled quotes; ``multi_line`` allows line breaks inside quotes.
+
+    A file with such line breaks can't be split, so it is read by one task.
+    """
+    return {"sep": separator, "header": True, "encoding": "UTF-8", "quote": '"', "escape": '"', "multiLine": multi_line}
+
+
+def _layout(columns: list[str], struct: T.StructType) -> T.StructType:
+    types = {field.name: field.dataType for field in struct}
+    return T.StructType([T.StructField(c, types.get(c, T.StringType())) for c in columns])
+
+
+def read_file(spark: SparkSession, path: str, schema: str | T.StructType, separator: str = SEPARATOR,
+              multi_line: bool = False) -> DataFrame:
+    """One delimited file, or an empty table of the same shape where it does not exist.
+
+    Columns are matched by their names in the header: those the file lacks are NULL,
+    those ``schema`` does not name follow as text.
+    """
     struct = _as_struct(spark, schema)
     if missing_path(spark, path):
         return spark.createDataFrame([], struct.add("source_file", T.StringType()))
-    return with_source_file(
-        spark.read.schema(struct).options(sep=separator, header=True, encoding="UTF-8").csv(path)
-    )
+    options = csv_options(separator, multi_line)
+    columns = spark.read.options(**options).csv(path).columns
+    rows = with_source_file(spark.read.schema(_layout(columns, struct)).options(**options).csv(path))
+    declared = [
+        F.col(f"`{f.name}`") if f.name in columns else F.lit(None).cast(f.dataType).alias(f.name) for f in struct
+    ]
+    return rows.select(*declared, *[F.col(f"`{c}`") for c in rows.columns if c not in struct.names])
 
 
 def _lines(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
@@ -66,6 +88,7 @@ def read_folder(
     pattern: str = "*.csv",
     same_headers: bool = False,
     skip_bad_files: bool = True,
+    multi_line: bool = False,
 ) -> DataFrame:
     """All files of a folder, stacked by column name.
 
@@ -74,16 +97,18 @@ def read_folder(
     look at the files where the writer guarantees one layout. Column types come
     from ``schema``; columns it does not name are read as text, and columns a file
     lacks are NULL. With ``skip_bad_files`` a file that holds a row with more
-    fields than its header adds no rows at all.
+    fields than its header adds no rows at all; with ``multi_line`` lines are no
+    rows, so that look is left out.
     """
+    skip_bad_files = skip_bad_files and not multi_line
     struct = _as_struct(spark, schema)
-    types = {field.name: field.dataType for field in struct}
     if missing_path(spark, folder):
         return spark.createDataFrame([], struct.add("source_file", T.StringType()))
 
     def read_group(columns: list[str], paths: list[str] | None = None) -> DataFrame:
-        layout = T.StructType([T.StructField(c, types.get(c, T.StringType())) for c in columns])
-        reader = spark.read.schema(layout).options(sep=separator, header=True, encoding="UTF-8", pathGlobFilter=pattern)
+        reader = spark.read.schema(_layout(columns, struct)).options(
+            **csv_options(separator, multi_line), pathGlobFilter=pattern
+        )
         return with_source_file(reader.csv([readable_path(p) for p in paths] if paths else folder))
 
     if same_headers and not skip_bad_files:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from comarca.sources.delimited import SEPARATOR, with_source_file
+from comarca.sources.delimited import SEPARATOR, csv_options, with_source_file
 
 FILES_PER_BATCH = 10
 
@@ -20,8 +20,9 @@ def stream_folder(
     files_per_batch: int = FILES_PER_BATCH,
     separator: str = SEPARATOR,
 ) -> DataFrame:
+    """Files of one layout; a file whose header differs from ``schema`` fails instead of swapping columns."""
     reader = spark.readStream.schema(schema).options(
-        sep=separator, header=True, encoding="UTF-8", pathGlobFilter="*.csv", maxFilesPerTrigger=files_per_batch
+        **csv_options(separator), pathGlobFilter="*.csv", maxFilesPerTrigger=files_per_batch, enforceSchema=False
     )
     return with_source_file(reader.csv(folder))
 

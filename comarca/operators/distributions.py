@@ -3,20 +3,23 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from math import isfinite
+from operator import and_
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from comarca.functions.scalars import null_if_nan
+from comarca.operators.ordered import running_total
 from comarca.sinks.pinned import pin
 
 QUARTILES = (0.25, 0.5, 0.75)
-_SLICE_ROWS = 4_000_000
-_FEWEST_SLICES, _MOST_SLICES = 64, 4096
-_SAMPLE_PER_SLICE = 250
+_SLICES = 1024
+_ACCURACY = 10 * _SLICES
 
 
 def _numeric(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
@@ -24,22 +27,18 @@ def _numeric(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> D
     return df.select(*by, *[null_if_nan(c, types[c]).cast("double").alias(c) for c in columns])
 
 
-def _cuts(wide: DataFrame, columns: Sequence[str]) -> list[list[float]]:
-    """Values that cut each column into slices of about even size.
-
-    A bounded sample is enough: it decides only how even the slices are.
-    """
-    rows = wide.count()
-    slices = min(max(rows // _SLICE_ROWS, _FEWEST_SLICES), _MOST_SLICES)
-    wanted = slices * _SAMPLE_PER_SLICE
-    sample = wide.sample(wanted / rows, seed=0) if rows > wanted else wide
-    probs = [i / slices for i in range(1, slices)]
-    return [sorted(set(cuts)) or [0.0] for cuts in sample.approxQuantile(list(columns), probs, 1 / (2 * slices))]
+def _sketch(column: str) -> Column:
+    """Values that cut a column into slices of about even size; an error changes only how even they are."""
+    # As SQL text: a thousand literals one by one cost more than the pass itself.
+    shares = ", ".join(f"{i / _SLICES}D" for i in range(1, _SLICES))
+    return F.expr(f"percentile_approx(`{column}`, array({shares}), {_ACCURACY})")
 
 
-def _long(wide: DataFrame, columns: Sequence[str], by: Sequence[str]) -> DataFrame:
+def _long(
+    wide: DataFrame, columns: Sequence[str], by: Sequence[str], sketches: Sequence[Sequence[float] | None]
+) -> DataFrame:
     """``(by…, column, value, slice)``: which of many even slices of its column each value is in."""
-    cuts = _cuts(wide, columns)
+    cuts = [sorted({cut for cut in sketch or () if isfinite(cut)}) or [0.0] for sketch in sketches]
     slices = [f"_slice_{c}" for c in columns]
     sliced = Bucketizer(
         inputCols=list(columns),
@@ -56,15 +55,23 @@ def _long(wide: DataFrame, columns: Sequence[str], by: Sequence[str]) -> DataFra
 
 
 def quantiles(
-    df: DataFrame, columns: Sequence[str], probs: Sequence[float] = QUARTILES, by: Sequence[str] = ()
+    df: DataFrame,
+    columns: Sequence[str],
+    probs: Sequence[float] = QUARTILES,
+    by: Sequence[str] = (),
+    sketches: Sequence[Sequence[float] | None] | None = None,
 ) -> DataFrame:
     """Interpolated quantiles: ``(by…, column, p, value)``.
 
-    Counting rows per slice tells which slice holds each wanted rank, so only the
-    values of those few slices are sorted. The slices are cut from a sketch, whose
-    error changes their sizes but not the result.
+    Three passes: a sketch of each column cuts it into slices, counting rows per slice
+    tells which slice holds each wanted rank, and only the values of those few slices
+    are ordered, over range partitions and after equal ones have been collapsed. A
+    caller that has the sketches saves the first pass. Infinities are values like others.
     """
-    values = _long(_numeric(df, columns, by), columns, by)
+    wide = _numeric(df, columns, by)
+    if sketches is None:
+        sketches = wide.agg(*[_sketch(c).alias(f"_{i}") for i, c in enumerate(columns)]).first()
+    values = _long(wide, columns, by, sketches)
     group = [*by, "column"]
     counted = values.groupBy(*group, "slice").agg(F.count(F.lit(1)).alias("n"))
     # At most one row per slice in each window group.
@@ -80,20 +87,34 @@ def quantiles(
         ranks.where((F.col("rank") >= F.col("start")) & (F.col("rank") < F.col("end"))).drop("end", "total"), "ranks"
     )
 
-    near = values.join(targets.select(*group, "slice").distinct(), [*group, "slice"], "left_semi")
-    distinct = near.groupBy(*group, "slice", "value").agg(F.count(F.lit(1)).alias("n"))
-    after = F.sum("n").over(W.partitionBy(*group, "slice").orderBy("value"))
-    placed = distinct.withColumn("after", after).withColumn("before", F.col("after") - F.col("n"))
-    offset = F.col("rank") - F.col("start")
-    hits = placed.join(targets, [*group, "slice"]).where((offset >= F.col("before")) & (offset < F.col("after")))
+    slice_of = [*group, "slice"]
+    chosen = targets.select(*slice_of).distinct()
+    near = values.join(chosen, [values[c].eqNullSafe(chosen[c]) for c in slice_of], "left_semi")
+    distinct = near.groupBy(*slice_of, "value").agg(F.count(F.lit(1)).alias("n"))
+    summed = pin(running_total(distinct, [*slice_of, "value"], "n", "after"), "summed")
+    # Sums run over all slices; each slice starts where its first value does.
+    first = summed.groupBy(*slice_of).agg(F.min(F.col("after") - F.col("n")).alias("base"))
+    aimed = targets.join(first, [targets[c].eqNullSafe(first[c]) for c in slice_of]).select(
+        *[targets[c].alias(f"_of_{c}") for c in slice_of], "p", "position", (F.col("base") + F.col("rank") - F.col("start")).alias("at")
+    )
+    same = [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in slice_of]
+    reached = [F.col("at") >= F.col("after") - F.col("n"), F.col("at") < F.col("after")]
+    hits = summed.join(aimed, reduce(and_, [*same, *reached]))
     ends = hits.groupBy(*group, "p", "position").agg(F.min("value").alias("low"), F.max("value").alias("high"))
+    low, high = F.col("low"), F.col("high")
     weight = F.col("position") - F.floor("position")
-    return ends.select(*group, "p", (F.col("low") + (F.col("high") - F.col("low")) * weight).alias("value"))
+    between = F.when((low == high) | (weight == 0), low).otherwise(low + (high - low) * weight)
+    return ends.select(*group, "p", between.alias("value"))
 
 
-def quartile_table(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+def quartile_table(
+    df: DataFrame,
+    columns: Sequence[str],
+    by: Sequence[str] = (),
+    sketches: Sequence[Sequence[float] | None] | None = None,
+) -> DataFrame:
     """``(by…, column, q1, median, q3)``."""
-    found = quantiles(df, columns, QUARTILES, by)
+    found = quantiles(df, columns, QUARTILES, by, sketches)
     at = [
         F.max(F.when(F.col("p") == p, F.col("value"))).alias(name)
         for name, p in zip(("q1", "median", "q3"), QUARTILES)
@@ -102,24 +123,24 @@ def quartile_table(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()
 
 
 def describe(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """``(column, count, mean, std, min, q1, median, q3, max)`` of every numeric column."""
+    """``(column, count, mean, std, min, q1, median, q3, max)`` of every numeric column.
+
+    The first of three passes gives the plain figures and the sketches: one row.
+    """
     columns = columns or [f.name for f in df.schema if isinstance(f.dataType, T.NumericType)]
-    wide = _numeric(df, columns)
-    stats = wide.agg(
+    found = _numeric(df, columns).agg(
         *[
-            F.struct(
-                F.lit(c).alias("column"),
-                F.count(c).alias("count"),
-                F.avg(c).alias("mean"),
-                F.stddev_samp(c).alias("std"),
-                F.min(c).alias("min"),
-                F.max(c).alias("max"),
-            ).alias(c)
-            for c in columns
+            F.struct(F.count(c), F.avg(c), F.stddev_samp(c), F.min(c), F.max(c), _sketch(c)).alias(f"_{i}")
+            for i, c in enumerate(columns)
         ]
+    ).first()
+    plain = [(c, *figures[:-1]) for c, figures in zip(columns, found)]
+    rows = df.sparkSession.createDataFrame(
+        plain, "column string, count long, mean double, std double, min double, max double"
     )
-    rows = stats.select(F.inline(F.array(*[F.col(f"`{c}`") for c in columns])))
-    joined = rows.join(F.broadcast(quartile_table(df, columns)), "column", "left")
+    quartiles = quartile_table(df, columns, sketches=[figures[-1] for figures in found])
+    # One row per column.
+    joined = rows.join(F.broadcast(quartiles), "column", "left")
     return joined.select("column", "count", "mean", "std", "min", "q1", "median", "q3", "max")
 
 

@@ -1,9 +1,12 @@
 """Operators that need a row order over the whole table.
 
-The table is range-partitioned on the order key and written once, so each block
-holds a contiguous run of rows of even size: a key with a large share of the rows
-spreads over many blocks. What passes between blocks is one row per block, and
-there are at most ``_MOST_BLOCKS`` of them or the session's shuffle partitions.
+The table is range-partitioned on the order key and a hash of the row, and written
+once, so each block holds a contiguous run of rows of even size: neither a key nor an
+order value with a large share of the rows ends up in one block, and rows tied on the
+order have one order whatever the blocks are. (Rows equal in every column stay
+together; which of them comes first makes no difference.) There are as many blocks as
+the session has shuffle partitions. What passes between blocks is one row of fixed
+width per block.
 """
 
 from __future__ import annotations
@@ -14,29 +17,33 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from comarca.functions.scalars import null_if_nan
 from comarca.sinks.pinned import pin
 
 # monotonically_increasing_id() keeps the partition above bit 33, the row in it below.
 _ROW_BITS = 33
-_BLOCK_BYTES = 256 << 20
-_GROUP_ROWS = 2_000_000
-_MOST_BLOCKS = 100_000
 
 
-def _blocks_for(df: DataFrame) -> int | None:
-    """A block count that keeps blocks near ``_BLOCK_BYTES``, or None where the session's own is enough."""
-    estimate = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    wanted = min(estimate // _BLOCK_BYTES, _MOST_BLOCKS)
-    return wanted if wanted > int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) else None
+def _hashable(kind: T.DataType) -> bool:
+    if isinstance(kind, T.ArrayType):
+        return _hashable(kind.elementType)
+    if isinstance(kind, T.StructType):
+        return all(_hashable(f.dataType) for f in kind)
+    return not isinstance(kind, (T.MapType, T.VariantType))
+
+
+def _row_hash(df: DataFrame) -> Column:
+    """A hash of the row's columns; maps can't be hashed and are left out."""
+    return F.xxhash64(F.lit(0), *[F.col(f"`{f.name}`") for f in df.schema if _hashable(f.dataType)])
 
 
 def in_order(df: DataFrame, order: Sequence[str], blocks: int | None = None) -> DataFrame:
     """``df`` plus ``_block`` and ``_row``, both increasing along ``order``."""
-    keys = [F.col(f"`{c}`").asc_nulls_last() for c in order]
-    blocks = blocks or _blocks_for(df)
-    ranged = df.repartitionByRange(blocks, *keys) if blocks else df.repartitionByRange(*keys)
+    keys = [F.col(f"`{c}`").asc_nulls_last() for c in order] + [F.col("_hash").asc()]
+    hashed = df.withColumn("_hash", _row_hash(df))
+    ranged = hashed.repartitionByRange(blocks, *keys) if blocks else hashed.repartitionByRange(*keys)
     placed = ranged.sortWithinPartitions(*keys).withColumn("_at", F.monotonically_increasing_id())
     numbered = placed.withColumns(
         {
@@ -44,23 +51,36 @@ def in_order(df: DataFrame, order: Sequence[str], blocks: int | None = None) ->
             "_row": F.col("_at").bitwiseAND(F.lit((1 << _ROW_BITS) - 1)),
         }
     )
-    return pin(numbered.drop("_at"), "ordered")
+    return pin(numbered.drop("_at", "_hash"), "ordered")
+
+
+def _offsets(sizes: DataFrame) -> DataFrame:
+    """``(_block, _offset)`` from ``(_block, _size)``: the sum of all blocks before."""
+    # One row per block, so this window is no larger than the block count.
+    before = F.sum("_size").over(W.orderBy("_block").rowsBetween(W.unboundedPreceding, -1))
+    return sizes.select("_block", F.coalesce(before, F.lit(0)).alias("_offset"))
 
 
 def number_rows(df: DataFrame, order: Sequence[str], name: str = "id", blocks: int | None = None) -> DataFrame:
     """Adds consecutive numbers from 1 along ``order``."""
     rows = in_order(df, order, blocks)
-    sizes = rows.groupBy("_block").agg(F.count(F.lit(1)).alias("_size"))
-    # One row per block, so this window is no larger than the block count.
-    before = F.sum("_size").over(W.orderBy("_block").rowsBetween(W.unboundedPreceding, -1))
-    offsets = sizes.select("_block", F.coalesce(before, F.lit(0)).alias("_offset"))
+    offsets = _offsets(rows.groupBy("_block").agg(F.count(F.lit(1)).alias("_size")))
+    # Two numbers per block.
     numbered = rows.join(F.broadcast(offsets), "_block")
     return numbered.select((F.col("_offset") + F.col("_row") + 1).alias(name), *df.columns)
 
 
-def _largest_group(df: DataFrame, by: Sequence[str]) -> int:
-    sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("n"))
-    return sizes.agg(F.max("n")).first()[0] or 0
+def running_total(
+    df: DataFrame, order: Sequence[str], amount: str, name: str, blocks: int | None = None
+) -> DataFrame:
+    """Adds the sum of ``amount`` over all rows up to and including each one along ``order``."""
+    rows = in_order(df, order, blocks)
+    offsets = _offsets(rows.groupBy("_block").agg(F.sum(amount).alias("_size")))
+    in_block = W.partitionBy("_block").orderBy("_row").rowsBetween(W.unboundedPreceding, W.currentRow)
+    local = rows.withColumn("_local", F.sum(amount).over(in_block))
+    # Two numbers per block.
+    summed = local.join(F.broadcast(offsets), "_block")
+    return summed.select(*df.columns, (F.col("_offset") + F.col("_local")).alias(name))
 
 
 def forward_fill(
@@ -72,15 +92,11 @@ def forward_fill(
 ) -> DataFrame:
     """Fills missing cells with the last value before them along ``order``, within ``by``.
 
-    Where every key is small enough for one task, each key is a window partition.
-    Otherwise, and without keys, the rows go through blocks along ``(by, order)``.
+    Rows go through blocks along ``(by, order)``. A block is filled within itself and
+    from the last known cell before it, which it knows by the number of its block.
     """
     types = {f.name: f.dataType for f in df.schema}
     cleaned = df.withColumns({c: null_if_nan(c, types[c]) for c in columns})
-    if by and blocks is None and _largest_group(cleaned, by) <= _GROUP_ROWS:
-        so_far = W.partitionBy(*by).orderBy(*[F.col(c).asc_nulls_last() for c in order])
-        so_far = so_far.rowsBetween(W.unboundedPreceding, W.currentRow)
-        return cleaned.withColumns({c: F.last(c, ignorenulls=True).over(so_far) for c in columns})
     rows = in_order(cleaned, [*by, *order], blocks)
     key = F.struct(*by) if by else F.struct(F.lit(0).alias("all"))
     known = {c: F.when(F.col(c).isNotNull(), F.struct(key.alias("key"), F.col(c).alias("value"))) for c in columns}
@@ -88,22 +104,38 @@ def forward_fill(
     in_block = W.partitionBy("_block").orderBy("_row").rowsBetween(W.unboundedPreceding, W.currentRow)
     local = rows.withColumns({f"_local_{c}": F.last(known[c], ignorenulls=True).over(in_block) for c in columns})
 
-    # Find each block's last known cells by row number first: hashed numbers, no sort of the rows.
-    ends = rows.groupBy("_block").agg(
-        *[F.max(F.when(F.col(c).isNotNull(), F.col("_row"))).alias(f"_end_{c}") for c in columns]
+    # Each block's last known cells by row number: hashed numbers, no sort of the rows.
+    ends = pin(
+        rows.groupBy("_block").agg(
+            *[F.max(F.when(F.col(c).isNotNull(), F.col("_row"))).alias(f"_end_{c}") for c in columns]
+        ),
+        "block-ends",
     )
     at_end = {c: F.col("_row") == F.col(f"_end_{c}") for c in columns}
+    # One row of numbers per block.
     last_rows = rows.join(F.broadcast(ends), "_block").where(reduce(lambda a, b: a | b, at_end.values()))
-    last_known = last_rows.groupBy("_block").agg(
-        *[F.first(F.when(at_end[c], known[c]), ignorenulls=True).alias(c) for c in columns]
+    last_known = pin(
+        last_rows.groupBy("_block").agg(
+            *[F.first(F.when(at_end[c], known[c]), ignorenulls=True).alias(c) for c in columns]
+        ),
+        "block-values",
     )
-    # Blocks without any known cell still pass on what came before them.
-    last_known = ends.select("_block").join(F.broadcast(last_known), "_block", "left")
-    # One row per block, so this window is no larger than the block count.
+    # Which earlier block has the last known cell; again one row of numbers per block.
     earlier = W.orderBy("_block").rowsBetween(W.unboundedPreceding, -1)
-    carried = last_known.select(
-        "_block", *[F.last(c, ignorenulls=True).over(earlier).alias(f"_carry_{c}") for c in columns]
+    carried = ends.select(
+        "_block",
+        *[
+            F.last(F.when(F.col(f"_end_{c}").isNotNull(), F.col("_block")), ignorenulls=True)
+            .over(earlier)
+            .alias(f"_from_{c}")
+            for c in columns
+        ],
     )
+    for c in columns:
+        value = last_known.select(F.col("_block").alias(f"_from_{c}"), F.col(c).alias(f"_carry_{c}"))
+        carried = carried.join(value, f"_from_{c}", "left").drop(f"_from_{c}")
+    # Values may be long, so these are written: Spark broadcasts them if their real size is small.
+    carried = pin(carried, "carried")
 
     def filled(c: str) -> Column:
         of_same_key = [
@@ -112,4 +144,4 @@ def forward_fill(
         ]
         return F.coalesce(F.col(c), *of_same_key).alias(c)
 
-    return local.join(F.broadcast(carried), "_block").select(*[filled(c) if c in columns else c for c in df.columns])
+    return local.join(carried, "_block").select(*[filled(c) if c in columns else c for c in df.columns])

@@ -45,13 +45,23 @@ TEMPLATE_REPORTS = {
 }
 
 
+def no_answer(descriptions: Mapping[str, str] = TEMPLATE_DESCRIPTIONS) -> str:
+    """The description of a question that fits no template."""
+    return f"No report fits. Known reports: {'; '.join(descriptions.values())}"
+
+
 def route_questions(
-    questions: DataFrame, text: str = "text", templates: Mapping[str, Sequence[str]] = TEMPLATE_KEYWORDS
+    questions: DataFrame,
+    text: str = "text",
+    templates: Mapping[str, Sequence[str]] = TEMPLATE_KEYWORDS,
+    descriptions: Mapping[str, str] = TEMPLATE_DESCRIPTIONS,
+    reports: Mapping[str, str] = TEMPLATE_REPORTS,
 ) -> DataFrame:
-    """Adds ``template`` and ``score``: the report most of whose keywords occur in the text.
+    """Adds ``template``, ``score``, ``description`` and ``report``: the one most of whose keywords occur in the text.
 
-    The first template wins ties; a text without keywords has no template. The
-    keywords are part of the plan, so this is one projection without a shuffle.
+    The first template wins ties. A text without keywords has no template and no
+    report; its description lists what can be asked. Keywords and descriptions are part
+    of the plan, so this is one projection without a shuffle.
     """
     lowered = F.lower(F.coalesce(F.col(text), F.lit("")))
     with_text = questions.withColumn("_text", lowered)
@@ -63,7 +73,19 @@ def route_questions(
     best = scored.withColumn("score", F.array_max("_scores"))
     first = F.array_position("_scores", F.col("score")).cast("int")
     named = F.element_at(F.array(*[F.lit(name) for name in templates]), first)
-    return best.withColumn("template", F.when(F.col("score") > 0, named)).drop("_text", "_scores")
+    named = best.withColumn("template", F.when(F.col("score") > 0, named))
+
+    def of_template(values: Mapping[str, str]) -> Column:
+        return F.element_at(F.array(*[F.lit(values.get(name)).cast("string") for name in templates]), first)
+
+    asked = F.col("score") > 0
+    answered = named.withColumns(
+        {
+            "description": F.when(asked, of_template(descriptions)).otherwise(F.lit(no_answer(descriptions))),
+            "report": F.when(asked, of_template(reports)),
+        }
+    )
+    return answered.drop("_text", "_scores")
 
 
 def fenced_sql(text: Column) -> Column:

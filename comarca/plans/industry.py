@@ -26,7 +26,9 @@ def transform(
     if "provincia" in df.columns:
         df = lookup_codes(df, codes)
         if log:
-            log.add("add_codes", "Added province INE codes")
+            unknown = df.agg(F.count_if(F.col("codigo_provincia_ine").isNull()).alias("n"))
+            details = F.concat(F.lit("column added: codigo_provincia_ine; rows without a code: "), F.col("n").cast("string"))
+            log.add_counted(steps.ADD_CODES, unknown, details)
     return steps.add_audit_columns(df)
 
 

@@ -11,6 +11,18 @@ from comarca.operators.combine import union_all
 from comarca.schemas import PIPELINE_VERSION
 
 
+# What the log calls each operation.
+CLEAN_NAMES = "clean_column_names"
+REMOVE_DUPLICATES = "remove_duplicates"
+HANDLE_MISSING = "handle_missing"
+RENAME_COLUMNS = "rename_columns"
+CALCULATE_RATIO = "calculate_ratio"
+CATEGORIZE = "categorize"
+EXTRACT_MUNICIPALITY = "extract_municipio"
+CLEAN_TOTALS = "clean_totals"
+ADD_CODES = "add_codes"
+
+
 class StepLog:
     """Applied steps, as rows ``(position, timestamp, operation, details)``.
 
@@ -47,7 +59,8 @@ class StepLog:
 def clean_names(df: DataFrame, log: StepLog | None = None) -> DataFrame:
     cleaned = naming.clean_names(df)
     if log:
-        log.add("clean_column_names", f"Normalized columns: {cleaned.columns}")
+        changed = sum(a != b for a, b in zip(df.columns, cleaned.columns))
+        log.add(CLEAN_NAMES, f"{changed} of {len(cleaned.columns)} names changed: {', '.join(cleaned.columns)}")
     return cleaned
 
 
@@ -55,8 +68,8 @@ def remove_duplicates(
     df: DataFrame, subset: list[str] | None = None, order: list[str] | None = None, log: StepLog | None = None
 ) -> DataFrame:
     if log:
-        details = F.concat(F.lit("Removed "), F.col("removed").cast("string"), F.lit(" duplicates"))
-        log.add_counted("remove_duplicates", duplicates.duplicate_counts(df, subset), details)
+        details = F.concat(F.lit("rows dropped: "), F.col("removed").cast("string"))
+        log.add_counted(REMOVE_DUPLICATES, duplicates.duplicate_counts(df, subset), details)
     return duplicates.drop_duplicates(df, subset, order)
 
 
@@ -69,8 +82,8 @@ def handle_missing(
 ) -> DataFrame:
     handled = missing.handle_missing(df, strategy, order, by)
     if log:
-        details = F.concat(F.lit(f"Strategy: {strategy}, Affected: "), F.col("affected").cast("string"))
-        log.add_counted("handle_missing", missing.missing_report(df, handled, strategy), details)
+        details = F.concat(F.lit(f"{strategy}: rows touched: "), F.col("affected").cast("string"))
+        log.add_counted(HANDLE_MISSING, missing.missing_report(df, handled, strategy), details)
     return handled
 
 

@@ -12,26 +12,55 @@ from pyspark.sql import types as T
 INDICATOR_FILE = "despob_pob_actividad_activos_ipc_pib_2023_clusters.csv"
 PIPELINE_VERSION = "1.0.0"
 
-_INDICATOR_FIELDS = [
-    ("int", ["cod_prov"]),
-    ("string", ["nom_prov"]),
-    ("bigint", ["porcen_desp", "pob_tot", "pob_hom", "pob_muj"]),
-    (
-        "double",
-        [f"{who}_{rate}" for who in ("asexos", "hombres", "mujeres") for rate in ("tactividad", "templeo", "tparo")]
-        + [f"ocupados_{sector}" for sector in ("agricultura", "construccion", "industria", "servicios")]
-        + [f"ipc_{item}" for item in "alim bebi vest vivi hoga sani trans comu ocio ense resta otros".split()],
-    ),
-    (
-        "bigint",
-        [
-            f"pib_{part}"
-            for part in "prec agri indu ind_manu constr comer act_fin admin valor_brut imp_netos".split()
-        ],
-    ),
-    ("int", ["group", "kmeans_group", "dbscan_group", "em_group"]),
+# The columns of the indicator file, in file order.
+INDICATOR_COLUMNS = [
+    ("cod_prov", "int"),
+    ("nom_prov", "string"),
+    ("porcen_desp", "bigint"),
+    ("pob_tot", "bigint"),
+    ("pob_hom", "bigint"),
+    ("pob_muj", "bigint"),
+    ("asexos_tactividad", "double"),
+    ("asexos_templeo", "double"),
+    ("asexos_tparo", "double"),
+    ("hombres_tactividad", "double"),
+    ("hombres_templeo", "double"),
+    ("hombres_tparo", "double"),
+    ("mujeres_tactividad", "double"),
+    ("mujeres_templeo", "double"),
+    ("mujeres_tparo", "double"),
+    ("ocupados_agricultura", "double"),
+    ("ocupados_construccion", "double"),
+    ("ocupados_industria", "double"),
+    ("ocupados_servicios", "double"),
+    ("ipc_alim", "double"),
+    ("ipc_bebi", "double"),
+    ("ipc_vest", "double"),
+    ("ipc_vivi", "double"),
+    ("ipc_hoga", "double"),
+    ("ipc_sani", "double"),
+    ("ipc_trans", "double"),
+    ("ipc_comu", "double"),
+    ("ipc_ocio", "double"),
+    ("ipc_ense", "double"),
+    ("ipc_resta", "double"),
+    ("ipc_otros", "double"),
+    ("pib_prec", "bigint"),
+    ("pib_agri", "bigint"),
+    ("pib_indu", "bigint"),
+    ("pib_ind_manu", "bigint"),
+    ("pib_constr", "bigint"),
+    ("pib_comer", "bigint"),
+    ("pib_act_fin", "bigint"),
+    ("pib_admin", "bigint"),
+    ("pib_valor_brut", "bigint"),
+    ("pib_imp_netos", "bigint"),
+    ("group", "int"),
+    ("kmeans_group", "int"),
+    ("dbscan_group", "int"),
+    ("em_group", "int"),
 ]
-INDICATOR_SCHEMA = ", ".join(f"`{name}` {kind}" for kind, names in _INDICATOR_FIELDS for name in names)
+INDICATOR_SCHEMA = ", ".join(f"`{name}` {kind}" for name, kind in INDICATOR_COLUMNS)
 
 INDICATOR_RENAMES = {
     "cod_prov": "codigo_provincia",

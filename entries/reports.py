@@ -662,16 +662,24 @@ def _routing_sql(templates):
     ]
     listed = ", ".join(scores)
     names = ", ".join(f"'{name}'" for name in templates)
+    descriptions, reports = (
+        ", ".join(f"'{values[name]}'" if name in values else "NULL" for name in templates)
+        for values in (questions.TEMPLATE_DESCRIPTIONS, questions.TEMPLATE_REPORTS)
+    )
+    nothing = questions.no_answer()
     return f"""WITH scored AS (SELECT doc_id, [{listed}] AS scores FROM documents)
         SELECT doc_id, CAST(list_max(scores) AS INTEGER) AS score,
-          CASE WHEN list_max(scores) > 0 THEN [{names}][list_position(scores, list_max(scores))] END AS template
+          CASE WHEN list_max(scores) > 0 THEN [{names}][list_position(scores, list_max(scores))] END AS template,
+          CASE WHEN list_max(scores) > 0 THEN CAST([{descriptions}] AS VARCHAR[])[list_position(scores, list_max(scores))]
+            ELSE '{nothing}' END AS description,
+          CASE WHEN list_max(scores) > 0 THEN CAST([{reports}] AS VARCHAR[])[list_position(scores, list_max(scores))] END AS report
         FROM scored"""
 
 
 @entry("route_questions", _routing_sql(questions.TEMPLATE_KEYWORDS))
 def _(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return questions.route_questions(docs).select("doc_id", "score", "template")
+    return questions.route_questions(docs).select("doc_id", "score", "template", "description", "report")
 
 
 # Words the given texts do contain, so that scores and ties occur.
@@ -681,7 +689,8 @@ _FREQUENT = {"english": ["the", "that", "and"], "french": ["une", "que", "les"],
 @entry("route_questions_frequent", _routing_sql(_FREQUENT))
 def _(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return questions.route_questions(docs, templates=_FREQUENT).select("doc_id", "score", "template")
+    found = questions.route_questions(docs, templates=_FREQUENT)
+    return found.select("doc_id", "score", "template", "description", "report")
 
 
 @entry(

@@ -357,9 +357,9 @@ def _(spark, sf_dir):
        v AS (SELECT COUNT(*) AS short FROM (SELECT DISTINCT ON (text) n_chars FROM documents ORDER BY text, doc_id)
              WHERE n_chars < 50)
        SELECT 1 AS position, 'clean_column_names' AS operation,
-         'Normalized columns: [''doc_id'', ''text'', ''lang'', ''source'', ''n_chars'']' AS details
-       UNION ALL SELECT 2, 'remove_duplicates', 'Removed ' || removed || ' duplicates' FROM d
-       UNION ALL SELECT 3, 'handle_missing', 'Strategy: drop, Affected: ' || short FROM v""",
+         '0 of 5 names changed: doc_id, text, lang, source, n_chars' AS details
+       UNION ALL SELECT 2, 'remove_duplicates', 'rows dropped: ' || removed FROM d
+       UNION ALL SELECT 3, 'handle_missing', 'drop: rows touched: ' || short FROM v""",
 )
 def _(spark, sf_dir):
     log = steps.StepLog()

@@ -35,15 +35,24 @@ def test_quantiles_by_group_equal_numpy(spark, skewed):
     assert len(values) == 9 * len(probs)
 
 
-def test_quantiles_when_the_cuts_come_from_a_sample(spark, monkeypatch):
-    monkeypatch.setattr(distributions, "_SAMPLE_PER_SLICE", 2)
-    monkeypatch.setattr(distributions, "_FEWEST_SLICES", 4)
+def test_quantiles_when_the_slices_are_coarse(spark, monkeypatch):
+    monkeypatch.setattr(distributions, "_SLICES", 4)
+    monkeypatch.setattr(distributions, "_ACCURACY", 4)
     values = np.random.default_rng(1).normal(size=5000)
     df = spark.createDataFrame([(float(v),) for v in values], "x double")
     found = {r.p: r.value for r in distributions.quantiles(df, ["x"]).collect()}
     assert found == pytest.approx({p: np.quantile(values, p) for p in (0.25, 0.5, 0.75)}, rel=1e-12)
 
 
+def test_infinities_are_values(spark):
+    infinite = float("inf")
+    df = spark.createDataFrame([(v,) for v in [1.0, 2.0, 3.0, 4.0, infinite, infinite, -infinite]], "x double")
+    row = distributions.describe(df).first()
+    assert (row["count"], row["min"], row["q1"], row["median"], row["q3"], row["max"]) == (
+        7, -infinite, 1.5, 3.0, infinite, infinite,
+    )
+
+
 def test_describe_of_single_and_missing_values(spark):
     df = spark.createDataFrame([(1.0, None), (None, None)], "x double, y double")
     found = {r["column"]: tuple(r)[1:] for r in distributions.describe(df).collect()}

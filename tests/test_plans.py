@@ -188,9 +188,9 @@ def test_step_log(spark):
     df = steps.handle_missing(df, "fill_zero", log=log)
     assert as_set(df) == {(1, 0), (2, 5)}
     assert [tuple(r)[2:] for r in log.frame(spark).orderBy("position").collect()] == [
-        ("clean_column_names", "Normalized columns: ['a_b', 'c']"),
-        ("remove_duplicates", "Removed 1 duplicates"),
-        ("handle_missing", "Strategy: fill_zero, Affected: 0"),
+        ("clean_column_names", "1 of 2 names changed: a_b, c"),
+        ("remove_duplicates", "rows dropped: 1"),
+        ("handle_missing", "fill_zero: rows touched: 0"),
     ]
 
 

@@ -19,6 +19,8 @@ def test_routing(spark):
     df = spark.createDataFrame(asked, "text string, wanted string, points int")
     for row in questions.route_questions(df).collect():
         assert (row.template, row.score) == (row.wanted, row.points), row.text
+        assert row.report == questions.TEMPLATE_REPORTS.get(row.wanted), row.text
+        assert row.description == questions.TEMPLATE_DESCRIPTIONS.get(row.wanted, questions.no_answer()), row.text
 
 
 def test_every_template_has_a_registered_report():

@@ -94,9 +94,8 @@ def test_forward_fill_of_the_whole_table(spark, blocks):
     pd.testing.assert_frame_equal(found, expected, check_dtype=False)
 
 
-@pytest.mark.parametrize("blocks, largest", [(None, 2_000_000), (None, 5), (2, 5), (25, 5)])
-def test_forward_fill_within_keys_one_of_them_hot(spark, monkeypatch, blocks, largest):
-    monkeypatch.setattr(ordered, "_GROUP_ROWS", largest)
+@pytest.mark.parametrize("blocks", [None, 1, 2, 25])
+def test_forward_fill_within_keys_one_of_them_hot(spark, blocks):
     keys = ["hot"] * 5 + [None, "b", "c", *[f"r{i}" for i in range(8)]]
     pdf = _random_frame(7, keys, 800)
     expected = pdf.sort_values("at").copy()
@@ -125,12 +124,26 @@ def test_row_numbers_are_consecutive(spark, blocks):
     assert sorted(as_rows(numbered)) == [(i + 1, i) for i in range(1000)]
 
 
-def test_large_tables_get_more_blocks_than_the_session_has_partitions(spark, monkeypatch):
-    monkeypatch.setattr(ordered, "_BLOCK_BYTES", 500)
-    df = spark.range(1000).select("id", F.when(F.col("id") % 3 == 0, F.lit(1)).otherwise(F.col("id")).alias("k"))
-    rows = ordered.in_order(df, ["k", "id"])
+def test_blocks_of_a_hot_order_key_stay_even(spark):
+    df = spark.range(20_000).select("id", F.when(F.col("id") % 10 > 0, F.lit(1)).otherwise(F.col("id")).alias("k"))
+    rows = ordered.in_order(df, ["k"], 8)
     sizes = [r["count"] for r in rows.groupBy("_block").count().collect()]
-    assert len(sizes) > 8 and sum(sizes) == 1000 and max(sizes) < 250
+    assert sum(sizes) == 20_000 and max(sizes) < 2 * 20_000 / 8
+
+
+def test_ties_fill_alike_in_any_blocks(spark):
+    df = spark.range(300).select("id", F.lit(1).alias("at"), F.when(F.col("id") % 7 == 0, F.col("id")).alias("v"))
+    filled = [as_set(ordered.forward_fill(df, ["v"], ["at"], blocks=blocks), "id", "v") for blocks in (1, 5, 40)]
+    assert filled[0] == filled[1] == filled[2]
+
+
+def test_running_total(spark):
+    df = spark.range(100).select("id", (F.col("id") % 3).alias("n"))
+    expected, total = set(), 0
+    for i in range(100):
+        total += i % 3
+        expected.add((i, total))
+    assert as_set(ordered.running_total(df, ["id"], "n", "upto", 7), "id", "upto") == expected
 
 
 def test_union_by_name(spark):

@@ -195,18 +195,42 @@ def unit_rows(vectors) -> np.ndarray:
     return table / np.linalg.norm(table, axis=1, keepdims=True)
 
 
-def shards_of(nodes: DataFrame, total: int, shard: int, overlap: int) -> DataFrame:
+def apart(table: np.ndarray, threshold: float) -> np.ndarray:
+    """Places of the unit vectors that stay when each one within ``threshold`` of an earlier stayer goes."""
+    kept = np.zeros(0, dtype=np.int64)
+    for low in range(0, len(table), 1024):
+        block = np.arange(low, min(len(table), low + 1024))
+        free = np.ones(len(block), dtype=bool)
+        for first in range(0, len(kept), 8192):
+            free &= (table[block] @ table[kept[first : first + 8192]].T).max(axis=1) < threshold
+        block = block[free]
+        close = table[block] @ table[block].T >= threshold
+        free = np.ones(len(block), dtype=bool)
+        for i in range(len(block)):
+            if free[i]:
+                free[i + 1 :] &= ~close[i, i + 1 :]
+        kept = np.concatenate([kept, block[free]])
+    return kept
+
+
+def shards_of(nodes: DataFrame, total: int, shard: int, overlap: int, threshold: float) -> DataFrame:
     """Adds ``shards``: the ``overlap`` nearest centroids of the node's label, as sorted numbers.
 
     Centroids are nodes drawn by a hash, as many as give shards of the wanted size, but
-    at most ``MOST_CENTROIDS`` over all labels.
+    at most ``MOST_CENTROIDS`` over all labels. Of centroids that would link with each
+    other one stays, so that the border between two shards does not cut through a group
+    of near copies, however large; its shard is split into pairs of blocks instead.
     """
     wanted = min(MOST_CENTROIDS, total * overlap / shard)
     drawn = nodes.where(uniform("node", seed=SEED) < wanted / max(1, total)).select("label", "node", "embedding").collect()
     centroids: dict = {}
     for r in sorted(drawn, key=lambda r: r["node"]):
         centroids.setdefault((r["label"], len(r["embedding"])), []).append((r["node"], r["embedding"]))
-    tables = {k: (np.array([n for n, _ in v]), unit_rows(e for _, e in v).astype(np.float32)) for k, v in centroids.items()}
+    tables = {}
+    for key, drawn_here in centroids.items():
+        names, table = np.array([n for n, _ in drawn_here]), unit_rows(e for _, e in drawn_here).astype(np.float32)
+        stay = apart(table, threshold)
+        tables[key] = names[stay], table[stay]
     shared = nodes.sparkSession.sparkContext.broadcast(tables)
 
     @F.pandas_udf("array<long>")
@@ -275,7 +299,7 @@ def links_of(nodes: DataFrame, search: Search, threshold: float) -> DataFrame:
     total = nodes.count()
     partitions = shuffle_partitions(nodes.sparkSession)
     shard = int(min(MOST_SHARD, max(LEAST_SHARD, total * search.overlap // (2 * partitions))))
-    placed = pin(shards_of(nodes, total, shard, search.overlap), "placed")
+    placed = pin(shards_of(nodes, total, shard, search.overlap, threshold), "placed")
     units = units_of(placed, shard)
 
     def graph_of(rows):

@@ -18,7 +18,7 @@ from comarca.operators.ordered import running_total
 from comarca.sinks.pinned import pin
 
 QUARTILES = (0.25, 0.5, 0.75)
-_SLICES = 1024
+_SLICES = 256
 _ACCURACY = 10 * _SLICES
 
 
@@ -91,7 +91,7 @@ def quantiles(
     chosen = targets.select(*slice_of).distinct()
     near = values.join(chosen, [values[c].eqNullSafe(chosen[c]) for c in slice_of], "left_semi")
     distinct = near.groupBy(*slice_of, "value").agg(F.count(F.lit(1)).alias("n"))
-    summed = pin(running_total(distinct, [*slice_of, "value"], "n", "after"), "summed")
+    summed = running_total(distinct, [*slice_of, "value"], "n", "after")
     # Sums run over all slices; each slice starts where its first value does.
     first = summed.groupBy(*slice_of).agg(F.min(F.col("after") - F.col("n")).alias("base"))
     aimed = targets.join(first, [targets[c].eqNullSafe(first[c]) for c in slice_of]).select(

@@ -13,6 +13,12 @@ from pyspark.sql import DataFrame, SparkSession
 # Statements a read-only query may not contain.
 FORBIDDEN = ("drop", "delete", "update", "insert", "alter", "create", "truncate")
 
+# Functions that call Java methods by name.
+_CALLS_JAVA = ("reflect", "java_method", "try_reflect")
+
+# Literals, quoted names and comments: what is inside them is no statement.
+_QUOTED = re.compile(r"'(?:[^'\\]|\\.)*'|\"(?:[^\"\\]|\\.)*\"|`[^`]*`|--[^\n]*|/\*.*?\*/", re.DOTALL)
+
 
 class RejectedQuery(ValueError):
     """The text is not a read-only query."""
@@ -28,12 +34,25 @@ class QueryResult:
 
 
 def check_read_only(text: str) -> None:
-    lowered = text.strip().lower()
-    if not re.match(r"(select|with)\b", lowered):
+    """Refuses what is no query, forbidden statements, Java calls and files named as tables.
+
+    Literals may hold any word. A quoted name stays only where it could be a function
+    or the format of a path.
+    """
+    kinds = {"`": "`", "-": " ", "/": " "}
+    bare = _QUOTED.sub(lambda m: kinds.get(m.group()[0], " '' "), text).strip().lower()
+    named = _QUOTED.sub(lambda m: m.group()[1:-1] if m.group()[0] == "`" else kinds.get(m.group()[0], " '' "), text).lower()
+    if not re.match(r"(select|with)\b", bare):
         raise RejectedQuery("only SELECT queries are allowed")
-    found = re.search(rf"\b({'|'.join(FORBIDDEN)})\b", lowered)
+    found = re.search(rf"\b({'|'.join(FORBIDDEN)})\b", bare)
     if found:
         raise RejectedQuery(f"operation not allowed: {found.group(1)}")
+    found = re.search(rf"\b({'|'.join(_CALLS_JAVA)})\s*\(", named)
+    if found:
+        raise RejectedQuery(f"function not allowed: {found.group(1)}")
+    # parquet.`/path` and its like read files past the catalog.
+    if re.search(r"[\w`]\s*\.\s*`[^`]*[/\\:][^`]*`", text):
+        raise RejectedQuery("files may not be named as tables")
 
 
 def read_only_sql(spark: SparkSession, text: str, args: Mapping[str, Any] | None = None) -> DataFrame:

@@ -62,12 +62,13 @@ def profile_tables(spark: SparkSession, names: Sequence[str] | None = None, samp
     for name in names or table_names(spark):
         df = spark.table(name)
         columns = ", ".join(f"{f.name} ({f.dataType.simpleString()})" for f in df.schema)
-        # A few rows, taken from the first files only.
-        rows = [row[0] for row in df.select(F.to_json(F.struct("*"))).take(sample)]
+        # A few rows by a limit, so that they stay in the one query and out of its text.
+        few = df.select(F.to_json(F.struct("*")).alias("row")).limit(sample).agg(F.collect_list("row").alias("sample"))
         counted = df.agg(F.count(F.lit(1)).alias("row_count"))
+        # One row on either side.
         parts.append(
-            counted.select(
-                F.lit(name).alias("table_name"), F.lit(columns).alias("columns"), "row_count", F.array(*[F.lit(row) for row in rows]).alias("sample")
+            counted.join(few, F.lit(True)).select(
+                F.lit(name).alias("table_name"), F.lit(columns).alias("columns"), "row_count", "sample"
             )
         )
     return union_all(parts)

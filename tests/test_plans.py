@@ -204,6 +204,15 @@ def test_read_only_sql(spark):
     failed = adhoc.execute(spark, "SELECT nothing FROM twenty")
     assert not failed.success and failed.row_count == 0 and "nothing" in failed.error
     assert adhoc.read_only_sql(spark, "SELECT :v AS v", {"v": "x'; DROP TABLE t"}).first().v == "x'; DROP TABLE t"
+    assert adhoc.read_only_sql(spark, "SELECT id FROM twenty WHERE 'update' <> 'drop' -- delete").count() == 20
+    for refused in (
+        "SELECT reflect('java.lang.System', 'getProperty', 'user.dir')",
+        "SELECT `java_method` ('java.lang.System', 'getProperty', 'user.dir')",
+        "SELECT try_reflect/* */('java.lang.System', 'getProperty', 'user.dir')",
+        "SELECT * FROM parquet.`/tmp/x`",
+    ):
+        with pytest.raises(adhoc.RejectedQuery):
+            adhoc.read_only_sql(spark, refused)
     for refused in ("DROP TABLE twenty", "SELECT 1; delete from twenty", "selection", "WITH x AS (SELECT 1) INSERT INTO t"):
         with pytest.raises(adhoc.RejectedQuery):
             adhoc.read_only_sql(spark, refused)

@@ -220,3 +220,17 @@ def test_stages_on_an_empty_table(spark):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, SF)
     assert docs.count() == 0
+
+
+def test_centroids_that_would_link_are_thinned():
+    draw = np.random.default_rng(5)
+    group = draw.normal(size=8) + 0.01 * draw.normal(size=(1500, 8))
+    table = vector_graph.unit_rows(np.concatenate([group, draw.normal(size=(700, 8))])).astype(np.float32)
+    stay = vector_graph.apart(table, 0.93)
+    close = table @ table[stay].T
+    assert stay[0] == 0 and (stay < 1500).sum() == 1
+    assert (close.max(axis=1) >= 0.93).all()
+    between = close[stay]
+    np.fill_diagonal(between, -1)
+    assert between.max() < 0.93
+    assert len(vector_graph.apart(table[:0], 0.93)) == 0

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import io
+import itertools
 import logging
 import re
 import sys
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from xml.etree import ElementTree
 
 import pandas as pd
@@ -16,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from comarca.functions.scalars import coerce_number
 from comarca.sources.files import file_name, missing_path
 
 # Tasks get this module's functions by value, so executors need no installed package.
@@ -25,6 +27,8 @@ SURVEY_YEAR = 2019
 _BATCH = 10_000
 _MAIN = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
 _RELATION = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}id"
+# What the cells of a column hold, from narrow to wide; a column of several takes the widest.
+_EMPTY, _WHOLE, _NUMBER, _TEXT = range(4)
 
 
 def province_of_file(file_name: Column) -> Column:
@@ -51,75 +55,142 @@ def _column_index(reference: str) -> int:
     return index - 1
 
 
-def sheet_rows(content: bytes) -> Iterator[list[str | None]]:
-    """Cells of the first sheet as text, row by row."""
+def _cell(cell: ElementTree.Element, shared: Sequence[str]) -> tuple[str, bool] | None:
+    """Text of a cell and whether it is stored as a number; None where it is empty or an error."""
+    kind, value = cell.get("t", "n"), cell.find(f"{_MAIN}v")
+    if kind == "inlineStr":
+        return "".join(t.text or "" for t in cell.iter(f"{_MAIN}t")), False
+    if value is None or value.text is None or kind == "e":
+        return None
+    if kind == "s":
+        return shared[int(value.text)], False
+    if kind == "b":
+        return "true" if value.text == "1" else "false", False
+    return value.text, kind == "n"
+
+
+def sheet_cells(content: bytes) -> Iterator[list[tuple[str, bool] | None]]:
+    """Cells of the first sheet, row by row; rows already read don't stay in memory."""
     with zipfile.ZipFile(io.BytesIO(content)) as book:
         shared = []
         if "xl/sharedStrings.xml" in book.namelist():
             for item in ElementTree.fromstring(book.read("xl/sharedStrings.xml")):
                 shared.append("".join(t.text or "" for t in item.iter(f"{_MAIN}t")))
         with book.open(_first_sheet(book)) as sheet:
-            for _, row in ElementTree.iterparse(sheet):
-                if row.tag != f"{_MAIN}row":
-                    continue
-                cells: list[str | None] = []
-                for cell in row:
-                    at = _column_index(cell.get("r")) if cell.get("r") else len(cells)
-                    cells.extend([None] * (at + 1 - len(cells)))
-                    value = cell.find(f"{_MAIN}v")
-                    if cell.get("t") == "inlineStr":
-                        cells[at] = "".join(t.text or "" for t in cell.iter(f"{_MAIN}t"))
-                    elif value is not None and cell.get("t") == "s":
-                        cells[at] = shared[int(value.text)]
-                    elif value is not None:
-                        cells[at] = value.text
-                yield cells
-                row.clear()
-
-
-def _binary_files(spark: SparkSession, folder: str) -> DataFrame:
+            data = None
+            for event, element in ElementTree.iterparse(sheet, ("start", "end")):
+                if event == "start":
+                    data = element if element.tag == f"{_MAIN}sheetData" else data
+                elif element.tag == f"{_MAIN}row":
+                    cells: list[tuple[str, bool] | None] = []
+                    for cell in element:
+                        at = _column_index(cell.get("r")) if cell.get("r") else len(cells)
+                        cells.extend([None] * (at + 1 - len(cells)))
+                        cells[at] = _cell(cell, shared)
+                    yield cells
+                    data.clear()
+
+
+def column_names(header: Sequence[str | None]) -> list[str]:
+    """A name for every column: repeated ones get ``.1``, ``.2``, blank ones ``Unnamed: <place from 0>``."""
+    names: list[str] = []
+    for at, text in enumerate(header):
+        name = first = text or f"Unnamed: {at}"
+        again = 0
+        while name in names:
+            again += 1
+            name = f"{first}.{again}"
+        names.append(name)
+    return names
+
+
+def _kind(text: str, number: bool) -> int:
+    if not number:
+        return _TEXT
+    return _WHOLE if re.fullmatch(r"-?\d{1,18}", text) else _NUMBER
+
+
+def sheet_columns(content: bytes) -> list[tuple[int, str, int]]:
+    """``(place, name, kind)`` of every column that has a header or a filled cell."""
+    rows = sheet_cells(content)
+    header = [cell[0] if cell else None for cell in next(rows, [])]
+    kinds = [_EMPTY] * len(header)
+    for row in rows:
+        kinds.extend([_EMPTY] * (len(row) - len(kinds)))
+        for at, cell in enumerate(row):
+            if cell:
+                kinds[at] = max(kinds[at], _kind(*cell))
+    header.extend([None] * (len(kinds) - len(header)))
+    columns = zip(itertools.count(), column_names(header), kinds)
+    return [(at, name, kind) for at, name, kind in columns if header[at] or kind != _EMPTY]
+
+
+def _binary_files(spark: SparkSession, folder: str, recursive: bool) -> DataFrame:
     return (
         spark.read.format("binaryFile")
-        .options(pathGlobFilter="*.xlsx", recursiveFileLookup=True)
+        .options(pathGlobFilter="*.xlsx", recursiveFileLookup=recursive)
         .load(folder)
         .withColumn("source_file", file_name())
     )
 
 
-def list_provinces(spark: SparkSession, folder: str) -> DataFrame:
+def list_provinces(spark: SparkSession, folder: str, recursive: bool = False) -> DataFrame:
     """Sorted province names, from file names alone: no content is read."""
-    names = _binary_files(spark, folder).select(province_of_file(F.col("source_file")).alias("provincia"))
-    return names.orderBy("provincia")
+    files = _binary_files(spark, folder, recursive)
+    return files.select(province_of_file(F.col("source_file")).alias("provincia")).orderBy("provincia")
 
 
-def _sheet_headers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _layouts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        names: list[list[str]] = []
+        found: list[tuple[int, str, int]] = []
         for file_name, content in zip(batch["source_file"], batch["content"]):
             try:
-                names.append([c for c in next(sheet_rows(content), []) if c])
+                found.extend(sheet_columns(content))
             except Exception as error:
                 logging.getLogger("comarca").error("skipped %s: %s", file_name, error)
-        yield pd.DataFrame({"names": names}, dtype=object)
+        yield pd.DataFrame(found, columns=["place", "name", "kind"])
+
+
+def _found_columns(files: DataFrame) -> list[T.StructField]:
+    """Columns of all workbooks: whole numbers, numbers, or text where any cell is text."""
+    types = {_WHOLE: T.LongType(), _NUMBER: T.DoubleType()}
+    layouts = files.select("source_file", "content").mapInPandas(_layouts, "place int, name string, kind int")
+    # One row per column name, not per file.
+    merged = layouts.groupBy("name").agg(F.min("place").alias("place"), F.max("kind").alias("kind"))
+    rows = merged.orderBy("place", "name").collect()
+    return [T.StructField(row["name"], types.get(row["kind"], T.StringType())) for row in rows]
+
+
+def _typed(field: T.StructField) -> Column:
+    cell = F.col("`" + field.name.replace("`", "``") + "`")
+    if isinstance(field.dataType, T.NumericType):
+        return coerce_number(cell, field.dataType.simpleString()).alias(field.name)
+    return cell.try_cast(field.dataType).alias(field.name)
 
 
-def read_folder(spark: SparkSession, folder: str, schema: str | T.StructType | None = None) -> DataFrame:
+def read_folder(
+    spark: SparkSession,
+    folder: str,
+    schema: str | T.StructType | None = None,
+    declared_only: bool = False,
+    recursive: bool = False,
+) -> DataFrame:
     """First sheet of every workbook, stacked by column name, plus file-name columns.
 
-    Without ``schema`` the header rows are read first and all cells stay text.
-    A workbook that cannot be read adds no rows.
+    Columns that ``schema`` does not name follow it, with the type their cells have;
+    ``declared_only`` leaves them out and saves the look at the files. Repeated and
+    blank headers keep their columns, see ``column_names``. A workbook that cannot be
+    read to its end adds no rows: each sheet is gone through once before its rows are
+    handed on, a batch at a time. Subfolders are read only if ``recursive``.
     """
-    files = None if missing_path(spark, folder) else _binary_files(spark, folder)
-    if schema is None:
-        names: list[str] = []
-        if files is not None:
-            found = files.mapInPandas(_sheet_headers, "names array<string>").distinct().orderBy("names")
-            names = list(dict.fromkeys(name for row in found.collect() for name in row.names))
-        struct = T.StructType([T.StructField(name, T.StringType()) for name in names])
+    if schema is None or isinstance(schema, T.StructType):
+        declared = schema or T.StructType([])
     else:
-        struct = schema if isinstance(schema, T.StructType) else spark.createDataFrame([], schema).schema
-    text = T.StructType([T.StructField(name, T.StringType()) for name in struct.names])
-    text = text.add("source_file", T.StringType())
+        declared = spark.createDataFrame([], schema).schema
+    files = None if missing_path(spark, folder) else _binary_files(spark, folder, recursive)
+    found = [] if files is None or (declared_only and schema is not None) else _found_columns(files)
+    taken = {*declared.names, "source_file"}
+    struct = T.StructType([*declared, *(f for f in found if f.name not in taken)])
     if files is None:
         return with_file_columns(spark.createDataFrame([], struct.add("source_file", T.StringType())))
     columns = struct.names
@@ -128,19 +199,20 @@ def read_folder(spark: SparkSession, folder: str, schema: str | T.StructType | N
         for batch in batches:
             for file_name, content in zip(batch["source_file"], batch["content"]):
                 try:
-                    header, *rows = list(sheet_rows(content)) or [[]]
+                    place = {name: at for at, name, _ in sheet_columns(content)}
                 except Exception as error:
                     logging.getLogger("comarca").error("skipped %s: %s", file_name, error)
                     continue
-                position = {name: i for i, name in enumerate(header) if name}
-                for start in range(0, len(rows), _BATCH):
-                    part = rows[start : start + _BATCH]
+                rows = itertools.islice(sheet_cells(content), 1, None)
+                while part := list(itertools.islice(rows, _BATCH)):
                     picked = {
-                        name: [row[at] if at is not None and at < len(row) else None for row in part]
-                        for name, at in ((name, position.get(name)) for name in columns)
+                        name: [row[at][0] if at < len(row) and row[at] else None for row in part]
+                        if (at := place.get(name)) is not None
+                        else [None] * len(part)
+                        for name in columns
                     }
                     yield pd.DataFrame({**picked, "source_file": [file_name] * len(part)}, dtype=object)
 
+    text = T.StructType([T.StructField(name, T.StringType()) for name in [*columns, "source_file"]])
     cells = files.select("source_file", "content").mapInPandas(read_sheets, text)
-    typed = [F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in struct]
-    return with_file_columns(cells.select(*typed, "source_file"))
+    return with_file_columns(cells.select(*[_typed(field) for field in struct], "source_file"))

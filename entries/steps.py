@@ -403,7 +403,7 @@ def _municipalities(spark, sf_dir):
     )
 
 
-_DIM = """dim AS (SELECT CAST(ROW_NUMBER() OVER (ORDER BY codigo_municipio) AS BIGINT) AS id_municipio, * FROM (
+_DIM = """dim AS (SELECT CAST(codigo_municipio AS INTEGER) AS id_municipio, * FROM (
     SELECT lpad(CAST(l_partkey AS VARCHAR), 7, '0') AS codigo_municipio,
       MIN('Municipio ' || l_partkey) AS nombre_municipio, CAST(MIN(l_suppkey) AS INTEGER) AS codigo_provincia
     FROM lineitem GROUP BY 1))"""

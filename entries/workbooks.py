@@ -21,7 +21,11 @@ _PACKAGE = "http://schemas.openxmlformats.org/package/2006"
 
 
 def _letter(index: int) -> str:
-    return chr(ord("A") + index)
+    letters, rest = "", index + 1
+    while rest:
+        rest, letter = divmod(rest - 1, 26)
+        letters = chr(ord("A") + letter) + letters
+    return letters
 
 
 def workbook(pdf: pd.DataFrame) -> bytes:

@@ -81,7 +81,12 @@ def books(tmp_path):
 
 
 def test_workbooks_by_declared_columns(spark, books):
-    df = workbook.read_folder(spark, books, "municipio string, pib double, n long")
+    layout = "municipio string, pib double, n long"
+    df = workbook.read_folder(spark, books, layout, declared_only=True)
+    wide = workbook.read_folder(spark, books, layout)
+    assert wide.columns == ["municipio", "pib", "n", "otro", "source_file", "provincia", "anio"]
+    assert as_set(wide.drop("otro")) == as_set(df)
+    assert as_set(wide, "otro") == {(None,), ("x",)}
     assert as_set(df) == {
         ("A & B", 1.5, 1, "Coruña 2019.xlsx", "Coruña", 2019),
         ("C", None, 2, "Coruña 2019.xlsx", "Coruña", 2019),
@@ -91,7 +96,31 @@ def test_workbooks_by_declared_columns(spark, books):
 
 def test_workbooks_by_their_own_headers(spark, books):
     df = workbook.read_folder(spark, books)
-    assert as_set(df, "municipio", "pib", "otro") == {("A & B", "1.5", None), ("C", None, None), (None, "3.0", "x")}
+    assert as_set(df, "municipio", "pib", "otro") == {("A & B", 1.5, None), ("C", None, None), (None, 3.0, "x")}
+    assert dict(df.dtypes)["n"] == "bigint" and dict(df.dtypes)["pib"] == "double"
+
+
+def test_workbooks_keep_repeated_blank_and_mixed_columns(spark, tmp_path):
+    wide = pd.DataFrame([["a", 1, 2, 3.5, "t"], ["b", 6, 4, None, 7]], columns=["name", "v", "v", None, "mixed"])
+    (tmp_path / "A 2019.xlsx").write_bytes(make_workbook(wide))
+    (tmp_path / "below").mkdir()
+    (tmp_path / "below" / "B 2019.xlsx").write_bytes(make_workbook(pd.DataFrame({"name": ["c"]})))
+    df = workbook.read_folder(spark, str(tmp_path))
+    assert df.dtypes[:5] == [("name", "string"), ("v", "bigint"), ("v.1", "bigint"), ("Unnamed: 3", "double"), ("mixed", "string")]
+    cells = {tuple(r)[:5] for r in df.collect()}
+    assert cells == {("a", 1, 2, 3.5, "t"), ("b", 6, 4, None, "7")}
+    assert workbook.read_folder(spark, str(tmp_path), recursive=True).count() == 3
+
+
+def test_workbooks_past_column_z_and_in_batches(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(workbook, "_BATCH", 2)
+    names = [f"c{i}" for i in range(60)]
+    sheet = pd.DataFrame([[i * 100 + j for j in range(60)] for i in range(5)], columns=names)
+    (tmp_path / "A 2019.xlsx").write_bytes(make_workbook(sheet))
+    whole = make_workbook(sheet)
+    (tmp_path / "Cut 2019.xlsx").write_bytes(whole[: len(whole) // 2])
+    df = workbook.read_folder(spark, str(tmp_path))
+    assert as_set(df, "c0", "c26", "c59") == {(i * 100, i * 100 + 26, i * 100 + 59) for i in range(5)}
 
 
 def test_workbook_with_shared_strings(spark, tmp_path):

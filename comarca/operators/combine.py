@@ -5,11 +5,11 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from comarca import schemas
-from comarca.operators.ordered import number_rows
 from comarca.sinks.pinned import pin
 
 
@@ -34,14 +34,41 @@ def lookup_codes(
     return df.join(F.broadcast(listed), F.col(name) == F.col("_name"), "left").drop("_name")
 
 
+def conform(df: DataFrame, table: str) -> DataFrame:
+    """The declared columns of a star table, in their order and types.
+
+    Columns ``df`` lacks are NULL, undeclared ones are left out. A text longer than
+    declared is an error, as it would be in a database.
+    """
+
+    def column(field: T.StructField):
+        value = F.col(field.name) if field.name in df.columns else F.lit(None)
+        if not isinstance(field.dataType, T.VarcharType):
+            return value.cast(field.dataType).alias(field.name)
+        text, most = value.cast("string"), field.dataType.length
+        refused = F.raise_error(F.concat(F.lit(f"{field.name} is longer than {most}: "), text))
+        return F.when(text.isNull() | (F.length(text) <= most), text).otherwise(refused).alias(field.name)
+
+    return df.select(*[column(field) for field in schemas.STAR_SCHEMA[table]])
+
+
 def province_dimension(
     facts: DataFrame, code: str = "codigo_provincia", name: str = "nombre_provincia"
 ) -> DataFrame:
     """One row per province, keyed by its own code."""
     dim = facts.where(F.col(code).isNotNull()).groupBy(F.col(code).cast("int").alias("codigo_provincia"))
     named = dim.agg(F.min(F.col(name).cast("string")).alias("nombre_provincia"))
-    stamped = named.withColumn("created_at", F.current_timestamp())
-    return stamped.select(*schemas.STAR_SCHEMA["dim_provincia"].names)
+    return conform(named.withColumn("created_at", F.current_timestamp()), "dim_provincia")
+
+
+def municipality_key(code: Column) -> Column:
+    """A whole number made of the code alone, so that it stays when other codes are added.
+
+    Codes of 5 to 9 digits, as the statistics office gives them, are their own number;
+    any other code has a negative hash.
+    """
+    number = F.when(code.rlike("^[0-9]{5,9}$"), code.try_cast("int"))
+    return F.coalesce(number, (F.lit(-1) - F.pmod(F.xxhash64(code), F.lit(1 << 31))).cast("int"))
 
 
 def municipality_dimension(
@@ -50,7 +77,7 @@ def municipality_dimension(
     name: str = "nombre_municipio",
     province: str = "codigo_provincia",
 ) -> DataFrame:
-    """One row per municipality code, numbered from 1 in code order."""
+    """One row per municipality code, keyed by ``municipality_key``; codes that share a key are an error."""
     distinct = (
         facts.where(F.col(code).isNotNull())
         .groupBy(F.col(code).cast("string").alias("codigo_municipio"))
@@ -59,9 +86,13 @@ def municipality_dimension(
             F.min(F.col(province).cast("int")).alias("codigo_provincia"),
         )
     )
-    numbered = number_rows(distinct, ["codigo_municipio"], "id_municipio")
-    stamped = numbered.withColumn("created_at", F.current_timestamp())
-    return stamped.select(*schemas.STAR_SCHEMA["dim_municipio"].names)
+    keyed = distinct.groupBy(municipality_key(F.col("codigo_municipio")).alias("id_municipio")).agg(
+        F.min(F.struct(*distinct.columns)).alias("row"), F.max("codigo_municipio").alias("last")
+    )
+    shared = F.raise_error(F.concat(F.lit("codes share a key: "), F.col("row.codigo_municipio"), F.lit(", "), F.col("last")))
+    one = F.when(F.col("row.codigo_municipio") == F.col("last"), F.col("last")).otherwise(shared)
+    named = keyed.select("id_municipio", "row.*", one.alias("only")).withColumn("codigo_municipio", F.col("only"))
+    return conform(named.withColumn("created_at", F.current_timestamp()), "dim_municipio")
 
 
 def attach_dimension(facts: DataFrame, dimension: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:

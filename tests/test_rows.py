@@ -4,6 +4,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from comarca import schemas
 from comarca.operators import combine, duplicates, missing, ordered
 from tests.conftest import as_rows, as_set
 
@@ -158,15 +159,39 @@ def test_lookup(spark):
 
 
 def test_dimensions_and_their_join(spark):
-    rows = [(1, "A", "0100", "m1", 5), (1, "A", "0100", "m1", 6), (2, "B", "0020", "m2", 7), (None, None, None, None, 8)]
+    rows = [(1, "A", "01001", "m1", 5), (1, "A", "01001", "m1", 6), (2, "B", "02020", "m2", 7), (None, None, None, None, 8)]
     facts = spark.createDataFrame(
         rows, "codigo_provincia long, nombre_provincia string, codigo_municipio string, nombre_municipio string, n long"
     )
     assert as_set(combine.province_dimension(facts).drop("created_at")) == {(1, "A"), (2, "B")}
     dim = combine.municipality_dimension(facts)
-    assert as_set(dim.drop("created_at")) == {(1, "0020", "m2", 2), (2, "0100", "m1", 1)}
+    assert as_set(dim.drop("created_at")) == {(1001, "01001", "m1", 1), (2020, "02020", "m2", 2)}
+    assert dict(dim.dtypes)["id_municipio"] == "int"
     joined = combine.attach_dimension(facts.select("codigo_municipio", "n"), dim, "codigo_municipio", ["id_municipio"])
-    assert as_set(joined, "n", "id_municipio") == {(5, 2), (6, 2), (7, 1), (8, None)}
+    assert as_set(joined, "n", "id_municipio") == {(5, 1001), (6, 1001), (7, 2020), (8, None)}
+
+
+def test_municipality_keys_do_not_depend_on_other_codes(spark):
+    codes = ["x1", "01001", "12", "1234567890"]
+    rows = [(1, code, "m") for code in codes]
+    layout = "codigo_provincia int, codigo_municipio string, nombre_municipio string"
+    every = as_set(combine.municipality_dimension(spark.createDataFrame(rows, layout)), "codigo_municipio", "id_municipio")
+    few = as_set(combine.municipality_dimension(spark.createDataFrame(rows[:2], layout)), "codigo_municipio", "id_municipio")
+    assert few < every and len(every) == 4
+    assert all((key == 1001) if code == "01001" else key < 0 for code, key in every)
+    clash = spark.createDataFrame([(1, "01001", "m"), (1, "001001", "m")], layout)
+    with pytest.raises(Exception, match="codes share a key: 001001, 01001"):
+        combine.municipality_dimension(clash).collect()
+
+
+def test_declared_columns_and_types(spark):
+    facts = spark.sql("SELECT 7L AS id, '01001' AS codigo_municipio, 'Total' AS sexo, 2023L AS periodo, 5.0D AS total_poblacion, 1 AS other")
+    found = combine.conform(facts, "fact_poblacion_municipio")
+    assert found.columns == schemas.STAR_SCHEMA["fact_poblacion_municipio"].names
+    assert tuple(found.first()) == (7, None, "01001", "Total", 2023, 5, None)
+    long = facts.withColumn("sexo", F.lit("x" * 21))
+    with pytest.raises(Exception, match="sexo is longer than 20"):
+        combine.conform(long, "fact_poblacion_municipio").collect()
 
 
 def test_dimension_join_without_broadcast(spark):

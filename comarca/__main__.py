@@ -9,6 +9,7 @@ import sys
 from comarca.plans.etl import Run
 from comarca.session import build_session
 from comarca.sinks import registry
+from comarca.sources.files import missing_path
 from comarca.sources.registry import open_data_readers
 
 PHASES = ("all", "extract", "transform", "load")
@@ -19,6 +20,7 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     parser.add_argument("--root", required=True, help="folder of the raw sources")
     parser.add_argument("--target", "-t", action="append", choices=[*registry.TARGETS, "all"], help="default: table")
     parser.add_argument("--phase", "-p", choices=PHASES, default="all")
+    parser.add_argument("--staging", help="folder that hands transformed sources to a later --phase load")
     parser.add_argument("--output", help="folder of the file and object_store targets")
     parser.add_argument("--jdbc-url", help="database of the warehouse target")
     parser.add_argument("--log-level", "-l", choices=["DEBUG", "INFO", "WARNING", "ERROR"], default="INFO")
@@ -29,6 +31,8 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
         parser.error("the file and object_store targets need --output")
     if "warehouse" in targets and not arguments.jdbc_url:
         parser.error("the warehouse target needs --jdbc-url")
+    if arguments.phase == "load" and not arguments.staging:
+        parser.error("the load phase needs the --staging folder of a transform phase")
     return arguments
 
 
@@ -46,8 +50,14 @@ def main(argv: list[str] | None = None) -> int:
     arguments = _arguments(argv)
     logging.basicConfig(level=arguments.log_level, filename=arguments.log_file)
     spark = build_session()
-    run = Run(spark, open_data_readers(arguments.root), _loaders(arguments), arguments.target or ["table"])
-    if arguments.phase in ("all", "load"):
+    if arguments.phase != "load" and arguments.staging and not missing_path(spark, arguments.staging):
+        logging.getLogger("comarca").error("%s holds an earlier run", arguments.staging)
+        return 1
+    targets = arguments.target or ["table"]
+    run = Run(spark, open_data_readers(arguments.root), _loaders(arguments), targets, staging=arguments.staging)
+    if arguments.phase == "load":
+        success = run.load_staged()
+    elif arguments.phase == "all":
         success = run.run()
     else:
         data = run.extract()

@@ -13,6 +13,7 @@ import time
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from comarca.operators.combine import union_all
@@ -73,10 +74,13 @@ class Run:
     transforms: Mapping[str, Transform] = field(default_factory=lambda: dict(TRANSFORMS))
     # Whether a source whose transform failed is loaded as it was read.
     load_untransformed: bool = False
+    # Where phases leave their Parquet; a fresh folder unless named. A named one serves one
+    # run and a later run of its load phase.
+    staging: str | None = None
 
     def __post_init__(self) -> None:
         self.targets = expand_targets(self.targets)
-        self.staging = scratch_path(self.spark, "run")
+        self.staging = self.staging or scratch_path(self.spark, "run")
         self.errors: dict[str, str] = {}
         self.steps: dict[str, StepLog] = {}
         self.loads = LoadLog()
@@ -90,7 +94,8 @@ class Run:
         start = time.monotonic()
         ok = name not in self.errors
         try:
-            staged = stage_parquet(df, f"{self.staging}/{phase}/{name}")
+            # What failed is kept apart, so that a later load does not take it.
+            staged = stage_parquet(df, f"{self.staging}/{phase if ok else f'{phase}-failed'}/{name}")
             rows = staged.count()
         except Exception as error:
             log.error("%s of %s failed: %s", phase, name, error)
@@ -122,6 +127,22 @@ class Run:
                 results[target] |= loaded
         return results
 
+    def load_staged(self) -> bool:
+        """The load phase alone, over what the transform phase left in ``staging``."""
+        data = {}
+        for name in self.readers:
+            try:
+                data[name] = self.spark.read.parquet(f"{self.staging}/transform/{name}")
+            except AnalysisException as error:
+                log.error("%s is not staged: %s", name, error)
+                self.errors[name] = str(error)
+        try:
+            results = self.load(data)
+        except Exception as error:
+            log.error("load failed: %s", error)
+            return False
+        return not self.errors and all(ok for loaded in results.values() for ok in loaded.values())
+
     def run(self) -> bool:
         """All phases; True only if nothing failed and every source reached every target.
 

@@ -108,6 +108,31 @@ def test_phases_can_run_alone(spark, tmp_path):
     assert {row.phase for row in run.metrics().collect()} == {"extract", "transform"}
 
 
+def test_load_phase_alone(spark, tmp_path):
+    _raw(tmp_path)
+    stage = ["--root", str(tmp_path), "--staging", f"{tmp_path}/staged"]
+    files = ["-t", "file", "--output", f"{tmp_path}/out"]
+    with pytest.raises(SystemExit):
+        main(["--root", str(tmp_path), "--phase", "load"])
+    assert main([*stage, "--phase", "load", *files]) == 1
+    assert main([*stage, "--phase", "transform"]) == 0
+    assert main([*stage, "--phase", "transform"]) == 1
+    assert main([*stage, "--phase", "load", *files]) == 0
+    assert [p.name for p in (tmp_path / "out").iterdir()]
+
+
+def test_load_phase_leaves_out_what_failed(spark, tmp_path):
+    def fail(df, log):
+        raise ValueError("no")
+
+    readers = {"good": lambda s: s.range(4), "bad": lambda s: s.range(2)}
+    first = Run(spark, readers, {}, transforms={"bad": fail}, staging=f"{tmp_path}/staged")
+    first.transform(first.extract())
+    later = Run(spark, readers, {"file": registry.file_loader(f"{tmp_path}/out")}, ["file"], staging=first.staging)
+    assert not later.load_staged() and set(later.errors) == {"bad"}
+    assert as_set(later.metrics(), "phase", "source", "rows") == {("load", "good", 4)}
+
+
 def test_command_line(spark, tmp_path):
     _raw(tmp_path)
     out = f"{tmp_path}/out"

@@ -3,7 +3,9 @@
 Sources are put in order, weighted and given targets; Sainte-Laguë quotients
 deal equal blocks of tokens to the sources shard by shard; each source's
 documents, in a seeded order, are cut into such blocks, and seeded ranks choose
-which blocks the mix takes. DataFrame operations only.
+which blocks the mix takes. A source of few blocks, for which a block is too coarse,
+takes its target to the word instead: whole rounds, and the first words of the seeded
+order once more. DataFrame operations only.
 
 Defined results: a NULL text has size 0; a NULL source is a source of its own,
 last in order; documents of size 0 are kept and take nothing; repeated rows are
@@ -20,6 +22,8 @@ from comarca.sinks.pinned import pin
 
 CEILING = 3
 BLOCKS_PER_SOURCE = 200
+# A source whose size or target is below so many blocks takes its words without blocks.
+FEW_BLOCKS = 50
 SHARDS = 8
 SEED = 17
 # Rows that one window over a bucket of the seeded order holds on average.
@@ -67,10 +71,19 @@ def source_targets(sizes: DataFrame, ceiling: int = CEILING, weights: tuple[int,
 
 
 def with_block_size(targets: DataFrame, blocks_per_source: int = BLOCKS_PER_SOURCE) -> DataFrame:
-    """Adds ``block``, the words of a block, and ``seats``, the number of blocks of the whole mix."""
+    """Adds ``block``, the words of a block, ``seats``, the number of blocks of the mix, and ``exact``.
+
+    ``exact`` holds the words that a source of few blocks takes, and is NULL for the
+    others, which share the seats.
+    """
     everything = Window.partitionBy()
     block = F.greatest(F.lit(1).cast("long"), F.ceil(F.col("total") / (F.count(F.lit(1)).over(everything) * blocks_per_source)))
-    return targets.withColumn("block", block).withColumn("seats", F.round(F.col("total") / F.col("block")).cast("long"))
+    few = F.least(F.col("source_size").cast("double"), "target") < F.col("block") * FEW_BLOCKS
+    dealt = F.col("total") - F.coalesce(F.sum("exact").over(everything), F.lit(0))
+    return (
+        targets.withColumn("block", block).withColumn("exact", F.when(few, F.round("target").cast("long")))
+        .withColumn("seats", F.round(dealt / F.col("block")).cast("long"))
+    )
 
 
 def block_quotas(targets: DataFrame, shards: int = SHARDS, ceiling: int = CEILING) -> DataFrame:
@@ -84,7 +97,7 @@ def block_quotas(targets: DataFrame, shards: int = SHARDS, ceiling: int = CEILIN
         # No source gets more blocks than its ceiling holds.
         targets.withColumn("most", F.floor(F.col("source_size") * ceiling / F.col("block")))
         .withColumn("likely", F.least("most", F.ceil(F.col("target") / F.col("block")) * 2 + 8))
-        .where("likely > 0")
+        .where("likely > 0 AND exact IS NULL")
         .select("rank", "seats", "target", F.explode(F.sequence(F.lit(0).cast("long"), F.col("likely") - 1)).alias("k"))
     )
     highest = Window.orderBy((F.col("target") / (F.col("k") * 2 + 1)).desc(), "rank", "k")
@@ -97,11 +110,12 @@ def chosen_blocks(targets: DataFrame, quotas: DataFrame, seed: int = SEED, ceili
     """Every block of every source: how often the mix takes it, and the words it takes from the blocks before.
 
     A source whose quota is more than its blocks has each of them taken
-    ``quota // blocks`` times; seeded ranks choose those that are taken once more.
+    ``quota // blocks`` times; seeded ranks choose those that are taken once more. A
+    source of few blocks has two: its words up to ``cut_of`` and those behind.
     """
     quota = quotas.groupBy(F.col("rank").alias("of")).agg(F.sum("quota").alias("quota"))
     blocks = (
-        targets.where("source_size > 0").join(quota, F.col("rank") == F.col("of"), "left")
+        targets.where("source_size > 0 AND exact IS NULL").join(quota, F.col("rank") == F.col("of"), "left")
         .withColumn("blocks", F.ceil(F.col("source_size") / F.col("block")))
         .select("rank", "block", "source_size", F.coalesce("quota", F.lit(0)).alias("quota"), "blocks",
                 F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("no"))
@@ -111,9 +125,24 @@ def chosen_blocks(targets: DataFrame, quotas: DataFrame, seed: int = SEED, ceili
     times = F.least(F.lit(ceiling).cast("long"), F.floor(F.col("quota") / F.col("blocks")) + extra)
     words = F.least("block", F.col("source_size") - F.col("no") * F.col("block"))
     before = Window.partitionBy("rank").orderBy("no").rowsBetween(Window.unboundedPreceding, -1)
-    return blocks.withColumn("times", times).select(
-        "rank", "no", "times", F.coalesce(F.sum(F.col("times") * words).over(before), F.lit(0)).alias("taken_before")
+    dealt = blocks.withColumn("times", times).select(
+        "rank", "no", "times", (F.col("no") * F.col("block")).alias("start"),
+        F.coalesce(F.sum(F.col("times") * words).over(before), F.lit(0)).alias("taken_before"),
     )
+    few = targets.where("source_size > 0 AND exact IS NOT NULL").withColumn("cut", cut_of())
+    rounds = F.floor(F.col("exact") / F.col("source_size"))
+    zero = F.lit(0).cast("long")
+    parts = F.array(
+        F.struct(zero.alias("no"), (rounds + 1).alias("times"), zero.alias("start"), zero.alias("taken_before")),
+        F.struct((zero + 1).alias("no"), rounds.alias("times"), F.col("cut").alias("start"),
+                 ((rounds + 1) * F.col("cut")).alias("taken_before")),
+    )
+    return dealt.unionByName(few.select("rank", F.inline(parts)))
+
+
+def cut_of() -> Column:
+    """Words of a source of few blocks that are taken once more than the others."""
+    return F.col("exact") % F.greatest("source_size", F.lit(1).cast("long"))
 
 
 def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", keep: tuple[str, ...] = (),
@@ -171,12 +200,14 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
 
     def taken_upto(frame, position, at):
         """Adds ``at``: the words that the mix takes from the source up to ``position``."""
-        no = F.when(F.col("size") > 0, F.floor((F.col(position) - (1 if position == "end" else 0)) / F.col("block")))
-        side = blocks.select(F.col("rank").alias("r"), F.col("no").alias("n"), "times", "taken_before")
+        word = F.col(position) - (1 if position == "end" else 0)
+        no = F.when(F.col("exact").isNull(), F.floor(word / F.col("block"))).otherwise((word >= cut_of()).cast("long"))
+        no = F.when(F.col("size") > 0, no)
+        side = blocks.select(F.col("rank").alias("r"), F.col("no").alias("n"), "times", F.col("start").alias("s"), "taken_before")
         joined = frame.join(side, (F.col("rank") == F.col("r")) & (no == F.col("n")), "left")
         return joined.withColumn(
-            at, F.col("taken_before") + F.col("times") * (F.col(position) - F.col("n") * F.col("block"))
-        ).drop("r", "n", "times", "taken_before")
+            at, F.col("taken_before") + F.col("times") * (F.col(position) - F.col("s"))
+        ).drop("r", "n", "times", "s", "taken_before")
 
     both = taken_upto(taken_upto(placed, "begin", "first"), "end", "last")
     taken = F.coalesce(F.col("last") - F.col("first"), F.lit(0)).cast("long")

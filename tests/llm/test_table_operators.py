@@ -33,6 +33,21 @@ def test_mix_meets_targets_and_ceilings(spark):
     assert got[key].sort_values(key).reset_index(drop=True).equals(again[key].sort_values(key).reset_index(drop=True))
 
 
+def test_small_sources_beside_a_hot_one_meet_their_targets(spark):
+    rows = [(i, "w " * 100, "hot") for i in range(3000)]
+    rows += [(10_000 + 100 * k + i, "w " * (1 + i), f"s{k:02}") for k in range(30) for i in range(k % 7 + 1)]
+    rows += [(20_000 + i, "w " * 60, "t") for i in range(14)]
+    got = mixing.mix(docs_of(spark, rows)).toPandas()
+    by = got.groupby("source").agg(size=("size", "sum"), target=("target", "first"), taken=("taken", "sum"))
+    assert (by["target"].drop("hot") == 3 * by["size"].drop("hot")).all() and (by["taken"] > 0).all()
+    assert ((by["taken"] - by["target"]).abs() <= 0.02 * by["target"]).all()
+    # A remainder that is no whole round, and one source alone.
+    some = mixing.mix(docs_of(spark, [(i, "w " * 7, "ab"[i % 2]) for i in range(9)]), blocks_per_source=1).toPandas()
+    by = some.groupby("source").agg(target=("target", "first"), taken=("taken", "sum"))
+    assert ((by["taken"] - by["target"]).abs() <= 0.5).all()
+    assert mixing.mix(docs_of(spark, [(1, "one two three", "a")])).first()["taken"] == 3
+
+
 def test_mix_of_nothing(spark):
     assert mixing.mix(docs_of(spark, [])).count() == 0
     got = mixing.mix(docs_of(spark, [(1, None, None), (2, " ", "a")])).collect()

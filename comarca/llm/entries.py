@@ -73,7 +73,7 @@ FROM placed p LEFT JOIN blocks b ON b.rank = p.rank AND b.no * b.block < p.upto
 GROUP BY p.doc_id, p.size, p.source_size, p.target""",
 )
 def _(spark, sf_dir):
-    return mixing.mix(table(spark, sf_dir, "documents")).drop("source", "kept")
+    return mixing.mix(table(spark, sf_dir, "documents")).drop("source", "copies", "kept")
 
 
 @entry("op8_splitters")

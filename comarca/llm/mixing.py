@@ -147,11 +147,13 @@ def cut_of() -> Column:
 
 def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", keep: tuple[str, ...] = (),
         seed: int = SEED, blocks_per_source: int = BLOCKS_PER_SOURCE, shards: int = SHARDS, ceiling: int = CEILING) -> DataFrame:
-    """doc_id, source, size, source_size, target and taken (words, repeats counted) of every row.
+    """doc_id, source, size, source_size, target, taken (words, repeats counted) and copies of every row.
 
     A block that is taken k times takes each of its words k times, so a document
-    on the edge of a block may be taken in part. The columns named in ``keep``
-    come back in the struct ``kept``.
+    on the edge of a block may be taken in part. ``copies`` is taken / size, rounded
+    up or down by a seeded draw of the document whose mean is that quotient; of rows that
+    are equal, which share the draw, each takes over the remainder of the one before. The
+    columns named in ``keep`` come back in the struct ``kept``.
     """
     rows = docs.select(
         F.col(doc_id).alias("doc_id"),
@@ -211,4 +213,9 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
 
     both = taken_upto(taken_upto(placed, "begin", "first"), "end", "last")
     taken = F.coalesce(F.col("last") - F.col("first"), F.lit(0)).cast("long")
-    return both.select("doc_id", "source", "size", "source_size", "target", taken.alias("taken"), "kept")
+    draw = F.pmod(F.xxhash64(F.lit(seed), "doc_id", "tie"), F.greatest("size", F.lit(1).cast("long")))
+    copies = F.when(F.col("size") > 0, F.expr("(`last` + draw) div size - (`first` + draw) div size"))
+    return both.withColumn("draw", draw).select(
+        "doc_id", "source", "size", "source_size", "target", taken.alias("taken"),
+        F.coalesce(copies, F.lit(0)).cast("int").alias("copies"), "kept",
+    )

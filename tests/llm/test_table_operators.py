@@ -48,6 +48,20 @@ def test_small_sources_beside_a_hot_one_meet_their_targets(spark):
     assert mixing.mix(docs_of(spark, [(1, "one two three", "a")])).first()["taken"] == 3
 
 
+def test_long_documents_of_a_thinned_source_keep_their_share(spark):
+    rows = [(i, "l " * 800, "a") for i in range(45)] + [(100 + i, "s " * 40, "a") for i in range(300)]
+    rows += [(1000 + i, "w " * 40, "bc"[i % 2]) for i in range(800)]
+    docs = docs_of(spark, rows)
+    mixed = corpus_pipeline.mixed(spark, docs, SF).where("source = 'a'").toPandas()
+    found = mixing.mix(docs).where("source = 'a' AND size = 800").toPandas()
+    got = (mixed["text"].str.len() == 1600).sum() * 800
+    assert 0.7 * found["taken"].sum() <= got <= 1.3 * found["taken"].sum()
+    # Equal rows share a draw, not their fate.
+    same = docs_of(spark, [(None, "l " * 800, "a")] * 45 + rows[45:])
+    copies = mixing.mix(same).where("doc_id IS NULL").agg(F.sum("copies") * 800 - F.sum("taken")).first()[0]
+    assert abs(copies) <= 800
+
+
 def test_mix_of_nothing(spark):
     assert mixing.mix(docs_of(spark, [])).count() == 0
     got = mixing.mix(docs_of(spark, [(1, None, None), (2, " ", "a")])).collect()

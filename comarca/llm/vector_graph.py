@@ -7,8 +7,10 @@ what a greedy search for it visits. The adjacency lists of all shards are united
 node. Then every node searches each of its shards: greedily from the shard's medoid,
 and from what is in range on through every neighbour in range. Links are verified in
 double precision where they are found, and counted once, in the first shard that both
-ends share. A sample of nodes compared with all others measures recall; below the
-target the work is repeated with more overlap and wider searches.
+ends share. A sample of nodes compared with all others measures recall per node; below
+the target the work is repeated with more overlap and wider searches. If the last round
+is still below it, or too few of the largest sample have links to tell, all pairs within
+a label are compared, block by block.
 
 A shard with too many nodes is split into blocks at random; each pair of its blocks
 becomes a unit with a graph of its own, so no group of near copies fills a task.
@@ -30,6 +32,7 @@ from pyspark.sql import functions as F
 
 from comarca.llm.components import components
 from comarca.llm.frames import shuffle_partitions, uniform
+from comarca.llm.simhash_trie import Forest
 from comarca.sinks.pinned import pin
 
 THRESHOLD = 0.93
@@ -38,6 +41,9 @@ SEED = 67
 LEAST_SHARD, MOST_SHARD = 256, 4096
 MOST_CENTROIDS = 65_536
 AUDIT_NODES = 400
+# An audit asks more nodes until so many of them have links, up to so many times as many.
+LEAST_LINKED = 100
+MOST_AUDITS = 16
 TARGET_RECALL = 0.99
 
 
@@ -333,7 +339,7 @@ def links_of(nodes: DataFrame, search: Search, threshold: float) -> DataFrame:
         of, low, high = (int(rows[c].iloc[0]) for c in ("of", "low", "high"))
         width = max(len(s) for s in rows["shards"])
         shards = np.array([list(s) + [-2 - i] * (width - len(s)) for i, s in enumerate(rows["shards"])])
-        count, root = np.zeros(len(names), dtype=np.int64), np.arange(len(names))
+        count, forest = np.zeros(len(names), dtype=np.int64), Forest(len(names))
         for q, v in in_range(graph, x, exact, search, threshold):
             if low != high:
                 keep = own[q] != own[v]
@@ -343,9 +349,8 @@ def links_of(nodes: DataFrame, search: Search, threshold: float) -> DataFrame:
             keep = common.min(axis=1, initial=np.iinfo(np.int64).max) == of
             q, v = q[keep], v[keep]
             np.add.at(count, q, copies[v])
-            np.minimum.at(root, q, v)
-        some = count > 0
-        return pd.DataFrame({"node": names[some], "n": count[some], "root": names[root[some]]})
+            forest.link(q, v)
+        return counted_rows(names, count, forest)
 
     rows = units.join(united, F.col("node") == F.col("of_node")).drop("of_node")
     return dealt(rows).mapInPandas(
@@ -353,12 +358,56 @@ def links_of(nodes: DataFrame, search: Search, threshold: float) -> DataFrame:
     )
 
 
-def audited_recall(nodes: DataFrame, counted: DataFrame, threshold: float, sample: int) -> float:
-    """Share of links of about ``sample`` nodes, compared with all nodes, that were counted."""
-    total = nodes.count()
+def counted_rows(names: np.ndarray, count: np.ndarray, forest: Forest) -> pd.DataFrame:
+    some = (count > 0) | (forest.root != np.arange(len(names)))
+    return pd.DataFrame({"node": names[some], "n": count[some], "root": names[forest.root[some]]})
+
+
+def exact_links(nodes: DataFrame, threshold: float) -> DataFrame:
+    """As ``links_of``, from all pairs of a label: each pair of its blocks is compared in a unit of its own."""
+    partitions = shuffle_partitions(nodes.sparkSession)
+    shard = int(min(MOST_SHARD, max(LEAST_SHARD, nodes.count() // partitions)))
+    units = units_of(nodes.withColumn("shards", F.array(F.lit(-1).cast("long"))), shard)
+
+    def compare(rows):
+        names, copies, own = (rows[c].to_numpy() for c in ("node", "copies", "own"))
+        exact = unit_rows(rows["embedding"])
+        low, high = int(rows["low"].iloc[0]), int(rows["high"].iloc[0])
+        left, right = np.flatnonzero(own == low), np.flatnonzero(own == high)
+        count, forest = np.zeros(len(names), dtype=np.int64), Forest(len(names))
+        for first in range(0, len(left), 256):
+            a = left[first : first + 256]
+            close = (exact[a] @ exact[right].T >= threshold) & (a[:, None] != right[None, :])
+            count[a] += close @ copies[right]
+            if low != high:
+                count[right] += copies[a] @ close
+            q, v = np.nonzero(close)
+            forest.link(a[q], right[v])
+        return counted_rows(names, count, forest)
+
+    return dealt(units.select("unit", "node", "embedding", "copies", "own", "low", "high")).mapInPandas(
+        lambda batches: per_unit(batches, compare), "node long, n long, root long"
+    )
+
+
+def audited_recall(nodes: DataFrame, counted: DataFrame, threshold: float, sample: int) -> float | None:
+    """Share of a node's links that were counted, as the mean over sampled nodes that have any.
+
+    The sample grows until ``LEAST_LINKED`` of it have links; None if it does not get there.
+    """
+    total, most = nodes.count(), sample * MOST_AUDITS
+    while True:
+        linked, recall = audit(nodes, counted, threshold, sample, total)
+        if linked >= LEAST_LINKED or sample >= total:
+            return recall if linked else 1.0
+        if sample >= most:
+            return None
+        sample *= 4
+
+
+def audit(nodes: DataFrame, counted: DataFrame, threshold: float, sample: int, total: int) -> tuple[int, float | None]:
+    """Of about ``sample`` nodes, compared with all nodes: how many have links, and their mean recall."""
     asked = nodes.where(uniform("node", seed=SEED + 1) < sample / max(1, total)).select("node", "label", "embedding").collect()
-    if not asked:
-        return 1.0
     tables = {}
     for r in asked:
         tables.setdefault((r["label"], len(r["embedding"])), []).append((r["node"], r["embedding"]))
@@ -379,16 +428,14 @@ def audited_recall(nodes: DataFrame, counted: DataFrame, threshold: float, sampl
 
     true = nodes.select("node", "label", "embedding", "copies").mapInPandas(compare, "asked long, expected long")
     true = true.groupBy("asked").agg(F.sum("expected").alias("expected")).where("expected > 0")
-    row = true.join(counted, F.col("asked") == F.col("node"), "left").agg(
-        F.sum("expected"), F.sum(F.least("expected", F.coalesce("n", F.lit(0))))
-    ).first()
-    return row[1] / row[0] if row[0] else 1.0
+    share = F.least("expected", F.coalesce("n", F.lit(0))) / F.col("expected")
+    return tuple(true.join(counted, F.col("asked") == F.col("node"), "left").agg(F.count("expected"), F.avg(share)).first())
 
 
 def near_vectors(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding", label: str = "label",
                  threshold: float = THRESHOLD, search: Search = Search(), target: float = TARGET_RECALL,
                  audit_nodes: int = AUDIT_NODES, rounds: int = 3) -> DataFrame:
-    """(vec_id, n_links, component_id, kept, recall) of every row; ``recall`` is what the audit measured."""
+    """(vec_id, n_links, component_id, kept, recall) of every row; ``recall`` is what the audit measured, 1 where all pairs were compared."""
     rows = vectors.select(F.col(vec_id).alias("vec_id"), F.col(embedding).alias("embedding"), F.col(label).alias("label"))
     infinite = float("inf")
     usable = (
@@ -406,9 +453,12 @@ def near_vectors(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "e
         found = pin(links_of(nodes, search, threshold), "vector-links")
         counted = found.groupBy("node").agg(F.sum("n").alias("n"))
         recall = audited_recall(nodes, counted, threshold, audit_nodes)
-        if recall >= target or not left:
+        if recall is None or recall >= target or not left:
             break
         search = search.wider()
+    if recall is None or recall < target:
+        found = pin(exact_links(nodes, threshold), "vector-links")
+        counted, recall = found.groupBy("node").agg(F.sum("n").alias("n")), 1.0
     tree = components(found.select(F.col("node").alias("a"), F.col("root").alias("b")))
     named = (
         nodes.select("node", "first_id", "copies", F.col("label").alias("node_label"), F.col("embedding").alias("vector"))

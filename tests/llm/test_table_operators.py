@@ -216,6 +216,21 @@ def test_vectors_equal_brute_force(spark, monkeypatch, most):
     assert vector_graph.near_vectors(df.where("false")).count() == 0
 
 
+@pytest.mark.parametrize("beam, rounds", [(1, 1), (24, 3)])
+def test_vectors_below_the_target_are_compared_with_all(spark, monkeypatch, beam, rounds):
+    monkeypatch.setattr(vector_graph, "MOST_SHARD", 16)
+    monkeypatch.setattr(vector_graph, "LEAST_SHARD", 16)
+    turn = [np.deg2rad(18 * i) for i in range(3)]
+    rows = [(3 * g + i, [float(np.cos(a)), float(np.sin(a))], g) for g in range(20) for i, a in enumerate(turn)]
+    draw = np.random.default_rng(3)
+    rows += [(100 + i, (draw.normal(size=4)).tolist(), 50) for i in range(150)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    search = vector_graph.Search(overlap=1, degree=2, beam=beam)
+    got = vector_graph.near_vectors(df, search=search, rounds=rounds, target=1.0)
+    found = sorted(((r.vec_id, r.n_links, r.component_id) for r in got.collect()), key=str)
+    assert found == slow_links(rows, vector_graph.THRESHOLD) and got.first()["recall"] == 1.0
+
+
 @pytest.mark.parametrize("key", ["op1_quality_zstd", "op4_langid", "op9_toxicity_zstd"])
 def test_registered_scores_cover_the_table(spark, key):
     got = entries.QUERIES[key](spark, SF).toPandas()

@@ -9,6 +9,7 @@ from comarca.llm import (
     frames,
     langid,
     mixing,
+    piece_encoding,
     quality_zstd,
     simhash_trie,
     splitters,
@@ -180,3 +181,15 @@ def _(spark, sf_dir):
 @entry("op5_vector_graph")
 def _(spark, sf_dir):
     return vector_graph.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+@entry("op11_piece_chunks")
+def _(spark, sf_dir):
+    import public_tokenizers
+
+    found = piece_encoding.encode(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+    return found.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )

@@ -4,14 +4,16 @@ A blank becomes a marker, and where no piece of the model has a marker behind an
 character, no merge can reach over the start of a marker run. So a text is cut into
 marked words (a run of markers and what follows up to the next run), and
 
-1. each block of texts writes its distinct chunks once and its texts as numbers of them;
-2. every distinct chunk of the corpus is segmented once, whatever the number of blocks;
-3. ids and surfaces go back to the blocks by a join on the chunk, and to the texts by
-   the positions at which their numbers stand.
+1. each block of texts (``BLOCK_BYTES`` of them) numbers its distinct chunks and writes its
+   texts as numbers, in one bucket of a table, and its chunks by hash shard;
+2. all uses of a chunk meet in its shard, which keeps the table of the chunks it has seen and
+   segments each distinct one once, however many blocks use it;
+3. ids go back to the blocks, whose texts have not moved, and are joined by position.
 
-What is joined grows with the chunks of the blocks, not with the words of the texts,
-and nothing is broadcast but the model, whose size is that of its file. A task holds
-one block: ``BLOCK_ROWS`` texts or ``BLOCK_BYTES``, or one text that is longer.
+What is shuffled grows with the distinct chunks of the blocks, not with the words of the texts,
+and nothing is broadcast but the model, whose size is that of its file. A task holds one
+block, or one text that is longer, and the table of one shard; a table of over
+``TABLE_ENTRIES`` chunks is begun anew, so such a shard segments some chunks again.
 
 Defined results: a NULL or empty text has no ids and decodes to ''; blanks are kept,
 at the ends too, and a marker in the text decodes to a blank as in the library; a text
@@ -23,6 +25,8 @@ pieces cross markers is refused with a ValueError, as chunks would then not be e
 from __future__ import annotations
 
 import re
+import uuid
+import zlib
 from collections import defaultdict
 from collections.abc import Iterator
 from itertools import count
@@ -30,16 +34,18 @@ from pathlib import Path
 
 import numpy as np
 import pandas as pd
+import zstandard
 from pyspark import TaskContext
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from comarca.llm.frames import bounded_batches
-from comarca.sinks.pinned import pin
+from comarca.llm.frames import bounded_batches, shuffle_partitions
+from comarca.session import scratch_path
 
 MARK = "▁"
-BLOCK_ROWS = 1000
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 16 << 20
+TABLE_ENTRIES = 2_000_000
 
 _CHUNKS = re.compile(f"{MARK}+[^{MARK}]*")
 
@@ -63,104 +69,166 @@ def read_model(path: str) -> bytes:
 
 
 def chunks_of(text: str) -> list[str]:
-    """The marked words of a text; without the marker in front where it is empty."""
+    """The marked words of a text, the marker in front of a text that is not empty included."""
     return _CHUNKS.findall(MARK + text.replace(" ", MARK)) if text else []
 
 
-def segment(pieces, chunk: str) -> tuple[list[int], str]:
-    """Ids of a chunk, and what they decode to with the blank that stands for its first marker."""
-    ids = pieces.encode(chunk[1:].replace(MARK, " ")) if len(chunk) > 1 else [pieces.piece_to_id(MARK)]
-    return ids, " " + pieces.decode(ids)
+def segment(pieces, chunks: list[str]) -> list[list[int]]:
+    """Ids of each chunk; the library puts the first marker in front itself, but not of an empty text."""
+    found = pieces.encode([c[1:].replace(MARK, " ") for c in chunks], num_threads=1)
+    return [ids or [pieces.piece_to_id(MARK)] for ids in found]
 
 
-def blocks_of(texts: list[str]) -> Iterator[tuple[int, int]]:
-    """[first, end) of runs of texts within the bounds of a block."""
-    first = held = 0
-    for i, text in enumerate(texts):
-        if i > first and (held + len(text) > BLOCK_BYTES or i - first >= BLOCK_ROWS):
-            yield first, i
-            first, held = i, 0
-        held += len(text)
-    if texts:
-        yield first, len(texts)
+def surfaces(pieces) -> list[bytes]:
+    """What each piece decodes to behind the first one."""
+    def of(i: int) -> bytes:
+        if pieces.is_byte(i):
+            return bytes([int(pieces.id_to_piece(i)[3:-1], 16)])
+        if pieces.is_control(i):
+            return b""
+        return pieces.id_to_piece(i).replace(MARK, " ").encode()
+
+    return [of(i) for i in range(pieces.get_piece_size())]
+
+
+class Block:
+    """Texts as numbers of their distinct chunks."""
+
+    def __init__(self):
+        self.numbers: dict[str, int] = defaultdict(count().__next__)
+        self.ids: list = []
+        self.codes: list[np.ndarray] = []
+        self.size = 0
+
+    def add(self, doc_id, text: str) -> None:
+        self.ids.append(doc_id)
+        self.codes.append(np.fromiter(map(self.numbers.__getitem__, chunks_of(text)), dtype=np.uint32))
+        self.size += len(text)
+
+    def rows(self, block: int, shards: int) -> Iterator[pd.DataFrame]:
+        """A row per text and, for each shard, one of its chunks in the order of their numbers."""
+        chunks = [c.encode() for c in self.numbers]
+        shard = np.fromiter((zlib.crc32(c) % shards for c in chunks), dtype=np.int64, count=len(chunks))
+        order = np.argsort(shard, kind="stable")
+        cuts = np.searchsorted(shard[order], np.arange(shards + 1))
+        yield pd.DataFrame({
+            "block": block, "doc_id": self.ids, "codes": [packed(c) for c in self.codes],
+            "shard": -1, "numbers": None, "chunks": None,
+        })
+        held = []
+        for s in np.unique(shard).tolist():
+            numbers = order[cuts[s] : cuts[s + 1]]
+            parts = [chunks[i] for i in numbers]
+            held.append((block, None, None, s, packed(np.diff(numbers, prepend=0)),
+                         packed(np.array([*map(len, parts)]), b"".join(parts))))
+        yield pd.DataFrame(held, columns=["block", "doc_id", "codes", "shard", "numbers", "chunks"])
+
+
+def packed(numbers: np.ndarray, rest: bytes = b"") -> bytes:
+    """Four-byte numbers, their first bytes in front (the high ones are mostly zero), and what follows them."""
+    planes = numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+    return zstandard.ZstdCompressor(level=3).compress(planes + rest)
+
+
+def unpacked(data: bytes, n: int | None = None) -> tuple[np.ndarray, bytes]:
+    """``n`` numbers, or all there are, and the rest."""
+    plain = zstandard.ZstdDecompressor().decompress(data)
+    n = len(plain) // 4 if n is None else n
+    planes = np.frombuffer(plain, dtype=np.uint8, count=4 * n).reshape(4, n)
+    return np.ascontiguousarray(planes.T).view("<u4").reshape(-1), plain[4 * n :]
 
 
 def numbered_blocks(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """Rows of texts (block, doc_id, codes) and rows of chunks (block, code, chunk), written once.
+    """Rows of texts (block, doc_id, codes) and of chunks (block, shard, numbers, chunks), in buckets by block.
 
-    ``codes`` are the numbers of a text's chunks within its block, two or four bytes each.
+    A task writes few blocks, so the table has about as many files as blocks.
     """
+    spark = docs.sparkSession
+    shards = shuffle_partitions(spark)
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
 
     def numbered(batches):
-        block = (TaskContext.get().partitionId() << 32) - 1
-        for batch in batches:
-            texts = batch["text"].tolist()
-            for first, end in blocks_of(texts):
-                block += 1
-                numbers = defaultdict(count().__next__)
-                codes = [np.fromiter(map(numbers.__getitem__, chunks_of(t)), dtype=np.uint32) for t in texts[first:end]]
-                width = np.uint16 if len(numbers) < 1 << 16 else np.uint32
-                yield pd.DataFrame({
-                    "block": block, "doc_id": batch["doc_id"].iloc[first:end].array, "wide": width is np.uint32,
-                    "codes": [c.astype(width).tobytes() for c in codes], "code": 0, "chunk": None,
-                })
-                if numbers:
-                    yield pd.DataFrame({
-                        "block": block, "doc_id": None, "wide": False, "codes": None,
-                        "code": np.arange(len(numbers)), "chunk": list(numbers),
-                    })
-
-    return pin(rows.mapInPandas(
-        numbered, f"block long, doc_id {kind}, wide boolean, codes binary, code long, chunk string"
-    ), "piece-blocks")
-
-
-def segmented(chunks: DataFrame, model) -> DataFrame:
-    """(chunk, ids, surface) for every chunk of a table of distinct ones."""
-
-    def per_batch(batches):
-        pieces = processor(model.value)
+        number, block = TaskContext.get().partitionId() << 32, Block()
         for batch in batches:
-            found = [segment(pieces, c) for c in batch["chunk"]]
-            yield pd.DataFrame({
-                "chunk": batch["chunk"],
-                "ids": [np.array(ids, dtype=np.uint32).tobytes() for ids, _ in found],
-                "surface": [surface for _, surface in found],
-            })
+            for row_id, value in zip(batch["doc_id"], batch["text"]):
+                block.add(row_id, value)
+                if block.size >= BLOCK_BYTES:
+                    yield from block.rows(number, shards)
+                    number, block = number + 1, Block()
+        if block.ids:
+            yield from block.rows(number, shards)
+
+    written = rows.mapInPandas(
+        numbered, f"block long, doc_id {kind}, codes binary, shard int, numbers binary, chunks binary"
+    )
+    name, path = f"pieces_{uuid.uuid4().hex}", scratch_path(spark, "piece-blocks")
+    written.write.bucketBy(shards, "block").format("parquet").option("path", path).saveAsTable(name)
+    found = spark.table(name)
+    # The frame keeps files and buckets; only the name goes.
+    found.schema  # noqa: B018
+    spark.sql(f"DROP TABLE {name}")
+    return found
+
 
-    return chunks.mapInPandas(per_batch, "chunk string, ids binary, surface string")
+def segmented(uses: DataFrame, model: Broadcast) -> DataFrame:
+    """(of, numbers, ids): the chunks of each block segmented, in the order of their numbers."""
+
+    def per_shard(batches):
+        pieces, table = processor(model.value), {}
+        for batch in batches:
+            held = []
+            for block, numbers, chunks in zip(batch["block"], batch["numbers"], batch["chunks"]):
+                lengths, text = unpacked(chunks, len(unpacked(numbers)[0]))
+                ends = np.cumsum(lengths).tolist()
+                keys = [text[a:b] for a, b in zip([0, *ends], ends)]
+                if new := [k for k in keys if k not in table]:
+                    if len(table) > TABLE_ENTRIES:
+                        table, new = {}, keys
+                    table.update(zip(new, segment(pieces, [k.decode() for k in new])))
+                ids = [table[k] for k in keys]
+                flat = np.array([i for x in ids for i in x], dtype="<u4")
+                held.append((block, numbers, packed(np.concatenate([np.array([*map(len, ids)]), flat]))))
+            yield pd.DataFrame(held, columns=["of", "numbers", "ids"])
+
+    dealt = uses.repartition(shuffle_partitions(uses.sparkSession), "shard")
+    return dealt.mapInPandas(per_shard, "of long, numbers binary, ids binary")
 
 
 def encode(docs: DataFrame, model_path: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, ids (array<int>) and decoded (string) of every row, as the library gives them for whole texts."""
     spark = docs.sparkSession
-    bounded_batches(spark, BLOCK_ROWS)
+    bounded_batches(spark)
     model = spark.sparkContext.broadcast(read_model(model_path))
     blocks = numbered_blocks(docs, doc_id, text)
     kind = blocks.schema["doc_id"].dataType.simpleString()
-    texts = blocks.where("codes IS NOT NULL").select("block", "doc_id", "wide", "codes")
-    uses = blocks.where("chunk IS NOT NULL").select("block", "code", "chunk")
-    table = pin(segmented(uses.select("chunk").distinct(), model), "piece-chunks")
-    # A chunk that every block has is one row of the table, so a join can split its other side.
-    found = uses.join(table, "chunk").select(F.col("block").alias("of"), "code", "ids", "surface")
+    texts = blocks.where("shard < 0").select("block", "doc_id", "codes")
+    found = segmented(blocks.where("shard >= 0").select("block", "shard", "numbers", "chunks"), model)
 
     def placed(texts, found):
-        found = found.sort_values("code")
-        ids = [np.frombuffer(x, dtype=np.uint32) for x in found["ids"]]
-        surfaces = found["surface"].tolist()
-        lengths = np.array([len(x) for x in ids], dtype=np.int64)
-        flat = np.concatenate(ids) if ids else np.zeros(0, dtype=np.uint32)
-        starts = np.cumsum(lengths) - lengths
+        plain = surfaces(processor(model.value))
+        numbers = [np.cumsum(unpacked(x)[0], dtype=np.int64) for x in found["numbers"]]
+        chunks = sum(map(len, numbers))
+        lengths, starts, surface = np.zeros(chunks, dtype=np.int64), np.zeros(chunks, dtype=np.int64), [b""] * chunks
+        flat, before = [], 0
+        for at, ids in zip(numbers, found["ids"]):
+            all_of_it = unpacked(ids)[0]
+            each, pieces = all_of_it[: len(at)].astype(np.int64), all_of_it[len(at) :]
+            lengths[at], starts[at] = each, before + np.cumsum(each) - each
+            seen, ends = [plain[i] for i in pieces.tolist()], np.cumsum(each).tolist()
+            for i, a, b in zip(at.tolist(), [0, *ends], ends):
+                surface[i] = b"".join(seen[a:b])
+            flat.append(pieces)
+            before += len(pieces)
+        flat = np.concatenate(flat) if flat else np.zeros(0, dtype=np.uint32)
         all_ids, decoded = [], []
-        for wide, codes in zip(texts["wide"], texts["codes"]):
-            at = np.frombuffer(codes, dtype=np.uint32 if wide else np.uint16)
-            each = lengths[at] if len(at) else np.zeros(0, dtype=np.int64)
+        for codes in texts["codes"]:
+            at = unpacked(codes)[0]
+            each = lengths[at]
             ends = np.cumsum(each)
-            places = np.repeat(starts[at] - (ends - each), each) + np.arange(each.sum()) if len(at) else each
-            all_ids.append(flat[places].astype(np.int32))
-            decoded.append("".join(map(surfaces.__getitem__, at.tolist()))[1:])
+            all_ids.append(flat[np.repeat(starts[at] - (ends - each), each) + np.arange(each.sum())].astype(np.int32))
+            # The first marker is the library's own.
+            decoded.append(b"".join(map(surface.__getitem__, at.tolist()))[1:].decode("utf-8", "replace"))
         return pd.DataFrame({"doc_id": texts["doc_id"].array, "ids": all_ids, "decoded": decoded})
 
     return texts.groupBy("block").cogroup(found.groupBy("of")).applyInPandas(

@@ -12,6 +12,7 @@ from comarca.llm import (
     piece_encoding,
     quality_zstd,
     simhash_trie,
+    source_divergence,
     splitters,
     token_spans,
     toxicity_zstd,
@@ -193,3 +194,41 @@ def _(spark, sf_dir):
         F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@entry(
+    "op13_source_divergence",
+    """WITH docs AS (
+  SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source, row_number() OVER () AS id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS terms FROM documents),
+occurring AS (SELECT lang, source, id, unnest(terms) AS term FROM docs),
+kept AS (
+  SELECT lang, term, count(*) AS times FROM occurring GROUP BY lang, term HAVING count(DISTINCT id) >= 30),
+languages AS (SELECT lang, count(*) AS v, sum(times) AS n FROM kept GROUP BY lang),
+counts AS (
+  SELECT lang, source, term, count(*) AS times FROM occurring SEMI JOIN kept USING (lang, term) GROUP BY lang, source, term),
+sources AS (
+  SELECT lang, source, coalesce(n, 0) AS n FROM (SELECT DISTINCT lang, source FROM docs)
+  LEFT JOIN (SELECT lang, source, sum(times) AS n FROM counts GROUP BY lang, source) USING (lang, source)),
+shares AS (
+  SELECT s.lang, s.source, k.term, coalesce(c.times, 0) AS times,
+         1 + CAST(1000000000 AS HUGEINT) * (coalesce(c.times, 0) + 5) // (s.n + 5 * l.v) AS p,
+         1 + CAST(1000000000 AS HUGEINT) * (k.times + 5) // (l.n + 5 * l.v) AS q
+  FROM sources s JOIN languages l ON l.lang = s.lang JOIN kept k ON k.lang = s.lang
+  LEFT JOIN counts c ON c.lang = s.lang AND c.source = s.source AND c.term = k.term),
+differing AS (
+  SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+  FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+values AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+  FROM sources a JOIN sources b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN differing d ON d.lang = a.lang AND d.source = a.source AND d.item = b.source
+  UNION ALL SELECT lang, source, 'term', term, p - q FROM shares WHERE times > 0 AND p > q),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS place FROM values)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(place AS INTEGER) AS rank
+FROM ranked WHERE part = 'pair' OR place <= 50""",
+)
+def _(spark, sf_dir):
+    return source_divergence.divergence(table(spark, sf_dir, "documents"))

@@ -27,10 +27,11 @@ rank by the item's UTF-8 bytes; an empty table gives no rows; other columns neve
 from __future__ import annotations
 
 import heapq
+import itertools
 import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
-from itertools import groupby
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -169,7 +170,7 @@ def _merge(runs: list[list[pa.RecordBatch]]) -> Iterator[pa.RecordBatch]:
         return row[0], row[1] or b""
 
     found = []
-    for (lang, _), rows in groupby(heapq.merge(*map(_rows, runs), key=key), key=key):
+    for (lang, _), rows in itertools.groupby(heapq.merge(*map(_rows, runs), key=key), key=key):
         docs, counts, term = 0, Counter(), None
         for _, term, more, sources, times in rows:
             docs += more
@@ -211,6 +212,214 @@ def index(docs: DataFrame, text: str = "text", lang: str = "lang", source: str =
 def share(times: Column, n: Column, v: Column) -> Column:
     """1 + floor(1e9 * (times + 5) / (n + 5 v)), in whole numbers of up to 38 digits."""
     above = F.lit(UNIT).cast("decimal(10,0)") * (times + ADDED).cast("decimal(20,0)")
-    return F.lit(1).cast("long") + F.call_function("div", above, (n + ADDED * v).cast("decimal(20,0)")) if False else (
-        F.lit(1).cast("long") + _whole(above, (n + ADDED * v).cast("decimal(20,0)"))
+    return F.lit(1).cast("long") + F.call_function("div", above, (n + ADDED * v).cast("decimal(20,0)"))
+
+
+@dataclass(frozen=True)
+class Frequencies:
+    """``kept`` (lang, term, docs, times), ``groups`` (lang, source, n, v, place, p of an absent term), ``counts`` of both with p."""
+
+    kept: DataFrame
+    groups: DataFrame
+    counts: DataFrame
+
+
+def frequencies(postings: DataFrame, least_documents: int = LEAST_DOCUMENTS) -> Frequencies:
+    """The counts of kept terms, exact: what the merges left apart is added up."""
+    terms = postings.where("term IS NOT NULL")
+    documents = terms.groupBy("lang", "term").agg(F.sum("docs").alias("docs")).where(F.col("docs") >= least_documents)
+    each = F.arrays_zip(F.col("sources").alias("source"), F.col("counts").alias("times"))
+    counts = pin(
+        terms.join(documents.select("lang", "term"), ["lang", "term"])
+        .select("lang", "term", F.explode(each).alias("each")).select("lang", "each.source", "term", "each.times")
+        .groupBy("lang", "source", "term").agg(F.sum("times").alias("times")).where("times > 0"),
+        "term-counts",
+    )
+    kept = documents.join(counts.groupBy("lang", "term").agg(F.sum("times").alias("times")), ["lang", "term"])
+    whole = pin(kept.groupBy("lang").agg(F.count(F.lit(1)).alias("v"), F.sum("times").alias("lang_n")), "languages")
+    by_source = counts.groupBy("lang", "source").agg(F.sum("times").alias("n"))
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("source")) - 1
+    groups = pin(
+        postings.where("term IS NULL").select("lang", F.explode("sources").alias("source")).distinct()
+        .join(by_source, ["lang", "source"], "left").join(whole, "lang", "left")
+        .select("lang", "source", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("n", "v", "lang_n")])
+        .withColumn("absent", F.when(F.col("v") > 0, share(F.lit(0), F.col("n"), F.col("v"))).otherwise(0))
+        .withColumn("place", place),
+        "groups",
     )
+    shared = counts.join(groups, ["lang", "source"]).withColumn("p", share(F.col("times"), F.col("n"), F.col("v")))
+    return Frequencies(kept, groups, pin(shared.select("lang", "source", "place", "term", "p", "lang_n", "v"), "shares"))
+
+
+def telling_terms(found: Frequencies, ranks: int = TERM_RANKS) -> DataFrame:
+    """(lang, source, item, value, rank): the terms whose share exceeds the language's by most."""
+    whole = found.kept.select("lang", "term", F.col("times").alias("lang_times"))
+    excess = F.col("p") - share(F.col("lang_times"), F.col("lang_n"), F.col("v"))
+    above = found.counts.join(whole, ["lang", "term"]).select("lang", "source", F.col("term").alias("item"), excess.alias("value"))
+    return _ranked(above.where("value > 0")).where(F.col("rank") <= ranks)
+
+
+def _ranked(rows: DataFrame) -> DataFrame:
+    order = Window.partitionBy("lang", "source").orderBy(F.desc("value"), "item")
+    return rows.withColumn("rank", F.row_number().over(order))
+
+
+CORRECTION = "lang string, place int, other int, value long"
+
+
+def corrections(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Streams rows (lang, i, j, part, term, side, at, p) in this order and yields what pairs differ by.
+
+    Rows without a term, in front of a part's others, are the sources of the blocks i and j
+    with the share of a term they lack. Only the term at the end of a batch is held back.
+    """
+    pairs, rest = None, None
+    for batch in itertools.chain(batches, [None]):
+        if batch is None:
+            if rest is None:
+                return
+            batch, upto = rest, len(rest)
+        else:
+            batch = batch if rest is None else pd.concat([rest, batch], ignore_index=True)
+            upto = None
+        keys = batch[["lang", "i", "j", "part", "term"]].to_numpy(object)
+        same = keys[1:] == keys[:-1]
+        if upto is None:
+            ends = np.flatnonzero(~same.all(axis=1))
+            upto = int(ends[-1]) + 1 if len(ends) else 0
+        rest = batch.iloc[upto:]
+        starts = [0, *(np.flatnonzero(~same[:, :3].all(axis=1)) + 1), len(batch)]
+        for first, end in itertools.pairwise(starts):
+            if first >= min(end, upto):
+                continue
+            key = tuple(keys[first, :3])
+            if pairs is None or pairs.key != key:
+                if pairs is not None:
+                    yield from pairs.result()
+                pairs = _Pairs(key)
+            pairs.add(batch.iloc[first : min(end, upto)])
+    if pairs is not None:
+        yield from pairs.result()
+
+
+class _Pairs:
+    """Sums over terms of |p - q| less what it is where both lack the term, for sources of two blocks."""
+
+    def __init__(self, key):
+        self.key = key
+        self.sides = 1 if key[1] == key[2] else 2
+        self.absent = [np.zeros(0, dtype=np.int64) for _ in range(self.sides)]
+        self.total = None
+
+    def add(self, rows: pd.DataFrame) -> None:
+        heads = rows["term"].isna().to_numpy()
+        side, at, p = (rows[c].to_numpy(np.int64) for c in ("side", "at", "p"))
+        for s in range(self.sides):
+            here = heads & (side == s)
+            if here.any():
+                size = max(len(self.absent[s]), int(at[here].max()) + 1)
+                grown = np.zeros(size, dtype=np.int64)
+                grown[: len(self.absent[s])] = self.absent[s]
+                grown[at[here]] = p[here]
+                self.absent[s] = grown
+        if heads.all():
+            return
+        a, b = self.absent[0], self.absent[-1]
+        if self.total is None:
+            self.total = np.zeros((len(a), len(b)), dtype=np.int64)
+        terms = rows["term"].to_numpy()[~heads]
+        number = np.concatenate([[0], np.cumsum(terms[1:] != terms[:-1])]).astype(np.int64)
+        side, at, p = side[~heads], at[~heads], p[~heads]
+        # So many terms at a time that a table of them by sources stays small.
+        for first in range(0, int(number[-1]) + 1, 2048):
+            here = slice(*np.searchsorted(number, [first, first + 2048]))
+            self._add(number[here] - first, side[here], at[here], p[here], a, b)
+
+    def _add(self, term, side, at, p, a, b) -> None:
+        n = int(term.max()) + 1
+        tables, present = [], []
+        for s, absent in enumerate(self.absent):
+            here = side == s
+            table, has = np.tile(absent, (n, 1)), np.zeros((n, len(absent)), dtype=bool)
+            table[term[here], at[here]] = p[here]
+            has[term[here], at[here]] = True
+            tables.append(table)
+            present.append(has)
+        gap = np.abs(a[:, None] - b[None, :])
+        for source in np.unique(at[side == 0]):
+            # The source has the term; the other one has it or lacks it.
+            has = present[0][:, source]
+            self.total[source] += np.abs(tables[0][has, source, None] - tables[-1][has]).sum(axis=0) - has.sum() * gap[source]
+        for source in np.unique(at[side == self.sides - 1]):
+            # The other one has the term, this one lacks it.
+            has = present[-1][:, source]
+            lacks = ~present[0][has]
+            more = np.abs(tables[-1][has, source, None] - a[None, :]) - gap[:, source][None, :]
+            self.total[:, source] += np.where(lacks, more, 0).sum(axis=0)
+
+    def result(self) -> Iterator[pd.DataFrame]:
+        lang, i, j = self.key
+        if self.total is None or not self.total.any():
+            return
+        here, there = np.nonzero(self.total)
+        value = self.total[here, there]
+        both = [here + i * SOURCES, there + j * SOURCES]
+        if i != j:
+            both, value = [np.concatenate([x, y]) for x, y in zip(both, both[::-1])], np.concatenate([value, value])
+        yield pd.DataFrame({"lang": np.full(len(value), lang, object), "place": both[0], "other": both[1], "value": value})
+
+
+def source_pairs(found: Frequencies) -> DataFrame:
+    """(lang, source, item, value, rank) of every two sources of a language."""
+    spark = found.groups.sparkSession
+    block = F.floor(F.col("place") / SOURCES).cast("int")
+    at = (F.col("place") % SOURCES).cast("int")
+    blocks = found.groups.groupBy("lang").agg((F.floor(F.max("place") / SOURCES)).cast("int").alias("last"))
+
+    def dealt(rows: DataFrame) -> DataFrame:
+        """Rows to every block of pairs that theirs is a side of."""
+        other = F.explode(F.sequence(F.lit(0), "last")).alias("other")
+        return rows.join(blocks, "lang").select("*", other).select(
+            "lang", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
+            "part", "term", (F.col("block") > F.col("other")).cast("int").alias("side"), "at", "p",
+        )
+
+    part = F.pmod(F.xxhash64("term"), F.lit(PARTS)).cast("int")
+    terms = found.counts.select("lang", block.alias("block"), part.alias("part"), "term", at.alias("at"), "p")
+    heads = found.groups.where("v > 0").select(
+        "lang", block.alias("block"), F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))).alias("part"),
+        F.lit(None).cast("string").alias("term"), at.alias("at"), F.col("absent").alias("p"),
+    )
+    order = ["lang", "i", "j", "part"]
+    stream = dealt(terms.union(heads)).repartition(shuffle_partitions(spark), *order).sortWithinPartitions(*order, "term")
+    corrected = stream.mapInPandas(corrections, CORRECTION)
+    # Blocks of bounded lists, so that no language's pairs come from one row.
+    lists = found.groups.groupBy("lang", block.alias("block"), "v").agg(
+        F.collect_list(F.struct("place", "source", "absent")).alias("sources")
+    )
+    crossed = lists.alias("a").join(lists.alias("b"), F.col("a.lang") == F.col("b.lang")).select(
+        "a.lang", "a.v", F.col("a.sources").alias("here"), F.col("b.sources").alias("there")
+    )
+    plain = (
+        crossed.select("lang", "v", F.explode("here").alias("here"), "there")
+        .select("lang", "v", "here", F.explode("there").alias("there")).where("here.place <> there.place")
+        .select(
+            "lang", F.col("here.place").alias("place"), F.col("there.place").alias("other"),
+            (F.col("v") * F.abs(F.col("here.absent") - F.col("there.absent"))).alias("value"),
+            "here.source", F.col("there.source").alias("item"),
+        )
+    )
+    unnamed = corrected.where("place <> other").withColumn("source", F.lit(None).cast("string")).withColumn("item", F.lit(None).cast("string"))
+    both = plain.unionByName(unnamed).groupBy("lang", "place", "other").agg(
+        F.max("source").alias("source"), F.max("item").alias("item"), F.sum("value").alias("value")
+    )
+    return _ranked(both.select("lang", "source", "item", "value"))
+
+
+def divergence(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source",
+               least_documents: int = LEAST_DOCUMENTS, ranks: int = TERM_RANKS) -> DataFrame:
+    """lang, source, part ('pair' or 'term'), item, value and rank."""
+    found = frequencies(index(docs, text, lang, source), least_documents)
+    columns = ["lang", "source", "part", "item", "value", "rank"]
+    pairs = source_pairs(found).withColumn("part", F.lit("pair"))
+    return pairs.select(*columns).union(telling_terms(found, ranks).withColumn("part", F.lit("term")).select(*columns))

@@ -34,11 +34,13 @@ from pathlib import Path
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
 from pyspark.core.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from comarca.llm.frames import bounded_batches, shuffle_partitions
 from comarca.session import scratch_path
@@ -96,32 +98,41 @@ class Block:
 
     def __init__(self):
         self.numbers: dict[str, int] = defaultdict(count().__next__)
-        self.ids: list = []
+        self.ids: list[pa.Array] = []
         self.codes: list[np.ndarray] = []
         self.size = 0
 
-    def add(self, doc_id, text: str) -> None:
-        self.ids.append(doc_id)
+    def add(self, text: str | None) -> None:
+        text = text or ""
         self.codes.append(np.fromiter(map(self.numbers.__getitem__, chunks_of(text)), dtype=np.uint32))
         self.size += len(text)
 
-    def rows(self, block: int, shards: int) -> Iterator[pd.DataFrame]:
+    def rows(self, block: int, shards: int, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
         """A row per text and, for each shard, one of its chunks in the order of their numbers."""
         chunks = [c.encode() for c in self.numbers]
         shard = np.fromiter((zlib.crc32(c) % shards for c in chunks), dtype=np.int64, count=len(chunks))
         order = np.argsort(shard, kind="stable")
         cuts = np.searchsorted(shard[order], np.arange(shards + 1))
-        yield pd.DataFrame({
-            "block": block, "doc_id": self.ids, "codes": [packed(c) for c in self.codes],
-            "shard": -1, "numbers": None, "chunks": None,
-        })
-        held = []
-        for s in np.unique(shard).tolist():
-            numbers = order[cuts[s] : cuts[s + 1]]
-            parts = [chunks[i] for i in numbers]
-            held.append((block, None, None, s, packed(np.diff(numbers, prepend=0)),
-                         packed(np.array([*map(len, parts)]), b"".join(parts))))
-        yield pd.DataFrame(held, columns=["block", "doc_id", "codes", "shard", "numbers", "chunks"])
+        ids = pa.concat_arrays(self.ids)
+        yield _batch(schema, len(ids), block=block, doc_id=ids, codes=[packed(c) for c in self.codes], shard=-1)
+        used = np.unique(shard).tolist()
+        numbers = [order[cuts[s] : cuts[s + 1]] for s in used]
+        parts = [[chunks[i] for i in x] for x in numbers]
+        yield _batch(
+            schema, len(used), block=block, shard=used, numbers=[packed(np.diff(x, prepend=0)) for x in numbers],
+            chunks=[packed(np.array([*map(len, x)]), b"".join(x)) for x in parts],
+        )
+
+
+def _batch(schema: pa.Schema, n: int, **columns) -> pa.RecordBatch:
+    """A batch of lists, arrays and values that all rows share; columns that aren't given are NULL."""
+    def of(field):
+        value = columns.get(field.name)
+        if isinstance(value, pa.Array):
+            return value.cast(field.type)
+        return pa.array(value if isinstance(value, list) else [value] * n, field.type)
+
+    return pa.RecordBatch.from_arrays([of(f) for f in schema], schema=schema)
 
 
 def packed(numbers: np.ndarray, rest: bytes = b"") -> bytes:
@@ -145,23 +156,32 @@ def numbered_blocks(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     """
     spark = docs.sparkSession
     shards = shuffle_partitions(spark)
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    kind = rows.schema["doc_id"].dataType.simpleString()
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    kind = rows.schema["doc_id"].dataType
 
     def numbered(batches):
         number, block = TaskContext.get().partitionId() << 32, Block()
         for batch in batches:
-            for row_id, value in zip(batch["doc_id"], batch["text"]):
-                block.add(row_id, value)
+            ids, first = batch.column("doc_id"), 0
+            schema = pa.schema([
+                ("block", pa.int64()), ("doc_id", ids.type), ("codes", pa.binary()), ("shard", pa.int32()),
+                ("numbers", pa.binary()), ("chunks", pa.binary()),
+            ])
+            for i, text in enumerate(batch.column("text")):
+                block.add(text.as_py())
                 if block.size >= BLOCK_BYTES:
-                    yield from block.rows(number, shards)
-                    number, block = number + 1, Block()
+                    block.ids.append(ids.slice(first, i + 1 - first))
+                    yield from block.rows(number, shards, schema)
+                    number, block, first = number + 1, Block(), i + 1
+            if first < len(ids):
+                block.ids.append(ids.slice(first))
         if block.ids:
-            yield from block.rows(number, shards)
+            yield from block.rows(number, shards, schema)
 
-    written = rows.mapInPandas(
-        numbered, f"block long, doc_id {kind}, codes binary, shard int, numbers binary, chunks binary"
-    )
+    written = rows.mapInArrow(numbered, T.StructType([
+        T.StructField("block", T.LongType()), T.StructField("doc_id", kind), T.StructField("codes", T.BinaryType()),
+        T.StructField("shard", T.IntegerType()), T.StructField("numbers", T.BinaryType()), T.StructField("chunks", T.BinaryType()),
+    ]))
     name, path = f"pieces_{uuid.uuid4().hex}", scratch_path(spark, "piece-blocks")
     written.write.bucketBy(shards, "block").format("parquet").option("path", path).saveAsTable(name)
     found = spark.table(name)
@@ -201,17 +221,16 @@ def encode(docs: DataFrame, model_path: str, doc_id: str = "doc_id", text: str =
     bounded_batches(spark)
     model = spark.sparkContext.broadcast(read_model(model_path))
     blocks = numbered_blocks(docs, doc_id, text)
-    kind = blocks.schema["doc_id"].dataType.simpleString()
     texts = blocks.where("shard < 0").select("block", "doc_id", "codes")
     found = segmented(blocks.where("shard >= 0").select("block", "shard", "numbers", "chunks"), model)
 
-    def placed(texts, found):
+    def placed(texts: pa.Table, found: pa.Table) -> pa.Table:
         plain = surfaces(processor(model.value))
-        numbers = [np.cumsum(unpacked(x)[0], dtype=np.int64) for x in found["numbers"]]
+        numbers = [np.cumsum(unpacked(x)[0], dtype=np.int64) for x in found["numbers"].to_pylist()]
         chunks = sum(map(len, numbers))
         lengths, starts, surface = np.zeros(chunks, dtype=np.int64), np.zeros(chunks, dtype=np.int64), [b""] * chunks
         flat, before = [], 0
-        for at, ids in zip(numbers, found["ids"]):
+        for at, ids in zip(numbers, found["ids"].to_pylist()):
             all_of_it = unpacked(ids)[0]
             each, pieces = all_of_it[: len(at)].astype(np.int64), all_of_it[len(at) :]
             lengths[at], starts[at] = each, before + np.cumsum(each) - each
@@ -221,16 +240,19 @@ def encode(docs: DataFrame, model_path: str, doc_id: str = "doc_id", text: str =
             flat.append(pieces)
             before += len(pieces)
         flat = np.concatenate(flat) if flat else np.zeros(0, dtype=np.uint32)
-        all_ids, decoded = [], []
-        for codes in texts["codes"]:
+        all_ids, ends_of_text, decoded = [np.zeros(0, dtype=np.int32)], [0], []
+        for codes in texts["codes"].to_pylist():
             at = unpacked(codes)[0]
             each = lengths[at]
             ends = np.cumsum(each)
             all_ids.append(flat[np.repeat(starts[at] - (ends - each), each) + np.arange(each.sum())].astype(np.int32))
+            ends_of_text.append(ends_of_text[-1] + len(all_ids[-1]))
             # The first marker is the library's own.
             decoded.append(b"".join(map(surface.__getitem__, at.tolist()))[1:].decode("utf-8", "replace"))
-        return pd.DataFrame({"doc_id": texts["doc_id"].array, "ids": all_ids, "decoded": decoded})
+        ids = pa.ListArray.from_arrays(pa.array(ends_of_text, pa.int32()), pa.array(np.concatenate(all_ids)))
+        return pa.table({"doc_id": texts["doc_id"], "ids": ids, "decoded": pa.array(decoded, pa.string())})
 
-    return texts.groupBy("block").cogroup(found.groupBy("of")).applyInPandas(
-        placed, f"doc_id {kind}, ids array<int>, decoded string"
-    )
+    kind = T.StructType([
+        blocks.schema["doc_id"], T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("decoded", T.StringType()),
+    ])
+    return texts.groupBy("block").cogroup(found.groupBy("of")).applyInArrow(placed, kind)

@@ -34,13 +34,14 @@ def test_rows_equal_the_library(spark, library, monkeypatch):
     rng = random.Random(4)
     texts = [None, "", " ", "   ", "▁", " " * 50_000, "\n" * 50_000, "x" * 100_000, "same words here", "same words here"]
     texts += ["".join(rng.choices(PARTS, k=rng.randint(0, 200))) for _ in range(200)] + ["hot words " * 30] * 150
-    rows = [(i if i % 9 else None, t, "x", 1, "y") for i, t in enumerate(texts)]
-    docs = spark.createDataFrame(rows, "doc_id int, text string, chunk string, block int, ids string").repartition(5)
+    # Not a number that a double holds, beside NULL.
+    rows = [((1 << 62) + i if i % 9 else None, t, "x", 1, "y") for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, chunk string, block int, ids string").repartition(5)
     for most in (piece_encoding.BLOCK_BYTES, 300):
         # Small blocks: one chunk in many of them, a text longer than a block.
         monkeypatch.setattr(piece_encoding, "BLOCK_BYTES", most)
         got = piece_encoding.encode(docs, MODEL)
-        assert got.dtypes == [("doc_id", "int"), ("ids", "array<int>"), ("decoded", "string")]
+        assert got.dtypes == [("doc_id", "bigint"), ("ids", "array<int>"), ("decoded", "string")]
         found = sorted(((r.doc_id is None, r.doc_id or 0), list(r.ids), r.decoded) for r in got.collect())
         ids = [library.encode(t or "") for t in texts]
         assert found == sorted(((r[0] is None, r[0] or 0), i, library.decode(i)) for r, i in zip(rows, ids))

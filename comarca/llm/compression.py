@@ -16,7 +16,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from comarca.llm.frames import bounded_batches, uniform
+from comarca.llm.frames import bounded_batches, shipped, uniform
 from comarca.sinks.pinned import pin
 
 SEED = 53
@@ -150,11 +150,11 @@ class Classifier:
     def scores(self, docs: DataFrame, text: Column) -> Column:
         """P(label) of whole texts, between 0 and 1."""
         bounded_batches(docs.sparkSession)
-        shared = docs.sparkSession.sparkContext.broadcast(self)
+        shared = shipped(docs.sparkSession, self)
 
         @F.pandas_udf("double")
         def score(texts: pd.Series) -> pd.Series:
-            model = shared.value
+            model = shared()
             measure = model.measure()
             features = np.array([measure(t) for t in texts]).reshape(-1, FEATURES)
             return pd.Series(model.calibration(features))

@@ -20,7 +20,6 @@ give no rows, or clean ones; other columns never matter.
 
 from __future__ import annotations
 
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -44,7 +43,6 @@ _BASE_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _MIX = np.uint64(0xD6E8FEB86659FD93)
 
 
-@lru_cache(maxsize=2)
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of an odd base and of its inverse, modulo 2^64."""
     up, down = np.full(n, _BASE), np.full(n, _BASE_INVERSE)

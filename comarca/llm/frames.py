@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import pickle
+from collections.abc import Callable
+from typing import Any
+
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,6 +35,18 @@ def bounded_batches(spark: SparkSession, rows: int = 1000) -> None:
         spark.conf.set(name, str(rows))
 
 
+def shipped(spark: SparkSession, value: Any) -> Callable[[], Any]:
+    """A function that gives tasks a value sent to each executor once, its classes included."""
+    packed, held = spark.sparkContext.broadcast(cloudpickle.dumps(value)), []
+
+    def get():
+        if not held:
+            held.append(pickle.loads(packed.value))
+        return held[0]
+
+    return get
+
+
 def uniform(*columns, seed: int = 0) -> Column:
     """A repeatable number in [0, 1) from the columns' values."""
     return (F.xxhash64(F.lit(seed), *columns).bitwiseAND(F.lit((1 << 53) - 1))).cast("double") / float(1 << 53)

@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from comarca.llm.frames import bounded_batches, uniform
+from comarca.llm.frames import bounded_batches, shipped, uniform
 from comarca.sinks.pinned import pin
 
 UNDETERMINED = "und"
@@ -180,11 +180,11 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc
 def predictor(docs: DataFrame, model: LanguageModel):
     """A function from a text column to struct<lang_pred, score>."""
     bounded_batches(docs.sparkSession)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = shipped(docs.sparkSession, model)
 
     @F.pandas_udf("lang_pred string, score double")
     def predict(texts: pd.Series) -> pd.DataFrame:
-        model = shared.value
+        model = shared()
         return pd.DataFrame([model.predict(t) for t in texts], columns=["lang_pred", "score"])
 
     return predict

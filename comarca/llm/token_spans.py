@@ -12,6 +12,10 @@ and a token that crosses a section's edge is dealt out by one of these rules:
 Under ``first`` and ``last`` disjoint sections that cover a text add up to the
 text's tokens exactly; under ``share`` up to rounding.
 
+A run of white space of any length is one piece of the pattern but for its last
+character, which goes with what follows; runs of ``LONG_RUN`` and more are taken out as
+such pieces before the pattern is tried, whose search would use up its stack on them.
+
 Defined results: a NULL or empty text has no tokens and one empty section 0; a
 text that ends in a line break has an empty last section; repeated rows are
 counted each; an empty table gives no rows; other columns never matter.
@@ -21,12 +25,14 @@ from __future__ import annotations
 
 import base64
 import re
-from functools import lru_cache
+from collections.abc import Callable
+from pathlib import Path
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from comarca.llm.frames import bounded_batches
 
@@ -34,25 +40,45 @@ VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 # How the vocabulary's authors cut text before merging; a fixed value.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 RULES = ("first", "last", "share")
+LONG_RUN = 4000
+# The pattern's white space: what Unicode gives the property White_Space; a fixed value.
+SPACE = r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 
 
-@lru_cache(maxsize=4)
-def tokenizer(vocabulary: str, pattern: str):
-    """The encoder and the length in bytes of every token."""
+def encoder(vocabulary: bytes, pattern: str = PATTERN) -> Callable[[str], list[int]]:
+    """A function from a text to its tokens; ``vocabulary`` holds the lines of a file of ranks."""
     import tiktoken
 
-    with open(vocabulary, "rb") as lines:
-        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-    lengths = np.zeros(max(ranks.values()) + 1, dtype=np.int64)
-    for token, rank in ranks.items():
-        lengths[rank] = len(token)
-    return tiktoken.Encoding("given", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}), lengths
+    ranks = ranks_of(vocabulary)
+    by_pattern, whole = (
+        tiktoken.Encoding("given", pat_str=p, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+        for p in (pattern, r"(?s).+")
+    )
+    long_run = re.compile(f"{SPACE}{{{LONG_RUN},}}")
+
+    def encode(text: str) -> list[int]:
+        tokens, at = [], 0
+        for run in long_run.finditer(text):
+            # At the end of the text the last character is part of the piece too.
+            upto = run.end() - (run.end() < len(text))
+            tokens += by_pattern(text[at : run.start()])
+            tokens += whole(text[run.start() : upto])
+            at = upto
+        return tokens + by_pattern(text[at:]) if at else by_pattern(text)
+
+    return encode
 
 
-def token_ends(text: str, vocabulary: str = VOCABULARY, pattern: str = PATTERN) -> np.ndarray:
-    """Where each token of the text ends, in UTF-8 bytes."""
-    encoding, lengths = tokenizer(vocabulary, pattern)
-    return np.cumsum(lengths[encoding.encode_ordinary(text)])
+def ranks_of(vocabulary: bytes) -> dict[bytes, int]:
+    return {base64.b64decode(a): int(b) for a, b in map(bytes.split, vocabulary.splitlines())}
+
+
+def ends_of_tokens(vocabulary: bytes, pattern: str = PATTERN) -> Callable[[str], np.ndarray]:
+    """A function from a text to where each of its tokens ends, in UTF-8 bytes."""
+    ranks, encode = ranks_of(vocabulary), encoder(vocabulary, pattern)
+    lengths = np.zeros(max(ranks.values()) + 1, dtype=np.int64)
+    lengths[list(ranks.values())] = list(map(len, ranks))
+    return lambda text: np.cumsum(lengths[encode(text)])
 
 
 def attribute(ends: np.ndarray, sections: np.ndarray, rule: str) -> tuple[np.ndarray, np.ndarray]:
@@ -102,11 +128,16 @@ def count_tokens(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", ru
     if rule not in RULES:
         raise ValueError(f"rule {rule!r} is none of {RULES}")
     bounded_batches(docs.sparkSession)
+    # The file's bytes go to the tasks, which may not reach the file.
+    shared = docs.sparkSession.sparkContext.broadcast(Path(vocabulary).read_bytes())
     rows = docs.select(
         F.col(doc_id).alias("doc_id"), F.col(text).alias("text"),
         (F.col(sections) if sections else F.lit(None).cast("array<struct<start:long,end:long>>")).alias("spans"),
     )
-    kind = rows.schema["doc_id"].dataType.simpleString()
+    schema = T.StructType([
+        rows.schema["doc_id"], *[T.StructField(c, T.LongType()) for c in ("section", "start", "end")],
+        T.StructField("tokens", T.DoubleType()), *[T.StructField(c, T.LongType()) for c in ("crossing", "document_tokens")],
+    ])
 
     def sections_of(value, spans, length):
         if spans is None:
@@ -117,36 +148,28 @@ def count_tokens(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", ru
         return clipped
 
     def per_batch(batches):
+        token_ends = ends_of_tokens(shared.value, pattern)
         for batch in batches:
             # Some documents at a time, so that what is returned stays small too.
             for first in range(0, len(batch), 256):
-                yield counted(batch.iloc[first : first + 256])
+                yield counted(batch.slice(first, 256), token_ends)
 
-    def counted(batch):
-        ids, numbers, parts = [], [], []
-        for i, (value, spans) in enumerate(zip(batch["text"], batch["spans"])):
+    def counted(batch: pa.RecordBatch, token_ends) -> pa.RecordBatch:
+        at, numbers, parts = [], [], []
+        for i, (value, spans) in enumerate(zip(batch["text"].to_pylist(), batch["spans"].to_pylist())):
             value = value or ""
-            ends = token_ends(value, vocabulary, pattern)
+            ends = token_ends(value)
             where = sections_of(value, spans, int(ends[-1]) if len(ends) else 0)
             tokens, crossing = attribute(ends, where, rule)
-            ids.append(np.full(len(where), i))
+            at.append(np.full(len(where), i))
             numbers.append(np.arange(len(where)))
             parts.append(np.column_stack([where, tokens, crossing, np.full(len(where), len(ends))]))
-        table = np.concatenate(parts) if parts else np.zeros((0, 5))
-        at = np.concatenate(ids) if ids else np.zeros(0, dtype=np.int64)
-        return pd.DataFrame(
-            {
-                "doc_id": batch["doc_id"].iloc[at].array,
-                "section": np.concatenate(numbers) if numbers else at,
-                "start": table[:, 0].astype(np.int64),
-                "end": table[:, 1].astype(np.int64),
-                "tokens": table[:, 2],
-                "crossing": table[:, 3].astype(np.int64),
-                "document_tokens": table[:, 4].astype(np.int64),
-            }
-        )
-
-    return rows.mapInPandas(
-        per_batch,
-        f"doc_id {kind}, section long, start long, end long, tokens double, crossing long, document_tokens long",
-    )
+        table = np.concatenate(parts)
+        # Ids stay in Arrow: a NULL beside them would make doubles of long numbers.
+        ids = batch["doc_id"].take(pa.array(np.concatenate(at)))
+        start, end, tokens, crossing, every = table.T
+        columns = [np.concatenate(numbers), *(x.astype(np.int64) for x in (start, end)), tokens,
+                   *(x.astype(np.int64) for x in (crossing, every))]
+        return pa.RecordBatch.from_arrays([ids, *map(pa.array, columns)], names=schema.names)
+
+    return rows.mapInArrow(per_batch, schema)

@@ -2,10 +2,12 @@
 
 import random
 import re
+from pathlib import Path
 
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from comarca.llm import compression, decontamination, langid, quality_zstd, simhash_trie, token_spans, toxicity_zstd
 from comarca.llm.components import components
@@ -231,12 +233,35 @@ def test_token_counts_of_lines_and_given_sections(spark):
     texts = ["first line\nzweite Zeile é\n\nlast", None, "", "a" * 50_000, "x\n", "end"]
     docs = docs_of(spark, texts)
     rows = token_spans.count_tokens(docs).collect()
+    token_ends = token_spans.ends_of_tokens(Path(token_spans.VOCABULARY).read_bytes())
     for i, text in enumerate(texts):
         own = sorted((r for r in rows if r.doc_id == i), key=lambda r: r.section)
         encoded = (text or "").encode()
         assert b"".join(encoded[r.start : r.end] for r in own) == encoded and len(own) == (text or "").count("\n") + 1
-        assert sum(r.tokens for r in own) == own[0].document_tokens == len(token_spans.token_ends(text or ""))
+        assert sum(r.tokens for r in own) == own[0].document_tokens == len(token_ends(text or ""))
     given = docs.selectExpr("doc_id", "text", "array(named_struct('start', 0L, 'end', 5L), named_struct('start', 3L, 'end', null), null) AS spans")
     got = token_spans.count_tokens(given, sections="spans", rule="share").where("doc_id = 0").orderBy("section").collect()
     assert [(r.start, r.end) for r in got] == [(0, 5), (3, len(texts[0].encode()))]
     assert token_spans.count_tokens(docs.where("false")).count() == 0
+    odd = spark.createDataFrame([((1 << 53) + 1, "a b"), (None, "c")], "doc_id long, text string").coalesce(1)
+    assert {r.doc_id for r in token_spans.count_tokens(odd).collect()} == {(1 << 53) + 1, None}
+
+
+def test_long_runs_of_white_space_are_encoded_as_the_pattern_does(spark, monkeypatch):
+    """The whole pattern at once is what shorter runs can be compared with."""
+    vocabulary = Path(token_spans.VOCABULARY).read_bytes()
+    plain = token_spans.encoder(vocabulary)
+    rng = random.Random(5)
+    parts = ["a", "été", "it's", " ", "  ", "\n", "\t\u3000", " \n ", "\x1c", "\u200b", "7", "?!", "\x85", "\u2028 "]
+    texts = ["".join(rng.choices(parts, k=rng.randint(0, 40))) for _ in range(3000)]
+    want = [plain(t) for t in texts]
+    for least in (1, 2, 3):
+        monkeypatch.setattr(token_spans, "LONG_RUN", least)
+        cut = token_spans.encoder(vocabulary)
+        assert [cut(t) for t in texts] == want
+    monkeypatch.undo()
+    long = ["x" + " " * 1_000_000 + "y", "\n" * 1_000_000, " \n" * 400_000 + "a" * 1_000_000, "?" * 300_000 + " " * 9000 + "\nend"]
+    got = {r.doc_id: r for r in token_spans.count_tokens(docs_of(spark, long)).groupBy("doc_id").agg(
+        F.max("document_tokens").alias("n"), F.max("end").alias("size"), F.sum("tokens").alias("tokens")).collect()}
+    for i, text in enumerate(long):
+        assert got[i]["size"] == len(text) and got[i].tokens == got[i].n > 0

@@ -18,6 +18,7 @@ from comarca.llm import (
     toxicity_zstd,
     vector_graph,
     warc_zip,
+    whitening,
 )
 from entries.tables import table
 
@@ -232,3 +233,8 @@ FROM ranked WHERE part = 'pair' OR place <= 50""",
 )
 def _(spark, sf_dir):
     return source_divergence.divergence(table(spark, sf_dir, "documents"))
+
+
+@entry("op12_qd_whitening")
+def _(spark, sf_dir):
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))

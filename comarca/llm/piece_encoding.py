@@ -35,7 +35,7 @@ from pathlib import Path
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import zstandard
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.core.broadcast import Broadcast
 from pyspark.sql import DataFrame
@@ -43,12 +43,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from comarca.llm.frames import bounded_batches, shuffle_partitions
+from comarca.llm.packing import packed, unpacked
 from comarca.session import scratch_path
 
 MARK = "▁"
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 12 << 20
 TABLE_ENTRIES = 2_000_000
 
+# What a row holds where it is not the number of a shard.
+TEXT, SHARDS_OF = -1, -2
+
 _CHUNKS = re.compile(f"{MARK}+[^{MARK}]*")
 
 
@@ -108,49 +112,34 @@ class Block:
         self.size += len(text)
 
     def rows(self, block: int, shards: int, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
-        """A row per text and, for each shard, one of its chunks in the order of their numbers."""
+        """A row per text, one with the shard of every chunk and, for each shard, one of its chunks in the order of their numbers."""
         chunks = [c.encode() for c in self.numbers]
         shard = np.fromiter((zlib.crc32(c) % shards for c in chunks), dtype=np.int64, count=len(chunks))
         order = np.argsort(shard, kind="stable")
         cuts = np.searchsorted(shard[order], np.arange(shards + 1))
         ids = pa.concat_arrays(self.ids)
-        yield _batch(schema, len(ids), block=block, doc_id=ids, codes=[packed(c) for c in self.codes], shard=-1)
+        yield _batch(schema, len(ids), block=block, doc_id=ids, codes=[packed(c) for c in self.codes], shard=TEXT)
         used = np.unique(shard).tolist()
-        numbers = [order[cuts[s] : cuts[s + 1]] for s in used]
-        parts = [[chunks[i] for i in x] for x in numbers]
+        parts = [[chunks[i] for i in order[cuts[s] : cuts[s + 1]]] for s in used]
         yield _batch(
-            schema, len(used), block=block, shard=used, numbers=[packed(np.diff(x, prepend=0)) for x in numbers],
-            chunks=[packed(np.array([*map(len, x)]), b"".join(x)) for x in parts],
+            schema, len(used) + 1, block=block, shard=[SHARDS_OF, *used], codes=[packed(shard), *[None] * len(used)],
+            n=[0, *map(len, parts)], chunks=[None, *(packed(np.array([*map(len, x)]), b"".join(x)) for x in parts)],
         )
 
 
-def _batch(schema: pa.Schema, n: int, **columns) -> pa.RecordBatch:
+def _batch(schema: pa.Schema, size: int, **columns) -> pa.RecordBatch:
     """A batch of lists, arrays and values that all rows share; columns that aren't given are NULL."""
     def of(field):
         value = columns.get(field.name)
         if isinstance(value, pa.Array):
             return value.cast(field.type)
-        return pa.array(value if isinstance(value, list) else [value] * n, field.type)
+        return pa.array(value if isinstance(value, list) else [value] * size, field.type)
 
     return pa.RecordBatch.from_arrays([of(f) for f in schema], schema=schema)
 
 
-def packed(numbers: np.ndarray, rest: bytes = b"") -> bytes:
-    """Four-byte numbers, their first bytes in front (the high ones are mostly zero), and what follows them."""
-    planes = numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
-    return zstandard.ZstdCompressor(level=3).compress(planes + rest)
-
-
-def unpacked(data: bytes, n: int | None = None) -> tuple[np.ndarray, bytes]:
-    """``n`` numbers, or all there are, and the rest."""
-    plain = zstandard.ZstdDecompressor().decompress(data)
-    n = len(plain) // 4 if n is None else n
-    planes = np.frombuffer(plain, dtype=np.uint8, count=4 * n).reshape(4, n)
-    return np.ascontiguousarray(planes.T).view("<u4").reshape(-1), plain[4 * n :]
-
-
 def numbered_blocks(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """Rows of texts (block, doc_id, codes) and of chunks (block, shard, numbers, chunks), in buckets by block.
+    """Rows of texts (block, doc_id, codes) and of chunks (block, shard, n, chunks), in buckets by block.
 
     A task writes few blocks, so the table has about as many files as blocks.
     """
@@ -165,7 +154,7 @@ def numbered_blocks(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
             ids, first = batch.column("doc_id"), 0
             schema = pa.schema([
                 ("block", pa.int64()), ("doc_id", ids.type), ("codes", pa.binary()), ("shard", pa.int32()),
-                ("numbers", pa.binary()), ("chunks", pa.binary()),
+                ("n", pa.int64()), ("chunks", pa.binary()),
             ])
             for i, text in enumerate(batch.column("text")):
                 block.add(text.as_py())
@@ -180,7 +169,7 @@ def numbered_blocks(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 
     written = rows.mapInArrow(numbered, T.StructType([
         T.StructField("block", T.LongType()), T.StructField("doc_id", kind), T.StructField("codes", T.BinaryType()),
-        T.StructField("shard", T.IntegerType()), T.StructField("numbers", T.BinaryType()), T.StructField("chunks", T.BinaryType()),
+        T.StructField("shard", T.IntegerType()), T.StructField("n", T.LongType()), T.StructField("chunks", T.BinaryType()),
     ]))
     name, path = f"pieces_{uuid.uuid4().hex}", scratch_path(spark, "piece-blocks")
     written.write.bucketBy(shards, "block").format("parquet").option("path", path).saveAsTable(name)
@@ -192,14 +181,15 @@ def numbered_blocks(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 
 
 def segmented(uses: DataFrame, model: Broadcast) -> DataFrame:
-    """(of, numbers, ids): the chunks of each block segmented, in the order of their numbers."""
+    """(of, at, n, ids): the chunks of each block and shard segmented, in the order of their numbers."""
 
     def per_shard(batches):
         pieces, table = processor(model.value), {}
+        kind = id_type(pieces)
         for batch in batches:
             held = []
-            for block, numbers, chunks in zip(batch["block"], batch["numbers"], batch["chunks"]):
-                lengths, text = unpacked(chunks, len(unpacked(numbers)[0]))
+            for block, shard, n, chunks in zip(batch["block"], batch["shard"], batch["n"], batch["chunks"]):
+                lengths, text = unpacked(chunks, n)
                 ends = np.cumsum(lengths).tolist()
                 keys = [text[a:b] for a, b in zip([0, *ends], ends)]
                 if new := [k for k in keys if k not in table]:
@@ -207,12 +197,16 @@ def segmented(uses: DataFrame, model: Broadcast) -> DataFrame:
                         table, new = {}, keys
                     table.update(zip(new, segment(pieces, [k.decode() for k in new])))
                 ids = [table[k] for k in keys]
-                flat = np.array([i for x in ids for i in x], dtype="<u4")
-                held.append((block, numbers, packed(np.concatenate([np.array([*map(len, ids)]), flat]))))
-            yield pd.DataFrame(held, columns=["of", "numbers", "ids"])
+                flat = np.array([i for x in ids for i in x], dtype=kind)
+                held.append((block, shard, n, packed(np.array([*map(len, ids)]), flat.tobytes())))
+            yield pd.DataFrame(held, columns=["of", "at", "n", "ids"])
 
     dealt = uses.repartition(shuffle_partitions(uses.sparkSession), "shard")
-    return dealt.mapInPandas(per_shard, "of long, numbers binary, ids binary")
+    return dealt.mapInPandas(per_shard, "of long, at int, n long, ids binary")
+
+
+def id_type(pieces) -> str:
+    return "<u2" if pieces.get_piece_size() <= 1 << 16 else "<u4"
 
 
 def encode(docs: DataFrame, model_path: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -221,25 +215,32 @@ def encode(docs: DataFrame, model_path: str, doc_id: str = "doc_id", text: str =
     bounded_batches(spark)
     model = spark.sparkContext.broadcast(read_model(model_path))
     blocks = numbered_blocks(docs, doc_id, text)
-    texts = blocks.where("shard < 0").select("block", "doc_id", "codes")
-    found = segmented(blocks.where("shard >= 0").select("block", "shard", "numbers", "chunks"), model)
+    texts = blocks.where("shard < 0").select("block", "doc_id", "codes", "shard")
+    found = segmented(blocks.where("shard >= 0").select("block", "shard", "n", "chunks"), model)
 
     def placed(texts: pa.Table, found: pa.Table) -> pa.Table:
-        plain = surfaces(processor(model.value))
-        numbers = [np.cumsum(unpacked(x)[0], dtype=np.int64) for x in found["numbers"].to_pylist()]
-        chunks = sum(map(len, numbers))
-        lengths, starts, surface = np.zeros(chunks, dtype=np.int64), np.zeros(chunks, dtype=np.int64), [b""] * chunks
-        flat, before = [], 0
-        for at, ids in zip(numbers, found["ids"].to_pylist()):
-            all_of_it = unpacked(ids)[0]
-            each, pieces = all_of_it[: len(at)].astype(np.int64), all_of_it[len(at) :]
-            lengths[at], starts[at] = each, before + np.cumsum(each) - each
-            seen, ends = [plain[i] for i in pieces.tolist()], np.cumsum(each).tolist()
-            for i, a, b in zip(at.tolist(), [0, *ends], ends):
+        pieces = processor(model.value)
+        plain, kind = surfaces(pieces), id_type(pieces)
+        whole = pc.equal(texts["shard"], TEXT)
+        shards = unpacked(texts.filter(pc.invert(whole))["codes"][0].as_py())[0]
+        texts = texts.filter(whole)
+        # The chunks of a shard, shard after shard: the places that their ids go to.
+        order = np.argsort(shards, kind="stable")
+        lengths, starts, surface = np.zeros(len(order), np.int64), np.zeros(len(order), np.int64), [b""] * len(order)
+        flat, done, before = [np.zeros(0, dtype=kind)], 0, 0
+        found = found.sort_by("at")
+        for n, ids in zip(found["n"].to_pylist(), found["ids"].to_pylist()):
+            at = order[done : done + n]
+            each, rest = unpacked(ids, n)
+            each = each.astype(np.int64)
+            flat.append(np.frombuffer(rest, dtype=kind))
+            ends = np.cumsum(each)
+            lengths[at], starts[at] = each, before + ends - each
+            seen = [plain[i] for i in flat[-1].tolist()]
+            for i, a, b in zip(at.tolist(), (ends - each).tolist(), ends.tolist()):
                 surface[i] = b"".join(seen[a:b])
-            flat.append(pieces)
-            before += len(pieces)
-        flat = np.concatenate(flat) if flat else np.zeros(0, dtype=np.uint32)
+            done, before = done + n, before + len(seen)
+        flat = np.concatenate(flat)
         all_ids, ends_of_text, decoded = [np.zeros(0, dtype=np.int32)], [0], []
         for codes in texts["codes"].to_pylist():
             at = unpacked(codes)[0]

@@ -2,13 +2,13 @@
 
 Terms are counted by single-pass in-memory indexing:
 
-1. each task builds postings of a block, term by term, until ``BLOCK_ENTRIES`` of them
-   are held, and lets them go as a run sorted by term; so a term has one row per block,
-   however frequent it is;
-2. the runs are dealt to hash shards of (language, term); a shard heap-merges the runs
-   that fit into ``MERGE_BYTES`` at a time and adds up postings of one term;
-3. Spark adds up what is left of a term, keeps the terms of at least ``least_documents``
-   rows of a language and gives each group its shares.
+1. each task collects a block of ``BLOCK_WORDS`` words (or one longer text), turns it into
+   postings and lets them go as a run sorted by term, in parts by hash shard; so a term is
+   there once per block, however frequent it is;
+2. a task that gets the parts of a shard heap-merges them, ``MERGE_POSTINGS`` at a time, and
+   adds up the postings of each term;
+3. Spark adds up what several merges left apart, keeps the terms of at least
+   ``least_documents`` rows of a language and gives each group its shares.
 
 A group is a (language, source) that occurs. A kept term's share in a group is
 p = 1 + floor(1e9 * (count + 5) / (N + 5 V)), in whole numbers throughout; N is the sum of
@@ -29,28 +29,29 @@ from __future__ import annotations
 import heapq
 import itertools
 import re
-from collections import Counter, defaultdict
+import zlib
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import count, repeat
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from comarca.llm.frames import bounded_batches, shuffle_partitions
+from comarca.llm.packing import packed, unpacked
 from comarca.sinks.pinned import pin
 
 LEAST_DOCUMENTS = 30
 TERM_RANKS = 50
 UNIT = 1_000_000_000
 ADDED = 5
-# Postings a block holds before it becomes a run; some 150 bytes each.
-BLOCK_ENTRIES = 600_000
-# Arrow bytes of runs that one merge holds.
-MERGE_BYTES = 48 << 20
+# Words of a block, and of the runs that one merge holds; some 30 bytes each in a task.
+BLOCK_WORDS = 4_000_000
+MERGE_POSTINGS = 4_000_000
 # Bytes of one text that are cut into terms at a time.
 PIECE = 1 << 20
 # Sources to a side of a block of pairs, and parts that the terms of such a block are dealt to.
@@ -61,10 +62,18 @@ PARTS = 16
 _TERMS = re.compile(rb"[a-z\x80-\xff]+")
 _BREAK = re.compile(rb"[^A-Za-z\x80-\xff]")
 RUN = pa.schema([
-    ("run", pa.int64()), ("lang", pa.string()), ("term", pa.binary()), ("docs", pa.int64()),
+    ("lang", pa.string()), ("shard", pa.int32()), ("n", pa.int64()), ("terms", pa.binary()), ("docs", pa.binary()),
+    ("lengths", pa.binary()), ("places", pa.binary()), ("counts", pa.binary()), ("sources", pa.list_(pa.string())),
+])
+RUN_DDL = (
+    "lang string, shard int, n long, terms binary, docs binary, lengths binary, places binary, counts binary, "
+    "sources array<string>"
+)
+POSTINGS = pa.schema([
+    ("lang", pa.string()), ("term", pa.binary()), ("docs", pa.int64()),
     ("sources", pa.list_(pa.string())), ("counts", pa.list_(pa.int64())),
 ])
-RUN_DDL = "run long, lang string, term binary, docs long, sources array<string>, counts array<long>"
+POSTINGS_DDL = "lang string, term binary, docs long, sources array<string>, counts array<long>"
 
 
 def term_lists(data: bytes) -> Iterator[list[bytes]]:
@@ -80,121 +89,175 @@ def term_lists(data: bytes) -> Iterator[list[bytes]]:
 
 
 class Block:
-    """Postings of some documents: per language, a term's documents and its occurrences by source."""
+    """The texts of some documents as numbers of their terms."""
 
     def __init__(self):
-        self.docs: dict[str, Counter] = defaultdict(Counter)
-        self.times: dict[tuple[str, str], Counter] = defaultdict(Counter)
-
-    def entries(self) -> int:
-        return sum(map(len, self.times.values())) + sum(map(len, self.docs.values())) + len(self.times)
-
-    def run(self, number: int) -> pa.Table:
-        """Rows by (language, term); the row without a term lists the sources that occur."""
-        postings: dict[tuple[str, bytes], tuple[list, list]] = {}
-        for (lang, source), times in self.times.items():
-            for term, n in (*times.items(), (None, 0)):
-                held = postings.get((lang, term))
-                if held is None:
-                    held = postings[lang, term] = [], []
-                held[0].append(source)
-                held[1].append(n)
-        # No term at all sorts before every term.
-        keys = sorted(postings, key=lambda k: (k[0], k[1] or b""))
-        return pa.Table.from_arrays([
-            pa.array(np.full(len(keys), number)), pa.array([k[0] for k in keys], pa.string()),
-            pa.array([k[1] for k in keys], pa.binary()),
-            pa.array([self.docs[k[0]][k[1]] if k[1] is not None else 0 for k in keys], pa.int64()),
-            pa.array([postings[k][0] for k in keys], RUN.field("sources").type),
-            pa.array([postings[k][1] for k in keys], RUN.field("counts").type),
-        ], schema=RUN)
-
-
-def indexed_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sorted runs of the rows (lang, source, text) of a task."""
-    number = TaskContext.get().partitionId() << 32
-    block, entries = Block(), 0
-    for batch in batches:
-        langs, sources = batch["lang"].to_pylist(), batch["source"].to_pylist()
-        for lang, source, text in zip(langs, sources, batch["text"]):
-            seen: set[bytes] = set()
-            group = block.times[lang, source]
-            for terms in term_lists(text.as_py()):
-                before = len(group)
-                group.update(terms)
-                seen.update(terms)
-                entries += len(group) - before
-                if entries >= BLOCK_ENTRIES:
-                    # The text's documents are counted in the block in which it ends.
-                    yield from block.run(number).to_batches(max_chunksize=5000)
-                    number, block, entries = number + 1, Block(), 0
-                    group = block.times[lang, source]
-            documents = block.docs[lang]
-            before = len(documents)
-            documents.update(seen)
-            # Terms of a text that went over the end of a block need a posting for their documents.
-            for term in seen - group.keys():
-                group[term] = 0
-            entries += len(documents) - before
-    if block.times:
-        yield from block.run(number).to_batches(max_chunksize=5000)
-
-
-def merged_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Heap-merges the runs of a shard, as many at a time as fit; a term may come again in the next merge."""
-    runs: dict[int, list[pa.RecordBatch]] = defaultdict(list)
-    held = 0
-    for batch in batches:
-        numbers = batch["run"].to_numpy()
-        cuts = [0, *(np.flatnonzero(numbers[1:] != numbers[:-1]) + 1), len(numbers)]
-        for first, end in zip(cuts[:-1], cuts[1:]):
-            if end > first:
-                runs[int(numbers[first])].append(batch.slice(first, end - first))
-        held += batch.nbytes
-        if held >= MERGE_BYTES:
-            yield from _merge(list(runs.values()))
-            runs, held = defaultdict(list), 0
-    if runs:
-        yield from _merge(list(runs.values()))
-
-
-def _rows(run: list[pa.RecordBatch]):
-    for batch in run:
-        for at in range(0, len(batch), 256):
-            part = batch.slice(at, 256)
-            yield from zip(*(part[c].to_pylist() for c in ("lang", "term", "docs", "sources", "counts")))
-
-
-def _merge(runs: list[list[pa.RecordBatch]]) -> Iterator[pa.RecordBatch]:
-    def key(row):
-        return row[0], row[1] or b""
-
-    found = []
-    for (lang, _), rows in itertools.groupby(heapq.merge(*map(_rows, runs), key=key), key=key):
-        docs, counts, term = 0, Counter(), None
-        for _, term, more, sources, times in rows:
-            docs += more
-            for source, n in zip(sources, times):
-                counts[source] += n
-        found.append((0, lang, term, docs, list(counts), list(counts.values())))
-        if len(found) == 2000:
-            yield _batch(found)
-            found = []
-    if found:
-        yield _batch(found)
-
-
-def _batch(rows: list[tuple]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), RUN)], schema=RUN)
-
-
-def index(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
+        self.numbers: dict[bytes, int] = defaultdict(count().__next__)
+        self.groups: dict[tuple[str, str], int] = defaultdict(count().__next__)
+        self.words: list[np.ndarray] = []
+        self.group_of: list[int] = []
+        self.size = 0
+
+    def add(self, lang: str, source: str, text: bytes) -> None:
+        number = self.numbers.__getitem__
+        pieces = [np.fromiter(map(number, t), dtype=np.int64, count=len(t)) for t in term_lists(text)]
+        self.words.append(np.concatenate(pieces) if pieces else np.zeros(0, dtype=np.int64))
+        self.group_of.append(self.groups[lang, source])
+        self.size += len(self.words[-1])
+
+    def run(self, shards: int) -> Iterator[pa.RecordBatch]:
+        """For each language and shard its terms in order, with their documents and their occurrences by source.
+
+        A row without terms lists the sources that occur in a language.
+        """
+        langs = {lang: i for i, lang in enumerate(dict.fromkeys(lang for lang, _ in self.groups))}
+        names, sources = list(langs), [source for _, source in self.groups]
+        lang_of = np.array([langs[lang] for lang, _ in self.groups])
+        rows = [(name, 0, 0, *[None] * 5, [s for s, i in zip(sources, lang_of) if i == k]) for k, name in enumerate(names)]
+        terms = list(self.numbers)
+        if terms:
+            v, words = len(terms), np.concatenate(self.words)
+            text_of = np.repeat(np.arange(len(self.words)), [*map(len, self.words)])
+            group_of = np.array(self.group_of)
+            # Once for each text that has the term; once for each source that has it.
+            each = np.unique(text_of * v + words)
+            owners, docs = np.unique(lang_of[group_of[each // v]] * v + each % v, return_counts=True)
+            postings, counts = np.unique(group_of[text_of] * v + words, return_counts=True)
+            rank = np.empty(v, dtype=np.int64)
+            rank[sorted(range(v), key=terms.__getitem__)] = np.arange(v)
+            shard = np.fromiter((zlib.crc32(t) % shards for t in terms), dtype=np.int64, count=v)
+            # Language, shard, term; then the sources of a term in the same order.
+            lang, term = owners // v, owners % v
+            order = np.lexsort((rank[term], shard[term], lang))
+            lang, term, docs = lang[order], term[order], docs[order]
+            group, of = postings // v, postings % v
+            order = np.lexsort((group, rank[of], shard[of], lang_of[group]))
+            group, counts = group[order], counts[order]
+            key = (lang_of[group] * v + of[order])
+            lengths = np.diff(np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1], [True]])))
+            ends = np.concatenate([[0], np.cumsum(lengths)])
+            cuts = np.flatnonzero(np.diff(lang * shards + shard[term])) + 1
+            for first, end in itertools.pairwise([0, *cuts.tolist(), len(term)]):
+                here = slice(ends[first], ends[end])
+                used, places = np.unique(group[here], return_inverse=True)
+                rows.append((
+                    names[lang[first]], int(shard[term[first]]), end - first,
+                    packed(np.zeros(0), b"\n".join([terms[i] for i in term[first:end]])), packed(docs[first:end]),
+                    packed(lengths[first:end]), packed(places), packed(counts[here]), [sources[i] for i in used],
+                ))
+        for first in range(0, len(rows), 1000):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, f.type) for c, f in zip(zip(*rows[first : first + 1000]), RUN)], schema=RUN
+            )
+
+
+def indexed_blocks(shards: int):
+    """A function from the rows (lang, source, text) of a task to its runs."""
+
+    def per_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block = Block()
+        for batch in batches:
+            langs, sources = batch["lang"].to_pylist(), batch["source"].to_pylist()
+            for lang, source, text in zip(langs, sources, batch["text"]):
+                block.add(lang, source, text.as_py())
+                if block.size >= BLOCK_WORDS:
+                    yield from block.run(shards)
+                    block = Block()
+        if block.groups:
+            yield from block.run(shards)
+
+    return per_task
+
+
+@dataclass
+class Run:
+    """A language's terms of one shard and block, sorted, and their postings one after the other."""
+
+    terms: list[bytes]
+    docs: np.ndarray
+    lengths: np.ndarray
+    places: np.ndarray
+    counts: np.ndarray
+    sources: list[str]
+
+
+def merged_runs(least_documents: int):
+    """A function that heap-merges the runs of shards, as many at a time as fit.
+
+    A term may come again in the next merge of its task. Where one merge was enough its
+    documents are all there, so terms of fewer than ``least_documents`` can go.
+    """
+
+    def per_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shards: dict[tuple, list[Run]] = defaultdict(list)
+        sources: dict[str, set] = defaultdict(set)
+        held, whole = 0, True
+        for batch in batches:
+            for row in batch.to_pylist():
+                if row["terms"] is None:
+                    sources[row["lang"]].update(row["sources"])
+                    continue
+                run = Run(unpacked(row["terms"], 0)[1].split(b"\n"),
+                          *(unpacked(row[c])[0].astype(np.int64) for c in ("docs", "lengths", "places", "counts")), row["sources"])
+                shards[row["lang"], row["shard"]].append(run)
+                held += len(run.terms) + len(run.counts)
+                if held >= MERGE_POSTINGS:
+                    for (lang, _), runs in shards.items():
+                        yield merge(lang, runs, 0)
+                    shards, held, whole = defaultdict(list), 0, False
+        for (lang, _), runs in shards.items():
+            yield merge(lang, runs, least_documents if whole else 0)
+        for lang, names in sources.items():
+            yield _postings(lang, [None], [0], np.array([0, len(names)]), list(names), np.zeros(len(names), np.int64))
+
+    return per_task
+
+
+def merge(lang: str, runs: list[Run], least_documents: int) -> pa.RecordBatch:
+    """One row per term that has ``least_documents`` in the runs."""
+    merged = heapq.merge(*(zip(run.terms, repeat(i), count()) for i, run in enumerate(runs)))
+    terms, run_of, at = zip(*merged)
+    first = np.cumsum([0, *(len(run.terms) for run in runs)])[:-1]
+    rows = first[np.array(run_of)] + np.array(at)
+    starts = np.array([i for i, t in enumerate(terms) if not i or t != terms[i - 1]])
+    docs = np.add.reduceat(np.concatenate([run.docs for run in runs])[rows], starts)
+    number = np.repeat(np.arange(len(starts)), np.diff([*starts, len(rows)]))
+    names: dict[str, int] = defaultdict(count().__next__)
+    places = np.concatenate([np.array([names[s] for s in run.sources], dtype=np.int64)[run.places] for run in runs])
+    counts = np.concatenate([run.counts for run in runs])
+    lengths = np.concatenate([run.lengths for run in runs])
+    begins = (np.cumsum(lengths) - lengths)[rows]
+    keep = docs[number] >= least_documents
+    rows, begins, number = rows[keep], begins[keep], number[keep]
+    each = lengths[rows]
+    at = np.repeat(begins - (np.cumsum(each) - each), each) + np.arange(each.sum())
+    key, inverse = np.unique(np.repeat(number, each) * len(names) + places[at], return_inverse=True)
+    sums = np.zeros(len(key), dtype=np.int64)
+    np.add.at(sums, inverse, counts[at])
+    kept = np.flatnonzero(docs >= least_documents)
+    offsets = np.searchsorted(key // len(names), [*kept, len(starts)])
+    every = list(names)
+    return _postings(lang, [terms[i] for i in starts[kept]], docs[kept], offsets, [every[i] for i in key % len(names)], sums)
+
+
+def _postings(lang: str, terms: list, docs, offsets: np.ndarray, sources: list[str], counts: np.ndarray) -> pa.RecordBatch:
+    cuts = pa.array(offsets.astype(np.int32))
+    return pa.RecordBatch.from_arrays([
+        pa.array([lang] * len(terms), pa.string()), pa.array(terms, pa.binary()), pa.array(docs, pa.int64()),
+        pa.ListArray.from_arrays(cuts, pa.array(sources, pa.string())), pa.ListArray.from_arrays(cuts, pa.array(counts, pa.int64())),
+    ], schema=POSTINGS)
+
+
+def index(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source",
+          least_documents: int = LEAST_DOCUMENTS) -> DataFrame:
     """(lang, term, docs, sources, counts): postings in which a term may have several rows to add up.
 
-    The row without a term lists the sources that occur in the language.
+    Rows without a term list the sources that occur in the language. Terms that can't
+    reach ``least_documents`` may be missing.
     """
     spark = docs.sparkSession
     bounded_batches(spark)
+    shards = shuffle_partitions(spark)
 
     def filled(name: str) -> Column:
         return F.coalesce(F.col(name).cast("string"), F.lit(""))
@@ -202,9 +265,9 @@ def index(docs: DataFrame, text: str = "text", lang: str = "lang", source: str =
     rows = docs.select(
         filled(lang).alias("lang"), filled(source).alias("source"), filled(text).cast("binary").alias("text")
     )
-    runs = rows.mapInArrow(indexed_blocks, RUN_DDL).repartition(shuffle_partitions(spark), "lang", "term")
+    runs = rows.mapInArrow(indexed_blocks(shards), RUN_DDL).repartition(shards, "lang", "shard")
     return pin(
-        runs.mapInArrow(merged_runs, RUN_DDL).select("lang", F.col("term").cast("string").alias("term"), "docs", "sources", "counts"),
+        runs.mapInArrow(merged_runs(least_documents), POSTINGS_DDL).withColumn("term", F.col("term").cast("string")),
         "postings",
     )
 
@@ -419,7 +482,7 @@ def source_pairs(found: Frequencies) -> DataFrame:
 def divergence(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source",
                least_documents: int = LEAST_DOCUMENTS, ranks: int = TERM_RANKS) -> DataFrame:
     """lang, source, part ('pair' or 'term'), item, value and rank."""
-    found = frequencies(index(docs, text, lang, source), least_documents)
+    found = frequencies(index(docs, text, lang, source, least_documents), least_documents)
     columns = ["lang", "source", "part", "item", "value", "rank"]
     pairs = source_pairs(found).withColumn("part", F.lit("pair"))
     return pairs.select(*columns).union(telling_terms(found, ranks).withColumn("part", F.lit("term")).select(*columns))

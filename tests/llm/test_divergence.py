@@ -74,8 +74,8 @@ def test_small_blocks_merges_and_sides(spark, monkeypatch):
     """Documents that go over the end of a block, many merges of a shard and many blocks of sources."""
     rows = rows_of(2, 300) + [(" ".join(f"long{chr(97 + i % 26)}" for i in range(4000)), "en", "a")] * 3
     want = plain(rows, 3)
-    monkeypatch.setattr(divergence, "BLOCK_ENTRIES", 150)
-    monkeypatch.setattr(divergence, "MERGE_BYTES", 4000)
+    monkeypatch.setattr(divergence, "BLOCK_WORDS", 150)
+    monkeypatch.setattr(divergence, "MERGE_POSTINGS", 60)
     monkeypatch.setattr(divergence, "PIECE", 64)
     monkeypatch.setattr(divergence, "SOURCES", 3)
     monkeypatch.setattr(divergence, "PARTS", 3)
@@ -91,10 +91,11 @@ def test_nothing_kept_and_nothing_there(spark):
 def test_a_block_has_one_row_per_term(spark):
     docs = spark.createDataFrame([("hot hot hot", "en", "s")] * 5000, "text string, lang string, source string").repartition(4)
     rows = docs.withColumn("text", docs["text"].cast("binary")).select("lang", "source", "text")
-    runs = rows.mapInArrow(divergence.indexed_blocks, divergence.RUN_DDL).where("term IS NOT NULL").collect()
-    assert len(runs) == 4 and sum(r.docs for r in runs) == 5000 and sum(r.counts[0] for r in runs) == 15_000
+    runs = rows.mapInArrow(divergence.indexed_blocks(8), divergence.RUN_DDL).where("terms IS NOT NULL").collect()
+    assert [(r.lang, r.n, r.sources) for r in runs] == [("en", 1, ["s"])] * 4
     merged = divergence.index(docs).where("term IS NOT NULL").collect()
     assert [(r.term, r.docs, r.sources, r.counts) for r in merged] == [("hot", 5000, ["s"], [15_000])]
+    assert divergence.index(docs, least_documents=5001).where("term IS NOT NULL").count() == 0
 
 
 def test_pieces_of_a_text_are_cut_between_terms(monkeypatch):

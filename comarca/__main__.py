@@ -7,6 +7,7 @@ import logging
 import sys
 
 from comarca.plans.etl import Run
+from comarca.schemas import REJECTED_CELLS
 from comarca.session import build_session
 from comarca.sinks import registry
 from comarca.sources.files import missing_path
@@ -54,7 +55,7 @@ def main(argv: list[str] | None = None) -> int:
         logging.getLogger("comarca").error("%s holds an earlier run", arguments.staging)
         return 1
     targets = arguments.target or ["table"]
-    run = Run(spark, open_data_readers(arguments.root), _loaders(arguments), targets, staging=arguments.staging)
+    run = Run(spark, open_data_readers(arguments.root, rejected=REJECTED_CELLS), _loaders(arguments), targets, staging=arguments.staging)
     if arguments.phase == "load":
         success = run.load_staged()
     elif arguments.phase == "all":
@@ -64,6 +65,9 @@ def main(argv: list[str] | None = None) -> int:
         if arguments.phase == "transform":
             run.transform(data)
         success = not run.errors
+    lost = run.rejected_cells().groupBy("source", "column").count().collect() if arguments.phase != "load" else []
+    for row in sorted(lost):
+        logging.getLogger("comarca").warning("%s cells of %s in %s did not parse", row["count"], row.column, row.source)
     for row in run.metrics().collect():
         logging.getLogger("comarca").info("%s", row.asDict())
     return 0 if success else 1

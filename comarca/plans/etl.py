@@ -15,14 +15,17 @@ from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from comarca.operators.combine import union_all
 from comarca.operators.quality import completeness
 from comarca.plans import indicators, industry, population
 from comarca.plans.steps import StepLog
+from comarca.schemas import REJECTED_CELLS
 from comarca.session import scratch_path
 from comarca.sinks.files import stage_parquet
 from comarca.sinks.registry import Loader, LoadLog, expand_targets, load_all
+from comarca.sources.delimited import rejected_cells
 from comarca.sources.registry import Reader, empty_table, extract_all
 
 log = logging.getLogger("comarca")
@@ -85,6 +88,7 @@ class Run:
         self.steps: dict[str, StepLog] = {}
         self.loads = LoadLog()
         self.transformed: dict[str, DataFrame] = {}
+        self._lost: dict[str, DataFrame] = {}
         self._metrics: list[tuple] = []
 
     def _measure(self, phase: str, source: str, target: str | None, rows: int | None, ok: bool, start: float) -> None:
@@ -106,7 +110,16 @@ class Run:
 
     def extract(self) -> dict[str, DataFrame]:
         raw = extract_all(self.spark, self.readers, self.errors)
-        return {name: self._stage("extract", name, df, empty_table(self.spark)) for name, df in raw.items()}
+        staged = {name: self._stage("extract", name, df, empty_table(self.spark)) for name, df in raw.items()}
+        # The staged copy holds rows and lost cells, so the text was parsed once for both.
+        self._lost = {name: df for name, df in staged.items() if REJECTED_CELLS in df.columns}
+        return {name: df.drop(REJECTED_CELLS) for name, df in staged.items()}
+
+    def rejected_cells(self) -> DataFrame:
+        """``(source, source_file, column, text)`` of every cell that was filled but no value of its column's type."""
+        none = self.spark.createDataFrame([], "source string, source_file string, column string, text string")
+        lost = [rejected_cells(df, REJECTED_CELLS).select(F.lit(name).alias("source"), "*") for name, df in self._lost.items()]
+        return union_all([none, *lost])
 
     def transform(self, data: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
         done = transform_all(data, self.transforms, self.steps, self.errors)

@@ -11,6 +11,8 @@ from pyspark.sql import types as T
 
 INDICATOR_FILE = "despob_pob_actividad_activos_ipc_pib_2023_clusters.csv"
 PIPELINE_VERSION = "1.0.0"
+# The column in which readers list cells that did not parse.
+REJECTED_CELLS = "rejected_cells"
 
 # The columns of the indicator file, in file order.
 INDICATOR_COLUMNS = [

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import csv
 import logging
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -33,53 +34,135 @@ def csv_options(separator: str = SEPARATOR, multi_line: bool = False) -> dict:
     return {"sep": separator, "header": True, "encoding": "UTF-8", "quote": '"', "escape": '"', "multiLine": multi_line}
 
 
-def _layout(columns: list[str], struct: T.StructType) -> T.StructType:
-    types = {field.name: field.dataType for field in struct}
-    return T.StructType([T.StructField(c, types.get(c, T.StringType())) for c in columns])
+def _cells(text: DataFrame, struct: T.StructType, rejected: str | None) -> DataFrame:
+    """Declared columns that a table of texts has, of their types, then its others as text.
+
+    With ``rejected`` a column of that name lists the cells that hold something but are no
+    value of their column's type, as (column, text).
+    """
+    types = {f.name: f.dataType for f in struct}
+
+    def value(name: str) -> Column:
+        kind = types.get(name, T.StringType())
+        cell = F.col(f"`{name}`")
+        return (cell if isinstance(kind, T.StringType) else cell.try_cast(kind)).alias(name)
+
+    present = [c for c in struct.names if c in text.columns]
+    cells = [value(c) for c in present]
+    others = [F.col(f"`{c}`") for c in text.columns if c not in types]
+    if rejected:
+        lost = [
+            F.when(
+                (F.trim(F.col(f"`{c}`")) != "") & value(c).isNull(),
+                F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").alias("text")),
+            )
+            for c in present if not isinstance(types[c], T.StringType)
+        ]
+        found = F.array_compact(F.array(*lost)) if lost else F.array().cast(_REJECTED)
+        others.append(found.cast(_REJECTED).alias(rejected))
+    return text.select(*cells, *others)
+
+
+_REJECTED = "array<struct<column:string,text:string>>"
+
+
+def rejected_cells(rows: DataFrame, rejected: str) -> DataFrame:
+    """``(source_file, column, text)`` of every cell that was filled but did not parse.
+
+    Rows that were written with their ``rejected`` column, as a run stages them, give their
+    cells from that copy, so the text files are parsed once for both.
+    """
+    return rows.select("source_file", F.explode(rejected).alias("cell")).select("source_file", "cell.*")
+
+
+def _empty(spark: SparkSession, struct: T.StructType, rejected: str | None) -> DataFrame:
+    rows = spark.createDataFrame([], T.StructType([*struct, T.StructField("source_file", T.StringType())]))
+    return rows.withColumn(rejected, F.array().cast(_REJECTED)) if rejected else rows
 
 
 def read_file(spark: SparkSession, path: str, schema: str | T.StructType, separator: str = SEPARATOR,
-              multi_line: bool = False) -> DataFrame:
+              multi_line: bool = False, rejected: str | None = None) -> DataFrame:
     """One delimited file, or an empty table of the same shape where it does not exist.
 
     Columns are matched by their names in the header: those the file lacks are NULL,
-    those ``schema`` does not name follow as text.
+    those ``schema`` does not name follow as text. ``rejected`` names a column for the
+    cells that did not parse.
     """
     struct = _as_struct(spark, schema)
     if missing_path(spark, path):
-        return spark.createDataFrame([], struct.add("source_file", T.StringType()))
-    options = csv_options(separator, multi_line)
-    columns = spark.read.options(**options).csv(path).columns
-    rows = with_source_file(spark.read.schema(_layout(columns, struct)).options(**options).csv(path))
-    declared = [
-        F.col(f"`{f.name}`") if f.name in columns else F.lit(None).cast(f.dataType).alias(f.name) for f in struct
-    ]
-    return rows.select(*declared, *[F.col(f"`{c}`") for c in rows.columns if c not in struct.names])
+        return _empty(spark, struct, rejected)
+    # Every column is text by default, and the header is all that is read for that.
+    text = spark.read.options(**csv_options(separator, multi_line)).csv(path)
+    return with_columns_of(_cells(with_source_file(text), struct, rejected), struct)
 
 
-def _lines(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
-    lines = spark.read.option("pathGlobFilter", pattern).text(folder)
-    return lines.select("value", "_metadata.file_path", "_metadata.file_block_start")
+def with_columns_of(rows: DataFrame, struct: T.StructType) -> DataFrame:
+    """The declared columns in front, NULL where ``rows`` has none, then the others."""
+    declared = [F.col(f"`{f.name}`") if f.name in rows.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in struct]
+    return rows.select(*declared, *[F.col(f"`{c}`") for c in rows.columns if c not in struct.names])
 
 
-def file_headers(spark: SparkSession, folder: str, pattern: str = "*.csv") -> DataFrame:
+def file_headers(spark: SparkSession, paths: str | list[str], pattern: str = "*.csv") -> DataFrame:
     """``(file_path, header)`` of every file: its first line, looked for in its first block only."""
-    first_blocks = _lines(spark, folder, pattern).where("file_block_start = 0")
+    lines = spark.read.option("pathGlobFilter", pattern).text(paths)
+    first_blocks = lines.select("value", "_metadata.file_path", "_metadata.file_block_start").where("file_block_start = 0")
     numbered = first_blocks.select("file_path", "value", F.monotonically_increasing_id().alias("line"))
     return numbered.groupBy("file_path").agg(F.min_by("value", "line").alias("header"))
 
 
-def widest_lines(spark: SparkSession, folder: str, separator: str, pattern: str = "*.csv") -> DataFrame:
-    """``(file_path, fields)`` of every file: most fields of any line, quoted separators aside."""
-    bare = F.regexp_replace("value", r'"[^"]*"', "")
-    fields = F.length(bare) - F.length(F.replace(bare, F.lit(separator), F.lit(""))) + 1
-    return _lines(spark, folder, pattern).groupBy("file_path").agg(F.max(fields).alias("fields"))
-
-
 def _split_header(header: str, separator: str) -> list[str]:
     return next(csv.reader([header.lstrip("﻿")], delimiter=separator))
 
 
+def _read_group(spark: SparkSession, columns: list[str], paths: list[str], separator: str, multi_line: bool,
+                extra: Sequence[str] = (), **options) -> DataFrame:
+    """Files of one header as text, ``extra`` columns behind those of the header."""
+    layout = T.StructType([T.StructField(c, T.StringType()) for c in [*columns, *extra]])
+    reader = spark.read.schema(layout).options(**csv_options(separator, multi_line), **options)
+    return reader.csv(paths)
+
+
+def files_wider_than_their_header(spark: SparkSession, columns: list[str], paths: list[str], separator: str,
+                                  multi_line: bool) -> set[str]:
+    """Paths of files that hold a row with more fields than the header, as the parser sees rows."""
+    # One column more than the header: a row of its length is short of it and so malformed, save
+    # where a separator too many makes up for that; more fields than that leave it filled.
+    rows = _read_group(
+        spark, columns, paths, separator, multi_line, ["_beyond", "_malformed"],
+        columnNameOfCorruptRecord="_malformed", columnPruning=False,
+    )
+    wide = rows.where("_beyond IS NOT NULL OR _malformed IS NULL").select(F.col("_metadata.file_path").alias("path")).distinct()
+    return {row.path for row in wide.collect()}
+
+
+def read_paths(spark: SparkSession, headers: Mapping[str, str], schema: str | T.StructType, separator: str = SEPARATOR,
+               skip_bad_files: bool = True, multi_line: bool = False, rejected: str | None = None) -> DataFrame:
+    """Given files, by the header line of each, stacked by column name.
+
+    One reading per distinct header; with ``skip_bad_files`` one more that looks for rows
+    too wide for it, whose files add no rows at all.
+    """
+    struct = _as_struct(spark, schema)
+    layouts: dict[str, list[str]] = {}
+    for path, header in sorted(headers.items()):
+        layouts.setdefault(header, []).append(path)
+    groups = []
+    for header, paths in sorted(layouts.items()):
+        columns, bad = _split_header(header, separator), set()
+        if skip_bad_files:
+            bad = files_wider_than_their_header(spark, columns, [readable_path(p) for p in paths], separator, multi_line)
+            for path in sorted(bad):
+                log.error("skipped %s: a row has more fields than the header", path)
+        kept = [readable_path(p) for p in paths if p not in bad]
+        if kept:
+            groups.append(_cells(with_source_file(_read_group(spark, columns, kept, separator, multi_line)), struct, rejected))
+    if not groups:
+        return _empty(spark, struct, rejected)
+    stacked = union_by_name(groups)
+    found = [c for c in struct.names if c in stacked.columns]
+    return stacked.select(*found, *[F.col(f"`{c}`") for c in stacked.columns if c not in found])
+
+
 def read_folder(
     spark: SparkSession,
     folder: str,
@@ -89,50 +172,24 @@ def read_folder(
     same_headers: bool = False,
     skip_bad_files: bool = True,
     multi_line: bool = False,
+    rejected: str | None = None,
 ) -> DataFrame:
     """All files of a folder, stacked by column name.
 
     Spark applies one header to all files by position, so files are first grouped
     by header line and each group is read on its own; ``same_headers`` saves that
-    look at the files where the writer guarantees one layout. Column types come
-    from ``schema``; columns it does not name are read as text, and columns a file
-    lacks are NULL. With ``skip_bad_files`` a file that holds a row with more
-    fields than its header adds no rows at all; with ``multi_line`` lines are no
-    rows, so that look is left out.
+    look at the files where the writer guarantees the columns of ``schema`` in its
+    order, and a file that has others fails. Column types come from ``schema``; columns
+    it does not name are read as text, and columns a file lacks are NULL. With
+    ``skip_bad_files`` a file that holds a row with more fields than its header adds no
+    rows at all. ``rejected`` names a column for the cells that did not parse.
     """
-    skip_bad_files = skip_bad_files and not multi_line
     struct = _as_struct(spark, schema)
     if missing_path(spark, folder):
-        return spark.createDataFrame([], struct.add("source_file", T.StringType()))
-
-    def read_group(columns: list[str], paths: list[str] | None = None) -> DataFrame:
-        reader = spark.read.schema(_layout(columns, struct)).options(
-            **csv_options(separator, multi_line), pathGlobFilter=pattern
-        )
-        return with_source_file(reader.csv([readable_path(p) for p in paths] if paths else folder))
-
+        return _empty(spark, struct, rejected)
     if same_headers and not skip_bad_files:
-        return read_group(struct.names)
-
+        text = _read_group(spark, struct.names, [folder], separator, multi_line, pathGlobFilter=pattern, enforceSchema=False)
+        return _cells(with_source_file(text), struct, rejected)
     # One row per file, as many as Spark lists on the driver for the scan itself.
-    found = file_headers(spark, folder, pattern)
-    if skip_bad_files:
-        found = found.join(widest_lines(spark, folder, separator, pattern), "file_path")
-    layouts: dict[str, list[str]] = {}
-    bad = 0
-    for row in found.collect():
-        if skip_bad_files and row.fields > len(_split_header(row.header, separator)):
-            log.error("skipped %s: a line has more fields than the header", row.file_path)
-            bad += 1
-        else:
-            layouts.setdefault(row.header, []).append(row.file_path)
-    if not layouts:
-        return spark.createDataFrame([], struct.add("source_file", T.StringType()))
-    whole_folder = len(layouts) == 1 and not bad
-    groups = [
-        read_group(_split_header(header, separator), None if whole_folder else sorted(paths))
-        for header, paths in sorted(layouts.items())
-    ]
-    stacked = union_by_name(groups)
-    declared = [c for c in struct.names if c in stacked.columns]
-    return stacked.select(*declared, *[c for c in stacked.columns if c not in declared])
+    headers = {row.file_path: row.header for row in file_headers(spark, folder, pattern).collect()}
+    return read_paths(spark, headers, struct, separator, skip_bad_files, multi_line, rejected)

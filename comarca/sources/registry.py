@@ -17,13 +17,17 @@ log = logging.getLogger("comarca")
 Reader = Callable[[SparkSession], DataFrame]
 
 
-def open_data_readers(root: str, industry_schema: str | None = None) -> dict[str, Reader]:
-    """Readers of the three published sources below ``root``."""
+def open_data_readers(root: str, industry_schema: str | None = None, rejected: str | None = None) -> dict[str, Reader]:
+    """Readers of the three published sources below ``root``.
+
+    ``rejected`` names a column for the cells of text files that did not parse; a run takes
+    ``schemas.REJECTED_CELLS`` apart as a report of its own.
+    """
     indicators = f"{root}/despoblamiento/{schemas.INDICATOR_FILE}"
     return {
-        "despoblamiento": partial(delimited.read_file, path=indicators, schema=schemas.INDICATOR_SCHEMA),
+        "despoblamiento": partial(delimited.read_file, path=indicators, schema=schemas.INDICATOR_SCHEMA, rejected=rejected),
         "poblacion": partial(
-            delimited.read_folder, folder=f"{root}/pob_x_munic_y_sexo", schema=schemas.POPULATION_SCHEMA
+            delimited.read_folder, folder=f"{root}/pob_x_munic_y_sexo", schema=schemas.POPULATION_SCHEMA, rejected=rejected
         ),
         "industria": partial(workbook.read_folder, folder=f"{root}/industria", schema=industry_schema),
     }

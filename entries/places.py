@@ -74,6 +74,82 @@ def _(spark, sf_dir):
     return spark.read.schema(stream.schema).parquet(out).drop("source_file")
 
 
+@entry(
+    "scan_csv_rejected",
+    """SELECT "column", COUNT(*) AS cells, COUNT(DISTINCT text) AS texts, MIN(text) AS least, MAX(text) AS most FROM (
+         SELECT 'o_totalprice' AS "column", CAST(o_totalprice AS VARCHAR) AS text FROM orders WHERE o_totalprice > 200000
+         UNION ALL SELECT 'o_orderdate', strftime(o_orderdate, '%d/%m/%Y') FROM orders WHERE o_orderstatus = 'F'
+         UNION ALL SELECT 'o_custkey', 'C' || o_custkey FROM orders WHERE o_orderpriority LIKE '1%') GROUP BY 1""",
+)
+def _(spark, sf_dir):
+    """Prices with a fraction, days in another order and keys with a letter among cells that parse."""
+    text = table(spark, sf_dir, "orders").select(
+        "o_orderkey",
+        F.when(F.col("o_orderpriority").like("1%"), F.concat(F.lit("C"), "o_custkey")).otherwise(F.col("o_custkey").cast("string")).alias("o_custkey"),
+        F.when(F.col("o_totalprice") > 200000, F.col("o_totalprice").cast("string")).otherwise(F.col("o_totalprice").cast("long").cast("string")).alias("o_totalprice"),
+        F.when(F.col("o_orderstatus") == "F", F.date_format("o_orderdate", "dd/MM/yyyy")).otherwise(F.date_format("o_orderdate", "yyyy-MM-dd")).alias("o_orderdate"),
+    )
+    schema = "o_orderkey long, o_custkey long, o_totalprice long, o_orderdate date"
+    rows = delimited.read_file(spark, _csv(text, scratch_path(spark, "csv")), schema, rejected="lost")
+    return delimited.rejected_cells(rows, "lost").groupBy("column").agg(
+        F.count(F.lit(1)).alias("cells"), F.countDistinct("text").alias("texts"), F.min("text").alias("least"), F.max("text").alias("most")
+    )
+
+
+_QUOTED = "doc_id long, source string, n_chars int, text string"
+_QUOTED_ROWS = """SELECT doc_id, source, {n_chars} AS n_chars,
+  '"' || doc_id || '";' || chr(10) || coalesce(text, '') || ' "" ;' AS text FROM documents"""
+
+
+def _quoted(spark, sf_dir):
+    """Whole documents between quotes, separators and line breaks."""
+    text = F.concat(F.lit('"'), "doc_id", F.lit('";\n'), F.coalesce("text", F.lit("")), F.lit(' "" ;'))
+    return table(spark, sf_dir, "documents").select("doc_id", "source", F.col("n_chars").cast("int").alias("n_chars"), text.alias("text"))
+
+
+def _quoted_csv(df, path, mode="errorifexists"):
+    df.write.mode(mode).options(**files.CSV_OPTIONS, sep=";").csv(path)
+    return path
+
+
+@entry("scan_csv_quoted", _QUOTED_ROWS.format(n_chars="CAST(n_chars AS INTEGER)"))
+def _(spark, sf_dir):
+    path = _quoted_csv(_quoted(spark, sf_dir).select("text", "n_chars", "doc_id", "source"), scratch_path(spark, "csv"))
+    return delimited.read_file(spark, path, _QUOTED, multi_line=True).drop("source_file")
+
+
+def _two_layouts(spark, sf_dir):
+    """Documents in two files of other columns and another order each, by their length."""
+    docs, folder = _quoted(spark, sf_dir).repartition(4), scratch_path(spark, "csv")
+    _quoted_csv(docs.where("n_chars > 800").select("text", "n_chars", "doc_id", "source"), folder)
+    return _quoted_csv(docs.where("n_chars <= 800 OR n_chars IS NULL").select("source", "doc_id", "text"), folder, "append")
+
+
+_LONG_ONLY = "CASE WHEN n_chars > 800 THEN CAST(n_chars AS INTEGER) END"
+
+
+@entry("scan_csv_dir_quoted", _QUOTED_ROWS.format(n_chars=_LONG_ONLY))
+def _(spark, sf_dir):
+    folder = _two_layouts(spark, sf_dir)
+    return delimited.read_folder(spark, folder, _QUOTED, multi_line=True).drop("source_file")
+
+
+@entry("scan_csv_batched_quoted", _QUOTED_ROWS.format(n_chars=_LONG_ONLY))
+def _(spark, sf_dir):
+    folder, out = _two_layouts(spark, sf_dir), scratch_path(spark, "batched")
+    rows = batched.drain_by_name(
+        spark, folder, _QUOTED, out, scratch_path(spark, "offsets"), files_per_batch=3, multi_line=True
+    )
+    return rows.drop("source_file")
+
+
+@entry("export_csv_quoted", _QUOTED_ROWS.format(n_chars="CAST(n_chars AS INTEGER)"))
+def _(spark, sf_dir):
+    docs = _quoted(spark, sf_dir)
+    path = files.export_csv(docs, scratch_path(spark, "query"))
+    return spark.read.schema(docs.schema).options(**delimited.csv_options(",", multi_line=True)).csv(path)
+
+
 @entry("with_source_file", "SELECT s_suppkey, true AS from_part_file FROM supplier")
 def _(spark, sf_dir):
     folder = _csv(table(spark, sf_dir, "supplier"), scratch_path(spark, "csv"))

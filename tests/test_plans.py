@@ -259,7 +259,7 @@ SELECT transform(array(1, 2), x -> x + 1), CASE WHEN 1 = 1 THEN 'a' ELSE 'b' END
 SELECT * FROM twenty PIVOT (count(1) FOR id IN (1, 2))
 SELECT id FROM twenty UNION ALL SELECT 1 EXCEPT SELECT 2
 SELECT k, grouping_id() FROM (SELECT id % 2 AS k FROM twenty) GROUP BY CUBE(k) HAVING count(*) > 0 ORDER BY 1 LIMIT 2
-SELECT (SELECT max(id) FROM twenty) AS m, /*+ none */ id::string FROM range(5)
+SELECT (SELECT max(id) FROM twenty) AS m, /* + none */ id::string FROM range(5)
 SELECT percentile_cont(0.5) WITHIN GROUP (ORDER BY id), count(DISTINCT id) FILTER (WHERE id > 1) FROM twenty
 SELECT * EXCEPT (id) FROM (SELECT id, 1 AS a FROM twenty)
 SELECT rank() OVER w FROM twenty WINDOW w AS (ORDER BY id)

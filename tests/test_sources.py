@@ -4,6 +4,9 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from comarca.plans.etl import Run
+from comarca.schemas import REJECTED_CELLS
+from comarca.sinks import registry as sinks
 from comarca.sources import catalog, delimited, registry, staged, workbook
 from comarca.streaming import batched
 from entries.workbooks import workbook as make_workbook
@@ -70,6 +73,89 @@ def test_batches_of_files(spark, tmp_path):
     assert spark.read.parquet(f"{tmp_path}/out").count() == 8
 
 
+def test_cells_that_do_not_parse_are_listed(spark, tmp_path):
+    path = _write(tmp_path, f="b;a;c;e\none;12.5;x1;7\n;9;;\ntwo; ;2,5;z\nthree;1e3;-1.5;\n", g="c;b\nnone;n\n3;m\n")
+    rows = delimited.read_folder(spark, path, SCHEMA, rejected="lost")
+    assert rows.columns == ["a", "b", "c", "e", "source_file", "lost"]
+    assert as_set(rows, "a", "b", "c") == {
+        (None, "one", None), (9, None, None), (None, "two", None), (None, "three", -1.5), (None, "n", None), (None, "m", 3.0)
+    }
+    lost = delimited.rejected_cells(rows, "lost")
+    assert as_set(lost) == {
+        ("f.csv", "a", "12.5"), ("f.csv", "c", "x1"), ("f.csv", "c", "2,5"), ("f.csv", "a", "1e3"), ("g.csv", "c", "none")
+    }
+    one = delimited.read_file(spark, f"{path}/f.csv", SCHEMA, rejected="lost")
+    assert delimited.rejected_cells(one, "lost").count() == 4 and one.columns == ["a", "b", "c", "e", "source_file", "lost"]
+    text = delimited.read_file(spark, f"{path}/f.csv", "b string", rejected="lost")
+    assert delimited.rejected_cells(text, "lost").isEmpty()
+    absent = delimited.read_file(spark, f"{path}/absent.csv", SCHEMA, rejected="lost")
+    assert delimited.rejected_cells(absent, "lost").isEmpty()
+
+
+def test_a_run_reports_the_cells_it_lost(spark, tmp_path):
+    path = _write(tmp_path / "pob", f="Periodo;Total\n2020;1.234\n2021;x\n2022;7\n")
+    readers = {"p": lambda spark: delimited.read_folder(spark, path, "Periodo int, Total long", rejected=REJECTED_CELLS)}
+    run = Run(spark, readers, {"file": sinks.file_loader(str(tmp_path / "out"))}, ["file"], transforms={})
+    assert run.run() and REJECTED_CELLS not in run.transformed["p"].columns
+    assert as_set(run.rejected_cells()) == {("p", "f.csv", "Total", "1.234"), ("p", "f.csv", "Total", "x")}
+
+
+def test_wide_rows_are_seen_through_quotes_and_line_breaks(spark, tmp_path):
+    good, bad = 'a;b\n1;"x;\ny;;"\n', 'a;b\n2;"x\ny";z\n'
+    path = _write(tmp_path, good=good, bad=bad, blank="a;b\n3;x;\n")
+    assert as_set(delimited.read_folder(spark, path, SCHEMA, multi_line=True), "a", "b") == {(1, "x;\ny;;")}
+    kept = delimited.read_folder(spark, path, SCHEMA, multi_line=True, skip_bad_files=False)
+    assert as_set(kept, "a") == {(1,), (2,), (3,)}
+
+
+def test_one_layout_is_checked_against_the_header(spark, tmp_path):
+    path = _write(tmp_path, x="a;b;c\n1;one;2\n", y="b;a;c\ntwo;2;3\n")
+    with pytest.raises(Exception, match="header"):
+        delimited.read_folder(spark, path, SCHEMA, same_headers=True, skip_bad_files=False).collect()
+
+
+def test_batches_by_header_name_are_added_once(spark, tmp_path):
+    folder = tmp_path / "in"
+    path = _write(folder, a="a;b;c\n1;one;1.5\n", b="c;a\n2.5;2\n", c="b;x;a\nthree;?;3\n", d="a;b\n4;x\n5;y;z\n", e="a\nbad\n")
+    out, checkpoint = f"{tmp_path}/out", f"{tmp_path}/cp"
+    rows = batched.drain_by_name(spark, path, SCHEMA, out, checkpoint, files_per_batch=2, rejected="lost")
+    want = {(1, "one", 1.5, "a.csv"), (2, None, 2.5, "b.csv"), (3, "three", None, "c.csv"), (None, None, None, "e.csv")}
+    assert rows.columns == ["a", "b", "c", "source_file", "lost"] and as_set(rows, "a", "b", "c", "source_file") == want
+    assert as_set(delimited.rejected_cells(rows, "lost")) == {("e.csv", "a", "bad")}
+    record = batched.Ledger(spark, out).record()
+    assert record.count() == 5 and record.select("batch").distinct().count() == 3
+    # New files only; a lost checkpoint brings the old ones again under other numbers.
+    _write(folder, late="b;a\nlate;9\n")
+    for at in (checkpoint, f"{tmp_path}/other"):
+        rows = batched.drain_by_name(spark, path, SCHEMA, out, at, files_per_batch=2, rejected="lost")
+        assert as_set(rows, "a", "b", "c", "source_file") == want | {(9, "late", None, "late.csv")}
+        assert rows.count() == 5
+
+
+def test_a_batch_replayed_after_a_failure_adds_nothing_twice(spark, tmp_path):
+    path = _write(tmp_path / "in", a="a;b;c\n1;x;0\n", b="a;b;c\n2;x;0\n")
+    ledger = batched.Ledger(spark, f"{tmp_path}/out")
+    files = spark.createDataFrame([(f"file:{path}/a.csv",), (f"file:{path}/b.csv",)], "path string")
+
+    def read(paths):
+        return spark.createDataFrame([(p,) for p in paths], "source_file string")
+
+    def broken(paths):
+        # Rows are written, the record is not.
+        read(paths).write.mode("overwrite").parquet(f"{tmp_path}/out/rows/batch=7")
+        raise OSError("lost")
+
+    with pytest.raises(OSError):
+        ledger.add(7, files, broken)
+    schema = read([]).schema
+    assert ledger.rows(schema).isEmpty() and ledger.record().isEmpty()
+    for _ in range(2):
+        ledger.add(7, files, read)
+        assert ledger.rows(schema).count() == 2
+    ledger.add(8, files, read)
+    assert ledger.rows(schema).count() == 2 and as_set(ledger.record(), "batch", "rows") == {(7, 2), (8, 0)}
+
+
 @pytest.fixture
 def books(tmp_path):
     (tmp_path / "Coruña 2019.xlsx").write_bytes(

@@ -1,8 +1,10 @@
 """Mixing, sharding, archives, vectors and the pipeline: small cases, ties, nulls, empty tables, hot groups."""
 
+import bisect
 import io
 import struct
 import zipfile
+import zlib
 
 import numpy as np
 import pytest
@@ -93,12 +95,54 @@ def test_shards_are_even_and_copies_stay_together(spark):
 
 
 def test_group_starts_and_quantiles():
-    keys = [(i, 0, 1.0) for i in range(100)]
-    assert splitters.quantile_boundaries(keys, 4) == [(24, 0), (49, 0), (74, 0)]
+    low = splitters.LOWEST
+    keys = [(i, 0, 0, 1.0) for i in range(100)]
+    assert splitters.quantile_boundaries(keys, 4) == [(24, 0, 0), (49, 0, 0), (74, 0, 0)]
     assert splitters.quantile_boundaries([], 4) == []
-    got = splitters.at_group_starts([(5, 1), (5, 2), (7, 9)], 16)
-    assert got == [(5, splitters.LOWEST), (5, 1), (5, 2), (7, splitters.LOWEST)]
-    assert splitters.at_group_starts([(5, 1), (7, 9)], 16) == [(5, splitters.LOWEST), (7, splitters.LOWEST)]
+    got = splitters.at_group_starts([(5, 1, 0), (5, 2, 0), (7, 9, 0)], 16)
+    assert got == [(5, low, low), (5, 1, 0), (5, 2, 0), (7, low, low)]
+    assert splitters.at_group_starts([(5, 1, 0), (7, 9, 0)], 16) == [(5, low, low), (7, low, low)]
+
+
+def test_range_numbers_are_those_of_a_sorted_list(spark):
+    rng = np.random.default_rng(3)
+    boundaries = sorted({tuple(int(v) for v in rng.integers(-3, 4, 3)) for _ in range(60)})
+    keys = [tuple(int(v) for v in rng.integers(-4, 5, 3)) for _ in range(500)] + boundaries
+    rows = spark.createDataFrame(keys, "a long, b long, c long")
+    got = rows.withColumn("found", splitters.range_number(boundaries, F.col("a"), F.col("b"), F.col("c"))).collect()
+    assert len(got) == len(keys) and all(r.found == bisect.bisect_right(boundaries, tuple(r)[:3]) for r in got)
+
+
+def check_law(got, shards, copies_cut):
+    """What the law says, of every row: sizes near equal, slots without gaps, copies together."""
+    sizes = got.groupby("shard")["size"].sum().reindex(range(shards), fill_value=0)
+    assert sizes.max() <= 1.1 * sizes.mean() and sizes.min() >= 0.9 * sizes.mean()
+    for _, part in got.groupby("shard"):
+        assert sorted(part["slot"]) == list(range(len(part)))
+    assert (got.groupby("text_crc32")["shard"].nunique() > 1).sum() <= copies_cut
+
+
+@pytest.mark.parametrize("same", ["no id", "one id", "ids"])
+def test_rows_that_repeat_are_cut_like_any_others(spark, same):
+    rng = np.random.default_rng(1)
+    rows = [(i, f"{i} " + "t" * int(rng.integers(0, 900)), None) for i in range(4000)]
+    rows += [({"no id": None, "one id": 7, "ids": 9000 + i}[same], "the same text " * 40, None) for i in range(2000)]
+    docs = docs_of(spark, rows).repartition(5)
+    got = splitters.shard(docs).toPandas()
+    assert len(got) == len(rows)
+    check_law(got, 24, 1)
+    sizes = {}
+    for i, text, _ in rows:
+        sizes.setdefault((i, zlib.crc32(text.encode())), []).append(len(text) + 8)
+    for key, part in got.astype({"doc_id": "object"}).groupby(["doc_id", "text_crc32"], dropna=False):
+        assert sorted(part["size"]) == sizes[None if key[0] != key[0] else int(key[0]), key[1]]
+
+
+def test_rounds_end_loudly(spark, monkeypatch):
+    monkeypatch.setattr(splitters, "MOST_ROUNDS", 1)
+    monkeypatch.setattr(splitters, "KEYS_PER_RANGE", 0.01)
+    with pytest.raises(RuntimeError, match="overfull"):
+        splitters.shard(docs_of(spark, [(i, "t" * (i % 50), None) for i in range(3000)]))
 
 
 def test_archives_come_back(spark):

@@ -3,7 +3,11 @@
 A known word adds its log frequency in each language. A word the model has not
 seen adds the mean log frequency of its known 5-grams, else its known 4-grams,
 and so on down to single letters. Frequencies are learned from rows that carry a
-language, as many per language as a parameter says, drawn by a hash of the id.
+language: about ``rows_per_language`` whole texts of every language there is, drawn by a
+hash of the id. Of what they hold the model knows each language's ``words_per_language``
+most frequent words and ``grams_per_language`` most frequent n-grams of every length;
+a word beyond that backs off like any unseen one. So what the driver and each task hold
+grows with the number of languages only.
 
 Defined results: NULL, empty and letterless texts are ``und`` with score 0; a
 text none of whose words and letters the model knows scores 1 / languages; ties go
@@ -16,12 +20,12 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from itertools import repeat
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from comarca.llm.frames import bounded_batches, shipped, uniform
@@ -29,9 +33,8 @@ from comarca.sinks.pinned import pin
 
 UNDETERMINED = "und"
 ROWS_PER_LANGUAGE = 2000
-MOST_LANGUAGES = 200
-MOST_WORDS = 100_000
-MOST_GRAMS = 30_000
+WORDS_PER_LANGUAGE = 20_000
+GRAMS_PER_LANGUAGE = 6_000
 LONGEST = 5
 LEAST_COUNT = 2
 SMOOTHING = 0.5
@@ -60,36 +63,55 @@ def grams_of(word: str, n: int) -> list[str]:
 
 @dataclass
 class LanguageModel:
-    """Log frequencies per language: ``logs`` has a row for each word of ``words`` and each n-gram of ``grams``."""
+    """Log frequencies per language, in long form.
+
+    What a language has ``times`` of is log(SMOOTHING / whole) + log(times / SMOOTHING + 1).
+    ``base`` has the first part for each level (0: words, n: n-grams) and language; the
+    entries ``first[i]`` to ``first[i + 1]`` of ``langs`` and ``logs`` have the second part
+    of row i in the languages that know it. ``words`` and ``grams`` name the rows.
+    """
 
     languages: list[str]
     words: dict[str, int]
     grams: dict[str, int]
+    base: np.ndarray
+    first: np.ndarray
+    langs: np.ndarray
     logs: np.ndarray
 
-    def backoff(self, word: str) -> list[int]:
-        """Rows of the word's known n-grams of the greatest length that has any."""
+    def backoff(self, word: str) -> tuple[int, list[int]]:
+        """The greatest length of which the word has known n-grams, and their rows."""
         get = self.grams.get
         marked = f"<{word}>"
         for n in range(min(LONGEST, len(marked)), 1, -1):
             known = [i for j in range(len(marked) - n + 1) if (i := get(marked[j : j + n])) is not None]
             if known:
-                return known
-        return [i for letter in word if (i := get(letter)) is not None]
+                return n, known
+        return 1, [i for letter in word if (i := get(letter)) is not None]
 
     def evidence(self, words: list[str]) -> np.ndarray:
         """Mean log frequency of the words in each language."""
         at = list(map(self.words.get, words))
-        known = [i for i in at if i is not None]
-        total = self.logs[known].sum(axis=0, dtype=float) if known else np.zeros(len(self.languages))
-        if len(known) < len(words):
-            rows, lengths = [], []
+        rows = [i for i in at if i is not None]
+        weights, levels = [np.ones(len(rows))], np.zeros(LONGEST + 1)
+        levels[0] = len(rows)
+        if len(rows) < len(words):
+            lengths = []
             for word, i in zip(words, at):
-                if i is None and (found := self.backoff(word)):
-                    rows += found
-                    lengths.append(len(found))
-            if rows:
-                total = total + np.repeat(1.0 / np.array(lengths), lengths) @ self.logs[rows]
+                if i is None:
+                    n, found = self.backoff(word)
+                    if found:
+                        rows += found
+                        lengths.append(len(found))
+                        levels[n] += 1
+            weights.append(np.repeat(1.0 / np.array(lengths), lengths) if lengths else np.zeros(0))
+        total = levels @ self.base
+        if rows:
+            begin, end = self.first[rows], self.first[np.array(rows) + 1]
+            each = end - begin
+            entries = np.repeat(begin - (np.cumsum(each) - each), each) + np.arange(each.sum())
+            more = self.logs[entries] * np.repeat(np.concatenate(weights), each)
+            total = total + np.bincount(self.langs[entries], weights=more, minlength=len(self.languages))
         return total / len(words)
 
     def predict(self, text: str | None) -> tuple[str, float]:
@@ -102,79 +124,88 @@ class LanguageModel:
         return self.languages[best], float(weights[best] / weights.sum())
 
 
+def model_of(languages: list[str], counts: pd.DataFrame, totals: dict[tuple[int, int], int]) -> LanguageModel:
+    """From rows (level, gram, of, times) and the sums of times per level and language."""
+    counts = counts.sort_values(["level", "gram", "of"], kind="stable").reset_index(drop=True)
+    level, gram, of = (counts[c].to_numpy() for c in ("level", "gram", "of"))
+    new = np.ones(len(counts), dtype=bool)
+    new[1:] = (level[1:] != level[:-1]) | (gram[1:] != gram[:-1])
+    starts = np.flatnonzero(new)
+    base = np.zeros((LONGEST + 1, len(languages)))
+    for n in range(LONGEST + 1):
+        known = int((level[starts] == n).sum())
+        whole = np.array([totals.get((n, k), 0) for k in range(len(languages))], dtype=float)
+        base[n] = np.log(SMOOTHING / (whole + SMOOTHING * max(1, known)))
+    tables: tuple[dict, dict] = ({}, {})
+    for i, at in enumerate(starts.tolist()):
+        tables[int(level[at] > 0)][gram[at]] = i
+    return LanguageModel(
+        languages, *tables, base, np.append(starts, len(counts)).astype(np.int64), of.astype(np.int64),
+        np.log(counts["times"].to_numpy(float) / SMOOTHING + 1).astype(np.float32),
+    )
+
+
 def fit(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id",
-        rows_per_language: int = ROWS_PER_LANGUAGE) -> LanguageModel:
+        rows_per_language: int = ROWS_PER_LANGUAGE, words_per_language: int = WORDS_PER_LANGUAGE,
+        grams_per_language: int = GRAMS_PER_LANGUAGE) -> LanguageModel:
     """Learns from about ``rows_per_language`` rows of each language, whole texts each.
 
-    The driver gets at most ``MOST_WORDS`` words and ``MOST_GRAMS`` n-grams per length.
+    The driver gets at most ``words_per_language`` words and ``grams_per_language`` n-grams
+    of each length for every language, each with its count in all languages.
     """
     bounded_batches(docs.sparkSession)
-    rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"), F.col(lang).alias("lang")).where(
-        "text IS NOT NULL AND lang IS NOT NULL"
-    )
-    sizes = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES).collect()
-    languages = sorted(r["lang"] for r in sizes)
+    rows = docs.select(
+        docs[f"`{key}`"].alias("key"), docs[f"`{text}`"].alias("text"), docs[f"`{lang}`"].alias("lang")
+    ).where("text IS NOT NULL AND lang IS NOT NULL")
+    sizes = pin(rows.groupBy("lang").agg(F.count(F.lit(1)).alias("size")), "languages")
+    languages = sorted(r["lang"] for r in sizes.collect())
     if not languages:
-        return LanguageModel([], {}, {}, np.zeros((0, 0)))
-    number = {name: i for i, name in enumerate(languages)}
-    share = {r["lang"]: min(1.0, rows_per_language / r["count"]) for r in sizes}
-    chance = F.create_map(*[F.lit(x) for pair in share.items() for x in pair])[F.col("lang")]
-    drawn = rows.where(uniform("key", "text", seed=SEED) < chance)
+        return model_of([], pd.DataFrame({"level": [], "gram": [], "of": [], "times": []}), {})
+    numbered = docs.sparkSession.createDataFrame(list(enumerate(languages)), "of int, name string")
+    # A row per language on this side, so a hot language's rows can be split.
+    named = sizes.join(numbered, F.col("lang") == F.col("name")).select("lang", "of", "size")
+    drawn = rows.join(named, "lang").where(uniform("key", "text", seed=SEED) < F.lit(rows_per_language) / F.col("size"))
 
     def count_words(batches):
         held = Counter()
         for batch in batches:
-            for value, name in zip(batch["text"], batch["lang"]):
-                held.update(zip(repeat(number[name]), words_of(value)))
+            for value, of in zip(batch["text"], batch["of"]):
+                held.update(zip(repeat(of), words_of(value)))
                 if len(held) > 50_000:
                     yield pd.DataFrame([(of, w, c) for (of, w), c in held.items()], columns=["of", "gram", "times"])
                     held = Counter()
         yield pd.DataFrame([(of, w, c) for (of, w), c in held.items()], columns=["of", "gram", "times"])
 
-    columns = [f"c{i}" for i in range(len(languages))]
-    words = drawn.mapInPandas(count_words, "of int, gram string, times long").groupBy("gram").agg(
-        *[F.sum(F.when(F.col("of") == i, F.col("times")).otherwise(0)).alias(c) for i, c in enumerate(columns)]
+    words = pin(
+        drawn.select("text", "of").mapInPandas(count_words, "of int, gram string, times long")
+        .groupBy("of", "gram").agg(F.sum("times").alias("times")),
+        "language-words",
     )
-    words = pin(words, "language-words")
 
     def count_grams(batches):
-        # Each word type once, with its counts; summed per batch, then by Spark.
+        # Each word of a language once, with its count; summed per batch, then by Spark.
         for batch in batches:
-            rows: dict = {}
-            at, word_at = [], []
-            for i, word in enumerate(batch["gram"]):
-                before = len(at)
+            held = Counter()
+            for of, word, times in zip(batch["of"], batch["gram"], batch["times"]):
                 for n in range(1, LONGEST + 1):
-                    at += [rows.setdefault((n, g), len(rows)) for g in grams_of(word, n)]
-                word_at += [i] * (len(at) - before)
-            table = np.zeros((len(rows), len(columns)), dtype=np.int64)
-            np.add.at(table, np.array(at, dtype=np.int64), batch[columns].to_numpy(np.int64)[word_at])
-            grams = pd.DataFrame(list(rows), columns=["level", "gram"]).astype({"level": "int32"})
-            yield pd.concat([grams, pd.DataFrame(table, columns=columns)], axis=1)
-
-    each = ", ".join(f"{c} long" for c in columns)
-    every = sum(F.col(c) for c in columns)
-    counts = (
-        words.where(every >= LEAST_COUNT).mapInPandas(count_grams, f"level int, gram string, {each}")
-        .groupBy("level", "gram").agg(*[F.sum(c).alias(c) for c in columns])
-        .unionByName(words.select(F.lit(0).alias("level"), "gram", *columns))
-        .withColumn("times", every).where(F.col("times") >= LEAST_COUNT)
+                    for gram in grams_of(word, n):
+                        held[n, gram, of] += times
+            yield pd.DataFrame([(*k, t) for k, t in held.items()], columns=["level", "gram", "of", "times"])
+
+    often = F.sum("times").over(Window.partitionBy("level", "gram")) >= LEAST_COUNT
+    known = words.withColumn("level", F.lit(0)).select("level", "gram", "of", "times")
+    known = known.withColumn("often", often).where("often").drop("often")
+    grams = (
+        known.select("of", "gram", "times").mapInPandas(count_grams, "level int, gram string, of int, times long")
+        .groupBy("level", "gram", "of").agg(F.sum("times").alias("times"))
     )
-    counts = pin(counts, "language-counts")
-    totals = {r["level"]: np.array([r[c] for c in columns], float)
-              for r in counts.groupBy("level").agg(*[F.sum(c).alias(c) for c in columns]).collect()}
-    tables, logs, first = ({}, {}), [], 0
-    for level in range(LONGEST + 1):
-        top = (
-            counts.where(F.col("level") == level).orderBy(F.desc("times"), "gram")
-            .limit(MOST_GRAMS if level else MOST_WORDS).toPandas()
-        )
-        seen = top[columns].to_numpy(float).reshape(-1, len(languages)) + SMOOTHING
-        whole = totals.get(level, np.zeros(len(languages))) + SMOOTHING * max(1, len(top))
-        tables[level > 0].update({g: first + i for i, g in enumerate(top["gram"])})
-        logs.append(np.log(seen / whole).astype(np.float32))
-        first += len(top)
-    return LanguageModel(languages, *tables, np.concatenate(logs))
+    counts = pin(known.union(grams), "language-counts")
+    place = F.row_number().over(Window.partitionBy("level", "of").orderBy(F.desc("times"), "gram"))
+    most = F.when(F.col("level") == 0, words_per_language).otherwise(grams_per_language)
+    kept = counts.withColumn("place", place).where(F.col("place") <= most).select("level", "gram").distinct()
+    totals = {(r["level"], r["of"]): r["times"] for r in
+              counts.groupBy("level", "of").agg(F.sum("times").alias("times")).collect()}
+    return model_of(languages, counts.join(kept, ["level", "gram"]).toPandas(), totals)
 
 
 def predictor(docs: DataFrame, model: LanguageModel):

@@ -1,10 +1,13 @@
 """Language, quality, toxicity, fingerprints, windows, tokens: small cases, ties, nulls, empty tables."""
 
+import math
 import random
 import re
+from collections import Counter
 from pathlib import Path
 
 import numpy as np
+import pandas as pd
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -52,9 +55,82 @@ def test_language_with_nothing_to_learn(spark):
 
 
 def test_backoff_takes_the_longest_known_grams():
-    model = langid.LanguageModel(["a", "b"], {}, {"<ab": 0, "ab": 1, "b": 2}, np.log([[0.5, 0.1], [0.2, 0.2], [0.1, 0.9]]))
-    assert model.backoff("abq") == [0] and model.backoff("qab") == [1] and model.backoff("qqb") == [2]
-    assert model.predict("abq")[0] == "a" and model.predict("qqb")[0] == "b"
+    counts = [(3, "<ab", 0, 5), (3, "<ab", 1, 1), (2, "ab", 0, 2), (2, "ab", 1, 2), (1, "b", 0, 1), (1, "b", 1, 9)]
+    counts = pd.DataFrame(counts, columns=["level", "gram", "of", "times"])
+    model = langid.model_of(["a", "b"], counts, {(n, k): 10 for n in range(6) for k in range(2)})
+    assert [model.backoff(w) for w in ("abq", "qab", "qqb", "qq")] == [(3, [2]), (2, [1]), (1, [0]), (1, [])]
+    assert model.predict("abq")[0] == "a" and model.predict("qqb")[0] == "b" and model.predict("qq") == ("a", 0.5)
+
+
+class PlainLanguages:
+    """By definition: dicts of counts, a logarithm per word and language."""
+
+    def __init__(self, texts, langs):
+        self.names = sorted(set(langs))
+        tables = {(n, name): Counter() for n in range(6) for name in self.names}
+        for text, name in zip(texts, langs):
+            tables[0, name].update(langid.words_of(text))
+        often = sum((tables[0, name] for name in self.names), Counter())
+        for name in self.names:
+            for word, times in tables[0, name].items():
+                for n in range(1, 6) if often[word] >= langid.LEAST_COUNT else ():
+                    for gram in langid.grams_of(word, n):
+                        tables[n, name][gram] += times
+        self.known = [set().union(*(tables[n, name] for name in self.names)) for n in range(6)]
+        self.known[0] = {w for w in self.known[0] if often[w] >= langid.LEAST_COUNT}
+        self.tables = tables
+        self.whole = {k: sum(t for g, t in v.items() if g in self.known[k[0]]) for k, v in tables.items()}
+
+    def log(self, n, gram, name):
+        whole = self.whole[n, name] + langid.SMOOTHING * len(self.known[n])
+        return math.log((self.tables[n, name][gram] + langid.SMOOTHING) / whole)
+
+    def word(self, word, name):
+        if word in self.known[0]:
+            return self.log(0, word, name)
+        for n in range(5, 0, -1):
+            found = [g for g in langid.grams_of(word, n) if g in self.known[n]]
+            if found:
+                return sum(self.log(n, g, name) for g in found) / len(found)
+        return 0.0
+
+    def predict(self, text):
+        words = langid.words_of(text)
+        if not words:
+            return "und", 0.0
+        mean = [sum(self.word(w, name) for w in words) / len(words) for name in self.names]
+        weights = [math.exp((m - max(mean)) * min(len(words), langid.SURE_WORDS)) for m in mean]
+        best = weights.index(max(weights))
+        return self.names[best], weights[best] / sum(weights)
+
+
+def test_predictions_are_those_of_plain_counting(spark):
+    rng = random.Random(9)
+    letters = {"one": "abcdeü", "two": "cdefgh", "three": "aeiou" + "xyz"}
+    langs = [rng.choice(["one", "one", "two", "three"]) for _ in range(90)]
+    texts = [words(rng, letters[name], rng.randint(0, 30)) + rng.choice(["", " shared words", " 12 Ab?"]) for name in langs]
+    plain = PlainLanguages(texts, langs)
+    odd = ["abc def xyz shared", "qqqq", "ü", "Shared WORDS", "", "17"] + [words(rng, "abcdefghxyzq", 9) for _ in range(60)]
+    docs = docs_of(spark, texts + odd, langs + [None] * len(odd)).repartition(4)
+    model = langid.fit(docs)
+    assert model.languages == plain.names
+    for row in docs.select("text", langid.predicted(docs, model, docs.text).alias("p")).collect():
+        name, score = plain.predict(row.text)
+        assert row.p.lang_pred == name and row.p.score == pytest.approx(score, rel=1e-4)
+
+
+def test_every_language_is_learned(spark):
+    rng = random.Random(8)
+    names = [f"l{i:03}" for i in range(203)]
+    own = {name: ["".join(rng.choices("abcdefghijklmnop", k=6)) for _ in range(4)] for name in names}
+    texts = [" ".join(own[name] * 2) for name in names for _ in range(2)]
+    docs = docs_of(spark, texts, [name for name in names for _ in range(2)])
+    model = langid.fit(docs)
+    assert model.languages == names
+    got = docs.select("lang", langid.predicted(docs, model, docs.text).alias("p")).collect()
+    assert all(r.lang == r.p.lang_pred for r in got)
+    few = langid.fit(docs, words_per_language=1, grams_per_language=2)
+    assert len(few.words) == 203 and few.languages == names
 
 
 @pytest.mark.parametrize("operator, label", [(quality_zstd, "quality"), (toxicity_zstd, "toxic")])

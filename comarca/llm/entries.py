@@ -40,7 +40,7 @@ def entry(key, sql=None):
     "op6_mixing",
     """WITH docs AS (
   SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^ \\x09-\\x0D]+')) AS BIGINT) AS size,
-         md5(concat_ws('/', coalesce(CAST(doc_id AS VARCHAR), ''), '17')) AS o FROM documents),
+         md5(concat_ws('/', coalesce(CAST(doc_id AS VARCHAR), ''), md5(coalesce(text, '')), '17')) AS o FROM documents),
 sources AS (
   SELECT *, 1 + (rank - 1) % 3 AS weight FROM (
     SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
@@ -51,29 +51,36 @@ filled AS (
   FROM sources WINDOW by_ratio AS (ORDER BY source_size / weight, rank ROWS UNBOUNDED PRECEDING)),
 rated AS (
   SELECT *, CAST(total - used AS DOUBLE) / CAST(weights - gone AS DOUBLE) AS rate_here FROM filled),
-targets AS (
+sized AS (
   SELECT source, source_size, rank, total, least(CAST(3 * source_size AS DOUBLE), coalesce(rate * weight, 3 * source_size)) AS target,
          greatest(1, CAST(ceil(total / (n * 200)) AS BIGINT)) AS block
   FROM rated, (SELECT min_by(rate_here, gone) AS rate FROM rated WHERE rate_here * weight <= 3 * source_size)),
-seats AS (
+few AS (
+  SELECT *, CASE WHEN least(CAST(source_size AS DOUBLE), target) < block * 50 THEN CAST(round(target) AS BIGINT) END AS exact FROM sized),
+targets AS (SELECT *, round((total - coalesce(sum(exact) OVER (), 0)) / block) AS seats FROM few),
+seated AS (
   SELECT rank, count(*) AS quota FROM (
-    SELECT rank, row_number() OVER (ORDER BY target / (2 * k + 1) DESC, rank, k) AS seat, round(total / block) AS seats
-    FROM (SELECT *, unnest(range(least(3 * source_size // block, CAST(ceil(target / block) AS BIGINT) * 2 + 8))) AS k FROM targets))
+    SELECT rank, seats, row_number() OVER (ORDER BY target / (2 * k + 1) DESC, rank, k) AS seat
+    FROM (SELECT *, unnest(range(least(3 * source_size // block, CAST(ceil(target / block) AS BIGINT) * 2 + 8))) AS k
+          FROM targets WHERE exact IS NULL))
   WHERE seat <= seats GROUP BY rank),
 blocks AS (
-  SELECT *, quota // n + CASE WHEN row_number() OVER (PARTITION BY rank ORDER BY md5(concat_ws('/', rank, no, '17')), no)
-            <= quota % n THEN 1 ELSE 0 END AS times, least((no + 1) * block, source_size) AS upto
+  SELECT rank, quota // n + CASE WHEN row_number() OVER (PARTITION BY rank ORDER BY md5(concat_ws('/', rank, no, '17')), no)
+            <= quota % n THEN 1 ELSE 0 END AS times, no * block AS start, least((no + 1) * block, source_size) AS upto
   FROM (SELECT rank, block, source_size, coalesce(quota, 0) AS quota, CAST(ceil(source_size / block) AS BIGINT) AS n,
                unnest(range(CAST(ceil(source_size / block) AS BIGINT))) AS no
-        FROM targets LEFT JOIN seats USING (rank))),
+        FROM targets LEFT JOIN seated USING (rank) WHERE exact IS NULL)
+  UNION ALL SELECT rank, exact // source_size + 1, 0, exact % source_size FROM targets WHERE exact IS NOT NULL AND source_size > 0
+  UNION ALL SELECT rank, exact // source_size, exact % source_size, source_size FROM targets
+  WHERE exact IS NOT NULL AND source_size > 0),
 placed AS (
-  SELECT doc_id, size, source_size, target, rank, sum(size) OVER (PARTITION BY rank ORDER BY o, doc_id, size
-         ROWS UNBOUNDED PRECEDING) AS upto
+  SELECT doc_id, size, source_size, target, rank, row_number() OVER () AS id,
+         sum(size) OVER (PARTITION BY rank ORDER BY o, doc_id, size ROWS UNBOUNDED PRECEDING) AS upto
   FROM docs JOIN targets ON docs.source IS NOT DISTINCT FROM targets.source)
 SELECT p.doc_id, p.size, p.source_size, p.target, CAST(coalesce(sum(b.times * (least(p.upto, b.upto)
-       - greatest(p.upto - p.size, b.no * b.block))), 0) AS BIGINT) AS taken
-FROM placed p LEFT JOIN blocks b ON b.rank = p.rank AND b.no * b.block < p.upto AND b.upto > p.upto - p.size
-GROUP BY p.doc_id, p.size, p.source_size, p.target""",
+       - greatest(p.upto - p.size, b.start))), 0) AS BIGINT) AS taken
+FROM placed p LEFT JOIN blocks b ON b.rank = p.rank AND b.start < p.upto AND b.upto > p.upto - p.size
+GROUP BY p.id, p.doc_id, p.size, p.source_size, p.target""",
 )
 def _(spark, sf_dir):
     return mixing.mix(table(spark, sf_dir, "documents")).drop("source", "copies", "kept")

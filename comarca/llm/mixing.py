@@ -7,6 +7,11 @@ which blocks the mix takes. A source of few blocks, for which a block is too coa
 takes its target to the word instead: whole rounds, and the first words of the seeded
 order once more. DataFrame operations only.
 
+The seeded order is that of a hash of id and text, so that rows without an id, or with
+one id, lie apart; rows equal in both are ordered by the columns that are kept. It
+is cut into buckets of some ``BUCKET_ROWS`` rows at every size; rows equal in id and text
+share one.
+
 Defined results: a NULL text has size 0; a NULL source is a source of its own,
 last in order; documents of size 0 are kept and take nothing; repeated rows are
 separate documents that share nothing but their place in the seeded order; an
@@ -28,7 +33,8 @@ SHARDS = 8
 SEED = 17
 # Rows that one window over a bucket of the seeded order holds on average.
 BUCKET_ROWS = 256
-MOST_BUCKETS = 1 << 16
+# Buckets whose sums one window adds up.
+RUN_OF_BUCKETS = 4096
 
 
 def word_count(text: Column) -> Column:
@@ -145,6 +151,11 @@ def cut_of() -> Column:
     return F.col("exact") % F.greatest("source_size", F.lit(1).cast("long"))
 
 
+def seeded_order(doc_id: Column, text: Column, seed: int) -> Column:
+    parts = F.coalesce(doc_id.cast("string"), F.lit("")), F.md5(F.coalesce(text, F.lit("")).cast("binary"))
+    return F.md5(F.concat_ws("/", *parts, F.lit(str(seed))))
+
+
 def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", keep: tuple[str, ...] = (),
         seed: int = SEED, blocks_per_source: int = BLOCKS_PER_SOURCE, shards: int = SHARDS, ceiling: int = CEILING) -> DataFrame:
     """doc_id, source, size, source_size, target, taken (words, repeats counted) and copies of every row.
@@ -155,13 +166,15 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
     are equal, which share the draw, each takes over the remainder of the one before. The
     columns named in ``keep`` come back in the struct ``kept``.
     """
+    own_id, value = docs[f"`{doc_id}`"], docs[f"`{text}`"]
+    kept = F.struct(*[docs[f"`{c}`"] for c in keep] or [F.lit(0).alias("none")])
     rows = docs.select(
-        F.col(doc_id).alias("doc_id"),
-        F.col(source).alias("source"),
-        word_count(F.col(text)).alias("size"),
-        F.md5(F.concat_ws("/", F.coalesce(F.col(doc_id).cast("string"), F.lit("")), F.lit(str(seed)))).alias("order"),
-        F.xxhash64(F.col(text)).alias("tie"),
-        F.struct(*[F.col(c) for c in keep] or [F.lit(0).alias("none")]).alias("kept"),
+        own_id.alias("doc_id"),
+        docs[f"`{source}`"].alias("source"),
+        word_count(value).alias("size"),
+        seeded_order(own_id, value, seed).alias("order"),
+        F.xxhash64(value, F.to_json(kept) if keep else F.lit(0)).alias("tie"),
+        kept.alias("kept"),
     )
     # Sizes are read again and again; texts that are kept are not copied for it.
     light = pin(rows.drop("kept"), "mix-rows")
@@ -174,20 +187,27 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
     blocks = pin(chosen_blocks(targets, block_quotas(targets, shards, ceiling), seed, ceiling), "mix-blocks")
 
     # Where each document begins in its source's seeded order, without sorting a whole source anywhere.
-    buckets = max(1, min(MOST_BUCKETS, light.count() // BUCKET_ROWS))
+    buckets = max(1, light.count() // BUCKET_ROWS)
     leading = F.conv(F.substring("order", 1, 8), 16, 10).cast("long")
-    bucket = F.floor(leading * buckets / F.lit(1 << 32)).cast("int")
+    bucket = F.floor(leading * buckets / F.lit(1 << 32)).cast("long")
     of_source = targets.withColumnRenamed("source", "of_source")
 
     def in_buckets(frame):
         return frame.join(of_source, F.col("source").eqNullSafe(F.col("of_source"))).withColumn("bucket", bucket)
 
-    before = Window.partitionBy("in_rank").orderBy("in_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = (
-        in_buckets(light).groupBy(F.col("rank").alias("in_rank"), F.col("bucket").alias("in_bucket"))
-        .agg(F.sum("size").alias("words"))
-        .select("in_rank", "in_bucket", F.coalesce(F.sum("words").over(before), F.lit(0)).alias("start"))
+    # Runs of buckets first, then the buckets of each run, so that no window holds a source's buckets.
+    run = F.floor(F.col("in_bucket") / RUN_OF_BUCKETS).alias("run")
+    words = in_buckets(light).groupBy(F.col("rank").alias("in_rank"), F.col("bucket").alias("in_bucket")).agg(
+        F.sum("size").alias("words")
+    ).withColumn("run", run)
+    earlier = Window.partitionBy("of").orderBy("in_run").rowsBetween(Window.unboundedPreceding, -1)
+    runs = words.groupBy(F.col("in_rank").alias("of"), F.col("run").alias("in_run")).agg(F.sum("words").alias("words")).select(
+        "of", "in_run", F.coalesce(F.sum("words").over(earlier), F.lit(0)).alias("run_start")
     )
+    before = Window.partitionBy("in_rank", "run").orderBy("in_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    starts = words.withColumn("upto", F.coalesce(F.sum("words").over(before), F.lit(0))).join(
+        runs, (F.col("in_rank") == F.col("of")) & (F.col("run") == F.col("in_run"))
+    ).select("in_rank", "in_bucket", (F.col("run_start") + F.col("upto")).alias("start"))
     inside = (
         Window.partitionBy("rank", "bucket").orderBy("order", "doc_id", "size", "tie")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)

@@ -6,6 +6,7 @@ import struct
 import zipfile
 import zlib
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -50,6 +51,26 @@ def test_small_sources_beside_a_hot_one_meet_their_targets(spark):
     assert mixing.mix(docs_of(spark, [(1, "one two three", "a")])).first()["taken"] == 3
 
 
+@pytest.mark.parametrize("small", [0, 1, 40])
+def test_mix_equals_its_sql_with_small_sources(spark, tmp_path, small):
+    """Sources of few blocks beside a hot one, rows without an id, equal ids and equal rows."""
+    rng = np.random.default_rng(5)
+    rows = [(i if i % 50 else None, "w " * int(rng.integers(0, 120)), "hot") for i in range(2000)]
+    rows += [(5000 + i, "v " * int(rng.integers(0, 90)), "b") for i in range(900)]
+    rows += [(7 if i % 2 else 10_000 + i, f"{i} " * (1 + i % 9), f"s{k:02}") for k in range(small) for i in range(k % 7 + 1)]
+    rows += [(1, "same row", "hot")] * 30 + [(2, None, None), (3, "", None)]
+    docs_of(spark, rows).select("doc_id", "text", "source").write.parquet(f"{tmp_path}/documents.parquet")
+    got = [tuple(r) for r in entries.QUERIES["op6_mixing"](spark, str(tmp_path)).collect()]
+    duck = duckdb.connect()
+    duck.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    want = duck.execute(entries.ORACLES["op6_mixing"]).fetchall()
+
+    def key(r):
+        return tuple((x is None, x or 0) for x in r)
+
+    assert sorted(got, key=key) == sorted(want, key=key) and len(got) == len(rows)
+
+
 def test_long_documents_of_a_thinned_source_keep_their_share(spark):
     rows = [(i, "l " * 800, "a") for i in range(45)] + [(100 + i, "s " * 40, "a") for i in range(300)]
     rows += [(1000 + i, "w " * 40, "bc"[i % 2]) for i in range(800)]

@@ -35,6 +35,8 @@ KEYS_PER_RANGE = 12
 OVERFULL = 2.0
 # Copies of one text stay in one shard up to this share of it.
 GROUP_SHARE = 1 / 16
+# Rounds after which a range may hold, beside its share, a group of copies that is not cut.
+EVEN_ROUNDS = 4
 # Every round cuts each overfull range into its share of parts, so few are ever needed.
 MOST_ROUNDS = 40
 SEED = 29
@@ -57,10 +59,14 @@ def quantile_boundaries(keys: list[tuple[int, int, int, float]], ranges: int) ->
     return [keys[i][:3] for i in np.searchsorted(reached, wanted, side="left")]
 
 
-def at_group_starts(boundaries: list[Boundary], ranges_per_shard: int, group_share: float = GROUP_SHARE) -> list[Boundary]:
-    """Moves boundaries to the start of a text's copies, save in a text that fills over ``group_share`` of a shard."""
+def at_group_starts(boundaries: list[Boundary], ranges_per_shard: int, group_share: float = GROUP_SHARE,
+                    large: frozenset[int] = frozenset()) -> list[Boundary]:
+    """Moves boundaries to the start of a text's copies, save in a text that fills over ``group_share`` of a shard.
+
+    Such are those with so many sampled boundaries, and those known to be ``large``.
+    """
     within = Counter(text for text, *_ in set(boundaries))
-    large = {text for text, times in within.items() if times > ranges_per_shard * group_share}
+    large = large | {text for text, times in within.items() if times > ranges_per_shard * group_share}
     return sorted({(text, LOWEST, LOWEST) for text in within} | {b for b in boundaries if b[0] in large})
 
 
@@ -103,14 +109,17 @@ def balanced_boundaries(rows: DataFrame, shards: int, ranges_per_shard: int, see
                         group_share: float = GROUP_SHARE) -> tuple[list[Boundary], list]:
     """Boundaries of the ranges, and each range's (range, size, records, …) in order.
 
+    Beside its largest record a range holds up to ``OVERFULL`` times its share, and where a
+    group of copies that stays together is in the way, ``group_share`` of a shard more.
     What reaches the driver is bounded by the number of ranges times ``KEYS_PER_RANGE``.
     """
     ranges = shards * ranges_per_shard
     total = rows.agg(F.sum("size")).first()[0] or 0
     fair = total / ranges
     found = quantile_boundaries(drawn_keys(rows, total / (ranges * KEYS_PER_RANGE), seed), ranges)
+    large: frozenset[int] = frozenset()
     for again in range(MOST_ROUNDS):
-        found = at_group_starts(found, ranges_per_shard, group_share)
+        found = at_group_starts(found, ranges_per_shard, group_share, large)
         number = range_number(found, *[F.col(c) for c in KEY])
         measured = rows.groupBy(number.alias("range")).agg(
             F.sum("size").alias("size"), F.count(F.lit(1)).alias("records"), F.max("size").alias("largest"),
@@ -118,9 +127,10 @@ def balanced_boundaries(rows: DataFrame, shards: int, ranges_per_shard: int, see
         )
         measured = sorted(tuple(r) for r in measured.collect())
         # What lies beside the largest record counts, as that one can't be cut.
+        group = fair * ranges_per_shard * group_share
         overfull = {
             r: size for r, size, _, largest, texts in measured
-            if size - largest > fair * (OVERFULL if texts else OVERFULL + ranges_per_shard * group_share)
+            if size - largest > fair * OVERFULL + (0 if texts and again < EVEN_ROUNDS else group)
         }
         if not overfull:
             return found, measured
@@ -130,6 +140,10 @@ def balanced_boundaries(rows: DataFrame, shards: int, ranges_per_shard: int, see
         for r, *key in drawn_keys(inside, fair / KEYS_PER_RANGE, seed + 1 + again, "range"):
             drawn[r].append(tuple(key))
         for r, keys in drawn.items():
+            weights: Counter = Counter()
+            for text, *_, weight in keys:
+                weights[text] += weight
+            large |= {text for text, weight in weights.items() if weight > group}
             found = found + quantile_boundaries(keys, int(np.ceil(overfull[r] / fair)) + 1)
     raise RuntimeError(f"{len(overfull)} ranges are still overfull after {MOST_ROUNDS} rounds")
 

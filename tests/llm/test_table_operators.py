@@ -159,6 +159,14 @@ def test_rows_that_repeat_are_cut_like_any_others(spark, same):
         assert sorted(part["size"]) == sizes[None if key[0] != key[0] else int(key[0]), key[1]]
 
 
+def test_few_long_copies_are_cut_too(spark):
+    rng = np.random.default_rng(2)
+    rows = [(i, f"{i} " + "t" * int(rng.integers(0, 900)), None) for i in range(1000)]
+    rows += [(5000 + i, f"{i % 2} " + "long" * 5000, None) for i in range(6)] + [(6000, "one long" * 2000, None), (6001, "x" * 16_000, None)]
+    got = splitters.shard(docs_of(spark, rows), shards=4).toPandas()
+    check_law(got, 4, 2)
+
+
 def test_rounds_end_loudly(spark, monkeypatch):
     monkeypatch.setattr(splitters, "MOST_ROUNDS", 1)
     monkeypatch.setattr(splitters, "KEYS_PER_RANGE", 0.01)

@@ -7,10 +7,11 @@ what a greedy search for it visits. The adjacency lists of all shards are united
 node. Then every node searches each of its shards: greedily from the shard's medoid,
 and from what is in range on through every neighbour in range. Links are verified in
 double precision where they are found, and counted once, in the first shard that both
-ends share. A sample of nodes compared with all others measures recall per node; below
-the target the work is repeated with more overlap and wider searches. If the last round
-is still below it, or too few of the largest sample have links to tell, all pairs within
-a label are compared, block by block.
+ends share. Two samples of nodes are compared with all others, one of nodes for which the
+search found something near and one of the rest, and measure recall per node; so tables
+with few near copies are measured where those lie. Below the target the work is repeated
+with more overlap and wider searches; only if the measured recall of the last round is
+below ``floor`` are all pairs within a label compared, block by block.
 
 A shard with too many nodes is split into blocks at random; each pair of its blocks
 becomes a unit with a graph of its own, so no group of near copies fills a task.
@@ -40,11 +41,11 @@ SEED = 67
 # Bounds of a shard's nodes, and of all centroids (which every task holds).
 LEAST_SHARD, MOST_SHARD = 256, 4096
 MOST_CENTROIDS = 65_536
-AUDIT_NODES = 400
-# An audit asks more nodes until so many of them have links, up to so many times as many.
-LEAST_LINKED = 100
-MOST_AUDITS = 16
+# Nodes of each of the two samples of an audit, and how far below the threshold something is near.
+AUDIT_NODES = 1000
+NEAR = 0.05
 TARGET_RECALL = 0.99
+FLOOR_RECALL = 0.9
 
 
 @dataclass(frozen=True)
@@ -146,7 +147,10 @@ def build(x: np.ndarray, search: Search) -> np.ndarray:
 
 
 def in_range(graph: np.ndarray, x: np.ndarray, exact: np.ndarray, search: Search, threshold: float):
-    """Pairs (query, node) at or above the threshold, verified in double precision, query by query in blocks."""
+    """Pairs (query, node) at or above the threshold, verified in double precision, block by block of queries.
+
+    With each block come its queries and the similarity of the nearest other node they met.
+    """
     medoid = int(np.argmax(x @ x.mean(axis=0)))
     # From what is in range the search goes on along edges of either direction.
     source, target = np.nonzero(graph >= 0)[0], graph[graph >= 0]
@@ -189,7 +193,8 @@ def in_range(graph: np.ndarray, x: np.ndarray, exact: np.ndarray, search: Search
         close = np.concatenate([
             np.einsum("nd,nd->n", exact[q[k : k + 65_536]], exact[v[k : k + 65_536]]) for k in range(0, len(q), 65_536)
         ] or [np.zeros(0)])
-        yield q[close >= threshold], v[close >= threshold]
+        nearest = np.where((nodes >= 0) & (nodes != queries[:, None]), near, -np.inf).max(axis=1)
+        yield q[close >= threshold], v[close >= threshold], queries, nearest
 
 
 # ---- shards and units --------------------------------------------------------------
@@ -339,8 +344,9 @@ def links_of(nodes: DataFrame, search: Search, threshold: float) -> DataFrame:
         of, low, high = (int(rows[c].iloc[0]) for c in ("of", "low", "high"))
         width = max(len(s) for s in rows["shards"])
         shards = np.array([list(s) + [-2 - i] * (width - len(s)) for i, s in enumerate(rows["shards"])])
-        count, forest = np.zeros(len(names), dtype=np.int64), Forest(len(names))
-        for q, v in in_range(graph, x, exact, search, threshold):
+        count, forest, nearest = np.zeros(len(names), dtype=np.int64), Forest(len(names)), np.full(len(names), -np.inf)
+        for q, v, asked, met in in_range(graph, x, exact, search, threshold):
+            nearest[asked] = met
             if low != high:
                 keep = own[q] != own[v]
                 q, v = q[keep], v[keep]
@@ -350,7 +356,7 @@ def links_of(nodes: DataFrame, search: Search, threshold: float) -> DataFrame:
             q, v = q[keep], v[keep]
             np.add.at(count, q, copies[v])
             forest.link(q, v)
-        return counted_rows(names, count, forest)
+        return counted_rows(names, count, forest, nearest >= threshold - NEAR)
 
     rows = units.join(united, F.col("node") == F.col("of_node")).drop("of_node")
     return dealt(rows).mapInPandas(
@@ -358,8 +364,9 @@ def links_of(nodes: DataFrame, search: Search, threshold: float) -> DataFrame:
     )
 
 
-def counted_rows(names: np.ndarray, count: np.ndarray, forest: Forest) -> pd.DataFrame:
-    some = (count > 0) | (forest.root != np.arange(len(names)))
+def counted_rows(names: np.ndarray, count: np.ndarray, forest: Forest, near: np.ndarray | bool = False) -> pd.DataFrame:
+    """The nodes that have links or something near, with their links and a node they hang on."""
+    some = (count > 0) | (forest.root != np.arange(len(names))) | near
     return pd.DataFrame({"node": names[some], "n": count[some], "root": names[forest.root[some]]})
 
 
@@ -390,25 +397,40 @@ def exact_links(nodes: DataFrame, threshold: float) -> DataFrame:
     )
 
 
-def audited_recall(nodes: DataFrame, counted: DataFrame, threshold: float, sample: int) -> float | None:
-    """Share of a node's links that were counted, as the mean over sampled nodes that have any.
+def audited_recall(nodes: DataFrame, counted: DataFrame, threshold: float, sample: int) -> tuple[float, float | None]:
+    """Mean share of a linked node's links that were counted, and the lower end of its 95 % interval.
 
-    The sample grows until ``LEAST_LINKED`` of it have links; None if it does not get there.
+    Of the nodes in ``counted``, which have links or something near, and of the others about
+    ``sample`` each are compared with all nodes; each stands for its part of its kind. The
+    interval is None where no node that was asked has links, and the share then 1.
     """
-    total, most = nodes.count(), sample * MOST_AUDITS
-    while True:
-        linked, recall = audit(nodes, counted, threshold, sample, total)
-        if linked >= LEAST_LINKED or sample >= total:
-            return recall if linked else 1.0
-        if sample >= most:
-            return None
-        sample *= 4
-
-
-def audit(nodes: DataFrame, counted: DataFrame, threshold: float, sample: int, total: int) -> tuple[int, float | None]:
-    """Of about ``sample`` nodes, compared with all nodes: how many have links, and their mean recall."""
-    asked = nodes.where(uniform("node", seed=SEED + 1) < sample / max(1, total)).select("node", "label", "embedding").collect()
-    tables = {}
+    total, likely = nodes.count(), counted.count()
+    of = counted.select(F.col("node").alias("of"), F.col("n").alias("found"))
+    asked_likely = of.where(uniform("of", seed=SEED + 1) < sample / max(1, likely))
+    # Both sides of these joins that are not all nodes hold about ``sample`` rows.
+    first = nodes.join(F.broadcast(asked_likely), F.col("node") == F.col("of")).select("node", "label", "embedding", "found")
+    drawn = nodes.where(uniform("node", seed=SEED + 2) < sample / max(1, total - likely)).select("node", "label", "embedding")
+    rest = drawn.join(of, F.col("node") == F.col("of"), "left_anti").withColumn("found", F.lit(None).cast("long"))
+    asked = first.union(rest).collect()
+    found = {r["node"]: r["found"] for r in asked}
+    expected = {r["asked"]: r["expected"] for r in true_links(nodes, asked, threshold).collect()}
+    top = bottom = spread = 0.0
+    for kind, size in ((True, likely), (False, total - likely)):
+        of_kind = [n for n, f in found.items() if (f is not None) is kind]
+        shares = np.array([min(1.0, (found[n] or 0) / expected[n]) if expected.get(n) else np.nan for n in of_kind])
+        linked = ~np.isnan(shares)
+        weight = size / max(1, len(of_kind))
+        top, bottom = top + weight * np.nansum(shares), bottom + weight * linked.sum()
+        spread += weight**2 * len(of_kind) * float(np.var(np.where(linked, 1 - np.nan_to_num(shares), 0.0))) if len(of_kind) else 0.0
+    if not bottom:
+        return 1.0, None
+    recall = float(top / bottom)
+    return recall, max(0.0, recall - 1.96 * float(np.sqrt(spread)) / float(bottom))
+
+
+def true_links(nodes: DataFrame, asked: list, threshold: float) -> DataFrame:
+    """(asked, expected): the links of the given nodes, found among all nodes of their label; none without any."""
+    tables: dict = {}
     for r in asked:
         tables.setdefault((r["label"], len(r["embedding"])), []).append((r["node"], r["embedding"]))
     tables = {k: (np.array([n for n, _ in v]), unit_rows(e for _, e in v)) for k, v in tables.items()}
@@ -427,15 +449,17 @@ def audit(nodes: DataFrame, counted: DataFrame, threshold: float, sample: int, t
             yield pd.concat(rows) if rows else pd.DataFrame({"asked": [], "expected": []}, dtype="int64")
 
     true = nodes.select("node", "label", "embedding", "copies").mapInPandas(compare, "asked long, expected long")
-    true = true.groupBy("asked").agg(F.sum("expected").alias("expected")).where("expected > 0")
-    share = F.least("expected", F.coalesce("n", F.lit(0))) / F.col("expected")
-    return tuple(true.join(counted, F.col("asked") == F.col("node"), "left").agg(F.count("expected"), F.avg(share)).first())
+    return true.groupBy("asked").agg(F.sum("expected").alias("expected")).where("expected > 0")
 
 
 def near_vectors(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding", label: str = "label",
                  threshold: float = THRESHOLD, search: Search = Search(), target: float = TARGET_RECALL,
-                 audit_nodes: int = AUDIT_NODES, rounds: int = 3) -> DataFrame:
-    """(vec_id, n_links, component_id, kept, recall) of every row; ``recall`` is what the audit measured, 1 where all pairs were compared."""
+                 audit_nodes: int = AUDIT_NODES, rounds: int = 3, floor: float = FLOOR_RECALL) -> DataFrame:
+    """(vec_id, n_links, component_id, kept, recall, recall_low) of every row.
+
+    ``recall`` is what the audit measured and ``recall_low`` the lower end of its interval; both
+    are 1 where all pairs were compared.
+    """
     rows = vectors.select(F.col(vec_id).alias("vec_id"), F.col(embedding).alias("embedding"), F.col(label).alias("label"))
     infinite = float("inf")
     usable = (
@@ -452,13 +476,13 @@ def near_vectors(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "e
     for left in reversed(range(rounds)):
         found = pin(links_of(nodes, search, threshold), "vector-links")
         counted = found.groupBy("node").agg(F.sum("n").alias("n"))
-        recall = audited_recall(nodes, counted, threshold, audit_nodes)
-        if recall is None or recall >= target or not left:
+        recall, low = audited_recall(nodes, counted, threshold, audit_nodes)
+        if recall >= target or not left:
             break
         search = search.wider()
-    if recall is None or recall < target:
+    if recall < floor:
         found = pin(exact_links(nodes, threshold), "vector-links")
-        counted, recall = found.groupBy("node").agg(F.sum("n").alias("n")), 1.0
+        counted, recall, low = found.groupBy("node").agg(F.sum("n").alias("n")), 1.0, 1.0
     tree = components(found.select(F.col("node").alias("a"), F.col("root").alias("b")))
     named = (
         nodes.select("node", "first_id", "copies", F.col("label").alias("node_label"), F.col("embedding").alias("vector"))
@@ -479,4 +503,5 @@ def near_vectors(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "e
     return joined.select(
         "vec_id", F.coalesce("links", F.lit(0)).cast("long").alias("n_links"), component.cast("long").alias("component_id"),
         F.coalesce(F.col("vec_id") == component, F.lit(False)).alias("kept"), F.lit(float(recall)).alias("recall"),
+        F.lit(low).cast("double").alias("recall_low"),
     )

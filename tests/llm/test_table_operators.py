@@ -299,11 +299,28 @@ def test_vectors_below_the_target_are_compared_with_all(spark, monkeypatch, beam
     rows += [(100 + i, (draw.normal(size=4)).tolist(), 50) for i in range(150)]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
     search = vector_graph.Search(overlap=1, degree=2, beam=beam)
-    got = vector_graph.near_vectors(df, search=search, rounds=rounds, target=1.0)
+    got = vector_graph.near_vectors(df, search=search, rounds=rounds, target=1.0, floor=1.0)
     found = sorted(((r.vec_id, r.n_links, r.component_id) for r in got.collect()), key=str)
     assert found == slow_links(rows, vector_graph.THRESHOLD) and got.first()["recall"] == 1.0
 
 
+def test_tables_with_hardly_any_links_are_searched_too(spark, monkeypatch):
+    """Thousands of vectors that lie apart and a few that link: no comparison of all pairs, and the few are found."""
+    def refused(*_):
+        raise AssertionError("all pairs were compared")
+
+    monkeypatch.setattr(vector_graph, "exact_links", refused)
+    draw = np.random.default_rng(4)
+    rows = [(i, draw.normal(size=8).tolist(), 1) for i in range(8000)]
+    rows += [(10_000 + i, (np.array(rows[40 * i][1]) * (1 + 1e-3 * draw.normal(size=8))).tolist(), 1) for i in range(12)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    for threshold, links in ((0.9999, 24), (1 - 1e-10, 0)):
+        got = vector_graph.near_vectors(df, threshold=threshold).toPandas()
+        assert got["recall"].iloc[0] >= 0.9 and abs(got["n_links"].sum() - links) <= 0.1 * links
+        low = got["recall_low"].iloc[0]
+        assert 0.5 <= low <= got["recall"].iloc[0] if links else np.isnan(low)
+
+
 @pytest.mark.parametrize("key", ["op1_quality_zstd", "op4_langid", "op9_toxicity_zstd"])
 def test_registered_scores_cover_the_table(spark, key):
     got = entries.QUERIES[key](spark, SF).toPandas()

@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from comarca import schemas
+from comarca.operators.keys import KeyTable, keys_of
 from comarca.sinks.pinned import pin
 
 
@@ -61,37 +62,28 @@ def province_dimension(
     return conform(named.withColumn("created_at", F.current_timestamp()), "dim_provincia")
 
 
-def municipality_key(code: Column) -> Column:
-    """A whole number made of the code alone, so that it stays when other codes are added.
-
-    Codes of 5 to 9 digits, as the statistics office gives them, are their own number;
-    any other code has a negative hash.
-    """
-    number = F.when(code.rlike("^[0-9]{5,9}$"), code.try_cast("int"))
-    return F.coalesce(number, (F.lit(-1) - F.pmod(F.xxhash64(code), F.lit(1 << 31))).cast("int"))
-
-
 def municipality_dimension(
     facts: DataFrame,
     code: str = "codigo_municipio",
     name: str = "nombre_municipio",
     province: str = "codigo_provincia",
+    keys: KeyTable | None = None,
 ) -> DataFrame:
-    """One row per municipality code, keyed by ``municipality_key``; codes that share a key are an error."""
-    distinct = (
+    """One row per municipality code.
+
+    ``keys`` holds the numbers of earlier runs: a code keeps its own, new ones get theirs.
+    """
+    distinct = pin(
         facts.where(F.col(code).isNotNull())
         .groupBy(F.col(code).cast("string").alias("codigo_municipio"))
         .agg(
             F.min(F.col(name).cast("string")).alias("nombre_municipio"),
             F.min(F.col(province).cast("int")).alias("codigo_provincia"),
-        )
-    )
-    keyed = distinct.groupBy(municipality_key(F.col("codigo_municipio")).alias("id_municipio")).agg(
-        F.min(F.struct(*distinct.columns)).alias("row"), F.max("codigo_municipio").alias("last")
+        ),
+        "municipalities",
     )
-    shared = F.raise_error(F.concat(F.lit("codes share a key: "), F.col("row.codigo_municipio"), F.lit(", "), F.col("last")))
-    one = F.when(F.col("row.codigo_municipio") == F.col("last"), F.col("last")).otherwise(shared)
-    named = keyed.select("id_municipio", "row.*", one.alias("only")).withColumn("codigo_municipio", F.col("only"))
+    numbers = keys_of(distinct.select(F.col("codigo_municipio").alias("code")), keys)
+    named = distinct.join(numbers, F.col("codigo_municipio") == F.col("code")).withColumn("id_municipio", F.col("key"))
     return conform(named.withColumn("created_at", F.current_timestamp()), "dim_municipio")
 
 

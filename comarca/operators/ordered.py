@@ -3,9 +3,10 @@
 The table is range-partitioned on the order key and a hash of the row, and written
 once, so each block holds a contiguous run of rows of even size: neither a key nor an
 order value with a large share of the rows ends up in one block, and rows tied on the
-order have one order whatever the blocks are. (Rows equal in every column stay
-together; which of them comes first makes no difference.) There are as many blocks as
-the session has shuffle partitions. What passes between blocks is one row of fixed
+order have one order whatever the blocks are. Rows equal in every column, of which it
+makes no difference which comes first, are told apart by where they were read, so they
+too go to as many blocks as they fill. There are as many blocks as the session has
+shuffle partitions. What passes between blocks is one row of fixed
 width per block.
 """
 
@@ -41,8 +42,9 @@ def _row_hash(df: DataFrame) -> Column:
 
 def in_order(df: DataFrame, order: Sequence[str], blocks: int | None = None) -> DataFrame:
     """``df`` plus ``_block`` and ``_row``, both increasing along ``order``."""
-    keys = [F.col(f"`{c}`").asc_nulls_last() for c in order] + [F.col("_hash").asc()]
-    hashed = df.withColumn("_hash", _row_hash(df))
+    keys = [F.col(f"`{c}`").asc_nulls_last() for c in order] + [F.col("_hash").asc(), F.col("_tie").asc()]
+    # Hashed again, so that the sampled bounds between equal rows lie evenly.
+    hashed = df.withColumn("_hash", _row_hash(df)).withColumn("_tie", F.xxhash64(F.monotonically_increasing_id()))
     ranged = hashed.repartitionByRange(blocks, *keys) if blocks else hashed.repartitionByRange(*keys)
     placed = ranged.sortWithinPartitions(*keys).withColumn("_at", F.monotonically_increasing_id())
     numbered = placed.withColumns(
@@ -51,7 +53,7 @@ def in_order(df: DataFrame, order: Sequence[str], blocks: int | None = None) ->
             "_row": F.col("_at").bitwiseAND(F.lit((1 << _ROW_BITS) - 1)),
         }
     )
-    return pin(numbered.drop("_at", "_hash"), "ordered")
+    return pin(numbered.drop("_at", "_hash", "_tie"), "ordered")
 
 
 def _offsets(sizes: DataFrame) -> DataFrame:

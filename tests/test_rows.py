@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from comarca import schemas
-from comarca.operators import combine, duplicates, missing, ordered
+from comarca.operators import combine, duplicates, keys, missing, ordered
 from tests.conftest import as_rows, as_set
 
 
@@ -171,17 +171,40 @@ def test_dimensions_and_their_join(spark):
     assert as_set(joined, "n", "id_municipio") == {(5, 1001), (6, 1001), (7, 2020), (8, None)}
 
 
-def test_municipality_keys_do_not_depend_on_other_codes(spark):
-    codes = ["x1", "01001", "12", "1234567890"]
+def test_municipality_keys_stay_when_codes_are_added(spark, tmp_path):
+    codes = ["x1", "01001", "12", "1234567890", "001001", "1001", None]
     rows = [(1, code, "m") for code in codes]
     layout = "codigo_provincia int, codigo_municipio string, nombre_municipio string"
-    every = as_set(combine.municipality_dimension(spark.createDataFrame(rows, layout)), "codigo_municipio", "id_municipio")
-    few = as_set(combine.municipality_dimension(spark.createDataFrame(rows[:2], layout)), "codigo_municipio", "id_municipio")
-    assert few < every and len(every) == 4
-    assert all((key == 1001) if code == "01001" else key < 0 for code, key in every)
-    clash = spark.createDataFrame([(1, "01001", "m"), (1, "001001", "m")], layout)
-    with pytest.raises(Exception, match="codes share a key: 001001, 01001"):
-        combine.municipality_dimension(clash).collect()
+    table = keys.KeyTable(spark, str(tmp_path / "keys"))
+    few = as_set(combine.municipality_dimension(spark.createDataFrame(rows[:2], layout), keys=table), "codigo_municipio", "id_municipio")
+    assert few == {("01001", 1001), ("x1", -1)}
+    every = as_set(combine.municipality_dimension(spark.createDataFrame(rows, layout), keys=table), "codigo_municipio", "id_municipio")
+    # 001001 came after 01001, which has their number; 1001 has too few digits for one.
+    assert every == few | {("001001", -2), ("1001", -3), ("12", -4), ("1234567890", -5)}
+    assert as_set(table.keys()) == every
+    again = combine.municipality_dimension(spark.createDataFrame(rows[2:5], layout), keys=table)
+    assert as_set(again, "codigo_municipio", "id_municipio") == {r for r in every if r[0] in codes[2:5]}
+    # Without a table of earlier keys the shorter of two codes with one number has it.
+    alone = combine.municipality_dimension(spark.createDataFrame(rows[1:5:3], layout))
+    assert as_set(alone, "codigo_municipio", "id_municipio") == {("01001", 1001), ("001001", -1)}
+
+
+def test_codes_of_any_form_get_keys_of_their_own(spark, tmp_path):
+    some = spark.range(200_000).select(F.concat(F.lit("code "), F.col("id") * 7).alias("code"))
+    more = spark.range(150_000).select(F.when(F.col("id") % 3 == 0, F.lpad("id", 6, "0")).otherwise(F.concat(F.lit("code "), F.col("id"))).alias("code"))
+    table = keys.KeyTable(spark, str(tmp_path / "keys"))
+    first = table.extend(some.union(some.limit(1000)))
+    assert dict(first.dtypes)["key"] == "int"
+    assert tuple(first.agg(F.count("*"), F.countDistinct("code"), F.countDistinct("key"), F.min("key"), F.max("key")).first()) == (200_000,) * 3 + (-200_000, -1)
+    # What an extension that broke left is no part of the keys, and is written over.
+    first.limit(5).write.parquet(f"{tmp_path}/keys/000001")
+    (tmp_path / "keys/000001/_SUCCESS").unlink()
+    assert table.keys().count() == 200_000
+    both = table.extend(more)
+    known = some.union(more).distinct().count()
+    assert tuple(both.agg(F.count("*"), F.countDistinct("code"), F.countDistinct("key")).first()) == (known,) * 3
+    assert first.exceptAll(both).isEmpty() and both.where("key >= 0 AND int(code) <> key").isEmpty()
+    assert table.extend(some).count() == known
 
 
 def test_declared_columns_and_types(spark):
@@ -207,3 +230,17 @@ def test_dimension_join_without_broadcast(spark):
         assert joined.where("v != 2 * k OR v IS NULL").isEmpty()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
+def test_equal_rows_fill_several_blocks(spark):
+    rows = spark.range(90_000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id")).alias("k"), F.when(F.col("id") % 3 > 0, F.col("id") % 7).alias("v")
+    )
+    placed = ordered.in_order(rows, ["k"], blocks=8)
+    sizes = [r["count"] for r in placed.groupBy("_block").count().collect()]
+    assert sum(sizes) == 90_000 and max(sizes) <= 2 * 90_000 / 8
+    numbered = ordered.number_rows(rows, ["k"], blocks=8)
+    assert tuple(numbered.agg(F.count("*"), F.countDistinct("id"), F.min("id"), F.max("id")).first()) == (90_000, 90_000, 1, 90_000)
+    assert numbered.where("k = -1").agg(F.max("id")).first()[0] == 30_000
+    filled = ordered.forward_fill(rows.withColumn("k", F.col("k") % 2), ["v"], ["k"], blocks=8)
+    assert filled.count() == 90_000

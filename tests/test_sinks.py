@@ -25,6 +25,33 @@ def test_replace_and_append(spark, rows):
         tables.append_table(rows.toDF("p", "q"), "sink_t")
 
 
+def test_a_replacement_that_breaks_leaves_the_table(spark, rows, tmp_path):
+    for path, parts in ((None, ()), (str(tmp_path / "t"), ("a",))):
+        tables.replace_table(rows, "kept_t", path, parts)
+        broken = spark.range(2000).select(
+            F.when(F.col("id") < 1990, F.col("id")).otherwise(F.raise_error(F.lit("broken"))).alias("a"), F.lit("y").alias("b")
+        ).repartition(8)
+        with pytest.raises(Exception, match="broken"):
+            tables.replace_table(broken, "kept_t", path, parts)
+        assert as_set(spark.table("kept_t"), "a", "b") == {(1, "x"), (2, None)}
+        assert [t.name for t in spark.catalog.listTables() if t.name.startswith("kept_t")] == ["kept_t"]
+        # Other columns, from the table itself; the version before is gone then.
+        tables.replace_table(spark.table("kept_t").selectExpr("a * 2 AS a", "b", "'new' AS c"), "kept_t", path, parts)
+        assert as_set(spark.table("kept_t"), "a", "b", "c") == {(2, "x", "new"), (4, None, "new")}
+        if path:
+            assert len(list((tmp_path / "t").iterdir())) == 1
+        tables.append_table(spark.table("kept_t"), "kept_t")
+        assert spark.table("kept_t").count() == 4
+    spark.sql("DROP TABLE kept_t")
+
+
+def test_a_table_written_otherwise_is_replaced(spark, rows):
+    spark.range(5).write.mode("overwrite").saveAsTable("plain_t")
+    tables.replace_table(rows, "plain_t")
+    assert as_set(spark.table("plain_t")) == {(1, "x"), (2, None)}
+    spark.sql("DROP TABLE plain_t")
+
+
 def test_partitioned_table(spark):
     df = spark.range(1000).select("id", (F.col("id") % 4).alias("year"))
     load = registry.table_loader(partition_by={"by_year": ["year"]})

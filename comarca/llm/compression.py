@@ -166,24 +166,27 @@ class Classifier:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, key: str, text: str, per_label: int) -> DataFrame:
-    """(key, text, label: 0 or 1, weight, part: 0 or 1) of about ``per_label`` rows of each label, drawn by a hash of the key.
+    """(key, text, label: 0 or 1, weight, part: 0 or 1) of about ``per_label`` rows of each label.
 
-    Labels that are NULL, neither 0 nor 1 or that contradict each other are not used.
+    Rows are drawn, not keys, so that a key which many documents share doesn't make the
+    sample larger. Labels that are NULL, neither 0 nor 1 or that contradict each other
+    are not used.
     """
     bounded_batches(docs.sparkSession)
-    given = (
+    given = pin(
         labels.select(F.col(key).alias("key"), F.col(label).cast("int").alias("label")).where("key IS NOT NULL AND label IN (0, 1)")
-        .groupBy("key").agg(F.min("label").alias("label"), F.max("label").alias("most")).where("label = most").drop("most")
+        .groupBy("key").agg(F.min("label").alias("label"), F.max("label").alias("most")).where("label = most").drop("most"),
+        "labels",
     )
-    counts = {r["label"]: r["count"] for r in given.groupBy("label").count().collect()}
-    chance = F.when(F.col("label") == 1, per_label / max(1, counts.get(1, 0))).otherwise(per_label / max(1, counts.get(0, 0)))
-    # At most a few thousand keys, whatever the input.
-    drawn = F.broadcast(
-        given.where(uniform("key", seed=SEED) < chance).withColumn("weight", F.greatest(F.lit(1.0), 1 / chance))
-    )
-    part = (uniform("key", seed=SEED + 1) < 0.5).cast("int")
-    rows = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    return pin(rows.join(drawn, "key").select("key", "text", "label", "weight", part.alias("part")), "labelled")
+    rows = docs.select(docs[f"`{key}`"].alias("key"), F.coalesce(docs[f"`{text}`"], F.lit("")).alias("text"))
+    counts = {r["label"]: r["count"] for r in rows.select("key").join(given, "key").groupBy("label").count().collect()}
+    chances = [min(1.0, per_label / max(1, counts.get(k, 0))) for k in (0, 1)]
+    # Thinned before the join, so that texts that won't be drawn are not moved for it.
+    thinned = rows.withColumn("draw", uniform("key", F.monotonically_increasing_id(), seed=SEED)).where(F.col("draw") < max(chances))
+    chance = F.when(F.col("label") == 1, chances[1]).otherwise(chances[0])
+    drawn = thinned.join(given, "key").where(F.col("draw") < chance)
+    part = (uniform("key", "draw", seed=SEED + 1) < 0.5).cast("int")
+    return pin(drawn.select("key", "text", "label", (1 / chance).alias("weight"), part.alias("part")), "labelled")
 
 
 def sampled_windows(sample: DataFrame, settings: Settings, most: int) -> dict[int, list[bytes]]:

@@ -10,6 +10,7 @@ import numpy as np
 import pandas as pd
 import pytest
 import xxhash
+import zstandard
 from pyspark.sql import functions as F
 
 from comarca.llm import compression, decontamination, langid, quality_zstd, simhash_trie, token_spans, toxicity_zstd
@@ -158,6 +159,54 @@ def test_compression_classifiers_tell_held_out_texts(spark, operator, label):
     assert all(0 <= s <= 1 for s in got) and got[400] == got[401] and got[403] > 0.5
 
 
+def test_samples_are_bounded_by_rows(spark):
+    """A third of all rows, or all of them, with one labelled id; ids that repeat with several texts."""
+    hot = [(7, f"hot text {i}") for i in range(4000)] + [(100 + i, f"text {i}") for i in range(8000)]
+    docs = spark.createDataFrame(hot, "doc_id long, text string").repartition(6)
+    given = spark.createDataFrame([(7, 1)] + [(100 + i, i % 2) for i in range(8000)], "doc_id long, quality int")
+    for rows in (docs, docs.where("doc_id = 7")):
+        sample = compression.labelled_sample(rows, given, "quality", "doc_id", "text", 500)
+        sizes = {r["label"]: r["count"] for r in sample.groupBy("label").count().collect()}
+        assert all(400 <= n <= 600 for n in sizes.values()) and 1 in sizes
+        share = sample.where("label = 1").agg(F.avg((F.col("key") == 7).cast("int")), F.sum("weight")).first()
+        want = rows.join(given, "doc_id").where("quality = 1").agg(F.avg((F.col("doc_id") == 7).cast("int")), F.count("*")).first()
+        assert abs(share[0] - want[0]) < 0.1 and share[1] == pytest.approx(want[1], rel=0.15)
+    assert compression.labelled_sample(docs, given.where("false"), "quality", "doc_id", "text", 500).count() == 0
+
+
+@pytest.mark.parametrize("settings", [quality_zstd.SETTINGS, toxicity_zstd.SETTINGS])
+def test_features_are_those_of_plain_windows_and_sizes(settings):
+    rng = random.Random(6)
+    texts = [words(rng, "abcdeé", rng.randint(1, 120)) for _ in range(40)] + ["x" * 500, " " * 300, "a", "Ab " * 100]
+    dictionaries = [" ".join(t for t in texts[:10]).encode()[:2000], " ".join(texts[10:20]).encode()[:2000]]
+    measure = compression.Measure(*dictionaries, settings)
+    for text in texts:
+        data = text.encode().lower() if settings.lower else text.encode()
+        pieces, rest = [], data
+        while rest:
+            cut = len(rest)
+            if cut > settings.width:
+                spaces = [i for i in range(settings.width // 2, settings.width) if rest[i : i + 1] == b" "]
+                cut = spaces[-1] + 1 if spaces else settings.width
+            pieces.append(rest[:cut])
+            rest = rest[cut:]
+        sizes = []
+        for dictionary in dictionaries:
+            compress = compression.compressor(dictionary, settings)
+            packed = [compress(p) for p in pieces]
+            kind = zstandard.DICT_TYPE_RAWCONTENT if settings.raw else zstandard.DICT_TYPE_AUTO
+            back = zstandard.ZstdDecompressor(dict_data=zstandard.ZstdCompressionDict(dictionary, dict_type=kind))
+            assert [back.decompress(c, max_output_size=10_000) for c in packed] == pieces
+            sizes.append([len(c) for c in packed])
+        gain = [b - a for a, b in zip(*sizes)]
+        low, high = settings.marks
+        want = [
+            sum(gain) / len(data), sum(gain) / (sum(sizes[0]) + sum(sizes[1])), np.mean(sorted(gain)[-3:]), np.mean(sorted(gain)[:3]),
+            np.mean([g >= low for g in gain]), np.mean([g >= high for g in gain]), math.log1p(sum(g >= high for g in gain)),
+        ]
+        assert np.allclose(measure(text), want)
+
+
 @pytest.mark.parametrize("operator, label", [(quality_zstd, "quality"), (toxicity_zstd, "toxic")])
 def test_compression_classifiers_without_labels(spark, operator, label):
     docs = docs_of(spark, ["some text", None, ""])

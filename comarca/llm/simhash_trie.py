@@ -13,10 +13,21 @@ other; fewer words than a shingle are one shingle; a fingerprint all of whose ro
 lack an id has the component of the ids it is linked with, else NULL; equal
 fingerprints are one node, so copies cost nothing; an empty table gives no rows;
 other columns never matter.
+
+``distinct_similar_rows`` looks for texts of a similarity: the share of shingles two texts
+have in common. There every text has ``FAMILIES`` fingerprints of the same shingles, and
+the tries find candidates: texts that in one of them agree in a 16-bit part and differ in
+``CANDIDATE_BUDGET`` bits at most. Groups of candidates are then gone through by leaders:
+the text with the smallest id stays, those whose exact similarity to it reaches the
+limit go, and the rest of the group has its next leader, for ``LEADERS`` rounds; what no
+leader covers by then stays. So nothing goes without a similar text that stays; what
+the fingerprints miss stays too, the more the lower the similarity.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pandas as pd
 import xxhash
@@ -34,6 +45,12 @@ BUDGET = 3
 BITS = 64
 PARTS = 4
 PART_BITS = BITS // PARTS
+# Texts of a similarity: words of a shingle, limit, fingerprints a text, differing bits of a candidate, rounds.
+SIMILAR_SHINGLE = 5
+SIMILARITY = 0.8
+FAMILIES = 6
+CANDIDATE_BUDGET = 8
+LEADERS = 8
 # Pairs of nodes with at most so many pairs of fingerprints are compared outright.
 OUTRIGHT = 64
 # Pairs handled at once in a task, for its memory.
@@ -41,11 +58,11 @@ AT_ONCE = 1 << 20
 LEAST_BLOCK = 256
 
 
-def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
-    """The SimHash of a text as a signed 64-bit number."""
+def shingle_hashes(text: str | None, shingle: int = SHINGLE) -> np.ndarray:
+    """A hash of every shingle of a text, repeats included."""
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not words:
-        return 0
+        return np.zeros(0, dtype="<u8")
     joined = b" ".join(words)
     if len(words) <= shingle:
         hashes = [xxhash.xxh64_intdigest(joined, HASH_SEED)]
@@ -55,13 +72,32 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
         starts = (ends - lengths + 1)[: len(words) - shingle + 1].tolist()
         digest = xxhash.xxh64_intdigest
         hashes = [digest(joined[a:b], HASH_SEED) for a, b in zip(starts, ends[shingle - 1 :].tolist())]
-    table = np.array(hashes, dtype="<u8").view(np.uint8).reshape(len(hashes), 8)
+    return np.array(hashes, dtype="<u8")
+
+
+def fingerprint_of(hashes: np.ndarray) -> int:
+    """The bits that more than half the hashes have, as a signed number; 0 without any."""
+    table = hashes.view(np.uint8).reshape(len(hashes), 8)
     set_bits = np.zeros(BITS, dtype=np.int64)
     for first in range(0, len(table), 4096):
         set_bits += np.unpackbits(table[first : first + 4096], axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
     return int(np.packbits(set_bits * 2 > len(hashes), bitorder="little").view("<i8")[0])
 
 
+def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
+    """The SimHash of a text as a signed 64-bit number."""
+    return fingerprint_of(shingle_hashes(text, shingle))
+
+
+def family(hashes: np.ndarray, number: int) -> np.ndarray:
+    """The hashes mixed anew for each number but 0, so that their bits tell something else."""
+    if not number:
+        return hashes
+    mixed = (hashes ^ np.uint64(number * 0x9E3779B97F4A7C15 % (1 << 64))) * np.uint64(0xD6E8FEB86659FD93)
+    mixed = (mixed ^ (mixed >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return mixed ^ (mixed >> np.uint64(32))
+
+
 def fingerprints(text: Column, shingle: int = SHINGLE) -> Column:
     @F.pandas_udf(T.LongType())
     def of(texts: pd.Series) -> pd.Series:
@@ -149,6 +185,14 @@ def linked_fingerprints(nodes: DataFrame, budget: int = BUDGET) -> DataFrame:
     """Links (a, b) between distinct fingerprints ``bits``, enough to join all that are within the budget."""
     if budget >= PARTS:
         raise ValueError(f"{PARTS} tries find pairs of at most {PARTS - 1} differing bits")
+    return trie_links(nodes.select(F.lit(0).alias("family"), "bits"), budget).select("a", "b")
+
+
+def trie_links(nodes: DataFrame, budget: int) -> DataFrame:
+    """Links (family, a, b) between distinct (family, bits) that agree in one of the parts and are within the budget.
+
+    Up to ``PARTS`` - 1 differing bits there always is such a part.
+    """
     spark = nodes.sparkSession
     partitions = shuffle_partitions(spark)
     block = max(LEAST_BLOCK, nodes.count() * PARTS // (2 * partitions))
@@ -158,7 +202,9 @@ def linked_fingerprints(nodes: DataFrame, budget: int = BUDGET) -> DataFrame:
         return turn if r else F.col("bits")
 
     turns = F.explode(F.array(*[F.struct(F.lit(r).alias("turn"), rotated(r).alias("value")) for r in range(PARTS)]))
-    rows = nodes.select("bits", turns.alias("t")).select("bits", "t.turn", "t.value")
+    rows = nodes.select("family", "bits", turns.alias("t")).select(
+        "bits", (F.col("family") * PARTS + F.col("t.turn")).alias("turn"), "t.value"
+    )
     rows = rows.withColumn("part", F.shiftrightunsigned("value", BITS - PART_BITS))
     large = (
         rows.groupBy("turn", "part").count().where(F.col("count") > block)
@@ -200,10 +246,10 @@ def linked_fingerprints(nodes: DataFrame, budget: int = BUDGET) -> DataFrame:
         join_tries(value, (starts[a], ends[a], starts[b], ends[b], same), forest, budget)
         bits = whole["bits"].to_numpy()
         hung = np.flatnonzero(forest.root != np.arange(len(value)))
-        yield pd.DataFrame({"a": bits[hung], "b": bits[forest.root[hung]]})
+        yield pd.DataFrame({"family": table[hung, 0] // PARTS, "a": bits[hung], "b": bits[forest.root[hung]]})
 
     dealt = units.repartition(partitions, "spread").drop("spread")
-    return dealt.mapInPandas(join, "a long, b long").where("a <> b")
+    return dealt.mapInPandas(join, "family int, a long, b long").where("a <> b")
 
 
 def _trees(rows: DataFrame, budget: int) -> DataFrame:
@@ -242,3 +288,97 @@ def distinct_rows(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", s
     )
     same = (F.col(bits) == F.col(own_bits)) & F.col(doc_id).eqNullSafe(F.col(own_id))
     return marked.join(winners, same).dropDuplicates([own_bits, own_id]).select(*docs.columns)
+
+
+def described(text: Column, shingle: int, families: int) -> Column:
+    """struct<same, prints>: a name of the text's set of shingles, and its fingerprints."""
+    @F.pandas_udf("same string, prints array<long>")
+    def of(texts: pd.Series) -> pd.DataFrame:
+        rows = []
+        for text in texts:
+            hashes = shingle_hashes(text, shingle)
+            rows.append((xxhash.xxh128_hexdigest(np.unique(hashes).tobytes()),
+                         [fingerprint_of(family(hashes, k)) for k in range(families)]))
+        return pd.DataFrame(rows, columns=["same", "prints"])
+
+    return of(text)
+
+
+def shingle_sets(text: Column, shingle: int) -> Column:
+    @F.pandas_udf("array<long>")
+    def of(texts: pd.Series) -> pd.Series:
+        return pd.Series([np.unique(shingle_hashes(t, shingle)).view(np.int64) for t in texts])
+
+    return of(text)
+
+
+def candidate_groups(nodes: DataFrame, budget: int) -> DataFrame:
+    """(node, component) of the nodes (node, prints) that hang together by candidates."""
+    prints = pin(nodes.select("node", F.posexplode("prints").alias("family", "bits")), "prints")
+    first = pin(prints.groupBy("family", "bits").agg(F.min("node").alias("first")), "first-prints")
+    links = trie_links(first.select("family", "bits"), budget)
+    equal = prints.join(first, ["family", "bits"]).where("node <> first").select(F.col("node").alias("a"), F.col("first").alias("b"))
+    ends = [first.select(F.col("family").alias(f"family_{e}"), F.col("bits").alias(e), F.col("first").alias(f"node_{e}")) for e in "ab"]
+    near = links.join(ends[0], (F.col("family") == F.col("family_a")) & (links.a == ends[0].a)).select("family", links.b, "node_a")
+    near = near.join(ends[1], (F.col("family") == F.col("family_b")) & (near.b == ends[1].b))
+    return components(equal.union(near.select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))))
+
+
+def covered_nodes(members: DataFrame, similarity: float, leaders: int) -> DataFrame:
+    """(node, leader) of members (node, component, no_id, least, shingles) that a leader of their component covers."""
+    found = []
+    rank = F.struct("no_id", "least", "node")
+    for _ in range(leaders):
+        first = members.groupBy(F.col("component").alias("of")).agg(F.min(rank).alias("first"))
+        chosen = first.select(F.col("first.node").alias("leader"))
+        led = pin(
+            members.join(chosen, F.col("node") == F.col("leader"))
+            .select(F.col("component").alias("of"), "leader", F.col("shingles").alias("leads")), "leaders",
+        )
+        # One leader for each component on this side, so a large component's rows can be split.
+        both = members.join(led, F.col("component") == F.col("of")).where("node <> leader")
+        common = F.size(F.array_intersect("shingles", "leads"))
+        share = common / (F.size("shingles") + F.size("leads") - common)
+        judged = pin(both.withColumn("covered", F.size("shingles") + F.size("leads") == 0).withColumn(
+            "covered", F.col("covered") | (share >= similarity)
+        ).drop("of", "leads"), "judged")
+        found.append(judged.where("covered").select("node", "leader"))
+        members = judged.where("NOT covered").drop("covered", "leader")
+        if members.isEmpty():
+            break
+    return reduce(DataFrame.union, found)
+
+
+def distinct_similar_rows(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SIMILAR_SHINGLE,
+                          similarity: float = SIMILARITY, families: int = FAMILIES, budget: int = CANDIDATE_BUDGET,
+                          leaders: int = LEADERS) -> DataFrame:
+    """The rows of ``docs``, all columns, without those whose text is similar to that of a row which stays.
+
+    Texts of one set of shingles are one; of their rows the one with the smallest id stays, if
+    any has one. Texts without words are one too.
+    """
+    bounded_batches(docs.sparkSession)
+    described_as, row = free_names(docs, "described", "row")
+    marked = pin(
+        docs.withColumn(described_as, described(docs[f"`{text}`"], shingle, families)).withColumn(row, F.monotonically_increasing_id()),
+        "described",
+    )
+    own_id = marked[f"`{doc_id}`"]
+    first = F.min(F.struct(own_id.isNull().alias("no_id"), own_id.alias("least"), F.col(row).alias("row"))).alias("first")
+    nodes = pin(
+        marked.groupBy(F.col(f"{described_as}.same").alias("same"))
+        .agg(first, F.min(f"{described_as}.prints").alias("prints"))
+        .select("first.*", "prints").withColumn("node", F.col("row")),
+        "nodes",
+    )
+    groups = pin(candidate_groups(nodes, budget).select(F.col("node").alias("of"), "component"), "groups")
+    grouped = nodes.join(groups, F.col("node") == F.col("of")).select("node", "component", "no_id", "least")
+    texts = marked.select(F.col(row).alias("at"), marked[f"`{text}`"].alias("text"))
+    members = pin(
+        texts.join(grouped, F.col("at") == F.col("node"))
+        .select("node", "component", "no_id", "least", shingle_sets(F.col("text"), shingle).alias("shingles")),
+        "members",
+    )
+    gone = covered_nodes(members, similarity, leaders).select(F.col("node").alias("gone"))
+    stay = nodes.select("node").join(gone, F.col("node") == F.col("gone"), "left_anti").select(F.col("node").alias("stays"))
+    return marked.join(pin(stay, "stay"), F.col(row) == F.col("stays")).select(*[marked[f"`{c}`"] for c in docs.columns])

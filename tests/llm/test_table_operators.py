@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from comarca.llm import entries, mixing, splitters, vector_graph, warc_zip
+from comarca.llm import entries, mixing, simhash_trie, splitters, vector_graph, warc_zip
 
 SF = "/root/testdata/sf0.001"
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, size long, shard string, kept string"
@@ -327,11 +327,48 @@ def test_registered_scores_cover_the_table(spark, key):
     assert len(got) == spark.read.parquet(f"{SF}/documents.parquet").count() and got["score"].between(0, 1).all()
 
 
+def test_similar_rows_go_only_beside_one_that_stays(spark):
+    rng = np.random.default_rng(7)
+    vocabulary = [f"w{i}" for i in range(3000)]
+
+    def text(n):
+        return [vocabulary[i] for i in rng.integers(0, 3000, n)]
+
+    rows, base = [], [text(120) for _ in range(60)]
+    for b in base:
+        rows.append(" ".join(b))
+        for share in (0.0, 0.01, 0.02, 0.1):
+            changed = [w if rng.random() > share else "other" + str(rng.integers(1000)) for w in b]
+            rows.append(" ".join(changed))
+    rows += [" ".join(base[0]).upper(), "  ".join(base[1])] + ["copies of one text"] * 300 + [None, "", " \t", "short", "short"]
+    # A group in which every text is near the first and few are near each other.
+    rows += [" ".join(w if rng.random() > 0.015 else f"z{rng.integers(9999)}" for w in base[2]) for _ in range(80)]
+    given = [(i if i % 11 else None, t, "en", "s", 1, 2, "x", "y") for i, t in enumerate(rows)]
+    docs = spark.createDataFrame(given, "doc_id long, text string, lang string, source string, n_chars long, `a.b` int, row string, hit_key string")
+    kept = simhash_trie.distinct_similar_rows(docs.repartition(6))
+    assert kept.columns == docs.columns
+    sets = [frozenset(simhash_trie.shingle_hashes(r[1], 5).tolist()) for r in given]
+    stays = [frozenset(simhash_trie.shingle_hashes(r.text, 5).tolist()) for r in kept.collect()]
+    # One row for each set of shingles that stays, and a similar one for each that goes.
+    assert len(stays) == len(set(stays)) and set(stays) <= set(sets)
+
+    def similarity(a, b):
+        return len(a & b) / len(a | b) if a | b else 1.0
+
+    gone = set(sets) - set(stays)
+    assert len(gone) > 60 and all(max(similarity(g, s) for s in stays) >= 0.8 for g in gone)
+    near = [(a, b) for i, a in enumerate(stays) for b in stays[:i] if similarity(a, b) >= 0.85]
+    assert len(near) <= 0.05 * len(gone)
+    ids = {frozenset(simhash_trie.shingle_hashes(r.text, 5).tolist()): r.doc_id for r in kept.collect()}
+    assert all(i == min((r[0] for r, s in zip(given, sets) if s == k and r[0] is not None), default=None) for k, i in ids.items())
+    assert simhash_trie.distinct_similar_rows(docs.where("false")).count() == 0
+
+
 def odd_documents(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     rows = [(None, None, None, None, None), (-1, "", None, "s", 0), (-2, "12 !!", "en", None, 5), (-3, "w " * 100_000, None, None, 9)]
     extra = spark.createDataFrame(rows, docs.schema).union(docs.limit(3))
-    return docs.union(extra).withColumns({"shard": F.lit(1), "Slot": F.lit("s"), "bits": F.lit(0), "found": F.lit(2)})
+    return docs.union(extra).withColumns({"shard": F.lit(1), "Slot": F.lit("s"), "bits": F.lit(0), "found": F.lit(2), "hit_key": F.lit("h"), "a.b": F.lit(3), "row": F.lit(1)})
 
 
 def test_stages_keep_columns_and_clean_rows(spark, tmp_path):

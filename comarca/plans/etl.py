@@ -3,7 +3,10 @@
 As in a scheduled run, each phase hands Parquet to the next. The source text is
 parsed once however many targets there are, a file that breaks while it is read
 stops its own source only, row counts come from file footers, and lost executors
-cost no more than the phase they were working on.
+cost no more than the phase they were working on. Within a phase the sources, which do not
+depend on each other, go side by side: each has a driver thread, a job group and a
+scheduler pool of its own, so that small ones do not wait for large ones and the jobs of
+one that fails can be ended without the others'.
 """
 
 from __future__ import annotations
@@ -11,8 +14,12 @@ from __future__ import annotations
 import logging
 import time
 from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from functools import partial
+from typing import Any
 
+from pyspark import inheritable_thread_target
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -80,6 +87,8 @@ class Run:
     # Where phases leave their Parquet; a fresh folder unless named. A named one serves one
     # run and a later run of its load phase.
     staging: str | None = None
+    # Sources at work at a time.
+    threads: int = 8
 
     def __post_init__(self) -> None:
         self.targets = expand_targets(self.targets)
@@ -108,9 +117,38 @@ class Run:
         self._measure(phase, name, None, rows, ok, start)
         return staged
 
+    def _side_by_side(self, phase: str, work: Mapping[str, Callable[[], Any]]) -> dict[str, Any]:
+        """Results of one call per source, in the given order; a call that raises does so here."""
+        context, done = self.spark.sparkContext, len(self._metrics)
+
+        def alone(name: str, call: Callable[[], Any]) -> Any:
+            group = f"{self.staging}/{phase}/{name}"
+            context.setJobGroup(group, f"{phase} of {name}", interruptOnCancel=True)
+            context.setLocalProperty("spark.scheduler.pool", name)
+            failed = len(self.errors)
+            try:
+                return call()
+            finally:
+                if len(self.errors) > failed and name in self.errors:
+                    # What a failed source still has running goes with it.
+                    context.cancelJobGroup(group)
+
+        with ThreadPoolExecutor(max(1, min(len(work), self.threads))) as pool:
+            running = {
+                name: pool.submit(inheritable_thread_target(self.spark)(partial(alone, name, call)))
+                for name, call in work.items()
+            }
+            results = {name: call.result() for name, call in running.items()}
+        place = {name: i for i, name in enumerate(work)}
+        self._metrics[done:] = sorted(self._metrics[done:], key=lambda m: place.get(m[1], 0))
+        return results
+
     def extract(self) -> dict[str, DataFrame]:
-        raw = extract_all(self.spark, self.readers, self.errors)
-        staged = {name: self._stage("extract", name, df, empty_table(self.spark)) for name, df in raw.items()}
+        def one(name: str, reader: Reader) -> DataFrame:
+            df = extract_all(self.spark, {name: reader}, self.errors)[name]
+            return self._stage("extract", name, df, empty_table(self.spark))
+
+        staged = self._side_by_side("extract", {name: partial(one, name, read) for name, read in self.readers.items()})
         # The staged copy holds rows and lost cells, so the text was parsed once for both.
         self._lost = {name: df for name, df in staged.items() if REJECTED_CELLS in df.columns}
         return {name: df.drop(REJECTED_CELLS) for name, df in staged.items()}
@@ -122,22 +160,28 @@ class Run:
         return union_all([none, *lost])
 
     def transform(self, data: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-        done = transform_all(data, self.transforms, self.steps, self.errors)
-        self.transformed = {name: self._stage("transform", name, df, data[name]) for name, df in done.items()}
+        def one(name: str, df: DataFrame) -> DataFrame:
+            done = transform_all({name: df}, self.transforms, self.steps, self.errors)[name]
+            return self._stage("transform", name, done, df)
+
+        self.transformed = self._side_by_side("transform", {name: partial(one, name, df) for name, df in data.items()})
         return self.transformed
 
     def load(self, data: Mapping[str, DataFrame]) -> dict[str, dict[str, bool]]:
-        results = {}
+        def one(target: str, name: str, df: DataFrame) -> tuple[LoadLog, bool]:
+            start, record = time.monotonic(), LoadLog()
+            ok = load_all({name: df}, target, self.loaders, record)[name]
+            self._measure("load", name, target, record.entries[0][2] if record.entries else 0, ok, start)
+            return record, ok
+
+        results: dict[str, dict[str, bool]] = {}
         for target in self.targets:
-            results[target] = {}
-            for name, df in data.items():
-                start = time.monotonic()
-                done = len(self.loads.entries)
-                loaded = load_all({name: df}, target, self.loaders, self.loads)
-                rows = {table: n for _, table, n, _ in self.loads.entries[done:]}
-                for source, ok in loaded.items():
-                    self._measure("load", source, target, rows.get(f"fact_{source}", 0), ok, start)
-                results[target] |= loaded
+            # An unknown target is an error of the run, whatever there is to load.
+            load_all({}, target, self.loaders)
+            loaded = self._side_by_side(f"load-{target}", {name: partial(one, target, name, df) for name, df in data.items()})
+            for record, _ in loaded.values():
+                self.loads.entries += record.entries
+            results[target] = {name: ok for name, (_, ok) in loaded.items()}
         return results
 
     def load_staged(self) -> bool:

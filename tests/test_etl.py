@@ -1,5 +1,7 @@
+import threading
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from comarca import schemas
 from comarca.__main__ import main
@@ -148,3 +150,28 @@ def test_command_line(spark, tmp_path):
     assert main(["--root", f"{tmp_path}/absent"]) == 1
     with pytest.raises(SystemExit):
         main(["--root", str(tmp_path), "-t", "all"])
+
+
+def test_sources_go_side_by_side_and_fail_alone(spark, tmp_path):
+    together, groups = threading.Barrier(3, timeout=60), {}
+
+    def reader(name, ids):
+        def read(spark):
+            together.wait()
+            groups[name] = spark.sparkContext.getLocalProperty("spark.jobGroup.id")
+            return spark.range(ids).withColumn("source", F.lit(name))
+        return read
+
+    def broken(df, steps):
+        return df.withColumn("id", F.raise_error(F.lit("broken row")))
+
+    readers = {name: reader(name, n) for name, n in (("one", 5), ("two", 7), ("three", 9))}
+    run = Run(spark, readers, {"file": registry.file_loader(f"{tmp_path}/files")}, ["file"], transforms={"two": broken})
+    assert run.run() is False and set(run.errors) == {"two"} and "broken row" in run.errors["two"]
+    assert len(set(groups.values())) == 3 and all(name in group for name, group in groups.items())
+    measured = [(m.phase, m.source, m.success) for m in run.metrics().collect()]
+    assert measured == [
+        *[("extract", n, True) for n in readers], ("transform", "one", True), ("transform", "two", False),
+        ("transform", "three", True), ("load", "one", True), ("load", "three", True),
+    ]
+    assert spark.range(3).count() == 3 and [e[1] for e in run.loads.entries] == ["fact_one", "fact_three"]

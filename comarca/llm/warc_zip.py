@@ -1,16 +1,19 @@
 """WARC records in ZIP archives: written as stored members with an index, read back by ranges.
 
-Each archive holds ``archive/data.warc.gz`` (every record a gzip member of its own)
-and ``indexes/index.cdxj`` (a JSON line per record with its offset and length), both
-stored without compression, so that a record can be read from the archive where it
-lies. The reader finds the end-of-directory record, follows the ZIP64 locator where
+Each archive written here holds ``archive/data.warc.gz`` (every record a gzip member of
+its own) and ``indexes/index.cdxj`` (a line per record: key, time and JSON with its file,
+offset and length), both stored without compression, so that a record can be read from the
+archive where it lies. Archives from elsewhere may hold any number of ``archive/*.warc.gz``
+or ``*.warc`` and of ``indexes/*.cdx``, ``*.cdxj`` or either of them gzipped; records
+without an id have none. The reader finds the end-of-directory record, follows the ZIP64 locator where
 there is one, parses the central directory, works out where a stored member's bytes
 begin, reads the index through and then reads records by range, many records to a
 task. Nothing is unpacked.
 
 Payloads of at least ``LEAST_REVISIT`` bytes that occur several times are written
 once, with the row of the smallest id; the others become revisit records that name
-it. Files are opened through ``pyarrow.fs`` by the URI of the shared folder.
+it. Files are opened through ``pyarrow.fs`` by the URI of the shared folder; a path without
+a scheme is on Spark's default store.
 
 Defined results: a NULL payload is an empty one; rows without an id are responses;
 rows that repeat the smallest id of a payload are responses too; a NULL URL becomes
@@ -23,6 +26,7 @@ from __future__ import annotations
 import gzip
 import hashlib
 import json
+import re
 import struct
 import uuid
 import zipfile
@@ -46,6 +50,7 @@ ARCHIVE_BYTES = 1 << 28
 RANGE_BYTES = 4 << 20
 DATE = "2024-01-01T00:00:00Z"
 DATA, INDEX = "archive/data.warc.gz", "indexes/index.cdxj"
+INDEX_NAME = re.compile(r"indexes/.*\.cdxj?(\.gz)?")
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
@@ -89,6 +94,25 @@ def payload_of(block: bytes) -> bytes:
 # ---- writing ------------------------------------------------------------------
 
 
+def url_key(url: str) -> str:
+    """A URL with its host turned round, as index lines begin; blanks would end it."""
+    host, _, path = re.sub(r"^[a-z]+://", "", url.lower()).partition("/")
+    return re.sub(r"\s", "%20", ",".join(reversed(host.split("."))) + ")/" + path)
+
+
+def store_of(folder: str) -> tuple[fs.FileSystem, str]:
+    """The store of a URI and the path in it; Hadoop writes local ones with one slash."""
+    if folder.startswith("file:/") and not folder.startswith("file://"):
+        folder = "file://" + folder[5:]
+    return fs.FileSystem.from_uri(folder if "://" in folder else f"file://{folder}")
+
+
+def qualified(spark: SparkSession, folder: str) -> str:
+    """A path with the scheme of the store that Spark would read it from."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(path).toString()
+
+
 class _Counted:
     """A sequential file for ``zipfile`` that knows its position."""
 
@@ -112,7 +136,9 @@ def write_archive(out, records: Iterable[tuple[bytes, dict]], most_bytes: int) -
             for record, about in records:
                 packed = gzip.compress(record, compresslevel=3, mtime=0)
                 member.write(packed)
-                entries.append(json.dumps(about | {"offset": offset, "length": len(packed)}))
+                place = {"filename": DATA.split("/")[-1], "offset": str(offset), "length": str(len(packed))}
+                key, time = url_key(about["url"]), re.sub(r"\D", "", DATE)
+                entries.append(f"{key} {time} {json.dumps(about | place)}")
                 offset += len(packed)
                 if offset >= most_bytes:
                     break
@@ -130,9 +156,9 @@ def write_archives(pages: DataFrame, page_id: str = "page_id", url: str = "url",
     """
     spark = pages.sparkSession
     bounded_batches(spark)
-    folder = folder or scratch_path(spark, "archives")
+    folder = qualified(spark, folder or scratch_path(spark, "archives"))
     body = F.coalesce(F.col(payload).cast("string"), F.lit("")).cast("binary")
-    rows = pages.select(F.col(page_id).alias("id"), F.coalesce(F.col(url), F.lit("urn:none")).alias("url"),
+    rows = pages.select(F.col(page_id).cast("long").alias("id"), F.coalesce(F.col(url), F.lit("urn:none")).alias("url"),
                         body.alias("body"))
     rows = rows.withColumn("digest", F.sha2("body", 256))
     first = (
@@ -141,7 +167,9 @@ def write_archives(pages: DataFrame, page_id: str = "page_id", url: str = "url",
         .where("n > 1 AND first IS NOT NULL").drop("n")
     )
     marked = rows.join(first, F.col("digest") == F.col("same"), "left").select(
-        "id", "url", "digest", F.when(F.col("id") > F.col("first"), F.col("first")).alias("refers_to"),
+        # As text: a NULL beside them would make doubles of long numbers.
+        F.col("id").cast("string").alias("id"), "url", "digest",
+        F.when(F.col("id") > F.col("first"), F.col("first")).cast("string").alias("refers_to"),
         F.when(F.col("id") > F.col("first"), F.lit(None)).otherwise(F.col("body")).alias("body"),
     )
 
@@ -149,16 +177,16 @@ def write_archives(pages: DataFrame, page_id: str = "page_id", url: str = "url",
         def records():
             for batch in batches:
                 for r in batch.itertuples(index=False):
-                    again = not pd.isna(r.refers_to)
+                    again = r.refers_to is not None
                     kind = "revisit" if again else "response"
-                    own = None if pd.isna(r.id) else int(r.id)
+                    own = None if r.id is None else int(r.id)
                     refers = int(r.refers_to) if again else None
                     yield (
                         warc_record(kind, r.url, own, r.digest, b"" if again else bytes(r.body), refers),
                         {"id": own, "type": kind, "refers_to": refers, "url": r.url, "digest": r.digest},
                     )
 
-        store, root = fs.FileSystem.from_uri(folder if "://" in folder else f"file://{folder}")
+        store, root = store_of(folder)
         store.create_dir(root, recursive=True)
         waiting = records()
         held = next(waiting, None)
@@ -202,6 +230,9 @@ def read_directory(file, size: int) -> list[Member]:
     file.seek(tail_at)
     tail = file.read(size - tail_at)
     end = tail.rfind(b"PK\x05\x06")
+    # A comment may hold the mark too: the record's comment is what is left of the file.
+    while end >= 0 and end + 22 + int.from_bytes(tail[end + 20 : end + 22], "little") != len(tail):
+        end = tail.rfind(b"PK\x05\x06", 0, end)
     if end < 0:
         raise ValueError("not a ZIP archive: it has no end-of-directory record")
     count, length, start = struct.unpack_from("<HII", tail, end + 10)
@@ -244,17 +275,53 @@ def stored_start(file, member: Member) -> int:
     return member.header + 30 + names + extras
 
 
-def index_lines(file, start: int, size: int) -> Iterator[dict]:
-    """Entries of an index member, read some megabytes at a time."""
-    rest, at = b"", start
+def index_lines(file, start: int, size: int, packed: bool = False) -> Iterator[dict]:
+    """Entries of an index member, gzipped or plain, read some megabytes at a time."""
+    rest, at, unpack = b"", start, zlib.decompressobj(wbits=31)
     while at < start + size:
         file.seek(at)
         block = file.read(min(RANGE_BYTES, start + size - at))
         at += len(block)
-        *lines, rest = (rest + block).split(b"\n")
-        yield from (json.loads(line) for line in lines if line)
-    if rest:
-        yield json.loads(rest)
+        plain = block if not packed else b""
+        while packed and block:
+            plain += unpack.decompress(block)
+            # Several gzip members may follow each other.
+            block = unpack.unused_data
+            unpack = zlib.decompressobj(wbits=31) if unpack.eof else unpack
+        *lines, rest = (rest + plain).split(b"\n")
+        yield from (entry for line in lines if (entry := index_entry(line)))
+    if entry := index_entry(rest):
+        yield entry
+
+
+def index_entry(line: bytes) -> dict | None:
+    """What a line says: JSON alone or behind key and time, or the columns of the older kind; None for others."""
+    text = line.decode("utf-8", "replace").strip()
+    if not text or text.startswith(("!", "#", "CDX")):
+        return None
+    at = text.find("{")
+    if at >= 0:
+        return json.loads(text[at:])
+    columns = text.split(" ")
+    if len(columns) != 11:
+        raise ValueError(f"an index line of {len(columns)} columns")
+    # Fixed order: key, time, URL, type, status, digest, redirect, tags, length, offset, file.
+    names = ("key", "time", "url", "mime", "status", "digest", "redirect", "tags", "length", "offset", "filename")
+    return dict(zip(names, columns))
+
+
+def located_entry(entry: dict, starts: dict[str, int]) -> tuple:
+    """(offset in the archive, length, id, type, refers_to, url, digest) of an index entry."""
+    name = entry.get("filename")
+    if name is None and len(starts) == 1:
+        (name,) = starts
+    name = name if name in starts else f"archive/{str(name).rsplit('/', 1)[-1]}"
+    if name not in starts:
+        raise ValueError(f"the index names {name}, which the archive does not hold")
+    kind = entry.get("type") or ("revisit" if entry.get("mime") == "warc/revisit" else "response")
+    numbers = [int(entry[k]) if entry.get(k) is not None else None for k in ("id", "refers_to")]
+    digest = str(entry.get("digest") or "").removeprefix("sha256:") or None
+    return starts[name] + int(entry["offset"]), int(entry["length"]), numbers[0], kind, numbers[1], entry.get("url"), digest
 
 
 def read_indexes(archives: DataFrame) -> DataFrame:
@@ -263,24 +330,29 @@ def read_indexes(archives: DataFrame) -> DataFrame:
     def read(batches):
         for batch in batches:
             for archive, folder in zip(batch["archive"], batch["folder"]):
-                store, _ = fs.FileSystem.from_uri(folder if "://" in folder else f"file://{folder}")
+                store, _ = store_of(folder)
                 size = store.get_file_info(archive).size
                 with store.open_input_file(archive) as file:
-                    members = {m.name: m for m in read_directory(file, size)}
-                    data = stored_start(file, members[DATA])
-                    index = members[INDEX]
+                    members = read_directory(file, size)
+                    data = [m for m in members if m.name.startswith("archive/") and m.name.endswith((".warc", ".warc.gz"))]
+                    starts = {m.name: stored_start(file, m) for m in data}
                     rows = []
-                    for entry in index_lines(file, stored_start(file, index), index.size):
-                        rows.append((archive, folder, data + entry["offset"], entry["length"], entry["id"],
-                                     entry["type"], entry["refers_to"], entry["url"], entry["digest"]))
-                        if len(rows) == 10_000:
-                            yield frame(rows)
-                            rows = []
+                    for index in members:
+                        if not INDEX_NAME.fullmatch(index.name):
+                            continue
+                        begin, packed = stored_start(file, index), index.name.endswith(".gz")
+                        for entry in index_lines(file, begin, index.size, packed):
+                            rows.append((archive, folder, *located_entry(entry, starts)))
+                            if len(rows) == 10_000:
+                                yield frame(rows)
+                                rows = []
                     yield frame(rows)
 
     def frame(rows):
         names = ["archive", "folder", "offset", "length", "id", "type", "refers_to", "url", "digest"]
-        return pd.DataFrame(rows, columns=names).astype({"id": "Int64", "refers_to": "Int64"})
+        columns = dict(zip(names, zip(*rows))) if rows else {name: [] for name in names}
+        # Ids straight into whole numbers that may be missing, not by way of doubles.
+        return pd.DataFrame({n: pd.array(list(c), dtype="Int64") if n in ("id", "refers_to") else list(c) for n, c in columns.items()})
 
     spread = archives.repartition(shuffle_partitions(archives.sparkSession))
     return spread.mapInPandas(
@@ -296,7 +368,7 @@ def read_records(located: DataFrame) -> DataFrame:
         for batch in batches:
             rows, held = [], 0
             for (archive, folder), group in batch.groupby(["archive", "folder"], sort=False):
-                store, _ = fs.FileSystem.from_uri(folder if "://" in folder else f"file://{folder}")
+                store, _ = store_of(folder)
                 with store.open_input_file(archive) as file:
                     for run in adjoining(group.sort_values("offset")):
                         first = run[0][0]
@@ -304,13 +376,14 @@ def read_records(located: DataFrame) -> DataFrame:
                         block = file.read(run[-1][0] + run[-1][1] - first)
                         for offset, length, own in run:
                             packed = block[offset - first : offset - first + length]
-                            headers, content = parse_record(zlib.decompress(packed, wbits=31))
+                            plain = zlib.decompress(packed, wbits=31) if packed[:2] == b"\x1f\x8b" else packed
+                            headers, content = parse_record(plain)
                             kind = headers["warc-type"]
                             payload = payload_of(content) if kind == "response" else None
                             held += len(payload or b"")
                             rows.append((own, kind, headers.get("warc-refers-to"), headers["warc-record-id"],
-                                         headers["warc-target-uri"],
-                                         headers["warc-payload-digest"].removeprefix("sha256:"), payload))
+                                         headers.get("warc-target-uri"),
+                                         headers.get("warc-payload-digest", "").removeprefix("sha256:") or None, payload))
                         if held > 4 * RANGE_BYTES:
                             yield frame(rows)
                             rows, held = [], 0
@@ -329,9 +402,10 @@ def read_records(located: DataFrame) -> DataFrame:
 
     def frame(rows):
         names = ["id", "record_type", "refers_to_record", "record_id", "url", "digest", "payload"]
-        return pd.DataFrame(rows, columns=names).astype({"id": "Int64"})
+        found = pd.DataFrame(rows, columns=names, dtype=object)
+        return found.assign(id=pd.array([None if i is None else int(i) for i in found["id"]], dtype="Int64"))
 
-    return located.mapInPandas(
+    return located.withColumn("id", F.col("id").cast("string")).mapInPandas(
         read, "id long, record_type string, refers_to_record string, record_id string, url string, digest string, "
               "payload binary"
     )

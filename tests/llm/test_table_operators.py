@@ -1,7 +1,9 @@
 """Mixing, sharding, archives, vectors and the pipeline: small cases, ties, nulls, empty tables, hot groups."""
 
 import bisect
+import gzip
 import io
+import json
 import struct
 import zipfile
 import zlib
@@ -198,6 +200,47 @@ def test_records_hold_what_was_written_over_several_archives(spark):
     assert got == {i: (f"http://x/{i}", f"<p>{i}</p>" * (i + 1)) for i in range(60)}
 
 
+def test_archives_of_the_usual_layout_are_read(spark, tmp_path):
+    """Several data files, indexes of three kinds, a comment that holds the end mark, a record that is not gzipped."""
+    def record(kind, url, payload):
+        return warc_zip.warc_record(kind, url, 5, "d" * 64, payload, 5)
+
+    data, lines = {"a.warc.gz": b"", "b.warc": b""}, []
+    for i in range(40):
+        name = "a.warc.gz" if i % 3 else "b.warc"
+        raw = record("response", f"http://x.org/{i}", f"page {i}".encode() * 9)
+        raw = gzip.compress(raw) if name.endswith(".gz") else raw
+        lines.append((i, name, len(data[name]), len(raw)))
+        data[name] += raw
+    cdxj = [f'org,x)/{i} 20240101000000 {json.dumps({"url": f"http://x.org/{i}", "mime": "text/html", "offset": str(o), "length": str(n), "filename": f})}'
+            for i, f, o, n in lines]
+    old = [f"org,x)/{i} 20240101000000 http://x.org/{i} text/html 200 {'d' * 32} - - {n} {o} {f}" for i, f, o, n in lines]
+    path = tmp_path / "usual.wacz"
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_STORED) as out:
+        for name, content in data.items():
+            out.writestr(f"archive/{name}", content)
+        out.writestr("indexes/first.cdxj", "!meta {}\n" + "\n".join(cdxj[:15]) + "\n")
+        out.writestr("indexes/second.cdx.gz", gzip.compress("\n".join(old[15:25]).encode()) + gzip.compress(b"\n" + "\n".join(old[25:30]).encode()))
+        out.writestr("indexes/third.cdx", " CDX N b a m s k r M S V g\n" + "\n".join(old[30:]))
+        out.writestr("pages/pages.jsonl", "{}")
+        out.comment = b"odd PK\x05\x06 comment" + b"." * 30
+    listed = warc_zip.archives_of(spark, f"file:{tmp_path}", [str(path)])
+    located = warc_zip.read_indexes(listed)
+    got = {r.url: (r.id, bytes(r.payload)) for r in warc_zip.read_records(located).collect()}
+    assert got == {f"http://x.org/{i}": (None, f"page {i}".encode() * 9) for i in range(40)}
+
+
+def test_long_ids_beside_missing_ones_come_back(spark, tmp_path):
+    big = (1 << 60) + 1
+    pages = spark.createDataFrame([(big, "u", "p" * 200), (None, "u v", "q" * 200), (big + 2, "u", "p" * 200)], "page_id long, url string, html string")
+    got = {(r.page_id, r.record_type, r.refers_to) for r in warc_zip.archive_round_trip(pages.coalesce(1)).collect()}
+    assert got == {(big, "response", None), (None, "response", None), (big + 2, "revisit", big)}
+    # As Hadoop writes a local URI, and a path without a scheme.
+    for folder in (f"file:{tmp_path}/one", f"{tmp_path}/two"):
+        listed = warc_zip.write_archives(pages, folder=folder)
+        assert warc_zip.read_records(warc_zip.read_indexes(listed)).count() == 3
+
+
 def test_directories_with_and_without_zip64():
     for wide in (False, True):
         out = io.BytesIO()

@@ -4,22 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
-from math import isfinite
 from operator import and_
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from comarca.functions.scalars import null_if_nan
-from comarca.operators.ordered import running_total
 from comarca.sinks.pinned import pin
 
 QUARTILES = (0.25, 0.5, 0.75)
-_SLICES = 256
-_ACCURACY = 10 * _SLICES
+# Ranks of the sketch are off by a share of 1 / _ACCURACY of the rows at most.
+_ACCURACY = 10_000
 
 
 def _numeric(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
@@ -27,31 +24,13 @@ def _numeric(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> D
     return df.select(*by, *[null_if_nan(c, types[c]).cast("double").alias(c) for c in columns])
 
 
-def _sketch(column: str) -> Column:
-    """Values that cut a column into slices of about even size; an error changes only how even they are."""
-    # As SQL text: a thousand literals one by one cost more than the pass itself.
-    shares = ", ".join(f"{i / _SLICES}D" for i in range(1, _SLICES))
-    return F.expr(f"percentile_approx(`{column}`, array({shares}), {_ACCURACY})")
-
-
-def _long(
-    wide: DataFrame, columns: Sequence[str], by: Sequence[str], sketches: Sequence[Sequence[float] | None]
-) -> DataFrame:
-    """``(by…, column, value, slice)``: which of many even slices of its column each value is in."""
-    cuts = [sorted({cut for cut in sketch or () if isfinite(cut)}) or [0.0] for sketch in sketches]
-    slices = [f"_slice_{c}" for c in columns]
-    sliced = Bucketizer(
-        inputCols=list(columns),
-        outputCols=slices,
-        splitsArray=[[float("-inf"), *c, float("inf")] for c in cuts],
-        handleInvalid="keep",
-    ).transform(wide)
-    cells = [
-        F.struct(F.lit(c).alias("column"), F.col(c).alias("value"), F.col(s).cast("int").alias("slice"))
-        for c, s in zip(columns, slices)
-    ]
-    exploded = sliced.select(*by, F.explode(F.array(*cells)).alias("_cell")).select(*by, "_cell.*")
-    return exploded.where(F.col("value").isNotNull())
+def _figures(column: str, probs: Sequence[float]) -> Column:
+    """Count, least, largest and, around each wanted rank, two values that surely enclose it."""
+    around = [x for p in probs for x in (max(0.0, p - 4 / _ACCURACY), min(1.0, p + 4 / _ACCURACY))]
+    return F.struct(
+        F.count(column).alias("n"), F.min(column).alias("least"), F.max(column).alias("most"),
+        F.percentile_approx(column, [float(x) for x in around], _ACCURACY).alias("around"),
+    )
 
 
 def quantiles(
@@ -59,62 +38,84 @@ def quantiles(
     columns: Sequence[str],
     probs: Sequence[float] = QUARTILES,
     by: Sequence[str] = (),
-    sketches: Sequence[Sequence[float] | None] | None = None,
+    figures: DataFrame | None = None,
 ) -> DataFrame:
     """Interpolated quantiles: ``(by…, column, p, value)``.
 
-    Three passes: a sketch of each column cuts it into slices, counting rows per slice
-    tells which slice holds each wanted rank, and only the values of those few slices
-    are ordered, over range partitions and after equal ones have been collapsed. A
-    caller that has the sketches saves the first pass. Infinities are values like others.
+    Two passes: a sketch with bounded rank errors gives two values that enclose each wanted
+    rank; then rows below them are counted and the values between them, some of every
+    thousand rows, are collapsed and ranked exactly. Columns of fewer rows than the sketch
+    is accurate to are enclosed by their ends. A caller that has the ``figures`` of the
+    columns (one row per group) saves the first pass. Infinities are values like others.
     """
     wide = _numeric(df, columns, by)
-    if sketches is None:
-        sketches = wide.agg(*[_sketch(c).alias(f"_{i}") for i, c in enumerate(columns)]).first()
-    values = _long(wide, columns, by, sketches)
-    group = [*by, "column"]
-    counted = values.groupBy(*group, "slice").agg(F.count(F.lit(1)).alias("n"))
-    # At most one row per slice in each window group.
-    upto = F.sum("n").over(W.partitionBy(*group).orderBy("slice"))
-    total = F.sum("n").over(W.partitionBy(*group))
-    bounds = counted.select(*group, "slice", (upto - F.col("n")).alias("start"), upto.alias("end"), total.alias("total"))
-    wanted = bounds.withColumn("p", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
-    position = F.col("p") * (F.col("total") - 1)
-    ranks = wanted.withColumn("position", position).withColumn(
-        "rank", F.explode(F.array_distinct(F.array(F.floor("position"), F.ceil("position"))))
-    )
-    targets = pin(
-        ranks.where((F.col("rank") >= F.col("start")) & (F.col("rank") < F.col("end"))).drop("end", "total"), "ranks"
-    )
-
-    slice_of = [*group, "slice"]
-    chosen = targets.select(*slice_of).distinct()
-    near = values.join(chosen, [values[c].eqNullSafe(chosen[c]) for c in slice_of], "left_semi")
-    distinct = near.groupBy(*slice_of, "value").agg(F.count(F.lit(1)).alias("n"))
-    summed = running_total(distinct, [*slice_of, "value"], "n", "after")
-    # Sums run over all slices; each slice starts where its first value does.
-    first = summed.groupBy(*slice_of).agg(F.min(F.col("after") - F.col("n")).alias("base"))
-    aimed = targets.join(first, [targets[c].eqNullSafe(first[c]) for c in slice_of]).select(
-        *[targets[c].alias(f"_of_{c}") for c in slice_of], "p", "position", (F.col("base") + F.col("rank") - F.col("start")).alias("at")
+    if figures is None:
+        figures = wide.groupBy(*by).agg(*[_figures(c, probs).alias(f"_figures_{i}") for i, c in enumerate(columns)])
+    # One row per group; written, so that Spark knows its size.
+    figures = pin(figures.select(*[F.col(c).alias(f"_of_{c}") for c in by], *[f"_figures_{i}" for i in range(len(columns))]), "figures")
+    if by:
+        rows = wide.join(figures, reduce(and_, [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in by]))
+    else:
+        (only,) = figures.collect() or [None]
+        rows = wide.withColumns({f"_figures_{i}": _literal(only[i]) for i in range(len(columns))}) if only else wide
+
+    def end(i: int, j: int, side: int) -> Column:
+        f = F.col(f"_figures_{i}")
+        whole = f["least"] if side == 0 else f["most"]
+        return F.when(f["n"] < _ACCURACY, whole).otherwise(f["around"][2 * j + side])
+
+    wanted = [(i, c, j, p) for i, c in enumerate(columns) for j, p in enumerate(probs)]
+    below = [F.count_if(F.col(c) < end(i, j, 0)).alias(f"_below_{i}_{j}") for i, c, j, _ in wanted]
+    totals = [F.first(F.col(f"_figures_{i}")["n"]).alias(f"_n_{i}") for i in range(len(columns))]
+    counted = rows.groupBy(*by).agg(*below, *totals)
+    starts = [
+        F.struct(F.lit(i).alias("i"), F.lit(float(p)).alias("p"), F.col(f"_below_{i}_{j}").alias("below"), F.col(f"_n_{i}").alias("n"))
+        for i, _, j, p in wanted
+    ]
+    starts = counted.select(*[F.col(c).alias(f"_of_{c}") for c in by], F.explode(F.array(*starts)).alias("_s"))
+    cells = [
+        F.when(F.col(c).between(end(i, j, 0), end(i, j, 1)), F.struct(F.lit(i).alias("i"), F.lit(float(p)).alias("p"), F.col(c).alias("value")))
+        for i, c, j, p in wanted
+    ]
+    near = rows.select(*by, F.explode(F.array_compact(F.array(*cells))).alias("_cell")).select(*by, "_cell.*")
+    near = near.groupBy(*by, "i", "p", "value").agg(F.count(F.lit(1)).alias("times"))
+    # A few of every ten thousand rows at most, equal values collapsed.
+    upto = F.sum("times").over(W.partitionBy(*by, "i", "p").orderBy("value").rowsBetween(W.unboundedPreceding, W.currentRow))
+    placed = near.withColumn("upto", upto)
+    same = [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in by] + [placed.i == F.col("_s.i"), placed.p == F.col("_s.p")]
+    # One row per group, column and share.
+    ranked = placed.join(pin(starts, "rank-starts"), reduce(and_, same))
+    position = F.col("p") * (F.col("_s.n") - 1)
+    first, last = F.col("_s.below") + F.col("upto") - F.col("times"), F.col("_s.below") + F.col("upto")
+
+    def at(rank: Column) -> Column:
+        return F.max(F.when((rank >= first) & (rank < last), F.col("value")))
+
+    ranked = ranked.select(*by, "i", placed.p.alias("p"), "value", "upto", "times", "_s")
+    ends = ranked.groupBy(*by, "i", "p").agg(
+        at(F.floor(position)).alias("low"), at(F.ceil(position)).alias("high"), F.first(position).alias("position")
     )
-    same = [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in slice_of]
-    reached = [F.col("at") >= F.col("after") - F.col("n"), F.col("at") < F.col("after")]
-    hits = summed.join(aimed, reduce(and_, [*same, *reached]))
-    ends = hits.groupBy(*group, "p", "position").agg(F.min("value").alias("low"), F.max("value").alias("high"))
     low, high = F.col("low"), F.col("high")
     weight = F.col("position") - F.floor("position")
     between = F.when((low == high) | (weight == 0), low).otherwise(low + (high - low) * weight)
-    return ends.select(*group, "p", between.alias("value"))
+    name = F.element_at(F.array(*[F.lit(c) for c in columns]), F.col("i") + 1)
+    return ends.select(*by, name.alias("column"), "p", between.alias("value"))
+
+
+def _literal(figures) -> Column:
+    """A row of figures as part of the plan."""
+    around = F.array(*[F.lit(x).cast("double") for x in figures["around"] or [None]])
+    return F.struct(
+        F.lit(figures["n"]).alias("n"), F.lit(figures["least"]).cast("double").alias("least"),
+        F.lit(figures["most"]).cast("double").alias("most"), around.alias("around"),
+    )
 
 
 def quartile_table(
-    df: DataFrame,
-    columns: Sequence[str],
-    by: Sequence[str] = (),
-    sketches: Sequence[Sequence[float] | None] | None = None,
+    df: DataFrame, columns: Sequence[str], by: Sequence[str] = (), figures: DataFrame | None = None
 ) -> DataFrame:
     """``(by…, column, q1, median, q3)``."""
-    found = quantiles(df, columns, QUARTILES, by, sketches)
+    found = quantiles(df, columns, QUARTILES, by, figures)
     at = [
         F.max(F.when(F.col("p") == p, F.col("value"))).alias(name)
         for name, p in zip(("q1", "median", "q3"), QUARTILES)
@@ -125,20 +126,25 @@ def quartile_table(
 def describe(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """``(column, count, mean, std, min, q1, median, q3, max)`` of every numeric column.
 
-    The first of three passes gives the plain figures and the sketches: one row.
+    The first of two passes gives the plain figures and the sketches: one row.
     """
     columns = columns or [f.name for f in df.schema if isinstance(f.dataType, T.NumericType)]
-    found = _numeric(df, columns).agg(
-        *[
-            F.struct(F.count(c), F.avg(c), F.stddev_samp(c), F.min(c), F.max(c), _sketch(c)).alias(f"_{i}")
-            for i, c in enumerate(columns)
-        ]
-    ).first()
-    plain = [(c, *figures[:-1]) for c, figures in zip(columns, found)]
-    rows = df.sparkSession.createDataFrame(
-        plain, "column string, count long, mean double, std double, min double, max double"
+    found = pin(
+        _numeric(df, columns).agg(
+            *[_figures(c, QUARTILES).alias(f"_figures_{i}") for i, c in enumerate(columns)],
+            *[F.struct(F.avg(c).alias("mean"), F.stddev_samp(c).alias("std")).alias(f"_plain_{i}") for i, c in enumerate(columns)],
+        ),
+        "figures",
     )
-    quartiles = quartile_table(df, columns, sketches=[figures[-1] for figures in found])
+    plain = [
+        F.struct(
+            F.lit(c).alias("column"), F.col(f"_figures_{i}.n").alias("count"), F.col(f"_plain_{i}.mean").alias("mean"),
+            F.col(f"_plain_{i}.std").alias("std"), F.col(f"_figures_{i}.least").alias("min"), F.col(f"_figures_{i}.most").alias("max"),
+        )
+        for i, c in enumerate(columns)
+    ]
+    rows = found.select(F.explode(F.array(*plain)).alias("_row")).select("_row.*")
+    quartiles = quartile_table(df, columns, figures=found)
     # One row per column.
     joined = rows.join(F.broadcast(quartiles), "column", "left")
     return joined.select("column", "count", "mean", "std", "min", "q1", "median", "q3", "max")

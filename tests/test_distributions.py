@@ -35,13 +35,20 @@ def test_quantiles_by_group_equal_numpy(spark, skewed):
     assert len(values) == 9 * len(probs)
 
 
-def test_quantiles_when_the_slices_are_coarse(spark, monkeypatch):
-    monkeypatch.setattr(distributions, "_SLICES", 4)
-    monkeypatch.setattr(distributions, "_ACCURACY", 4)
-    values = np.random.default_rng(1).normal(size=5000)
-    df = spark.createDataFrame([(float(v),) for v in values], "x double")
-    found = {r.p: r.value for r in distributions.quantiles(df, ["x"]).collect()}
-    assert found == pytest.approx({p: np.quantile(values, p) for p in (0.25, 0.5, 0.75)}, rel=1e-12)
+@pytest.mark.parametrize("accuracy", [4, 40, 400, 10_000])
+def test_quantiles_are_exact_whatever_the_sketch(spark, monkeypatch, accuracy):
+    monkeypatch.setattr(distributions, "_ACCURACY", accuracy)
+    rng = np.random.default_rng(1)
+    groups = {"a": rng.normal(size=20_000), "b": rng.integers(0, 7, 15_000).astype(float), "c": rng.exponential(size=41), "d": np.zeros(900)}
+    rows = [(g, float(v), float(-v)) for g, values in groups.items() for v in values]
+    df = spark.createDataFrame(rows, "g string, x double, y double").repartition(6)
+    probs = (0.0, 0.001, 0.25, 0.5, 0.75, 0.9999, 1.0)
+    found = {(r.g, r.column, r.p): r.value for r in distributions.quantiles(df, ["x", "y"], probs, ["g"]).collect()}
+    want = {(g, c, p): np.quantile(s * values, p) for g, values in groups.items() for c, s in (("x", 1), ("y", -1)) for p in probs}
+    assert found == pytest.approx(want, rel=1e-12, abs=1e-15)
+    found = {(r.column, r.p): r.value for r in distributions.quantiles(df, ["x"], probs).collect()}
+    every = np.concatenate(list(groups.values()))
+    assert found == pytest.approx({("x", p): np.quantile(every, p) for p in probs}, rel=1e-12, abs=1e-15)
 
 
 def test_infinities_are_values(spark):

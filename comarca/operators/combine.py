@@ -87,6 +87,14 @@ def municipality_dimension(
     return conform(named.withColumn("created_at", F.current_timestamp()), "dim_municipio")
 
 
+def join_bucketed(facts: DataFrame, dimension: DataFrame, key: str) -> DataFrame:
+    """Adds a dimension to facts where ``sinks.bucketed`` wrote both in the same buckets: no row is moved.
+
+    The merge hint keeps Spark from sending a small dimension to every task instead.
+    """
+    return facts.join(dimension.hint("merge"), key, "left")
+
+
 def attach_dimension(facts: DataFrame, dimension: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
     """Adds dimension columns to the facts; facts without a match keep NULL.
 

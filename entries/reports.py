@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from comarca.functions import scalars
-from comarca.operators import distributions, questions
+from comarca.operators import distributions, questions, sketches
 from comarca.plans import adhoc, cross, indicators, industry, population, ranking
+from comarca.sinks.pinned import pin
 from entries.tables import (
     INDICATOR_TIES,
     INDICATORS,
@@ -317,6 +318,30 @@ def _(spark, sf_dir):
     return population.evolution_distinct(population_rows(spark, sf_dir, 1997), 1997, SEXES)
 
 
+_SPANS = [(1992, 1993), (1994, 1998), (1992, 1998), (1990, 1991)]
+
+
+@entry(
+    "municipality_spans",
+    f"""WITH {POPULATION} SELECT s.first, s.last, COUNT(DISTINCT codigo_municipio) AS num_municipios, true AS within_error
+        FROM population JOIN (VALUES {', '.join(map(str, _SPANS))}) AS s(first, last) ON periodo BETWEEN s.first AND s.last
+        WHERE sexo = 'N' GROUP BY s.first, s.last""",
+)
+def _(spark, sf_dir):
+    """Estimates from stored sketches beside the exact counts, and whether their error is as stated."""
+    rows = population_rows(spark, sf_dir)
+    stored = pin(population.municipality_sketches(rows, SEXES), "sketches")
+    estimates = population.municipalities_of_spans(stored, _SPANS)
+    spans = F.explode(F.array(*[F.struct(F.lit(a).alias("first"), F.lit(b).alias("last")) for a, b in _SPANS]))
+    years = rows.where(F.col("sexo") == SEXES.total).groupBy("periodo", "codigo_municipio").agg(F.count(F.lit(1)).alias("n"))
+    within = years.withColumn("span", spans).where(F.col("periodo").between(F.col("span.first"), F.col("span.last")))
+    exact = within.groupBy("span.first", "span.last").agg(F.countDistinct("codigo_municipio").alias("num_municipios"))
+    off = F.abs(F.col("estimate") - F.col("num_municipios"))
+    return exact.join(estimates, ["first", "last"]).select(
+        "first", "last", "num_municipios", (off <= sketches.largest_error(F.col("num_municipios"))).alias("within_error")
+    )
+
+
 @entry(
     "evolution",
     f"""WITH {POPULATION} SELECT periodo AS anio, SUM(total) AS poblacion_total

@@ -5,7 +5,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from comarca import schemas
-from comarca.operators import combine, duplicates, keys, missing, ordered
+from comarca.operators import combine, duplicates, keys, missing, ordered, sketches
+from comarca.sinks.bucketed import bucketed
 from tests.conftest import as_rows, as_set
 
 
@@ -217,6 +218,28 @@ def test_declared_columns_and_types(spark):
         combine.conform(long, "fact_poblacion_municipio").collect()
 
 
+def test_bucketed_facts_are_joined_where_they_lie(spark):
+    facts = spark.range(20_000).select(F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id")).alias("k"), F.col("id").alias("n"))
+    dim = spark.range(15_000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+    joined = combine.join_bucketed(bucketed(facts, "k", 4), bucketed(dim, "k", 4), "k")
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "SortMergeJoin" in plan
+    assert joined.count() == 20_000 and joined.where("k < 15000 AND v <> 2 * k").isEmpty()
+    assert joined.where("v IS NULL").count() == facts.where("k >= 15000").count()
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("bucketed_")]
+
+
+def test_sketches_merge_to_counts_of_whole_spans(spark):
+    rows = spark.range(60_000).select((F.col("id") % 5 + 2000).alias("y"), (F.col("id") * 7 % 30_011).alias("m"), (F.col("id") % 3).alias("p"))
+    rows = rows.union(spark.createDataFrame([(2000, None, 0)], rows.schema))
+    stored = sketches.distinct_sketches(rows, "m", ["p", "y"])
+    merged = {r.p: r.estimate for r in sketches.merged_counts(stored.where("y >= 2002"), ["p"]).collect()}
+    exact = {r.p: r.n for r in rows.where("y >= 2002").groupBy("p").agg(F.countDistinct("m").alias("n")).collect()}
+    assert merged.keys() == exact.keys()
+    for p, n in exact.items():
+        assert abs(merged[p] - n) <= spark.range(1).select(sketches.largest_error(F.lit(n))).first()[0]
+
+
 def test_dimension_join_without_broadcast(spark):
     facts = spark.range(20_000).select(
         F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id")).alias("k"), F.col("id").alias("n")

@@ -5,8 +5,10 @@ from __future__ import annotations
 import io
 import itertools
 import logging
+import pickle
 import re
 import sys
+import tempfile
 import zipfile
 from collections.abc import Iterator, Sequence
 from xml.etree import ElementTree
@@ -25,6 +27,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 SURVEY_YEAR = 2019
 _BATCH = 10_000
+_WAITING = 16 << 20
 _MAIN = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
 _RELATION = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}id"
 # What the cells of a column hold, from narrow to wide; a column of several takes the widest.
@@ -93,15 +96,15 @@ def sheet_cells(content: bytes) -> Iterator[list[tuple[str, bool] | None]]:
 
 def column_names(header: Sequence[str | None]) -> list[str]:
     """A name for every column: repeated ones get ``.1``, ``.2``, blank ones ``Unnamed: <place from 0>``."""
-    names: list[str] = []
+    names: dict[str, int] = {}
     for at, text in enumerate(header):
         name = first = text or f"Unnamed: {at}"
         again = 0
         while name in names:
             again += 1
             name = f"{first}.{again}"
-        names.append(name)
-    return names
+        names[name] = at
+    return list(names)
 
 
 def _kind(text: str, number: bool) -> int:
@@ -125,6 +128,24 @@ def sheet_columns(content: bytes) -> list[tuple[int, str, int]]:
     return [(at, name, kind) for at, name, kind in columns if header[at] or kind != _EMPTY]
 
 
+def picked_cells(content: bytes, columns: Sequence[str]) -> Iterator[tuple[dict[str, list], int]]:
+    """The texts of the wanted columns, a batch of rows at a time, and the batch's size."""
+    rows = sheet_cells(content)
+    header = [cell[0] if cell else None for cell in next(rows, [])]
+    # Columns without a header are named by their place, which may be beyond the header.
+    blank = [int(m.group(1)) + 1 for c in columns if (m := re.match(r"Unnamed: (\d{1,5})", c))]
+    header.extend([None] * (max([len(header), *blank]) - len(header)))
+    place = {name: at for at, name in enumerate(column_names(header))}
+    while part := list(itertools.islice(rows, _BATCH)):
+        picked = {
+            name: [row[at][0] if at < len(row) and row[at] else None for row in part]
+            if (at := place.get(name)) is not None
+            else [None] * len(part)
+            for name in columns
+        }
+        yield picked, len(part)
+
+
 def _binary_files(spark: SparkSession, folder: str, recursive: bool) -> DataFrame:
     return (
         spark.read.format("binaryFile")
@@ -180,8 +201,10 @@ def read_folder(
     Columns that ``schema`` does not name follow it, with the type their cells have;
     ``declared_only`` leaves them out and saves the look at the files. Repeated and
     blank headers keep their columns, see ``column_names``. A workbook that cannot be
-    read to its end adds no rows: each sheet is gone through once before its rows are
-    handed on, a batch at a time. Subfolders are read only if ``recursive``.
+    read to its end adds no rows: what is read of a sheet waits, beyond some megabytes in
+    a file that goes with the task, until its end is reached. So each workbook is parsed
+    once for its rows, and once before where column types are looked for. Subfolders are
+    read only if ``recursive``.
     """
     if schema is None or isinstance(schema, T.StructType):
         declared = schema or T.StructType([])
@@ -198,20 +221,18 @@ def read_folder(
     def read_sheets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for file_name, content in zip(batch["source_file"], batch["content"]):
-                try:
-                    place = {name: at for at, name, _ in sheet_columns(content)}
-                except Exception as error:
-                    logging.getLogger("comarca").error("skipped %s: %s", file_name, error)
-                    continue
-                rows = itertools.islice(sheet_cells(content), 1, None)
-                while part := list(itertools.islice(rows, _BATCH)):
-                    picked = {
-                        name: [row[at][0] if at < len(row) and row[at] else None for row in part]
-                        if (at := place.get(name)) is not None
-                        else [None] * len(part)
-                        for name in columns
-                    }
-                    yield pd.DataFrame({**picked, "source_file": [file_name] * len(part)}, dtype=object)
+                with tempfile.SpooledTemporaryFile(_WAITING) as waiting:
+                    try:
+                        for part in picked_cells(content, columns):
+                            pickle.dump(part, waiting)
+                    except Exception as error:
+                        logging.getLogger("comarca").error("skipped %s: %s", file_name, error)
+                        continue
+                    end = waiting.tell()
+                    waiting.seek(0)
+                    while waiting.tell() < end:
+                        part, n = pickle.load(waiting)
+                        yield pd.DataFrame({**part, "source_file": [file_name] * n}, dtype=object)
 
     text = T.StructType([T.StructField(name, T.StringType()) for name in [*columns, "source_file"]])
     cells = files.select("source_file", "content").mapInPandas(read_sheets, text)

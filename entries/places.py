@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 import uuid
 from functools import partial
 
@@ -537,11 +538,13 @@ _ROWS = f"""WITH d AS (SELECT COUNT(*) AS n FROM orders), i AS (SELECT COUNT(*)
     UNION ALL SELECT 'load', source, UNNEST(['table', 'file']), n FROM finished)"""
 
 
-@entry("etl_metrics", f"{_ROWS} SELECT *, true AS success FROM metrics")
+@entry("etl_metrics", f"{_ROWS} SELECT *, true AS success, true AS timed FROM metrics")
 def _(spark, sf_dir):
-    run = _run(spark, sf_dir, ["table", "file"])
+    """``timed``: every step took some time, and no longer than the run."""
+    run, start = _run(spark, sf_dir, ["table", "file"]), time.monotonic()
     run.run()
-    return run.metrics().drop("seconds")
+    seconds = F.col("seconds")
+    return run.metrics().withColumn("timed", (seconds > 0) & (seconds <= time.monotonic() - start)).drop("seconds")
 
 
 @entry("etl_phase", f"{_ROWS} SELECT phase, source, \"rows\" FROM metrics WHERE phase <> 'load' OR target = 'file'")

@@ -26,6 +26,7 @@ THRESHOLD = 0.3
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", key: str = "doc_id", text: str = "text",
         settings: compression.Settings = SETTINGS, rows_per_label: int = ROWS_PER_LABEL,
         windows_per_label: int = WINDOWS_PER_LABEL, dictionary_bytes: int = DICTIONARY_BYTES) -> compression.Classifier:
+    """From about ``rows_per_label`` labelled rows and ``windows_per_label`` windows of each label."""
     sample = compression.labelled_sample(docs, labels, label, key, text, rows_per_label)
     pieces = compression.sampled_windows(sample.where("part = 0"), settings, windows_per_label)
     good, bad = (compression.trained_dictionary(pieces[k], dictionary_bytes) for k in (1, 0))

@@ -32,16 +32,18 @@ OWN_BYTES = 800
 LEAST_SHARE = 0.008
 # How many times likelier a sequence has to be in texts of its label.
 LEAST_RATIO = 6.0
-# Bounds of what is fitted on: rows of each label, windows of each label, sequences looked at.
+# Bounds of what is fitted on: rows of each label, windows of each label.
 ROWS_PER_LABEL = 3000
 WINDOWS_PER_LABEL = 40_000
-MOST_GRAMS = 20_000
 THRESHOLD = 0.7
 
 
 def telling_sequences(sample: DataFrame, settings: compression.Settings, gram: int = GRAM,
                       size: int = OWN_BYTES) -> dict[int, bytes]:
-    """For each label the byte sequences that stand out in its texts, the strongest last."""
+    """For each label the byte sequences of ``gram`` bytes that stand out in its texts, the strongest last.
+
+    As many as fit into ``size`` bytes, which is what the dictionary has room for.
+    """
     def count(batches):
         for batch in batches:
             held: tuple[Counter, Counter] = (Counter(), Counter())
@@ -64,19 +66,25 @@ def telling_sequences(sample: DataFrame, settings: compression.Settings, gram: i
         strength = F.col(f"n{own}") * F.log(ratio)
         best = (
             counts.where((F.col(f"n{own}") >= least[own]) & (ratio >= LEAST_RATIO))
-            .orderBy(strength.desc(), "gram").limit(MOST_GRAMS).select("gram").collect()
+            .orderBy(strength.desc(), "gram").limit(size // (gram + 1)).select("gram").collect()
         )
-        taken = [bytes(r["gram"]) for r in best[: size // (gram + 1)]]
+        taken = [bytes(r["gram"]) for r in best]
         found[own] = b"\n".join(reversed(taken))
     return found
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", key: str = "doc_id", text: str = "text",
         settings: compression.Settings = SETTINGS, rows_per_label: int = ROWS_PER_LABEL,
-        windows_per_label: int = WINDOWS_PER_LABEL) -> compression.Classifier:
+        windows_per_label: int = WINDOWS_PER_LABEL, base_bytes: int = BASE_BYTES,
+        own_bytes: int = OWN_BYTES, gram: int = GRAM) -> compression.Classifier:
+    """From about ``rows_per_label`` labelled rows and ``windows_per_label`` windows of each label.
+
+    The dictionaries hold ``base_bytes`` of ordinary text and ``own_bytes`` of sequences of
+    ``gram`` bytes each.
+    """
     sample = compression.labelled_sample(docs, labels, label, key, text, rows_per_label)
     half = sample.where("part = 0")
     ordinary = compression.sampled_windows(half.where("label = 0"), settings, windows_per_label)[0]
-    base = compression.trained_dictionary(ordinary, BASE_BYTES + 400)[-BASE_BYTES:]
-    own = telling_sequences(half, settings)
+    base = compression.trained_dictionary(ordinary, base_bytes + 400)[-base_bytes:]
+    own = telling_sequences(half, settings, gram, own_bytes)
     return compression.calibrated(base + own[1], base + own[0], settings, sample.where("part = 1"))

@@ -162,8 +162,9 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc
     if not languages:
         return model_of([], pd.DataFrame({"level": [], "gram": [], "of": [], "times": []}), {})
     numbered = docs.sparkSession.createDataFrame(list(enumerate(languages)), "of int, name string")
-    # A row per language on this side, so a hot language's rows can be split.
-    named = sizes.join(numbered, F.col("lang") == F.col("name")).select("lang", "of", "size")
+    # A row per language on this side, so a hot language's rows can be split; written, so that
+    # Spark knows how small it is and needn't move the texts.
+    named = pin(sizes.join(numbered, F.col("lang") == F.col("name")).select("lang", "of", "size"), "languages")
     drawn = rows.join(named, "lang").where(uniform("key", "text", seed=SEED) < F.lit(rows_per_language) / F.col("size"))
 
     def count_words(batches):

@@ -289,7 +289,7 @@ def test_a_query_runs_once(spark):
     # Random values that are worked out once are the same in every reading.
     assert {r[0] for r in result.data.collect()} == {r[0] for r in result.data.collect()}
     assert adhoc.execute(spark, "SELECT 1 WHERE false").row_count == 0
-    unparsed = adhoc.execute(spark, "SELECT 1 FROM")
+    unparsed = adhoc.execute(spark, "SELECT (1")
     assert not unparsed.success and "SYNTAX" in unparsed.error
     with pytest.raises(adhoc.RejectedQuery):
         adhoc.execute(spark, "DROP VIEW twenty")

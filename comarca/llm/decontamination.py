@@ -32,9 +32,9 @@ from comarca.sinks.pinned import pin
 WINDOW = 10
 SHINGLE = 3
 SLICE_BYTES = 1 << 20
-# Places of a map of hashes for each hash, as a power of two, and the least and most bits of a map.
-PLACES_PER_HASH = 4
-LEAST_BITS, MOST_BITS = 16, 30
+# Places of a map for each hash, as a power of two, and the least and most places of a map.
+PLACES_PER_HASH = 9
+LEAST_BITS, MOST_BITS = 16, 27
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -129,35 +129,28 @@ def batches_of(batches, column: str):
 
 
 def bitmap(hashes: DataFrame) -> np.ndarray:
-    """Two marks per hash on a map of bits that has 2^``PLACES_PER_HASH`` places for each.
+    """Two marks per hash on a map that has 2^``PLACES_PER_HASH`` places for each.
 
-    So about one foreign hash in sixty passes, whatever the benchmark's size; a map has 128 MB
-    at most, enough for 64 million hashes, beyond which more pass it (and are joined exactly).
+    So hardly a foreign hash passes, whatever the benchmark's size; a map has 128 MB at most,
+    where of eight million hashes on one foreign hash in sixty passes and is joined exactly.
     """
-    wanted = hashes.count()
-    bits = min(MOST_BITS, max(LEAST_BITS, int(np.ceil(np.log2(max(1, wanted)))) + PLACES_PER_HASH))
+    bits = min(MOST_BITS, max(LEAST_BITS, int(np.ceil(np.log2(max(1, hashes.count())))) + PLACES_PER_HASH))
     places = F.explode(F.array(*[F.shiftrightunsigned("hash", s).bitwiseAND(F.lit((1 << bits) - 1)) for s in (0, 32)])).alias("place")
     # The marks of each run of places, so that a cell holds many of them.
     runs = hashes.select(places).distinct().groupBy(F.shiftright("place", LEAST_BITS).alias("run")).agg(
         F.collect_list(F.col("place").bitwiseAND(F.lit((1 << LEAST_BITS) - 1)).cast("int")).alias("at")
     )
-    marked = np.zeros((1 << bits) // 8, dtype=np.uint8)
-    for row in runs.toLocalIterator():
-        at = (np.int64(row["run"]) << LEAST_BITS) + np.array(row["at"], dtype=np.int64)
-        np.bitwise_or.at(marked, at >> 3, np.uint8(1) << (at & 7).astype(np.uint8))
+    marked = np.zeros(1 << bits, dtype=bool)
+    for row in runs.collect():
+        marked[(row["run"] << LEAST_BITS) + np.array(row["at"], dtype=np.int64)] = True
     return marked
 
 
 def passes(marked: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     """Indices of the hashes whose two places are marked."""
-    mask = np.uint64(8 * len(marked) - 1)
-
-    def on(places):
-        places = (places & mask).astype(np.int64)
-        return (marked[places >> 3] >> (places & 7).astype(np.uint8)) & np.uint8(1) == 1
-
-    at = np.flatnonzero(on(hashes))
-    return at[on(hashes[at] >> np.uint64(32))]
+    mask = np.uint64(len(marked) - 1)
+    at = np.flatnonzero(marked[(hashes & mask).astype(np.int64)])
+    return at[marked[((hashes[at] >> np.uint64(32)) & mask).astype(np.int64)]]
 
 
 def item_windows(items: DataFrame, item_id: str, text: str, window: int, shingle: int) -> DataFrame:

@@ -168,25 +168,30 @@ class Classifier:
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, key: str, text: str, per_label: int) -> DataFrame:
     """(key, text, label: 0 or 1, weight, part: 0 or 1) of about ``per_label`` rows of each label.
 
-    Rows are drawn, not keys, so that a key which many documents share doesn't make the
-    sample larger. Labels that are NULL, neither 0 nor 1 or that contradict each other
-    are not used.
+    A key is drawn by a hash of it, the likelier the more rows it has, and of a key's rows as
+    many as keep every row's chance the same; so a key which many documents share does
+    not make the sample larger. Labels that are NULL, neither 0 nor 1 or that contradict
+    each other are not used.
     """
     bounded_batches(docs.sparkSession)
-    given = pin(
+    given = (
         labels.select(F.col(key).alias("key"), F.col(label).cast("int").alias("label")).where("key IS NOT NULL AND label IN (0, 1)")
-        .groupBy("key").agg(F.min("label").alias("label"), F.max("label").alias("most")).where("label = most").drop("most"),
-        "labels",
+        .groupBy("key").agg(F.min("label").alias("label"), F.max("label").alias("most")).where("label = most").drop("most")
     )
     rows = docs.select(docs[f"`{key}`"].alias("key"), F.coalesce(docs[f"`{text}`"], F.lit("")).alias("text"))
-    counts = {r["label"]: r["count"] for r in rows.select("key").join(given, "key").groupBy("label").count().collect()}
+    # No text is moved for this.
+    keys = pin(rows.select("key").join(given, "key").groupBy("key", "label").agg(F.count(F.lit(1)).alias("rows")), "labels")
+    counts = {r["label"]: r["rows"] for r in keys.groupBy("label").agg(F.sum("rows").alias("rows")).collect()}
     chances = [min(1.0, per_label / max(1, counts.get(k, 0))) for k in (0, 1)]
-    # Thinned before the join, so that texts that won't be drawn are not moved for it.
-    thinned = rows.withColumn("draw", uniform("key", F.monotonically_increasing_id(), seed=SEED)).where(F.col("draw") < max(chances))
     chance = F.when(F.col("label") == 1, chances[1]).otherwise(chances[0])
-    drawn = thinned.join(given, "key").where(F.col("draw") < chance)
+    own = F.least(F.lit(1.0), F.col("rows") * chance)
+    # About ``per_label`` keys of each label at most, whatever the input.
+    drawn = F.broadcast(
+        keys.where(uniform("key", seed=SEED) < own).select("key", "label", (1 / chance).alias("weight"), (chance / own).alias("share"))
+    )
+    kept = rows.join(drawn, "key").withColumn("draw", F.when(F.col("share") < 1, uniform("key", F.monotonically_increasing_id(), seed=SEED + 2)).otherwise(0.0))
     part = (uniform("key", "draw", seed=SEED + 1) < 0.5).cast("int")
-    return pin(drawn.select("key", "text", "label", (1 / chance).alias("weight"), part.alias("part")), "labelled")
+    return pin(kept.where("draw < share").select("key", "text", "label", "weight", part.alias("part")), "labelled")
 
 
 def sampled_windows(sample: DataFrame, settings: Settings, most: int) -> dict[int, list[bytes]]:

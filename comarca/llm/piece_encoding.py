@@ -145,7 +145,7 @@ def numbered_blocks(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     """
     spark = docs.sparkSession
     shards = shuffle_partitions(spark)
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    rows = docs.select(docs[f"`{doc_id}`"].alias("doc_id"), docs[f"`{text}`"].alias("text"))
     kind = rows.schema["doc_id"].dataType
 
     def numbered(batches):

@@ -260,7 +260,7 @@ def index(docs: DataFrame, text: str = "text", lang: str = "lang", source: str =
     shards = shuffle_partitions(spark)
 
     def filled(name: str) -> Column:
-        return F.coalesce(F.col(name).cast("string"), F.lit(""))
+        return F.coalesce(docs[f"`{name}`"].cast("string"), F.lit(""))
 
     rows = docs.select(
         filled(lang).alias("lang"), filled(source).alias("source"), filled(text).cast("binary").alias("text")

@@ -53,7 +53,7 @@ _HALF = 31
 def fit_rows(vectors: DataFrame, vec_id: str, vector: str) -> DataFrame:
     """(vec_id, c: array<double>, size) of the rows that count, whatever their length."""
     bad = F.exists("c", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) >= LARGEST))
-    rows = vectors.select(F.col(vec_id).alias("vec_id"), F.col(vector).cast("array<double>").alias("c"))
+    rows = vectors.select(vectors[f"`{vec_id}`"].alias("vec_id"), vectors[f"`{vector}`"].cast("array<double>").alias("c"))
     return rows.where(F.col("c").isNotNull() & (F.size("c") > 0) & ~bad).withColumn("size", F.size("c"))
 
 

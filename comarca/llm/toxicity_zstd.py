@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from comarca.llm import compression
+from comarca.llm.compression import encoded
 
 SETTINGS = compression.Settings(
     width=64, min_match=5, strategy=zstandard.STRATEGY_GREEDY, raw=True, lower=True
@@ -48,7 +49,7 @@ def telling_sequences(sample: DataFrame, settings: compression.Settings, gram: i
         for batch in batches:
             held: tuple[Counter, Counter] = (Counter(), Counter())
             for label, text in zip(batch["label"], batch["text"]):
-                data = b" " + compression.encoded(text, settings) + b" "
+                data = b" " + encoded(text, settings) + b" "
                 held[label].update({data[i : i + gram] for i in range(len(data) - gram + 1)})
             rows = [(g, held[0][g], held[1][g]) for g in held[0].keys() | held[1].keys()]
             yield pd.DataFrame(rows, columns=["gram", "n0", "n1"])

@@ -190,7 +190,9 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, key: str, te
         keys.where(uniform("key", seed=SEED) < own).select("key", "label", (1 / chance).alias("weight"), (chance / own).alias("share"))
     )
     kept = rows.join(drawn, "key").withColumn("draw", F.when(F.col("share") < 1, uniform("key", F.monotonically_increasing_id(), seed=SEED + 2)).otherwise(0.0))
-    part = (uniform("key", "draw", seed=SEED + 1) < 0.5).cast("int")
+    # Rows of one key may go to both halves where the key has too many.
+    half = F.when(F.col("share") < 1, uniform("key", "draw", seed=SEED + 1)).otherwise(uniform("key", seed=SEED + 1))
+    part = (half < 0.5).cast("int")
     return pin(kept.where("draw < share").select("key", "text", "label", "weight", part.alias("part")), "labelled")
 
 

@@ -19,14 +19,17 @@ have in common. There every text has ``FAMILIES`` fingerprints of the same shing
 the tries find candidates: texts that in one of them agree in a 16-bit part and differ in
 ``CANDIDATE_BUDGET`` bits at most. Groups of candidates are then gone through by leaders:
 the text with the smallest id stays, those whose exact similarity to it reaches the
-limit go, and the rest of the group has its next leader, for ``LEADERS`` rounds; what no
-leader covers by then stays. So nothing goes without a similar text that stays; what
-the fingerprints miss stays too, the more the lower the similarity.
+limit go, and the rest of the group has its next leader, for ``LEADERS`` rounds. What no
+leader covers by then is compared by shingles: two texts of the similarity share one of the
+rarest shingles of each, so all such pairs of a group are met, and of those the text with the
+smaller id stays again. So nothing goes without a similar text that stays, and of two similar
+texts of a group one goes; what the fingerprints miss stays, the more the lower the similarity.
 """
 
 from __future__ import annotations
 
 from functools import reduce
+from itertools import count
 
 import numpy as np
 import pandas as pd
@@ -51,6 +54,14 @@ SIMILARITY = 0.8
 FAMILIES = 6
 CANDIDATE_BUDGET = 8
 LEADERS = 8
+# Texts with a shingle in common are met by the first of them while there are more pairs than so many times
+# the shingles, for so many rounds; then pair by pair.
+PAIRS_A_KEY = 16
+HEADS = 8
+# Rounds in which of linked texts the smaller id stays; chains longer than that go on in a shuffled order.
+ID_ROUNDS = 40
+# The order of members.
+RANK = ("no_id", "least", "node")
 # Pairs of nodes with at most so many pairs of fingerprints are compared outright.
 OUTRIGHT = 64
 # Pairs handled at once in a task, for its memory.
@@ -324,12 +335,96 @@ def candidate_groups(nodes: DataFrame, budget: int) -> DataFrame:
     return components(equal.union(near.select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))))
 
 
+def similar(common: Column, a: Column, b: Column, similarity: float) -> Column:
+    """Whether sets of sizes ``a`` and ``b`` reach the similarity; empty sets are alike."""
+    return F.when(a + b == 0, True).otherwise(common / (a + b - common) >= similarity)
+
+
+def rare_shingles(members: DataFrame, similarity: float) -> DataFrame:
+    """(component, shingle, size, rank): two members of a component that reach the similarity share one of these.
+
+    Of its shingles, rarest in the component first, a member has as many as leave too few
+    for the similarity behind them. Shingles of one member only are none of them.
+    """
+    held = members.select("component", F.size("shingles").alias("size"), F.struct(*RANK).alias("rank"), F.explode("shingles").alias("shingle"))
+    shared = held.groupBy("component", "shingle").agg(F.count(F.lit(1)).alias("times")).where("times > 1")
+    # A little less than the product, which may be rounded up.
+    least = F.ceil(F.col("size") * similarity - 1e-6).cast("int")
+    ranked = held.join(shared, ["component", "shingle"]).groupBy("component", "size", "rank").agg(
+        F.sort_array(F.collect_list(F.struct("times", "shingle"))).alias("ranked")
+    )
+    first = F.slice("ranked", F.lit(1), F.greatest(F.size("ranked") - least + 1, F.lit(0)))
+    return ranked.select("component", "size", "rank", F.explode(first).alias("key")).select("component", "key.shingle", "size", "rank")
+
+
+def verified(pairs: DataFrame, members: DataFrame, similarity: float) -> DataFrame:
+    """The pairs (node, leader) of members that reach the similarity."""
+    sets = [members.select(F.col("node").alias(f"of_{e}"), F.col("shingles").alias(f"set_{e}")) for e in "ab"]
+    both = pairs.join(sets[0], F.col("node") == F.col("of_a")).join(sets[1], F.col("leader") == F.col("of_b"))
+    common = F.size(F.array_intersect("set_a", "set_b"))
+    return both.where(similar(common, F.size("set_a"), F.size("set_b"), similarity)).select("node", "leader")
+
+
+def _without(rows: DataFrame, node: Column, gone: DataFrame) -> DataFrame:
+    return rows.join(gone.select(F.col("node").alias("left_out")), node == F.col("left_out"), "left_anti")
+
+
+def covered_by_links(links: DataFrame) -> list[DataFrame]:
+    """(node, leader) from links (node, leader), the leader before the node in one order: nodes that go, each beside one that stays.
+
+    A round keeps the nodes without a leader; those they lead go, and so do all their links.
+    """
+    found = []
+    for number in count():
+        if links.isEmpty():
+            return found
+        if number == ID_ROUNDS:
+            # A chain in the order of its ids takes a round for each link, in any other order few.
+            a, b = (F.struct(F.xxhash64(c).alias("turn"), F.col(c).alias("node")) for c in ("leader", "node"))
+            links = pin(links.select(F.greatest(a, b)["node"].alias("node"), F.least(a, b)["node"].alias("leader")), "links")
+        stay = links.select(F.col("leader").alias("stays")).distinct()
+        stay = stay.join(links.select("node").distinct(), F.col("stays") == F.col("node"), "left_anti")
+        gone = pin(
+            links.join(stay, F.col("leader") == F.col("stays")).groupBy("node").agg(F.min("leader").alias("leader")), "gone"
+        )
+        found.append(gone)
+        links = pin(_without(_without(links, links.node, gone), links.leader, gone), "links")
+
+
+def covered_by_pairs(members: DataFrame, similarity: float) -> list[DataFrame]:
+    """(node, leader) of all members similar to one that stays, whatever number of leaders that takes."""
+    keys, found = pin(rare_shingles(members, similarity), "rare-shingles"), []
+    for _ in range(HEADS):
+        heads = keys.groupBy("component", "shingle").agg(F.min("rank").alias("head"), F.count(F.lit(1)).cast("double").alias("n"))
+        n, pairs = heads.agg(F.sum("n"), F.sum(F.col("n") * (F.col("n") - 1) / 2)).first()
+        if not n or pairs <= PAIRS_A_KEY * n:
+            break
+        # Whoever comes first under each of its shingles has no similar one before it.
+        led = pin(
+            keys.join(heads, ["component", "shingle"]).select(F.col("rank.node").alias("node"), F.col("head.node").alias("leader")).distinct(),
+            "led",
+        )
+        stay = led.groupBy("node").agg(F.max(F.col("node") != F.col("leader")).alias("later")).where("NOT later").select("node")
+        near = led.where("node <> leader").join(stay.select(F.col("node").alias("stays")), F.col("leader") == F.col("stays"))
+        gone = pin(verified(near.select("node", "leader"), members, similarity), "gone")
+        found.append(gone.groupBy("node").agg(F.min("leader").alias("leader")))
+        keys = pin(_without(keys, F.col("rank.node"), stay.union(gone.select("node").distinct())), "rare-shingles")
+    a, b = (keys.select("component", "shingle", F.col("size").alias(f"size_{e}"), F.col("rank").alias(f"rank_{e}")) for e in "ab")
+    met = a.join(b, ["component", "shingle"]).where("rank_a < rank_b").where(
+        F.least("size_a", "size_b") >= F.greatest("size_a", "size_b") * similarity - 1e-6
+    )
+    pairs = pin(met.select(F.col("rank_b.node").alias("node"), F.col("rank_a.node").alias("leader")).distinct(), "pairs")
+    return found + covered_by_links(pin(verified(pairs, members, similarity), "links"))
+
+
 def covered_nodes(members: DataFrame, similarity: float, leaders: int) -> DataFrame:
-    """(node, leader) of members (node, component, no_id, least, shingles) that a leader of their component covers."""
+    """(node, leader) of members (node, component, no_id, least, shingles) that one of their component that stays covers.
+
+    The first ``leaders`` that stay are each compared with all of their component, the rest by their rare shingles.
+    """
     found = []
-    rank = F.struct("no_id", "least", "node")
     for _ in range(leaders):
-        first = members.groupBy(F.col("component").alias("of")).agg(F.min(rank).alias("first"))
+        first = members.groupBy(F.col("component").alias("of")).agg(F.min(F.struct(*RANK)).alias("first"))
         chosen = first.select(F.col("first.node").alias("leader"))
         led = pin(
             members.join(chosen, F.col("node") == F.col("leader"))
@@ -338,15 +433,16 @@ def covered_nodes(members: DataFrame, similarity: float, leaders: int) -> DataFr
         # One leader for each component on this side, so a large component's rows can be split.
         both = members.join(led, F.col("component") == F.col("of")).where("node <> leader")
         common = F.size(F.array_intersect("shingles", "leads"))
-        share = common / (F.size("shingles") + F.size("leads") - common)
-        judged = pin(both.withColumn("covered", F.size("shingles") + F.size("leads") == 0).withColumn(
-            "covered", F.col("covered") | (share >= similarity)
-        ).drop("of", "leads"), "judged")
+        judged = pin(
+            both.withColumn("covered", similar(common, F.size("shingles"), F.size("leads"), similarity)).drop("of", "leads"), "judged"
+        )
         found.append(judged.where("covered").select("node", "leader"))
         members = judged.where("NOT covered").drop("covered", "leader")
         if members.isEmpty():
             break
-    return reduce(DataFrame.union, found)
+    else:
+        found += covered_by_pairs(members, similarity)
+    return reduce(DataFrame.union, found, members.select("node", F.col("node").alias("leader")).where("false"))
 
 
 def distinct_similar_rows(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SIMILAR_SHINGLE,

@@ -407,6 +407,43 @@ def test_similar_rows_go_only_beside_one_that_stays(spark):
     assert simhash_trie.distinct_similar_rows(docs.where("false")).count() == 0
 
 
+@pytest.mark.parametrize("leaders, pairs_a_key, id_rounds", [(simhash_trie.LEADERS, 16, 40), (0, 0, 40), (1, 16, 2)])
+def test_every_similar_member_of_a_group_goes_whatever_the_leaders(spark, monkeypatch, leaders, pairs_a_key, id_rounds):
+    """More families than leaders, a chain in the order of its ids, unlike texts of common shingles: one group."""
+    monkeypatch.setattr(simhash_trie, "PAIRS_A_KEY", pairs_a_key)
+    monkeypatch.setattr(simhash_trie, "ID_ROUNDS", id_rounds)
+    rng = np.random.default_rng(5)
+    sets = [set(range(1000 * f, 1000 * f + 40)) for f in range(20)]
+    sets += [(s - set(rng.choice(sorted(s), 3))) | {10**6 + i} for i, s in enumerate(sets * 6)]
+    sets += [set(range(50_000 + 3 * i, 50_040 + 3 * i)) for i in range(24)]
+    sets += [set(range(70_000, 70_020)) | set(range(80_000 + 100 * i, 80_012 + 100 * i)) for i in range(30)]
+    # Just the limit: 4 of 5, and 35 of 43 with 28 of 35 beside it.
+    sets += [{90_000, 90_001, 90_002, 90_003}, {90_000, 90_001, 90_002, 90_003, 90_004}, set(range(91_000, 91_035)), set(range(91_000, 91_028))]
+    order = rng.permutation(len(sets))
+    order[140:164] = np.sort(order[140:164])
+    # Nodes are numbered in another order than ids; some have no id.
+    rows = [(int(i), 0, bool(i % 7 == 0), None if i % 7 == 0 else 1000 - int(i), sorted(s)) for i, s in zip(order, sets)]
+    rows += [(5000 + n, 1, False, n, list(range(n % 2, 30))) for n in range(4)]
+    members = spark.createDataFrame(rows, "node long, component long, no_id boolean, least long, shingles array<long>")
+    got = {r.node: r.leader for r in simhash_trie.covered_nodes(members.repartition(5), 0.8, leaders).collect()}
+
+    def similarity(a, b):
+        return len(a & b) / len(a | b)
+
+    stay, gone = [], set()
+    for node, component, no_id, least, shingles in sorted(rows, key=lambda r: (r[2], r[3] or 0, r[0])):
+        if any(c == component and similarity(set(shingles), s) >= 0.8 for _, c, s in stay):
+            gone.add(node)
+        else:
+            stay.append((node, component, set(shingles)))
+    if id_rounds > 2:
+        assert set(got) == gone
+    of = {r[0]: (r[1], set(r[4])) for r in rows}
+    left = sorted(set(of) - set(got))
+    assert all(n in left and of[n][0] == of[g][0] and similarity(of[n][1], of[g][1]) >= 0.8 for g, n in got.items())
+    assert not any(of[a][0] == of[b][0] and similarity(of[a][1], of[b][1]) >= 0.8 for a in left for b in left if a < b)
+
+
 def odd_documents(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     rows = [(None, None, None, None, None), (-1, "", None, "s", 0), (-2, "12 !!", "en", None, 5), (-3, "w " * 100_000, None, None, 9)]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import time
 import uuid
 from functools import partial
@@ -44,6 +45,16 @@ def _csv(df, path, mode="errorifexists"):
 _CUSTOMER = "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"
 _ORDERS = "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string"
 
+# Text of a file, as much as Spark reads in one task of a file it can split.
+_FILE_BYTES = 128 << 20
+
+
+def _spread(df, least):
+    """At least so many parts, and more where a part would have more text than a file should."""
+    size = df.agg(F.sum(F.octet_length(F.concat_ws(";", *df.columns)))).first()[0] or 0
+    return df.repartition(max(least, math.ceil(size / _FILE_BYTES)))
+
+
 # ---- sources -----------------------------------------------------------------
 
 
@@ -69,7 +80,7 @@ def _(spark, sf_dir):
 @entry("scan_csv_batched", "SELECT * FROM orders")
 def _(spark, sf_dir):
     folder, out = scratch_path(spark, "csv"), scratch_path(spark, "batched")
-    _csv(table(spark, sf_dir, "orders").repartition(8), folder)
+    _csv(_spread(table(spark, sf_dir, "orders"), 8), folder)
     stream = batched.stream_folder(spark, folder, _ORDERS, files_per_batch=3)
     batched.drain_to_parquet(stream, out, scratch_path(spark, "offsets"))
     return spark.read.schema(stream.schema).parquet(out).drop("source_file")
@@ -120,8 +131,11 @@ def _(spark, sf_dir):
 
 
 def _two_layouts(spark, sf_dir):
-    """Documents in two files of other columns and another order each, by their length."""
-    docs, folder = _quoted(spark, sf_dir).repartition(4), scratch_path(spark, "csv")
+    """Documents in files of two layouts, of other columns and another order each, by their length.
+
+    Such a file is read by one task, so their number grows with the text.
+    """
+    docs, folder = _spread(_quoted(spark, sf_dir), 4), scratch_path(spark, "csv")
     _quoted_csv(docs.where("n_chars > 800").select("text", "n_chars", "doc_id", "source"), folder)
     return _quoted_csv(docs.where("n_chars <= 800 OR n_chars IS NULL").select("source", "doc_id", "text"), folder, "append")
 

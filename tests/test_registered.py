@@ -45,3 +45,16 @@ def test_every_sql_belongs_to_a_query():
 @pytest.mark.parametrize("key", contract.queries())
 def test_query_equals_its_sql(spark, duck, key):
     assert check.compare(spark, duck, key, SF) is None
+
+
+@pytest.mark.parametrize("least", [4, 8])
+def test_files_of_written_folders_do_not_grow_with_the_table(spark, monkeypatch, least):
+    """A file with line breaks in quotes is read by one task."""
+    monkeypatch.setattr(contract.places, "_FILE_BYTES", 1 << 15, raising=False)
+    folder = Path(contract.places._two_layouts(spark, SF))
+    # Four of each layout whatever the size, before.
+    assert len(list(folder.glob("*.csv"))) > 8
+    table = spark.read.parquet(f"{SF}/orders.parquet")
+    spread = contract.places._spread(table, least)
+    assert spread.rdd.getNumPartitions() >= least and sorted(spread.collect()) == sorted(table.collect())
+    assert contract.places._spread(table.where("false"), least).count() == 0

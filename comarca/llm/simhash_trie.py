@@ -20,9 +20,10 @@ the tries find candidates: texts that in one of them agree in a 16-bit part and
 ``CANDIDATE_BUDGET`` bits at most. Groups of candidates are then gone through by leaders:
 the text with the smallest id stays, those whose exact similarity to it reaches the
 limit go, and the rest of the group has its next leader, for ``LEADERS`` rounds. What no
-leader covers by then is compared by shingles: two texts of the similarity share one of the
-rarest shingles of each, so all such pairs of a group are met, and of those the text with the
-smaller id stays again. So nothing goes without a similar text that stays, and of two similar
+leader covers by then is compared by shingles that it has and most of its group lack, or the
+other way round: two texts of the similarity share one of the rarest of each, with enough left
+behind it in both, so all such pairs of a group are met and few others, and of those the text
+with the smaller id stays again. So nothing goes without a similar text that stays, and of two similar
 texts of a group one goes; what the fingerprints miss stays, the more the lower the similarity.
 """
 
@@ -58,6 +59,8 @@ LEADERS = 8
 # the shingles, for so many rounds; then pair by pair.
 PAIRS_A_KEY = 16
 HEADS = 8
+# Stands for a shingle of texts that have hardly any that sets them apart; a hash equal to it does no harm.
+NOTHING_ODD = 0
 # Rounds in which of linked texts the smaller id stays; chains longer than that go on in a shuffled order.
 ID_ROUNDS = 40
 # The order of members.
@@ -340,21 +343,67 @@ def similar(common: Column, a: Column, b: Column, similarity: float) -> Column:
     return F.when(a + b == 0, True).otherwise(common / (a + b - common) >= similarity)
 
 
-def rare_shingles(members: DataFrame, similarity: float) -> DataFrame:
-    """(component, shingle, size, rank): two members of a component that reach the similarity share one of these.
+def common_shingles(members: DataFrame) -> DataFrame:
+    """(of, core) of components of more than one member: the shingles that more than half of the members have, null for none."""
+    n = members.groupBy(F.col("component").alias("of")).agg(F.count(F.lit(1)).alias("members")).where("members > 1")
+    held = members.select("component", F.explode("shingles").alias("shingle")).groupBy("component", "shingle").agg(F.count(F.lit(1)).alias("times"))
+    core = held.join(n, F.col("component") == F.col("of")).where("times * 2 > members").groupBy("component").agg(F.collect_list("shingle").alias("core"))
+    return n.join(core, F.col("of") == F.col("component"), "left").select("of", "core")
+
 
-    Of its shingles, rarest in the component first, a member has as many as leave too few
-    for the similarity behind them. Shingles of one member only are none of them.
+def rare_shingles(members: DataFrame, similarity: float) -> DataFrame:
+    """(component, shingle, size, rank, rest, excess): two members of a component that reach the similarity share one of these.
+
+    A member is told by its odd shingles: those it has and most of its component lack, and those it
+    lacks and most have. Sets of sizes a and b that reach the similarity differ in at most
+    k * (a + b) shingles, k = (1 - similarity) / (1 + similarity), so their odd shingles in common
+    are at least half the sum of both ``excess``: the number of odd ones less k times the size.
+    Of these, rarest in the component first, a member has as many as leave too few for that behind
+    them; ``rest`` counts a shingle and those behind it. Odd shingles of one member only come
+    before all others and are none of them. Members that may be similar without an odd shingle in
+    common share ``NOTHING_ODD``.
     """
-    held = members.select("component", F.size("shingles").alias("size"), F.struct(*RANK).alias("rank"), F.explode("shingles").alias("shingle"))
-    shared = held.groupBy("component", "shingle").agg(F.count(F.lit(1)).alias("times")).where("times > 1")
+    k = (1 - similarity) / (1 + similarity)
+    core = pin(common_shingles(members), "common-shingles")
+    size, none = F.size("shingles"), F.array().cast("array<bigint>")
+    told = members.join(core, F.col("component") == F.col("of")).withColumn("core", F.coalesce("core", none)).select(
+        "component", size.alias("size"), F.struct(*RANK).alias("rank"), F.size("core").alias("core"),
+        F.concat(F.array_except("shingles", "core"), F.array_except("core", "shingles")).alias("odd"),
+    )
+    # The other set has at most size / similarity shingles; with no common shingles both share similarity * size.
+    over = F.size("odd") - F.col("size") * (k + k / similarity)
+    least = F.when(F.col("core") == 0, F.col("size") * similarity).otherwise(F.greatest(over, over / 2))
     # A little less than the product, which may be rounded up.
-    least = F.ceil(F.col("size") * similarity - 1e-6).cast("int")
-    ranked = held.join(shared, ["component", "shingle"]).groupBy("component", "size", "rank").agg(
+    told = told.withColumn("excess", F.size("odd") - F.col("size") * k).withColumn("least", F.ceil(least - 1e-6).cast("int"))
+    own = ["component", "size", "rank", "excess"]
+    held = told.select(*own, "least", F.explode("odd").alias("shingle"))
+    shared = held.groupBy("component", "shingle").agg(F.count(F.lit(1)).alias("times")).where("times > 1")
+    ranked = held.join(shared, ["component", "shingle"]).groupBy(*own, "least").agg(
         F.sort_array(F.collect_list(F.struct("times", "shingle"))).alias("ranked")
     )
-    first = F.slice("ranked", F.lit(1), F.greatest(F.size("ranked") - least + 1, F.lit(0)))
-    return ranked.select("component", "size", "rank", F.explode(first).alias("key")).select("component", "key.shingle", "size", "rank")
+    first = F.slice("ranked", F.lit(1), F.greatest(F.size("ranked") - F.col("least") + 1, F.lit(0)))
+    placed = ranked.select(*own, F.size("ranked").alias("shared"), F.posexplode(first).alias("before", "key"))
+    columns = ["component", "shingle", "size", "rank", "rest", "excess"]
+    return (
+        placed.select(*own, "key.shingle", (F.col("shared") - F.col("before")).alias("rest")).select(*columns)
+        .union(told.where("least <= 0").select(*own, F.lit(NOTHING_ODD).cast("long").alias("shingle"), F.lit(0).alias("rest")).select(*columns))
+    )
+
+
+def met_by_shingles(keys: DataFrame, similarity: float) -> DataFrame:
+    """(node, leader) of members that share a rare shingle with enough behind it in both, once for each such shingle.
+
+    The first odd shingle that two members of the similarity share has all others they share behind it
+    in both. The one of less excess is looked for only by shingles that leave enough for two of its excess.
+    """
+    a, b = (
+        keys.select("component", "shingle", *[F.col(c).alias(f"{c}_{e}") for c in ("size", "rank", "rest", "excess")]) for e in "ab"
+    )
+    once = (F.col("excess_a") < F.col("excess_b")) | ((F.col("excess_a") == F.col("excess_b")) & (F.col("rank_a") < F.col("rank_b")))
+    enough = F.least("rest_a", "rest_b") >= (F.col("excess_a") + F.col("excess_b")) / 2 - 1e-6
+    sizes = F.least("size_a", "size_b") >= F.greatest("size_a", "size_b") * similarity - 1e-6
+    met = a.where("rest_a >= excess_a - 1e-6").join(b, ["component", "shingle"]).where(once & enough & sizes)
+    return met.select(F.greatest("rank_a", "rank_b")["node"].alias("node"), F.least("rank_a", "rank_b")["node"].alias("leader"))
 
 
 def verified(pairs: DataFrame, members: DataFrame, similarity: float) -> DataFrame:
@@ -395,8 +444,11 @@ def covered_by_pairs(members: DataFrame, similarity: float) -> list[DataFrame]:
     """(node, leader) of all members similar to one that stays, whatever number of leaders that takes."""
     keys, found = pin(rare_shingles(members, similarity), "rare-shingles"), []
     for _ in range(HEADS):
-        heads = keys.groupBy("component", "shingle").agg(F.min("rank").alias("head"), F.count(F.lit(1)).cast("double").alias("n"))
-        n, pairs = heads.agg(F.sum("n"), F.sum(F.col("n") * (F.col("n") - 1) / 2)).first()
+        heads = keys.groupBy("component", "shingle").agg(
+            F.min("rank").alias("head"), F.count(F.lit(1)).cast("double").alias("n"),
+            F.count_if(F.col("rest") >= F.col("excess") - 1e-6).alias("looked_for"),
+        )
+        n, pairs = heads.agg(F.sum("n"), F.sum(F.col("looked_for") * (F.col("n") - 1))).first()
         if not n or pairs <= PAIRS_A_KEY * n:
             break
         # Whoever comes first under each of its shingles has no similar one before it.
@@ -409,11 +461,7 @@ def covered_by_pairs(members: DataFrame, similarity: float) -> list[DataFrame]:
         gone = pin(verified(near.select("node", "leader"), members, similarity), "gone")
         found.append(gone.groupBy("node").agg(F.min("leader").alias("leader")))
         keys = pin(_without(keys, F.col("rank.node"), stay.union(gone.select("node").distinct())), "rare-shingles")
-    a, b = (keys.select("component", "shingle", F.col("size").alias(f"size_{e}"), F.col("rank").alias(f"rank_{e}")) for e in "ab")
-    met = a.join(b, ["component", "shingle"]).where("rank_a < rank_b").where(
-        F.least("size_a", "size_b") >= F.greatest("size_a", "size_b") * similarity - 1e-6
-    )
-    pairs = pin(met.select(F.col("rank_b.node").alias("node"), F.col("rank_a.node").alias("leader")).distinct(), "pairs")
+    pairs = pin(met_by_shingles(keys, similarity).distinct(), "pairs")
     return found + covered_by_links(pin(verified(pairs, members, similarity), "links"))
 
 

@@ -444,6 +444,35 @@ def test_every_similar_member_of_a_group_goes_whatever_the_leaders(spark, monkey
     assert not any(of[a][0] == of[b][0] and similarity(of[a][1], of[b][1]) >= 0.8 for a in left for b in left if a < b)
 
 
+def test_near_copies_just_below_the_limit_are_not_met_pair_by_pair(spark, monkeypatch):
+    """A group of near copies of one text, most unlike each other, subsets and texts at the limit among them."""
+    rng = np.random.default_rng(11)
+    base, sets = np.arange(150), []
+    for i in range(400):
+        taken = {int(k) for start in rng.choice(146, int(rng.integers(3, 9)), replace=False) for k in range(start, start + 5)}
+        sets.append((set(base.tolist()) - taken) | {10**6 + 1000 * i + k for k in taken})
+    sets += [set(sorted(s)[:-5]) for s in sets[:20]] + [set(sorted(s)[: -(len(s) // 5)]) for s in sets[20:40]]
+    sets += [set(sorted(s)[: -(len(s) // 5) - 1]) for s in sets[40:60]]
+    rows = [(i, 0, False, int(j), sorted(s)) for i, (j, s) in enumerate(zip(rng.permutation(len(sets)), sets))]
+    members = spark.createDataFrame(rows, "node long, component long, no_id boolean, least long, shingles array<long>")
+    met, verified = [], simhash_trie.verified
+
+    def counted(pairs, *rest):
+        met.append(pairs.count())
+        return verified(pairs, *rest)
+
+    monkeypatch.setattr(simhash_trie, "verified", counted)
+    found = simhash_trie.covered_by_pairs(members.repartition(5), 0.8)
+    stay, gone = [], set()
+    for node, *_, shingles in sorted(rows, key=lambda r: r[3]):
+        if any(len(s & set(shingles)) / len(s | set(shingles)) >= 0.8 for s in stay):
+            gone.add(node)
+        else:
+            stay.append(set(shingles))
+    assert 40 <= len(gone) < 200 and {r.node for f in found for r in f.collect()} == gone
+    assert sum(met) <= 4 * len(rows)
+
+
 def odd_documents(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     rows = [(None, None, None, None, None), (-1, "", None, "s", 0), (-2, "12 !!", "en", None, 5), (-3, "w " * 100_000, None, None, 9)]

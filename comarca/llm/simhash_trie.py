@@ -343,14 +343,6 @@ def similar(common: Column, a: Column, b: Column, similarity: float) -> Column:
     return F.when(a + b == 0, True).otherwise(common / (a + b - common) >= similarity)
 
 
-def common_shingles(members: DataFrame) -> DataFrame:
-    """(of, core) of components of more than one member: the shingles that more than half of the members have, null for none."""
-    n = members.groupBy(F.col("component").alias("of")).agg(F.count(F.lit(1)).alias("members")).where("members > 1")
-    held = members.select("component", F.explode("shingles").alias("shingle")).groupBy("component", "shingle").agg(F.count(F.lit(1)).alias("times"))
-    core = held.join(n, F.col("component") == F.col("of")).where("times * 2 > members").groupBy("component").agg(F.collect_list("shingle").alias("core"))
-    return n.join(core, F.col("of") == F.col("component"), "left").select("of", "core")
-
-
 def rare_shingles(members: DataFrame, similarity: float) -> DataFrame:
     """(component, shingle, size, rank, rest, excess): two members of a component that reach the similarity share one of these.
 
@@ -364,23 +356,38 @@ def rare_shingles(members: DataFrame, similarity: float) -> DataFrame:
     common share ``NOTHING_ODD``.
     """
     k = (1 - similarity) / (1 + similarity)
-    core = pin(common_shingles(members), "common-shingles")
     size, none = F.size("shingles"), F.array().cast("array<bigint>")
-    told = members.join(core, F.col("component") == F.col("of")).withColumn("core", F.coalesce("core", none)).select(
-        "component", size.alias("size"), F.struct(*RANK).alias("rank"), F.size("core").alias("core"),
-        F.concat(F.array_except("shingles", "core"), F.array_except("core", "shingles")).alias("odd"),
+    own = ["component", "size", "rank"]
+    # Read twice, to count and to rank.
+    held = pin(members.select("component", size.alias("size"), F.struct(*RANK).alias("rank"), F.explode("shingles").alias("shingle")), "held")
+    n = members.groupBy(F.col("component").alias("of")).agg(F.count(F.lit(1)).alias("members")).where("members > 1")
+    times = held.groupBy("component", "shingle").agg(F.count(F.lit(1)).alias("had")).where("had > 1")
+    common = F.col("had") * 2 > F.col("members")
+    # Odd is a shingle to those that have it, a common one to those that lack it.
+    times = pin(
+        times.join(n, F.col("component") == F.col("of"))
+        .select("component", "shingle", common.alias("common"), F.when(common, F.col("members") - F.col("had")).otherwise(F.col("had")).alias("times")),
+        "times",
     )
+    core = times.where("common").groupBy(F.col("component").alias("core_of")).agg(F.collect_list("shingle").alias("core"))
+    core = pin(n.join(core, F.col("of") == F.col("core_of"), "left").select("of", F.coalesce("core", none).alias("core")), "common-shingles")
+    told = members.join(core, F.col("component") == F.col("of")).select(
+        "component", size.alias("size"), F.struct(*RANK).alias("rank"), F.size("core").alias("core"),
+        F.size(F.array_except("shingles", "core")).alias("extra"), F.array_except("core", "shingles").alias("lacks"),
+    ).withColumn("odd", F.col("extra") + F.size("lacks"))
     # The other set has at most size / similarity shingles; with no common shingles both share similarity * size.
-    over = F.size("odd") - F.col("size") * (k + k / similarity)
+    over = F.col("odd") - F.col("size") * (k + k / similarity)
     least = F.when(F.col("core") == 0, F.col("size") * similarity).otherwise(F.greatest(over, over / 2))
     # A little less than the product, which may be rounded up.
-    told = told.withColumn("excess", F.size("odd") - F.col("size") * k).withColumn("least", F.ceil(least - 1e-6).cast("int"))
-    own = ["component", "size", "rank", "excess"]
-    held = told.select(*own, "least", F.explode("odd").alias("shingle"))
-    shared = held.groupBy("component", "shingle").agg(F.count(F.lit(1)).alias("times")).where("times > 1")
-    ranked = held.join(shared, ["component", "shingle"]).groupBy(*own, "least").agg(
-        F.sort_array(F.collect_list(F.struct("times", "shingle"))).alias("ranked")
+    told = pin(told.withColumn("excess", F.col("odd") - F.col("size") * k).withColumn("least", F.ceil(least - 1e-6).cast("int")), "told")
+    shared = times.where("times > 1")
+    odd = held.join(shared.where("NOT common"), ["component", "shingle"]).select(*own, "times", "shingle").union(
+        told.select(*own, F.explode("lacks").alias("shingle")).join(shared.where("common"), ["component", "shingle"]).select(*own, "times", "shingle")
     )
+    bounds = told.select(F.col("rank.node").alias("of_node"), "excess", "least")
+    ranked = odd.groupBy(*own).agg(F.sort_array(F.collect_list(F.struct("times", "shingle"))).alias("ranked"))
+    ranked = ranked.join(bounds, F.col("rank.node") == F.col("of_node"))
+    own.append("excess")
     first = F.slice("ranked", F.lit(1), F.greatest(F.size("ranked") - F.col("least") + 1, F.lit(0)))
     placed = ranked.select(*own, F.size("ranked").alias("shared"), F.posexplode(first).alias("before", "key"))
     columns = ["component", "shingle", "size", "rank", "rest", "excess"]

@@ -15,7 +15,7 @@ fingerprints are one node, so copies cost nothing; an empty table gives no rows;
 other columns never matter.
 
 ``distinct_similar_rows`` looks for texts of a similarity: the share of shingles two texts
-have in common. There every text has ``FAMILIES`` fingerprints of the same shingles, and
+have in common. There every text has ``FAMILIES`` fingerprints of its set of shingles, and
 the tries find candidates: texts that in one of them agree in a 16-bit part and differ in
 ``CANDIDATE_BUDGET`` bits at most. Groups of candidates are then gone through by leaders:
 the text with the smallest id stays, those whose exact similarity to it reaches the
@@ -305,14 +305,16 @@ def distinct_rows(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", s
 
 
 def described(text: Column, shingle: int, families: int) -> Column:
-    """struct<same, prints>: a name of the text's set of shingles, and its fingerprints."""
+    """struct<same, prints>: a name of the text's set of shingles, and the set's fingerprints.
+
+    Repeats don't count, as they don't in the similarity: else a line that unlike texts repeat makes them candidates.
+    """
     @F.pandas_udf("same string, prints array<long>")
     def of(texts: pd.Series) -> pd.DataFrame:
         rows = []
         for text in texts:
-            hashes = shingle_hashes(text, shingle)
-            rows.append((xxhash.xxh128_hexdigest(np.unique(hashes).tobytes()),
-                         [fingerprint_of(family(hashes, k)) for k in range(families)]))
+            hashes = np.unique(shingle_hashes(text, shingle))
+            rows.append((xxhash.xxh128_hexdigest(hashes.tobytes()), [fingerprint_of(family(hashes, k)) for k in range(families)]))
         return pd.DataFrame(rows, columns=["same", "prints"])
 
     return of(text)

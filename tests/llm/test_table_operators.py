@@ -473,6 +473,27 @@ def test_near_copies_just_below_the_limit_are_not_met_pair_by_pair(spark, monkey
     assert sum(met) <= 4 * len(rows)
 
 
+def test_repeats_within_a_text_neither_make_nor_hide_candidates(spark, monkeypatch):
+    """Unlike texts that repeat one line form no group; a near copy that repeats a passage of its text goes."""
+    rng = np.random.default_rng(7)
+
+    def words(n):
+        return " ".join(f"w{k}" for k in rng.integers(0, 10**9, n))
+
+    line, text = words(8), words(200)
+    rows = [(i, f"{line} " * 60 + words(40), "s") for i in range(30)]
+    rows += [(50, text, "s"), (51, f"{text} " + " ".join([" ".join(text.split()[90:110])] * 40), "s")]
+    groups, covered = [], simhash_trie.covered_nodes
+
+    def counted(members, *rest):
+        groups.append(members.count())
+        return covered(members, *rest)
+
+    monkeypatch.setattr(simhash_trie, "covered_nodes", counted)
+    kept = simhash_trie.distinct_similar_rows(docs_of(spark, rows))
+    assert sorted(r.doc_id for r in kept.collect()) == [r[0] for r in rows[:-1]] and groups == [2]
+
+
 def odd_documents(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     rows = [(None, None, None, None, None), (-1, "", None, "s", 0), (-2, "12 !!", "en", None, 5), (-3, "w " * 100_000, None, None, 9)]
